@@ -95,13 +95,14 @@ def gold_select(entity: str) -> str:
 # ---------------------------------------------------------------------------
 # CTEs, one per SILVER model (each returns public columns + lineage)
 # ---------------------------------------------------------------------------
-def cte_customers() -> str:
+def cte_customers(raw_sql: str | None = None) -> str:
+    raw_sql = raw_sql or D.raw_table_sql('customers')
     last_a = "NULLIF(NULLIF(TRIM(last_name), 'Unknown'), '')"
     tier = (f"CASE WHEN client_id = 'client_a' THEN {clean('loyalty_tier')} "
             f"ELSE NULLIF(NULLIF(TRIM(segment), 'UNKNOWN'), '') END")
     canon = "CASE upper(tier) " + " ".join(f"WHEN '{t}' THEN '{t}'" for t in C.CANONICAL_TIERS) + " END"
     return f"""
-raw_customers AS ({D.raw_table_sql('customers')}),
+raw_customers AS ({raw_sql}),
 c1 AS (
   SELECT client_id, {clean('customer_id')} AS source_customer_id,
     CASE WHEN client_id = 'client_a' THEN {clean('first_name')} ELSE {word(clean('customer_name'), 1)} END AS first_name,
@@ -122,9 +123,11 @@ stg_customers AS (
   FROM c1 WHERE {clean_id('source_customer_id', 'customer_id')})"""
 
 
-def cte_orders() -> str:
+def cte_orders(raw_sql: str | None = None, batch_col: str = "") -> str:
+    raw_sql = raw_sql or D.raw_table_sql('orders')
+    part = f"{batch_col}, client_id, source_order_id" if batch_col else "client_id, source_order_id"
     return f"""
-raw_orders AS ({D.raw_table_sql('orders')}),
+raw_orders AS ({raw_sql}),
 valid_customers AS (SELECT DISTINCT client_id, source_customer_id FROM stg_customers WHERE NOT _is_duplicate),
 o1 AS (
   SELECT r.client_id, {clean('r.order_id')} AS source_order_id, {clean('r.customer_id')} AS source_customer_id,
@@ -138,7 +141,7 @@ o1 AS (
 stg_orders AS (
   SELECT {sk('client_id', 'source_order_id')} AS order_sk, client_id, source_order_id, source_customer_id,
     order_date, order_date_is_missing, order_status, channel, customer_ref_is_valid,
-    {dup('client_id, source_order_id')} AS _is_duplicate, _source_file, _loaded_at, _split_start, _row_pos
+    {dup(part)} AS _is_duplicate, _source_file, _loaded_at, _split_start, _row_pos
   FROM o1 WHERE {clean_id('source_order_id', 'order_id')})"""
 
 
@@ -285,9 +288,164 @@ def model_sql(entity: str, layer: str) -> str:
     return f"{head}\n{body}"
 
 
+
+# ---------------------------------------------------------------------------
+# Quarantine, rejects, checks, freshness, masking, parsing, merges
+# ---------------------------------------------------------------------------
+from tidemark.operators import checks as K  # noqa: E402
+from tidemark.plans import queries as Q  # noqa: E402
+
+
+def quarantine_all_sql() -> str:
+    head = with_ctes(cte_customers(), cte_orders(), cte_products(), cte_payload(), cte_transactions(),
+                     cte_items(), cte_payments())
+    sel = "SELECT '{e}' AS entity, client_id, {r} AS quarantine_reason, _source_file, _loaded_at FROM {t} WHERE {c}"
+    parts = [
+        sel.format(e="customers", r="'missing customer id'", t="c1", c="source_customer_id IS NULL"),
+        sel.format(e="orders", r="'missing order id'", t="raw_orders", c=f"{clean('order_id')} IS NULL"),
+        sel.format(e="products", r="'missing sku'", t="p1", c="source_sku IS NULL"),
+        sel.format(e="transactions", r="'missing transaction id'", t="tx1", c="source_transaction_id IS NULL"),
+        sel.format(e="transaction_items", t="it1", c="source_transaction_id IS NULL OR source_sku IS NULL",
+                   r="CASE WHEN source_transaction_id IS NULL THEN 'missing transaction id' ELSE 'missing sku' END"),
+        sel.format(e="payments", t="pay_all", c="source_payment_id IS NULL OR source_order_id IS NULL",
+                   r="CASE WHEN source_payment_id IS NULL THEN 'missing payment id' ELSE 'missing order id' END"),
+    ]
+    return head + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def _strict_raw_customers() -> str:
+    cols = []
+    for c in ["client_id"] + D.ALL_RAW_COLUMNS["customers"] + ["_source_file", "_loaded_at", "_split_start", "_row_pos"]:
+        cols.append(f"{Q.STRICT_PLANT[c]} AS {c}" if c in Q.STRICT_PLANT else c)
+    return f"SELECT {', '.join(cols)} FROM ({D.raw_table_sql('customers')}) r"
+
+
+def _reject_reason() -> str:
+    rules = [("client_id IS NULL", "client_id is null"), ("_source_file IS NULL", "_source_file is null"),
+             ("_loaded_at IS NULL", "_loaded_at is null"),
+             (f"length(client_id) > {C.CLIENT_ID_WIDTH}", "client_id too wide"),
+             (f"length(_source_file) > {C.SOURCE_FILE_WIDTH}", "_source_file too wide")]
+    rules += [(f"length({c}) > {n}", f"{c} longer than {n}") for c, n in C.RAW_COLUMNS["customers"]]
+    return "CASE " + " ".join(f"WHEN {w} THEN '{r}'" for w, r in rules) + " END"
+
+
+def raw_width_rejects_sql() -> str:
+    return (f"WITH raw AS ({_strict_raw_customers()}), tagged AS (SELECT *, {_reject_reason()} AS reject_reason FROM raw)\n"
+            "SELECT client_id, customer_id, reject_reason, _source_file, _loaded_at FROM tagged "
+            "WHERE reject_reason IS NOT NULL")
+
+
+def rejects_and_rows_balance_sql() -> str:
+    good = f"SELECT * EXCLUDE (reject_reason) FROM (SELECT *, {_reject_reason()} AS reject_reason FROM ({_strict_raw_customers()}) a) b WHERE reject_reason IS NULL"
+    head = with_ctes(f"\nstrict_raw AS ({_strict_raw_customers()})", cte_customers(good))
+    return head + f"""
+SELECT 'raw_rows' AS metric, CAST(count(*) AS BIGINT) AS value FROM strict_raw
+UNION ALL SELECT 'rejected', CAST(count(*) AS BIGINT) FROM (SELECT {_reject_reason()} AS r FROM strict_raw) x WHERE r IS NOT NULL
+UNION ALL SELECT 'silver_rows', CAST(count(*) AS BIGINT) FROM stg_customers
+UNION ALL SELECT 'quarantined', CAST(count(*) AS BIGINT) FROM c1 WHERE source_customer_id IS NULL
+UNION ALL SELECT 'garbage_rows', CAST(count(*) AS BIGINT) FROM c1
+  WHERE source_customer_id IS NOT NULL AND NOT COALESCE({clean_id('source_customer_id', 'customer_id')}, false)"""
+
+
+def _check_sql(ck) -> str:
+    t = ck.model
+    w = f" AND ({ck.where})" if ck.where else ""
+    if ck.kind == "not_null":
+        q = f"SELECT count(*) FROM {t} WHERE {ck.column} IS NULL{w}"
+    elif ck.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in ck.values)
+        q = f"SELECT count(*) FROM {t} WHERE {ck.column} IS NOT NULL AND {ck.column} NOT IN ({vals}){w}"
+    elif ck.kind == "unique":
+        q = (f"SELECT count(*) FROM (SELECT {ck.column} FROM {t} WHERE {ck.column} IS NOT NULL{w} "
+             f"GROUP BY {ck.column} HAVING count(*) > 1) d")
+    elif ck.kind == "relationships":
+        pm, pc = ck.to
+        q = (f"SELECT count(*) FROM {t} c WHERE c.{ck.column} IS NOT NULL AND NOT EXISTS "
+             f"(SELECT 1 FROM {pm} p WHERE p.{pc} = c.{ck.column})")
+    else:  # type_number: numeric columns are DECIMAL in the models above
+        q = "SELECT 0"
+    return (f"SELECT '{t}' AS model, '{ck.column}' AS column_name, '{ck.kind}' AS check, '{ck.severity}' AS severity, "
+            f"CAST(({q}) AS BIGINT) AS failures")
+
+
+def dq_report_sql() -> str:
+    marts = [f"\nmart_{e} AS ({gold_select(e)})" for e in COLS]
+    head = with_ctes(cte_customers(), cte_orders(), cte_products(), cte_payload(), cte_transactions(),
+                     cte_items(), cte_payments(),
+                     "\nraw_transactions AS (SELECT client_id, 'payload' AS raw_payload, _loaded_at FROM src)",
+                     *marts)
+    body = "\nUNION ALL\n".join(_check_sql(ck) for ck in K.declared_checks())
+    return (head + f"\nSELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
+            f"ELSE 'fail' END AS status FROM (\n{body}\n) r")
+
+
+def source_freshness_sql() -> str:
+    run = Q.FRESHNESS_RUN_TS
+    return f"""
+SELECT event_type AS source, max(ts) AS max_loaded_at,
+  CAST(date_diff('second', max(ts), TIMESTAMP '{run}') AS BIGINT) AS age_seconds,
+  CASE WHEN max(ts) IS NULL THEN 'error'
+       WHEN date_diff('second', max(ts), TIMESTAMP '{run}') / 3600.0 > {C.FRESHNESS_ERROR_HOURS} THEN 'error'
+       WHEN date_diff('second', max(ts), TIMESTAMP '{run}') / 3600.0 > {C.FRESHNESS_WARN_HOURS} THEN 'warn'
+       ELSE 'pass' END AS status
+FROM events GROUP BY event_type"""
+
+
+def _mask(x: str) -> str:
+    return f"regexp_replace(regexp_replace(regexp_replace({x}, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g')"
+
+
+def mask_pii_sql() -> str:
+    head = with_ctes(cte_customers())
+    return (head + f"\nSELECT customer_sk, client_id, sha256(email) AS email, {_mask('first_name')} AS first_name, "
+            f"{_mask('last_name')} AS last_name, {_mask('full_name')} AS full_name FROM stg_customers "
+            f"WHERE NOT _is_duplicate AND source_customer_id IS NOT NULL")
+
+
+def parse_sql(fmt: str) -> str:
+    head = with_ctes(cte_payload())
+    xml = fmt == "xml"
+    f = lambda c, on=True: clean(c) if on else "CAST(NULL AS VARCHAR)"
+    return head + f"""
+SELECT client_id, _source_file, _loaded_at, {clean('txn_id')} AS txn_id, {clean('order_id')} AS order_id,
+  {clean('order_date')} AS order_date, {clean('customer_id')} AS customer_id,
+  {f('first_name', xml)} AS first_name, {f('last_name', xml)} AS last_name,
+  {f('customer_name', not xml)} AS customer_name, {clean('email')} AS email,
+  {clean('payment_method')} AS payment_method, {clean('amount')} AS amount, {clean('currency')} AS currency,
+  {f('processing_fee', xml)} AS processing_fee,
+  CASE WHEN items_mode = 'lines' THEN COALESCE(n_lines, 0) ELSE 0 END AS n_items
+FROM src WHERE fmt = '{fmt}'"""
+
+
+def merge_sql(latest_batch_wins: bool) -> str:
+    l1, l2 = D.LOAD_1, D.LOAD_2
+    late = f"COALESCE({to_date(clean('order_date'))} >= DATE '{Q.SPLIT_DATE}', false)"
+    raw = (f"SELECT * REPLACE (CASE WHEN {late} OR _loaded_at = TIMESTAMP '{l2}' THEN TIMESTAMP '{l2}' "
+           f"ELSE TIMESTAMP '{l1}' END AS _loaded_at) FROM ({D.raw_table_sql('orders')}) r0")
+    head = with_ctes(cte_customers(), cte_orders(raw, batch_col="_loaded_at"),
+                     f"\ng AS ({gold_select('orders')})",
+                     f"\ng1 AS (SELECT * FROM g WHERE _loaded_at = TIMESTAMP '{l1}')",
+                     f"\ng2 AS (SELECT * FROM g WHERE _loaded_at = TIMESTAMP '{l2}')")
+    if latest_batch_wins:
+        return head + "\nSELECT * FROM g2 UNION ALL SELECT * FROM g1 WHERE order_sk NOT IN (SELECT order_sk FROM g2)"
+    return head + "\nSELECT * FROM g1 UNION ALL SELECT * FROM g2 WHERE order_sk NOT IN (SELECT order_sk FROM g1)"
+
+
 def oracles() -> dict[str, str]:
     out = {}
     for e in CTES:
         out[f"stg_{e}"] = model_sql(e, "silver")
         out[f"mart_{e}"] = model_sql(e, "gold")
+    out.update({
+        "quarantine_all": quarantine_all_sql(),
+        "raw_width_rejects": raw_width_rejects_sql(),
+        "rejects_and_rows_balance": rejects_and_rows_balance_sql(),
+        "dq_report": dq_report_sql(),
+        "source_freshness": source_freshness_sql(),
+        "mask_pii": mask_pii_sql(),
+        "parse_json_transactions": parse_sql("json"),
+        "parse_xml_transactions": parse_sql("xml"),
+        "incremental_merge": merge_sql(True),
+        "incremental_keep_first": merge_sql(False),
+    })
     return out
