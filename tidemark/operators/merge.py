@@ -18,6 +18,7 @@ Only the manifest (one row per bucket) is collected to the driver.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -77,38 +78,60 @@ class VersionedTable:
         keep_existing=True keeps the target's row for keys it already has
         (earliest load wins) and inserts only new keys.
         Returns the committed version number.
+
+        The batch is computed once: on the first run it is written straight
+        as version 1; later it is staged (bucketed) and read back, so the
+        key anti-join and the union do not recompute its lineage.
         """
         cols = batch.columns
+        schema = json.dumps(batch.schema.jsonValue())
         batch = batch.withColumn("_bucket", self._bucket())
-        touched = sorted(r[0] for r in batch.select("_bucket").distinct().collect())  # <= buckets rows
         man = self._manifest()
         if man is None:                                   # I1: first run
-            version, live, affected = 1, {}, []
+            version, live = 1, {}
+            out = f"{self.path}/data/v={version}"
+            batch.write.mode("overwrite").partitionBy("_bucket").parquet(out)
+            touched = self._buckets_in(out)
         else:
             latest, entries, old_schema = man
             version, live = latest + 1, dict(entries)
-            schema_changed = old_schema.fieldNames() != cols
-            if schema_changed:                            # I3: rewrite every bucket
-                affected = sorted(live)
-            else:
-                affected = touched
-            old = [b for b in affected if b in live]
+            stage = f"{self.path}/_staging/v={version}"
+            batch.write.mode("overwrite").partitionBy("_bucket").parquet(stage)
+            touched = self._buckets_in(stage)
+            if old_schema.fieldNames() != cols:           # I3: rewrite every bucket
+                touched = sorted(set(touched) | set(live))
+            staged = self._read_or_empty(stage, batch.schema)
+            old = [b for b in touched if b in live]
             if old:
                 current = (self.spark.read.parquet(*self._paths([(b, live[b]) for b in old]))
                            .withColumn("_bucket", self._bucket()))
-                keys = batch.select(*self.keys).distinct()
                 if keep_existing:
-                    batch = batch.join(current.select(*self.keys).distinct(), self.keys, "left_anti")
-                current = current.join(keys, self.keys, "left_anti")
-                batch = (current.unionByName(batch, allowMissingColumns=True)
-                         .select(*cols, "_bucket"))
-        out = f"{self.path}/data/v={version}"
-        batch.write.mode("overwrite").partitionBy("_bucket").parquet(out)
-        for b in set(touched) | set(affected):
+                    staged = staged.join(current.select(*self.keys).distinct(), self.keys, "left_anti")
+                current = current.join(staged.select(*self.keys).distinct(), self.keys, "left_anti")
+                staged = current.unionByName(staged, allowMissingColumns=True).select(*cols, "_bucket")
+            out = f"{self.path}/data/v={version}"
+            staged.write.mode("overwrite").partitionBy("_bucket").parquet(out)
+        for b in touched:
             live[b] = version
-        schema = json.dumps(batch.drop("_bucket").schema.jsonValue())
         manifest = self.spark.createDataFrame(
             [(-1, 0, schema)] + [(b, dv, schema) for b, dv in sorted(live.items())],
             "bucket int, data_version int, schema string")
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_manifest/v={version}")
         return version
+
+    def _buckets_in(self, path: str) -> list[int]:
+        """Buckets present under a written folder, from the file listing only."""
+        try:
+            files = self.spark.read.parquet(path).inputFiles()
+        except AnalysisException:  # nothing written (empty batch)
+            return []
+        return sorted({int(m.group(1)) for f in files if (m := _BUCKET_DIR.search(f))})
+
+    def _read_or_empty(self, path: str, schema) -> DataFrame:
+        try:
+            return self.spark.read.parquet(path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], schema).withColumn("_bucket", F.lit(0))
+
+
+_BUCKET_DIR = re.compile(r"/_bucket=(\d+)/")
