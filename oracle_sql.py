@@ -431,6 +431,31 @@ def merge_sql(latest_batch_wins: bool) -> str:
     return head + "\nSELECT * FROM g1 UNION ALL SELECT * FROM g2 WHERE order_sk NOT IN (SELECT order_sk FROM g1)"
 
 
+def _product_rows(with_frame: bool) -> str:
+    spec = D.RAW_SPECS["products"]
+    v = spec.columns
+
+    def last(x, when):  # an inline note after the last field takes its trailing blanks with it
+        return f"CASE WHEN {D.NOTE_ROW} AND {when} THEN regexp_replace({x}, '\\s+$', '') ELSE {x} END"
+    short = D.SHORT_ROW
+    full = f"NOT ({D.SHORT_ROW}) AND NOT ({D.LONG_ROW})"  # a long row's note sits in the extra field
+    rows = f"""
+SELECT {spec.client} AS client_id, CAST(FLOOR(p_partkey / {D.PRODUCT_FILE_ROWS}) AS BIGINT) AS file_group,
+  {v['sku']} AS sku, {v['product_name']} AS product_name, {v['category']} AS category,
+  CASE WHEN {short} THEN {last(v['unit_price'], 'TRUE')} ELSE {v['unit_price']} END AS unit_price,
+  CASE WHEN {short} THEN NULL ELSE {v['currency']} END AS currency,
+  CASE WHEN {short} THEN NULL ELSE {last(v['is_active'], full)} END AS is_active
+FROM part"""
+    sel = "SELECT client_id, sku, product_name, category, unit_price, currency, is_active FROM"
+    if not with_frame:
+        return f"{sel} ({rows}) r"
+    hdr = ", ".join(f"'{h}' AS {h}" for h in D.PRODUCT_HEADER.split(","))
+    return f"""WITH r AS ({rows}), g AS (SELECT DISTINCT client_id, file_group FROM r)
+{sel} r
+UNION ALL SELECT client_id, {hdr} FROM g
+UNION ALL SELECT client_id, '----- END OF FILE -----', NULL, NULL, NULL, NULL, NULL FROM g"""
+
+
 def oracles() -> dict[str, str]:
     out = {}
     for e in CTES:
@@ -447,5 +472,10 @@ def oracles() -> dict[str, str]:
         "parse_xml_transactions": parse_sql("xml"),
         "incremental_merge": merge_sql(True),
         "incremental_keep_first": merge_sql(False),
+        "scan_text_nulls": _product_rows(False),
+        "scan_file_once": _product_rows(True),
+        "stream_events_incremental": "SELECT event_id, ts, user_id, event_type, "
+                                     "CASE WHEN event_id % 10 = 0 THEN value + 1.0 ELSE value END AS value, "
+                                     "props FROM events",
     })
     return out

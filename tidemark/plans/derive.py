@@ -424,3 +424,57 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "client_id", F.col("text").alias("raw_payload"), "_source_file", "_loaded_at",
         F.lit(0).cast("bigint").alias("_split_start"), F.lit(0).cast("bigint").alias("_row_pos"))
     return xml.unionByName(js)
+
+
+# ---------------------------------------------------------------------------
+# Delimited client files: product lines from `part`
+# ---------------------------------------------------------------------------
+PRODUCT_FILE_ROWS = 500
+PRODUCT_HEADER = "sku,product_name,category,unit_price,currency,is_active"
+NULL_TOKEN_TEXT = f"CASE WHEN {_PK} % 7 = 0 THEN 'NULL' WHEN {_PK} % 11 = 0 THEN 'null' ELSE '' END"
+SHORT_ROW = f"{_PK} % 13 = 0"     # only the first four fields
+LONG_ROW = f"{_PK} % 17 = 0"      # one extra field
+NOTE_ROW = f"{_PK} % 10 = 0"      # inline reviewer note at the end of the line
+QUOTED_NAME = f"{_PK} % 3 = 0"    # product name in double quotes
+
+
+def product_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV text line per part: client_id, file_group, line_no, line."""
+    spec = RAW_SPECS["products"]
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    token = F.expr(NULL_TOKEN_TEXT)
+    f = {c: F.expr(e) for c, e in spec.columns.items()}
+    name = F.when(F.expr(QUOTED_NAME) & f["product_name"].isNotNull(),
+                  F.concat(F.lit('"'), f["product_name"], F.lit('"'))).otherwise(f["product_name"])
+    text = [F.coalesce(f["sku"], token), F.coalesce(name, token), F.coalesce(f["category"], token),
+            F.coalesce(f["unit_price"], token), F.coalesce(f["currency"], token),
+            F.coalesce(f["is_active"], token)]
+    full = F.concat_ws(",", *text)
+    short = F.concat_ws(",", *text[:4])
+    line = F.when(F.expr(SHORT_ROW), short).when(F.expr(LONG_ROW), F.concat(full, F.lit(",EXTRA"))).otherwise(full)
+    line = F.when(F.expr(NOTE_ROW), F.concat(line, F.lit("   <-- duplicate"))).otherwise(line)
+    return part.select(F.expr(spec.client).alias("client_id"),
+                       F.expr(f"CAST(FLOOR({_PK} / {PRODUCT_FILE_ROWS}) AS BIGINT)").alias("file_group"),
+                       F.col(_PK).cast("bigint").alias("line_no"), line.alias("line"))
+
+
+def write_product_files(spark: SparkSession, sf_dir: str, landing: str, batch: str = "batch1") -> None:
+    """Client product files: banner line, header line, data lines, end banner."""
+    lines = product_csv_lines(spark, sf_dir)
+    groups = lines.select("client_id", "file_group").distinct()
+    frame = (groups.select("client_id", "file_group", F.lit(-2).cast("bigint").alias("line_no"),
+                           F.concat(F.lit("----- START OF FILE: products_"), F.col("file_group").cast("string"),
+                                    F.lit(".csv -----")).alias("line"))
+             .unionByName(groups.select("client_id", "file_group", F.lit(-1).cast("bigint").alias("line_no"),
+                                        F.lit(PRODUCT_HEADER).alias("line")))
+             .unionByName(groups.select("client_id", "file_group", F.lit(2 ** 62).cast("bigint").alias("line_no"),
+                                        F.lit("----- END OF FILE -----").alias("line"))))
+    all_lines = lines.unionByName(frame)
+    for client in ("client_a", "client_c"):  # one folder per configured client prefix
+        (all_lines.filter(F.col("client_id") == client).drop("client_id")
+         .repartition("file_group").sortWithinPartitions("file_group", "line_no").drop("line_no")
+         # one text column per line: a separator that never occurs keeps the
+         # writer from quoting lines that contain commas
+         .write.mode("overwrite").option("sep", "\u0001").option("quote", "").option("escapeQuotes", "false")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .partitionBy("file_group").csv(f"{landing.rstrip('/')}/{client}/products_{batch}"))
