@@ -54,12 +54,17 @@ def relative_path(prefix: str) -> F.Column:
     return F.regexp_extract(F.col("_metadata.file_path"), f"({re.escape(prefix)}.*)$", 1)
 
 
-def with_lineage(df: DataFrame, prefix: str, position: bool = True) -> DataFrame:
-    """Source file (relative), split start and row position within the split.
+def with_lineage(df: DataFrame, prefix: str, name_regex: str, position: bool = True) -> DataFrame:
+    """Keep the files whose relative path matches `name_regex`, then add the
+    source file (relative), split start and row position within the split.
 
+    The path filter is applied right on the scan: it references only file
+    metadata, so Spark prunes the non-matching files before reading them
+    (it could not if it sat above the non-deterministic row position).
     Streams cannot number rows; they take `position=False` and number each
     micro-batch with `add_position` inside foreachBatch.
     """
+    df = df.filter(relative_path(prefix).rlike(name_regex))
     df = df.select("*", relative_path(prefix).alias("_source_file"),
                    F.col("_metadata.file_block_start").alias("_split_start"))
     return add_position(df) if position else df
@@ -89,7 +94,7 @@ def map_csv_rows(df: DataFrame, spec: CsvSource, run_ts: str, opts: Options = Op
              F.col("_split_start"), F.col("_row_pos")]
     if CORRUPT in df.columns:
         cols.append(F.col(CORRUPT))
-    return df.filter(F.col("_source_file").rlike(spec.name_regex)).select(*cols)
+    return df.select(*cols)
 
 
 def read_csv_source(spark: SparkSession, landing: str, spec: CsvSource, run_ts: str,
@@ -98,7 +103,7 @@ def read_csv_source(spark: SparkSession, landing: str, spec: CsvSource, run_ts:
     strict = opts.strict_field_count
     df = (spark.read.schema(csv_schema(spec, strict)).options(**csv_options(strict))
           .csv(f"{landing.rstrip('/')}/{spec.prefix}"))
-    return map_csv_rows(with_lineage(df, spec.prefix), spec, run_ts, opts)
+    return map_csv_rows(with_lineage(df, spec.prefix, spec.name_regex), spec, run_ts, opts)
 
 
 def field_count_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -112,17 +117,19 @@ def field_count_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ---------------------------------------------------------------------------
 # Payload files
 # ---------------------------------------------------------------------------
-def payload_reader(spark: SparkSession, src: PayloadSource, stream: bool = False):
-    r = spark.readStream if stream else spark.read
-    r = r.option("recursiveFileLookup", "true")
+def read_payload_text(spark: SparkSession, src: PayloadSource, path: str, stream: bool = False) -> DataFrame:
+    """XML: chunks cut at the record end tag (splittable); JSON: one row per file.
+
+    (`text()` sets its own wholetext/lineSep, so they are passed to it directly.)
+    """
+    r = (spark.readStream if stream else spark.read).option("recursiveFileLookup", "true")
     if src.fmt == "xml":
-        return r.option("lineSep", XML_RECORD_SEPARATOR)
-    return r.option("wholetext", "true")
+        return r.text(path, lineSep=XML_RECORD_SEPARATOR)
+    return r.text(path, wholetext=True)
 
 
 def map_payload_rows(df: DataFrame, src: PayloadSource, run_ts: str) -> DataFrame:
     """Text chunks/documents + lineage -> RAW transaction rows."""
-    df = df.filter(F.col("_source_file").rlike(src.name_regex))
     if src.fmt == "xml":
         df = xml_records(df)
     else:
@@ -132,8 +139,8 @@ def map_payload_rows(df: DataFrame, src: PayloadSource, run_ts: str) -> DataFram
 
 
 def read_payload_source(spark: SparkSession, landing: str, src: PayloadSource, run_ts: str) -> DataFrame:
-    df = payload_reader(spark, src).text(f"{landing.rstrip('/')}/{src.prefix}")
-    return map_payload_rows(with_lineage(df, src.prefix), src, run_ts)
+    df = read_payload_text(spark, src, f"{landing.rstrip('/')}/{src.prefix}")
+    return map_payload_rows(with_lineage(df, src.prefix, src.name_regex), src, run_ts)
 
 
 def read_landing(spark: SparkSession, landing: str, run_ts: str, opts: Options = Options()) -> dict[str, DataFrame]:
