@@ -169,11 +169,18 @@ def run_checks(spark: SparkSession, models: dict[str, DataFrame], checks: list[C
                 parts.append(spark.createDataFrame(
                     [(model, c.column, c.kind, c.severity, 0 if ok else 1)],
                     "model string, column_name string, check string, severity string, failures bigint"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("status", _status(F.col("failures"), F.col("severity"))).select(
-        "model", "column_name", "check", "severity", "failures", "status")
+    cols = ["model", "column_name", "check", "severity", "failures"]
+    out = union_all([p.select(*cols) for p in parts])
+    return out.withColumn("status", _status(F.col("failures"), F.col("severity"))).select(*cols, "status")
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union as a balanced tree (each union re-analyses its inputs, so a
+    left-deep chain of many parts costs quadratic planning time)."""
+    while len(parts) > 1:
+        parts = [parts[i].union(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
 def freshness(raw: dict[str, DataFrame], run_ts: str,

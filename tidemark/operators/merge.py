@@ -19,33 +19,44 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16,
+                 watermark_column: str = "_loaded_at"):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.buckets = buckets
+        self.watermark_column = watermark_column
+        self._cached = None
 
     # -- manifest -----------------------------------------------------------
-    def _manifest(self) -> tuple[int, list[tuple[int, int]], list[str]] | None:
-        try:
-            m = self.spark.read.parquet(f"{self.path}/_manifest")
-        except AnalysisException:
-            return None
-        latest = m.agg(F.max("v")).first()[0]
-        if latest is None:
+    def _manifest(self) -> tuple[int, list[tuple[int, int]], T.StructType, str | None] | None:
+        """Newest committed manifest: (version, [(bucket, data version)], schema, watermark).
+
+        Versions are found from the folder listing; only the newest one
+        (one row per bucket plus a schema row) is read.
+        """
+        if self._cached is not None:
+            return self._cached
+        versions = [v for v in _child_values(self.spark, f"{self.path}/_manifest", "v")
+                    if _exists(self.spark, f"{self.path}/_manifest/v={v}/_SUCCESS")]
+        if not versions:
             return None
-        rows = m.filter(F.col("v") == latest).collect()  # one row per bucket + one schema row
-        schema = T.StructType.fromJson(json.loads(rows[0]["schema"]))
-        return latest, [(r["bucket"], r["data_version"]) for r in rows if r["bucket"] >= 0], schema
+        latest = max(versions)
+        rows = self.spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{self.path}/_manifest/v={latest}").collect()
+        head = [r for r in rows if r["bucket"] < 0][0]
+        schema = T.StructType.fromJson(json.loads(head["schema"]))
+        self._cached = (latest, [(r["bucket"], r["data_version"]) for r in rows if r["bucket"] >= 0],
+                        schema, head["watermark"])
+        return self._cached
 
     def exists(self) -> bool:
         return self._manifest() is not None
@@ -57,16 +68,21 @@ class VersionedTable:
         man = self._manifest()
         if man is None:
             raise FileNotFoundError(f"no committed version under {self.path}")
-        _, entries, schema = man
+        _, entries, schema, _ = man
         if not entries:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.parquet(*self._paths(entries)).select(*schema.fieldNames())
 
-    def watermark(self, column: str = "_loaded_at"):
-        """max(column) of the target, or None when it is missing or empty."""
-        if not self.exists():
+    def watermark(self, column: str | None = None):
+        """max(watermark column) of the target, or None when it is missing or
+        empty (V14). Recorded in the manifest at commit, so reading it costs
+        no scan of the table."""
+        man = self._manifest()
+        if man is None:
             return None
-        return self.read().agg(F.max(column)).first()[0]
+        if column not in (None, self.watermark_column):
+            return self.read().agg(F.max(column)).first()[0]
+        return man[3]
 
     # -- merge --------------------------------------------------------------
     def _bucket(self) -> F.Column:
@@ -87,16 +103,18 @@ class VersionedTable:
         schema = json.dumps(batch.schema.jsonValue())
         batch = batch.withColumn("_bucket", self._bucket())
         man = self._manifest()
+        wm_col = self.watermark_column if self.watermark_column in cols else None
+        old_wm = man[3] if man else None
         if man is None:                                   # I1: first run
             version, live = 1, {}
             out = f"{self.path}/data/v={version}"
-            batch.write.mode("overwrite").partitionBy("_bucket").parquet(out)
+            new_wm = self._write(batch, out, wm_col)
             touched = self._buckets_in(out)
         else:
-            latest, entries, old_schema = man
+            latest, entries, old_schema, _ = man
             version, live = latest + 1, dict(entries)
             stage = f"{self.path}/_staging/v={version}"
-            batch.write.mode("overwrite").partitionBy("_bucket").parquet(stage)
+            new_wm = self._write(batch, stage, wm_col)
             touched = self._buckets_in(stage)
             if old_schema.fieldNames() != cols:           # I3: rewrite every bucket
                 touched = sorted(set(touched) | set(live))
@@ -110,28 +128,66 @@ class VersionedTable:
                 current = current.join(staged.select(*self.keys).distinct(), self.keys, "left_anti")
                 staged = current.unionByName(staged, allowMissingColumns=True).select(*cols, "_bucket")
             out = f"{self.path}/data/v={version}"
-            staged.write.mode("overwrite").partitionBy("_bucket").parquet(out)
+            self._write(staged, out)
         for b in touched:
             live[b] = version
+        wms = [w for w in (old_wm, new_wm) if w is not None]
+        wm = str(max(wms)) if wms else None
         manifest = self.spark.createDataFrame(
-            [(-1, 0, schema)] + [(b, dv, schema) for b, dv in sorted(live.items())],
-            "bucket int, data_version int, schema string")
+            [(-1, 0, schema, wm)] + [(b, dv, None, None) for b, dv in sorted(live.items())], _MANIFEST_SCHEMA)
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_manifest/v={version}")
+        self._cached = None
         return version
 
+    def _write(self, df: DataFrame, path: str, watermark_column: str | None = None):
+        """Write one version. One shuffle partition per bucket, so a version
+        holds about one file per bucket instead of one per (task, bucket).
+        The batch's max watermark is observed during the write itself (no
+        second pass) and returned as text."""
+        obs = None
+        if watermark_column:
+            obs = Observation(f"wm-{uuid.uuid4().hex}")
+            df = df.observe(obs, F.max(watermark_column).alias("wm"))
+        (df.repartition(self.buckets, "_bucket")
+           .write.mode("overwrite").partitionBy("_bucket").parquet(path))
+        if obs is None:
+            return None
+        v = obs.get.get("wm")
+        return None if v is None else str(v)
+
     def _buckets_in(self, path: str) -> list[int]:
-        """Buckets present under a written folder, from the file listing only."""
-        try:
-            files = self.spark.read.parquet(path).inputFiles()
-        except AnalysisException:  # nothing written (empty batch)
-            return []
-        return sorted({int(m.group(1)) for f in files if (m := _BUCKET_DIR.search(f))})
+        """Buckets present under a written folder, from the directory listing only."""
+        return sorted(_child_values(self.spark, path, "_bucket"))
 
     def _read_or_empty(self, path: str, schema) -> DataFrame:
-        try:
+        if self._buckets_in(path):
             return self.spark.read.parquet(path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema).withColumn("_bucket", F.lit(0))
+        return self.spark.createDataFrame([], schema).withColumn("_bucket", F.lit(0))
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem of `path` (works for any cluster file system)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _child_values(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Integer values of `<path>/<name>=<n>` sub-folders (metadata listing only)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    pat = re.compile(rf"^{re.escape(name)}=(\d+)$")
+    out = []
+    for st in fs.listStatus(p):
+        m = pat.match(st.getPath().getName())
+        if st.isDirectory() and m:
+            out.append(int(m.group(1)))
+    return out
 
 
-_BUCKET_DIR = re.compile(r"/_bucket=(\d+)/")
+_MANIFEST_SCHEMA = "bucket int, data_version int, schema string, watermark string"
