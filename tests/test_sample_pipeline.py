@@ -139,3 +139,57 @@ def test_checks_report(loaded):
 def test_freshness(loaded):
     f = {r.source: r.status for r in loaded["out"]["freshness"].collect()}
     assert f["raw_customers"] == "pass"   # loaded 10 h before the run
+
+
+def test_strict_load_rejects_notes(spark):
+    """V17 off: an inline note stays in its field, so a note after `is_active`
+    (VARCHAR(10)) makes the row too wide; a note in a wider field still loads."""
+    from tidemark.config import CSV_SOURCES, Options
+    from tidemark.operators.quarantine import split_rejects
+    from tidemark.sources.files import read_csv_source
+    spec = [s for s in CSV_SOURCES if s.entity == "customers" and s.client_id == "client_a"][0]
+    raw = read_csv_source(spark, LANDING, spec, RUN_TS, Options(strip_inline_notes=False))
+    good, bad = split_rejects(raw, "customers")
+    assert [r.reject_reason for r in bad.collect()] == ["is_active longer than 10"]
+    heavy = good.filter(F.col("customer_id") == "CUST-A-0105").first()
+    assert heavy.signup_source.startswith("false") and "<--" in heavy.signup_source
+
+
+def test_strict_field_count(spark):
+    from tidemark.config import CSV_SOURCES, Options
+    from tidemark.sources.files import field_count_rejects, read_csv_source
+    spec = [s for s in CSV_SOURCES if s.entity == "customers" and s.client_id == "client_a"][0]
+    raw = read_csv_source(spark, LANDING, spec, RUN_TS, Options(strict_field_count=True))
+    good, bad = field_count_rejects(raw)
+    ids = sorted(r.customer_id for r in bad.collect())
+    assert ids == ["----- END OF FILE -----", "CUST-A-0105"]   # banner (1 field) and the six-field row
+
+
+def test_parquet_landing_and_json_lines(spark, tmp_root):
+    from tidemark.config import PayloadSource
+    from tidemark.sources.files import read_parquet_source, read_payload_source
+    from tidemark.sources.payload import parse_transactions
+    spark.createDataFrame([("P-1", "Lamp", "9.50")], "sku string, name string, price string").write.parquet(
+        f"{tmp_root}/land/client_z/products_2025.parquet")
+    raw = read_parquet_source(spark, f"{tmp_root}/land", "products", "client_z", "client_z/",
+                              r"(?i).*product.*\.parquet/.*$", RUN_TS, {"product_name": "name", "unit_price": "price"})
+    r = raw.first()
+    assert (r.sku, r.product_name, r.unit_price, r.category) == ("P-1", "Lamp", "9.50", None)
+    lines = ['{"client": "ClientC", "transactions": [{"id": "J-1", "payment": {"total": 2}}]}',
+             "", '{"client": "ClientC", "transactions": [{"id": "J-2"}, {"id": "J-3"}]}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(
+        f"{tmp_root}/land/client_c/transactions_1.jsonl")
+    src = PayloadSource("client_c", "client_c/", r"(?i).*transaction.*\.jsonl/.*$", "jsonl")
+    docs = read_payload_source(spark, f"{tmp_root}/land", src, RUN_TS)
+    assert docs.count() == 2
+    ids = sorted(r.txn.txn_id for r in parse_transactions(docs).collect())
+    assert ids == ["J-1", "J-2", "J-3"]
+
+
+def test_refresh_refs(spark):
+    from tidemark.plans.incremental import refresh_refs
+    orders = spark.createDataFrame([("client_a", "O-1", "C-9", False)],
+                                   "client_id string, source_order_id string, source_customer_id string, "
+                                   "customer_ref_is_valid boolean")
+    late = spark.createDataFrame([("client_a", "C-9")], "client_id string, source_customer_id string")
+    assert refresh_refs(orders, late).first().customer_ref_is_valid is True

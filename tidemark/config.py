@@ -105,7 +105,7 @@ class PayloadSource:
     client_id: str
     prefix: str
     name_regex: str
-    fmt: str  # "xml" or "json"
+    fmt: str  # "xml", "json" (one document per file) or "jsonl" (one per line)
 
 
 # Positional column mappings of the client files into the shared RAW schema.
@@ -157,3 +157,4 @@ class Options:
     default_currency: str | None = None      # V12
     payments_precedence: str | None = None   # V21: "csv" drops JSON payments with a CSV twin
     tier_map: dict = field(default_factory=lambda: {t: t for t in CANONICAL_TIERS})  # V9
+    add_updated_at: bool = False             # I4: GOLD rows carry the run timestamp

@@ -118,13 +118,16 @@ def field_count_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 # Payload files
 # ---------------------------------------------------------------------------
 def read_payload_text(spark: SparkSession, src: PayloadSource, path: str, stream: bool = False) -> DataFrame:
-    """XML: chunks cut at the record end tag (splittable); JSON: one row per file.
+    """XML: chunks cut at the record end tag (splittable); JSON: one row per
+    file; JSON lines ("jsonl"): one document per line (splittable).
 
     (`text()` sets its own wholetext/lineSep, so they are passed to it directly.)
     """
     r = (spark.readStream if stream else spark.read).option("recursiveFileLookup", "true")
     if src.fmt == "xml":
         return r.text(path, lineSep=XML_RECORD_SEPARATOR)
+    if src.fmt == "jsonl":
+        return r.text(path)
     return r.text(path, wholetext=True)
 
 
@@ -134,6 +137,8 @@ def map_payload_rows(df: DataFrame, src: PayloadSource, run_ts: str) -> DataFram
         df = xml_records(df)
     else:
         df = df.withColumnRenamed("value", "raw_payload")
+        if src.fmt == "jsonl":  # blank lines and banner lines carry no document
+            df = df.filter(F.trim("raw_payload").startswith("{"))
     return df.select(F.lit(src.client_id).alias("client_id"), "raw_payload", "_source_file",
                      F.lit(run_ts).cast("timestamp_ntz").alias("_loaded_at"), "_split_start", "_row_pos")
 
@@ -153,3 +158,21 @@ def read_landing(spark: SparkSession, landing: str, run_ts: str, opts: Options =
         df = read_payload_source(spark, landing, src, run_ts)
         out["transactions"] = df if "transactions" not in out else out["transactions"].unionByName(df)
     return out
+
+
+def read_parquet_source(spark: SparkSession, landing: str, entity: str, client_id: str, prefix: str,
+                        name_regex: str, run_ts: str, columns: dict[str, str] | None = None) -> DataFrame:
+    """Parquet landing files -> RAW rows. Columns are mapped by name
+    (`columns`: RAW name -> file column, default the same name), cast to text
+    like every RAW business column; absent columns become NULL."""
+    columns = columns or {}
+    df = spark.read.option("recursiveFileLookup", "true").parquet(f"{landing.rstrip('/')}/{prefix}")
+    df = with_lineage(df, prefix, name_regex)
+    have = set(df.columns)
+    cols = [F.lit(client_id).alias("client_id")]
+    for c in ALL_RAW[entity]:
+        src = columns.get(c, c)
+        cols.append((F.col(src).cast("string") if src in have else F.lit(None).cast("string")).alias(c))
+    cols += [F.col("_source_file"), F.lit(run_ts).cast("timestamp_ntz").alias("_loaded_at"),
+             F.col("_split_start"), F.col("_row_pos")]
+    return df.select(*cols)

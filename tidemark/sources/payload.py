@@ -157,7 +157,7 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
     """
     fmt = {s.client_id: s.fmt for s in C.PAYLOAD_SOURCES}
     xml_clients = [c for c, f in fmt.items() if f == "xml"]
-    json_clients = [c for c, f in fmt.items() if f == "json"]
+    json_clients = [c for c, f in fmt.items() if f in ("json", "jsonl")]
 
     xml = (raw.filter(F.col("client_id").isin(*xml_clients))
            .select(*_KEEP, F.from_xml("raw_payload", XML_TRANSACTION_SCHEMA, XML_OPTIONS).alias("p"))
