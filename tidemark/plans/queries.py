@@ -11,6 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import derive, gold, silver
+from tidemark.plans.parallel import run_stages
 from tidemark.session import work_dir
 
 RAW_ENTITIES = ("customers", "orders", "products", "payments")
@@ -26,11 +27,19 @@ def load_inputs(spark: SparkSession, sf: str) -> str:
     root = _LOADED.get(key)
     if root is None:
         root = work_dir(spark, "raw")
-        for e in RAW_ENTITIES:
-            derive.raw_table(spark, sf, e).write.partitionBy("client_id").parquet(f"{root}/{e}")
-        derive.raw_transactions(spark, sf).write.partitionBy("client_id").parquet(f"{root}/transactions")
-        silver.parse(spark.read.parquet(f"{root}/transactions")).write.partitionBy("client_id").parquet(
-            f"{root}/parsed_transactions")
+
+        def raw_entity(e):
+            return lambda: derive.raw_table(spark, sf, e).write.partitionBy("client_id").parquet(f"{root}/{e}")
+
+        def raw_tx():
+            derive.raw_transactions(spark, sf).write.partitionBy("client_id").parquet(f"{root}/transactions")
+
+        def parse():
+            silver.parse(spark.read.parquet(f"{root}/transactions")).write.partitionBy("client_id").parquet(
+                f"{root}/parsed_transactions")
+        tasks = {e: raw_entity(e) for e in RAW_ENTITIES}
+        tasks.update({"transactions": raw_tx, "parsed": parse})
+        run_stages(tasks, {"parsed": {"transactions"}}, threads=4)
         _LOADED[key] = root
     return root
 
