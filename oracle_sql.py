@@ -296,6 +296,10 @@ from tidemark.operators import checks as K  # noqa: E402
 from tidemark.plans import queries as Q  # noqa: E402
 
 
+def _garbage(col: str, name: str) -> str:
+    return f"({col} IS NOT NULL AND NOT COALESCE({clean_id(col, name)}, false))"
+
+
 def quarantine_all_sql() -> str:
     head = with_ctes(cte_customers(), cte_orders(), cte_products(), cte_payload(), cte_transactions(),
                      cte_items(), cte_payments())
@@ -305,9 +309,13 @@ def quarantine_all_sql() -> str:
         sel.format(e="orders", r="'missing order id'", t="raw_orders", c=f"{clean('order_id')} IS NULL"),
         sel.format(e="products", r="'missing sku'", t="p1", c="source_sku IS NULL"),
         sel.format(e="transactions", r="'missing transaction id'", t="tx1", c="source_transaction_id IS NULL"),
-        sel.format(e="transaction_items", t="it1", c="source_transaction_id IS NULL OR source_sku IS NULL",
+        sel.format(e="transaction_items", t="it1",
+                   c=f"(source_transaction_id IS NULL OR source_sku IS NULL) AND NOT ("
+                     f"{_garbage('source_transaction_id', 'transaction_id')} OR {_garbage('source_sku', 'sku')})",
                    r="CASE WHEN source_transaction_id IS NULL THEN 'missing transaction id' ELSE 'missing sku' END"),
-        sel.format(e="payments", t="pay_all", c="source_payment_id IS NULL OR source_order_id IS NULL",
+        sel.format(e="payments", t="pay_all",
+                   c=f"(source_payment_id IS NULL OR source_order_id IS NULL) AND NOT "
+                     f"{_garbage('source_payment_id', 'payment_id')}",
                    r="CASE WHEN source_payment_id IS NULL THEN 'missing payment id' ELSE 'missing order id' END"),
     ]
     return head + "\n" + "\nUNION ALL\n".join(parts)

@@ -51,3 +51,9 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(rel.columns, orows)
+
+
+def test_rows_balance(spark):
+    m = {r.metric: r.value for r in E.queries()["rejects_and_rows_balance"](spark, SF_SMALL).collect()}
+    assert m["rejected"] > 0 and m["quarantined"] > 0 and m["garbage_rows"] > 0
+    assert m["raw_rows"] == m["rejected"] + m["silver_rows"] + m["quarantined"] + m["garbage_rows"]

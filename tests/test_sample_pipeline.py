@@ -193,3 +193,13 @@ def test_refresh_refs(spark):
                                    "customer_ref_is_valid boolean")
     late = spark.createDataFrame([("client_a", "C-9")], "client_id string, source_customer_id string")
     assert refresh_refs(orders, late).first().customer_ref_is_valid is True
+
+
+def test_quarantine_tables(loaded):
+    out = loaded["out"]
+    got = {e: sorted((r.quarantine_reason for r in out[f"quarantine_{e}"].collect()))
+           for e in ("customers", "transactions", "transaction_items", "payments")}
+    assert got["customers"] == ["missing customer id"]                      # the row without id
+    assert got["transactions"] == ["missing transaction id"] * 2            # XML and JSON records without id
+    assert got["transaction_items"] == ["missing sku"]                      # TXN-1004's item without SKU
+    assert got["payments"] == ["missing order id", "missing order id"]      # PAY-C-0004, C-TXN-3002
