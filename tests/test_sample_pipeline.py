@@ -203,3 +203,24 @@ def test_quarantine_tables(loaded):
     assert got["transactions"] == ["missing transaction id"] * 2            # XML and JSON records without id
     assert got["transaction_items"] == ["missing sku"]                      # TXN-1004's item without SKU
     assert got["payments"] == ["missing order id", "missing order id"]      # PAY-C-0004, C-TXN-3002
+
+
+def test_options_of_the_divergences(spark, loaded):
+    from tidemark.config import Options
+    from tidemark.plans import silver as S
+    raw, parsed = loaded["raw"], S.parse(loaded["raw"]["transactions"])
+    # A CSV payment of the same order wins over the JSON one
+    pay = S.stg_payments(raw["payments"], parsed, Options(payments_precedence="csv"))
+    ids = {r.source_payment_id for r in pay.collect()}
+    assert "PAY-JSON-C-TXN-3001" not in ids and "PAY-JSON-C-TXN-3002" in ids
+    # JSON payments without a currency take the default
+    pay = S.stg_payments(raw["payments"], parsed, Options(default_currency="USD"))
+    assert {r.source_payment_id: r.currency for r in pay.collect()}["PAY-JSON-C-TXN-3001"] == "USD"
+    # Product sentinels and upper-cased categories
+    prod = {r.source_sku: r for r in S.stg_products(raw["products"], Options(product_sentinels=True,
+                                                                            upper_status=True)).collect()}
+    assert prod["SKU-A-003"].product_name is None and prod["SKU-A-003"].category is None
+    assert prod["SKU-A-001"].category == "ELECTRONICS"
+    # H4 strict: a missing part makes the full name NULL
+    cust = {r.source_customer_id: r for r in S.stg_customers(raw["customers"], Options(strict_full_name=True)).collect()}
+    assert cust["CUST-A-0102"].full_name is None and cust["CUST-A-0101"].full_name == "Ana Lopez"

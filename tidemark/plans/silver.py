@@ -204,11 +204,15 @@ def stg_transactions(parsed: DataFrame, opts: Options = Options()) -> DataFrame:
 
 
 def explode_items(parsed: DataFrame) -> DataFrame:
-    """Transaction rows -> one row per item with its position."""
-    return parsed.select(
-        "client_id", *_LINEAGE,
-        X.clean_string(F.col("txn")["txn_id"]).alias("source_transaction_id"),
-        F.posexplode("items").alias("_item_pos", "it"))
+    """Transaction rows -> one row per item with its position.
+
+    The transaction id is projected before the generator, so the scan of the
+    parsed payloads reads only `txn.txn_id` and `items`, not the whole struct.
+    """
+    return (parsed.select("client_id", *_LINEAGE,
+                          X.clean_string(F.col("txn")["txn_id"]).alias("source_transaction_id"), "items")
+            .select("client_id", *_LINEAGE, "source_transaction_id",
+                    F.posexplode("items").alias("_item_pos", "it")))
 
 
 def clean_items(parsed: DataFrame, opts: Options = Options()) -> DataFrame:
