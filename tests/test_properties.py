@@ -87,3 +87,27 @@ def test_xml_records_take_the_last_opening_tag(spark):
     assert [r.raw_payload for r in recs] == [
         "<Transaction><TransactionID>T1</TransactionID></Transaction>",
         "<Transaction id=\"2\"><TransactionID>T2</TransactionID></Transaction>"]
+
+
+def test_insert_only_batch_appends_without_rewriting(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], buckets=4)
+    t.merge(_batch(spark, [(f"a{i}", i, T1) for i in range(40)]))
+    before = t.parts()
+    t.merge(_batch(spark, [(f"b{i}", i, T2) for i in range(40)]))   # new keys only
+    after = t.parts()
+    assert all(p.startswith("data/a") for ps in after.values() for p in ps)          # nothing rewritten
+    assert all(after[b][:len(before[b])] == before[b] for b in before)                # old parts kept
+    assert t.read().count() == 80
+
+
+def test_matched_bucket_is_rewritten_and_parts_compact(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], buckets=2, max_parts=3)
+    t.merge(_batch(spark, [(f"a{i}", i, T1) for i in range(20)]))
+    t.merge(_batch(spark, [("a3", 300, T2)]))                        # an update
+    parts = t.parts()
+    assert any(p.startswith("data/r2/") for ps in parts.values() for p in ps)
+    assert {r.k: r.v for r in t.read().collect()}["a3"] == 300 and t.read().count() == 20
+    for i in range(6):                                               # many small inserts
+        t.merge(_batch(spark, [(f"n{i}", i, T2)]))
+    assert max(len(ps) for ps in t.parts().values()) <= 3
+    assert t.read().count() == 26

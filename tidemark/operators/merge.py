@@ -1,18 +1,31 @@
 """Incremental sinks (I1-I3, B5) on plain Parquet.
 
 Plain Parquet has no MERGE, and Spark will not overwrite a path it is reading.
-A target table is therefore kept as immutable versions:
-
-    <table>/data/v=<n>/_bucket=<b>/part-*.parquet   rows of bucket b written by merge n
-    <table>/_manifest/v=<n>/part-*.parquet           (bucket, data_version, columns) per live bucket
-
-Rows are spread over `buckets` hash buckets of the merge key. A merge reads
-only the buckets the batch touches, upserts them (anti-join on the key, then
-union), writes them as version n, and then commits manifest n, which points
-each live bucket at its newest version. Readers always follow the newest
-committed manifest, so a crash before the manifest commit leaves the previous
-version readable, and re-running a batch rewrites the same rows (idempotent).
-Only the manifest (one row per bucket) is collected to the driver.
+A target table is therefore a set of immutable *parts* plus a manifest:
+
+    <table>/data/a<n>/_bucket=<b>/part-*.parquet   rows appended by merge n
+    <table>/data/r<n>/_bucket=<b>/part-*.parquet   buckets rewritten by merge n
+    <table>/_manifest/v=<n>/part-*.parquet          live parts per bucket, schema, watermark
+
+Rows are spread over hash buckets of the merge key (the bucket count is
+fixed when the table is created and stored in the manifest). A merge
+
+1. writes the batch once, bucketed, as `a<n>` (this write *is* the new part);
+2. finds the buckets in which the batch matches live keys: a semi-join on
+   the key columns only (column pruning: the rest of the table is not read);
+3. rewrites only those buckets (plus buckets that have gathered too many
+   parts, and every bucket after a schema change) into `r<n>`: live rows
+   minus the batch's keys, plus the batch rows (keep-existing mode keeps the
+   live rows and drops the batch's colliding ones instead);
+4. commits manifest n: rewritten buckets point at their `r<n>` part,
+   other touched buckets get the `a<n>` part appended to their list.
+
+So an insert-only batch costs one write of the batch and a key-only scan of
+the buckets it touches; it never rewrites existing data. Readers follow the
+newest committed manifest (a `_SUCCESS` marker), so a crash before the
+commit leaves the previous version readable, and replaying a batch gives the
+same table. Only the manifest (bounded by buckets x parts) reaches the
+driver.
 """
 
 from __future__ import annotations
@@ -26,24 +39,23 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_MANIFEST_SCHEMA = "bucket int, path string, schema string, watermark string, buckets int"
+
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16,
-                 watermark_column: str = "_loaded_at"):
+                 watermark_column: str = "_loaded_at", max_parts: int = 8):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.buckets = buckets
+        self.buckets = buckets          # used when the table is created
         self.watermark_column = watermark_column
+        self.max_parts = max_parts      # parts per bucket before it is compacted
         self._cached = None
 
     # -- manifest -----------------------------------------------------------
-    def _manifest(self) -> tuple[int, list[tuple[int, int]], T.StructType, str | None] | None:
-        """Newest committed manifest: (version, [(bucket, data version)], schema, watermark).
-
-        Versions are found from the folder listing; only the newest one
-        (one row per bucket plus a schema row) is read.
-        """
+    def _manifest(self):
+        """Newest committed manifest: (version, {bucket: [part paths]}, schema, watermark, buckets)."""
         if self._cached is not None:
             return self._cached
         versions = [v for v in _child_values(self.spark, f"{self.path}/_manifest", "v")
@@ -53,25 +65,32 @@ class VersionedTable:
         latest = max(versions)
         rows = self.spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{self.path}/_manifest/v={latest}").collect()
         head = [r for r in rows if r["bucket"] < 0][0]
-        schema = T.StructType.fromJson(json.loads(head["schema"]))
-        self._cached = (latest, [(r["bucket"], r["data_version"]) for r in rows if r["bucket"] >= 0],
-                        schema, head["watermark"])
+        parts: dict[int, list[str]] = {}
+        for r in sorted((r for r in rows if r["bucket"] >= 0), key=lambda r: r["path"]):
+            parts.setdefault(r["bucket"], []).append(r["path"])
+        self._cached = (latest, parts, T.StructType.fromJson(json.loads(head["schema"])),
+                        head["watermark"], head["buckets"])
         return self._cached
 
     def exists(self) -> bool:
         return self._manifest() is not None
 
-    def _paths(self, entries) -> list[str]:
-        return [f"{self.path}/data/v={dv}/_bucket={b}" for b, dv in entries]
+    def _full(self, parts) -> list[str]:
+        return [f"{self.path}/{p}" for p in parts]
 
     def read(self) -> DataFrame:
         man = self._manifest()
         if man is None:
             raise FileNotFoundError(f"no committed version under {self.path}")
-        _, entries, schema, _ = man
-        if not entries:
+        _, parts, schema, _, _ = man
+        paths = [p for b in sorted(parts) for p in parts[b]]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(*self._paths(entries)).select(*schema.fieldNames())
+        return self.spark.read.parquet(*self._full(paths)).select(*schema.fieldNames())
+
+    def parts(self) -> dict[int, list[str]]:
+        man = self._manifest()
+        return {} if man is None else {b: list(p) for b, p in man[1].items()}
 
     def watermark(self, column: str | None = None):
         """max(watermark column) of the target, or None when it is missing or
@@ -85,8 +104,8 @@ class VersionedTable:
         return man[3]
 
     # -- merge --------------------------------------------------------------
-    def _bucket(self) -> F.Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+    def _bucket(self, n: int) -> F.Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(n)).cast("int")
 
     def merge(self, batch: DataFrame, keep_existing: bool = False) -> int:
         """Upsert `batch` on the key: matched rows replaced, new rows inserted.
@@ -94,76 +113,89 @@ class VersionedTable:
         keep_existing=True keeps the target's row for keys it already has
         (earliest load wins) and inserts only new keys.
         Returns the committed version number.
-
-        The batch is computed once: on the first run it is written straight
-        as version 1; later it is staged (bucketed) and read back, so the
-        key anti-join and the union do not recompute its lineage.
         """
         cols = batch.columns
         schema = json.dumps(batch.schema.jsonValue())
-        batch = batch.withColumn("_bucket", self._bucket())
         man = self._manifest()
+        version = 1 if man is None else man[0] + 1
+        n = self.buckets if man is None else man[4]
+        parts = {} if man is None else {b: list(p) for b, p in man[1].items()}
+        old_wm = None if man is None else man[3]
         wm_col = self.watermark_column if self.watermark_column in cols else None
-        old_wm = man[3] if man else None
-        if man is None:                                   # I1: first run
-            version, live = 1, {}
-            out = f"{self.path}/data/v={version}"
-            new_wm = self._write(batch, out, wm_col)
-            touched = self._buckets_in(out)
-        else:
-            latest, entries, old_schema, _ = man
-            version, live = latest + 1, dict(entries)
-            stage = f"{self.path}/_staging/v={version}"
-            new_wm = self._write(batch, stage, wm_col)
-            touched = self._buckets_in(stage)
-            if old_schema.fieldNames() != cols:           # I3: rewrite every bucket
-                touched = sorted(set(touched) | set(live))
-            staged = self._read_or_empty(stage, batch.schema)
-            old = [b for b in touched if b in live]
-            if old:
-                current = (self.spark.read.parquet(*self._paths([(b, live[b]) for b in old]))
-                           .withColumn("_bucket", self._bucket()))
-                if keep_existing:
-                    staged = staged.join(current.select(*self.keys).distinct(), self.keys, "left_anti")
-                current = current.join(staged.select(*self.keys).distinct(), self.keys, "left_anti")
-                staged = current.unionByName(staged, allowMissingColumns=True).select(*cols, "_bucket")
-            out = f"{self.path}/data/v={version}"
-            self._write(staged, out)
-        for b in touched:
-            live[b] = version
+
+        append = f"data/a{version}"
+        new_wm = self._write(batch.withColumn("_bucket", self._bucket(n)), f"{self.path}/{append}", n, wm_col)
+        touched = set(_child_values(self.spark, f"{self.path}/{append}", "_bucket"))
+
+        rewrite: set[int] = set()
+        if man is not None:
+            if man[2].fieldNames() != cols:                       # I3: schema sync, rewrite all
+                rewrite = set(parts) | touched
+            else:
+                live = sorted(b for b in touched if parts.get(b))
+                if live:
+                    staged_keys = self._read(append, touched).select(*self.keys)
+                    live_keys = self._read_parts([p for b in live for p in parts[b]]).select(*self.keys)
+                    hit = (live_keys.join(staged_keys, self.keys, "left_semi")
+                           .select(self._bucket(n).alias("b")).distinct().collect())  # <= n rows
+                    rewrite = {r["b"] for r in hit}
+                rewrite |= {b for b in touched if len(parts.get(b, [])) >= self.max_parts}
+        if rewrite:
+            self._rewrite(version, n, sorted(rewrite), parts, append, touched, cols, keep_existing)
+            written = set(_child_values(self.spark, f"{self.path}/data/r{version}", "_bucket"))
+            for b in rewrite:
+                parts[b] = [f"data/r{version}/_bucket={b}"] if b in written else []
+        for b in touched - rewrite:
+            parts.setdefault(b, []).append(f"{append}/_bucket={b}")
+
         wms = [w for w in (old_wm, new_wm) if w is not None]
         wm = str(max(wms)) if wms else None
-        manifest = self.spark.createDataFrame(
-            [(-1, 0, schema, wm)] + [(b, dv, None, None) for b, dv in sorted(live.items())], _MANIFEST_SCHEMA)
+        rows = [(-1, None, schema, wm, n)] + [(b, p, None, None, None) for b in sorted(parts) for p in parts[b]]
+        manifest = self.spark.createDataFrame(rows, _MANIFEST_SCHEMA)
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_manifest/v={version}")
         self._cached = None
         return version
 
-    def _write(self, df: DataFrame, path: str, watermark_column: str | None = None):
-        """Write one version. One shuffle partition per bucket, so a version
+    def _rewrite(self, version, n, buckets, parts, append, touched, cols, keep_existing) -> None:
+        """Rewrite whole buckets: their live rows upserted with the batch rows."""
+        new_rows = self._read(append, [b for b in buckets if b in touched])
+        old_paths = [p for b in buckets for p in parts.get(b, [])]
+        if old_paths:
+            old = self._read_parts(old_paths).withColumn("_bucket", self._bucket(n))
+            if keep_existing:
+                new_rows = new_rows.join(old.select(*self.keys), self.keys, "left_anti")
+            else:
+                old = old.join(new_rows.select(*self.keys), self.keys, "left_anti")
+            out = old.unionByName(new_rows, allowMissingColumns=True)
+        else:
+            out = new_rows
+        self._write(out.select(*cols, "_bucket"), f"{self.path}/data/r{version}", n)
+
+    def _read(self, part_dir: str, buckets) -> DataFrame:
+        """Rows of some buckets of one written folder, with `_bucket`."""
+        buckets = sorted(buckets)
+        df = self.spark.read.parquet(f"{self.path}/{part_dir}")
+        return df.filter(F.col("_bucket").isin(*buckets)) if buckets else df.limit(0)
+
+    def _read_parts(self, parts: list[str]) -> DataFrame:
+        return self.spark.read.parquet(*self._full(parts))
+
+    def _write(self, df: DataFrame, path: str, n: int, watermark_column: str | None = None):
+        """Write a bucketed folder. One shuffle partition per bucket, so a part
         holds about one file per bucket instead of one per (task, bucket).
-        The batch's max watermark is observed during the write itself (no
-        second pass) and returned as text."""
+        The max watermark is observed during the write itself (no second
+        pass) and returned as text."""
         obs = None
         if watermark_column:
             obs = Observation(f"wm-{uuid.uuid4().hex}")
             df = df.observe(obs, F.max(watermark_column).alias("wm"))
-        (df.repartition(self.buckets, "_bucket")
+        (df.repartition(max(1, n), "_bucket")
            .write.mode("overwrite").partitionBy("_bucket").parquet(path))
         if obs is None:
             return None
         v = obs.get.get("wm")
         return None if v is None else str(v)
 
-    def _buckets_in(self, path: str) -> list[int]:
-        """Buckets present under a written folder, from the directory listing only."""
-        return sorted(_child_values(self.spark, path, "_bucket"))
-
-    def _read_or_empty(self, path: str, schema) -> DataFrame:
-        if self._buckets_in(path):
-            return self.spark.read.parquet(path)
-        return self.spark.createDataFrame([], schema).withColumn("_bucket", F.lit(0))
-
 
 def _fs(spark: SparkSession, path: str):
     """Hadoop FileSystem of `path` (works for any cluster file system)."""
@@ -188,6 +220,3 @@ def _child_values(spark: SparkSession, path: str, name: str) -> list[int]:
         if st.isDirectory() and m:
             out.append(int(m.group(1)))
     return out
-
-
-_MANIFEST_SCHEMA = "bucket int, data_version int, schema string, watermark string"
