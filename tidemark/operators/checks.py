@@ -158,9 +158,12 @@ def run_checks(spark: SparkSession, models: dict[str, DataFrame], checks: list[C
             elif c.kind == "relationships":
                 parent_model, parent_col = c.to
                 parent = models[parent_model].select(F.col(parent_col).alias("_k")).filter(F.col("_k").isNotNull())
-                child = df.select(F.col(c.column).alias("_k")).filter(F.col("_k").isNotNull())
+                # child keys are counted before the anti-join, so a key held by
+                # many rows crosses the shuffle as one row with its count
+                child = (df.select(F.col(c.column).alias("_k")).filter(F.col("_k").isNotNull())
+                         .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
                 orphans = child.join(parent.distinct(), "_k", "left_anti")
-                parts.append(orphans.agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
+                parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failures"))
                              .select(F.lit(model).alias("model"), F.lit(c.column).alias("column_name"),
                                      F.lit(c.kind).alias("check"), F.lit(c.severity).alias("severity"),
                                      "failures"))

@@ -31,12 +31,18 @@ def _run(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], No
     return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
 
 
+def _bounded(reader, max_files: int | None):
+    """Bound a micro-batch to `max_files` new files (availableNow still drains all)."""
+    return reader.option("maxFilesPerTrigger", str(max_files)) if max_files else reader
+
+
 def load_csv_once(spark: SparkSession, landing: str, spec: CsvSource, catalog: Catalog, checkpoint_root: str,
-                  run_ts: str, opts: Options = Options()) -> int:
+                  run_ts: str, opts: Options = Options(), max_files_per_trigger: int | None = None) -> int:
     """New files of one delimited source -> RAW (+ rejects). Returns rows read."""
     strict = opts.strict_field_count
-    stream = (spark.readStream.schema(FS.csv_schema(spec, strict)).options(**FS.csv_options(strict))
-              .csv(f"{landing.rstrip('/')}/{spec.prefix}"))
+    reader = _bounded(spark.readStream.schema(FS.csv_schema(spec, strict)).options(**FS.csv_options(strict)),
+                      max_files_per_trigger)
+    stream = reader.csv(f"{landing.rstrip('/')}/{spec.prefix}")
     scanned = FS.with_lineage(stream, spec.prefix, spec.name_regex, position=False)
     key = f"{spec.client_id}_{spec.entity}"
 
