@@ -124,7 +124,7 @@ class VersionedTable:
         wm_col = self.watermark_column if self.watermark_column in cols else None
 
         append = f"data/a{version}"
-        new_wm = self._write(batch.withColumn("_bucket", self._bucket(n)), f"{self.path}/{append}", n, wm_col)
+        new_wm = self._write(batch.withColumn("_bucket", self._bucket(n)), f"{self.path}/{append}", wm_col)
         touched = set(_child_values(self.spark, f"{self.path}/{append}", "_bucket"))
 
         rewrite: set[int] = set()
@@ -169,7 +169,7 @@ class VersionedTable:
             out = old.unionByName(new_rows, allowMissingColumns=True)
         else:
             out = new_rows
-        self._write(out.select(*cols, "_bucket"), f"{self.path}/data/r{version}", n)
+        self._write(out.select(*cols, "_bucket"), f"{self.path}/data/r{version}")
 
     def _read(self, part_dir: str, buckets) -> DataFrame:
         """Rows of some buckets of one written folder, with `_bucket`."""
@@ -180,16 +180,19 @@ class VersionedTable:
     def _read_parts(self, parts: list[str]) -> DataFrame:
         return self.spark.read.parquet(*self._full(parts))
 
-    def _write(self, df: DataFrame, path: str, n: int, watermark_column: str | None = None):
-        """Write a bucketed folder. One shuffle partition per bucket, so a part
-        holds about one file per bucket instead of one per (task, bucket).
+    def _write(self, df: DataFrame, path: str, watermark_column: str | None = None):
+        """Write a bucketed folder, clustered by bucket with a REBALANCE:
+        each bucket lands in one shuffle partition, AQE coalesces small ones
+        (so a small part holds about one file per bucket, not one per task
+        and bucket) and splits large or skewed ones over several tasks (so a
+        big bucket is not written by a single task).
         The max watermark is observed during the write itself (no second
         pass) and returned as text."""
         obs = None
         if watermark_column:
             obs = Observation(f"wm-{uuid.uuid4().hex}")
             df = df.observe(obs, F.max(watermark_column).alias("wm"))
-        (df.repartition(max(1, n), "_bucket")
+        (df.hint("rebalance", "_bucket")
            .write.mode("overwrite").partitionBy("_bucket").parquet(path))
         if obs is None:
             return None
