@@ -81,9 +81,9 @@ RAW_COLUMNS = {
 CLIENT_ID_WIDTH = 50
 SOURCE_FILE_WIDTH = 500
 
-# Lineage columns every RAW row carries. `_split_start` and `_row_pos`
-# give a deterministic position inside the source file (tie-break, V6).
-LINEAGE_COLUMNS = ("_source_file", "_loaded_at", "_split_start", "_row_pos")
+# Lineage columns every RAW row carries and their order for "earliest wins":
+# load time, then file, then position in the file (`_split_start` and
+# `_row_pos`), a total order (V6).
 ORDER_COLUMNS = ("_loaded_at", "_source_file", "_split_start", "_row_pos")
 
 

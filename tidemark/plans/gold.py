@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark import config as C
 from tidemark.plans.silver import SILVER_COLUMNS
 
 _AUDIT = ("_is_duplicate", "_source_file")
@@ -52,7 +51,3 @@ def mart_transaction_items(silver: DataFrame) -> DataFrame:
 
 def mart_payments(silver: DataFrame) -> DataFrame:
     return gold(silver, "payments")
-
-
-def unique_key(entity: str) -> str:
-    return C.ENTITY_KEYS[entity][2]

@@ -228,7 +228,7 @@ def _parse_out(parsed):
         *[X.clean_string(t[f]).alias(f) for f in
           ("txn_id", "order_id", "order_date", "customer_id", "first_name", "last_name", "customer_name",
            "email", "payment_method", "amount", "currency", "processing_fee")],
-        F.coalesce(F.size("items"), F.lit(0)).alias("n_items"))
+        F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"))
 
 
 def parse_json_transactions(spark: SparkSession, sf: str) -> DataFrame:

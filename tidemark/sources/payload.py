@@ -50,11 +50,6 @@ JSON_TRANSACTION_SCHEMA = _struct(
 JSON_DOCUMENT_SCHEMA = _struct("client", "batchTimestamp",
                                T.StructField("transactions", T.ArrayType(JSON_TRANSACTION_SCHEMA)))
 
-# Normalised transaction: one layout for both formats.
-ITEM_FIELDS = ("sku", "description", "qty", "price", "currency")
-TXN_FIELDS = ("txn_id", "order_id", "order_date", "customer_id", "first_name", "last_name",
-              "customer_name", "email", "payment_method", "amount", "currency", "processing_fee")
-
 XML_RECORD_SEPARATOR = "</Transaction>"
 _LAST_OPENING_TAG = r"(?s).*(<Transaction[\s>].*)$"
 
