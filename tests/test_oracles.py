@@ -12,6 +12,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 
 
+_TYPES = {"string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+          "date": "DATE", "timestamp_ntz": "TIMESTAMP", "decimal(12,2)": "DECIMAL(12,2)"}
+
+
 def _norm(v):
     if v is None:
         return "NULL"
@@ -49,6 +53,8 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(oracle)
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == dict(zip(rel.columns, map(str, rel.types)))
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(rel.columns, orows)
 
