@@ -111,3 +111,21 @@ def test_matched_bucket_is_rewritten_and_parts_compact(spark, tmp_root):
         t.merge(_batch(spark, [(f"n{i}", i, T2)]))
     assert max(len(ps) for ps in t.parts().values()) <= 3
     assert t.read().count() == 26
+
+
+def test_window_strategy_gives_the_same_flags(spark):
+    rows = [("hot", i % 5, f"f{i % 2}", i) for i in range(500)] + [(f"k{i}", 0, "f0", i) for i in range(50)]
+    df = spark.createDataFrame(rows, "key string, _loaded_at int, _source_file string, _row_pos int")
+    order = ("_loaded_at", "_source_file", "_row_pos")
+    a = flag_duplicates(df, ["key"], order)
+    w = flag_duplicates(df, ["key"], order, strategy="window")
+    assert a.exceptAll(w.select(*a.columns)).count() == 0 and a.count() == w.count()
+
+
+def test_freshness_thresholds(spark):
+    from tidemark.operators.checks import freshness
+    t = spark.createDataFrame([(datetime(2025, 1, 1, 0),)], "_loaded_at timestamp_ntz")
+    status = lambda run: freshness({"s": t}, run).first().status
+    assert status("2025-01-02 00:00:00") == "pass"     # 24 h
+    assert status("2025-01-02 02:00:00") == "warn"     # 26 h > 25 h
+    assert status("2025-01-03 02:00:00") == "error"    # 50 h > 49 h

@@ -158,3 +158,4 @@ class Options:
     payments_precedence: str | None = None   # V21: "csv" drops JSON payments with a CSV twin
     tier_map: dict = field(default_factory=lambda: {t: t for t in CANONICAL_TIERS})  # V9
     add_updated_at: bool = False             # I4: GOLD rows carry the run timestamp
+    dedup_strategy: str = "aggregate"        # E1: "aggregate" (skew-tolerant) or "window"

@@ -20,12 +20,20 @@ from tidemark import config as C
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str] = C.ORDER_COLUMNS,
-                    flag: str = "_is_duplicate") -> DataFrame:
+                    flag: str = "_is_duplicate", strategy: str = "aggregate") -> DataFrame:
     """Add boolean `flag`: True for every row but the first per `keys` by `order`.
 
     `order` must identify a row within its key (lineage columns do). Rows with
     a NULL key must be removed beforehand (the garbage-id filter does).
+
+    strategy="aggregate" (default) is skew-tolerant (see module doc);
+    strategy="window" is the reference's `row_number() > 1`: one shuffle
+    fewer, but every row of a key is sorted in one task.
     """
+    if strategy == "window":
+        return number_rows(df, keys, order, "_rn").withColumn(flag, F.col("_rn") > 1).drop("_rn")
+    if strategy != "aggregate":
+        raise ValueError(f"unknown strategy {strategy!r}")
     rank = F.struct(*[F.col(c) for c in order])
     first = df.groupBy(*keys).agg(F.min(rank).alias("_first_row"))
     return (df.join(first, list(keys), "inner")

@@ -56,13 +56,14 @@ def public(df: DataFrame, entity: str) -> DataFrame:
     return df.select(*SILVER_COLUMNS[entity])
 
 
-def _finish(cleaned: DataFrame, entity: str, keys=None, order=C.ORDER_COLUMNS) -> DataFrame:
+def _finish(cleaned: DataFrame, entity: str, keys=None, order=C.ORDER_COLUMNS,
+            opts: Options = Options()) -> DataFrame:
     """Garbage-id filter, surrogate key, duplicate flag, projection."""
     header, source_col, sk = C.ENTITY_KEYS[entity]
     keys = keys or ["client_id", source_col]
     kept = cleaned.filter(X.is_clean_id(source_col, header))
     kept = kept.withColumn(sk, X.surrogate_key(*keys))
-    flagged = flag_duplicates(kept, keys, order)
+    flagged = flag_duplicates(kept, keys, order, strategy=opts.dedup_strategy)
     return flagged.select(*SILVER_COLUMNS[entity], *POSITION_COLUMNS[entity])
 
 
@@ -95,7 +96,7 @@ def clean_customers(raw: DataFrame, opts: Options = Options()) -> DataFrame:
 
 
 def stg_customers(raw: DataFrame, opts: Options = Options()) -> DataFrame:
-    return _finish(clean_customers(raw, opts), "customers")
+    return _finish(clean_customers(raw, opts), "customers", opts=opts)
 
 
 # ---------------------------------------------------------------------------
@@ -130,7 +131,7 @@ def stg_orders(raw: DataFrame, silver_customers: DataFrame, opts: Options = Opti
     joined = (cleaned.join(refs, ["client_id", "source_customer_id"], "left")
               .withColumn("customer_ref_is_valid", F.col("_ref_hit").isNotNull())
               .drop("_ref_hit"))
-    return _finish(joined, "orders")
+    return _finish(joined, "orders", opts=opts)
 
 
 # ---------------------------------------------------------------------------
@@ -159,7 +160,7 @@ def clean_products(raw: DataFrame, opts: Options = Options()) -> DataFrame:
 
 
 def stg_products(raw: DataFrame, opts: Options = Options()) -> DataFrame:
-    return _finish(clean_products(raw, opts), "products")
+    return _finish(clean_products(raw, opts), "products", opts=opts)
 
 
 # ---------------------------------------------------------------------------
@@ -200,7 +201,7 @@ def clean_transactions(parsed: DataFrame, opts: Options = Options()) -> DataFram
 
 def stg_transactions(parsed: DataFrame, opts: Options = Options()) -> DataFrame:
     cleaned = clean_transactions(parsed, opts).filter(F.col("source_transaction_id").isNotNull())
-    return _finish(cleaned, "transactions")
+    return _finish(cleaned, "transactions", opts=opts)
 
 
 def explode_items(parsed: DataFrame) -> DataFrame:
@@ -238,7 +239,7 @@ def stg_transaction_items(parsed: DataFrame, opts: Options = Options()) -> DataF
                .filter(F.col("source_transaction_id").isNotNull())
                .filter(X.is_clean_id("source_transaction_id", "transaction_id")))
     keys = ["client_id", "source_transaction_id", "source_sku"]
-    return _finish(cleaned, "transaction_items", keys=keys, order=(*C.ORDER_COLUMNS, "_item_pos"))
+    return _finish(cleaned, "transaction_items", keys=keys, order=(*C.ORDER_COLUMNS, "_item_pos"), opts=opts)
 
 
 def clean_payments_csv(raw_payments: DataFrame) -> DataFrame:
@@ -289,7 +290,7 @@ def stg_payments(raw_payments: DataFrame, parsed: DataFrame, opts: Options = Opt
     combined = (combined
                 .withColumn("amount_is_valid", X.is_positive("amount"))
                 .withColumn("is_refund", X.is_refund(F.col("amount"), F.col("status"))))
-    return _finish(combined, "payments")
+    return _finish(combined, "payments", opts=opts)
 
 
 def parse(raw_transactions: DataFrame) -> DataFrame:
