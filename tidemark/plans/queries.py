@@ -7,6 +7,7 @@ pipeline over the whole tables; nothing is sampled or capped.
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,18 +16,28 @@ from tidemark.plans.parallel import run_stages
 from tidemark.session import work_dir
 
 RAW_ENTITIES = ("customers", "orders", "products", "payments")
-_LOADED: dict = {}
-
-
-def load_inputs(spark: SparkSession, sf: str) -> str:
-    """Derive the RAW tables from the driver tables once per application and
-    write them (plus the payloads parsed once) as Parquet, partitioned by
-    client, under the shared work folder. Models then scan Parquet with
-    column pruning instead of re-deriving their input."""
+INPUTS = (*RAW_ENTITIES, "transactions", "parsed_transactions")
+_ROOTS: dict = {}
+_DONE: dict = {}
+_LOCK = threading.Lock()
+
+
+def load_inputs(spark: SparkSession, sf: str, tables=INPUTS) -> str:
+    """Derive the RAW tables from the driver tables (once per application and
+    table) and write them, plus the payloads parsed once, as Parquet
+    partitioned by client under the shared work folder. Models then scan
+    Parquet with column pruning instead of re-deriving their input. Only the
+    tables asked for (and what they depend on) are derived."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf))
-    root = _LOADED.get(key)
-    if root is None:
-        root = work_dir(spark, "raw")
+    with _LOCK:
+        root = _ROOTS.setdefault(key, work_dir(spark, "raw"))
+        done = _DONE.setdefault(key, set())
+        want = set(tables) - done
+        if "parsed_transactions" in want:
+            want.add("transactions")
+        want -= done
+        if not want:
+            return root
 
         def raw_entity(e):
             return lambda: derive.raw_table(spark, sf, e).write.partitionBy("client_id").parquet(f"{root}/{e}")
@@ -37,19 +48,21 @@ def load_inputs(spark: SparkSession, sf: str) -> str:
         def parse():
             silver.parse(spark.read.parquet(f"{root}/transactions")).write.partitionBy("client_id").parquet(
                 f"{root}/parsed_transactions")
-        tasks = {e: raw_entity(e) for e in RAW_ENTITIES}
-        tasks.update({"transactions": raw_tx, "parsed": parse})
-        run_stages(tasks, {"parsed": {"transactions"}}, threads=4)
-        _LOADED[key] = root
-    return root
+        makers = {e: raw_entity(e) for e in RAW_ENTITIES}
+        makers.update({"transactions": raw_tx, "parsed_transactions": parse})
+        tasks = {t: makers[t] for t in want}
+        deps = {"parsed_transactions": {"transactions"} & want}
+        run_stages(tasks, deps, threads=4)
+        done |= want
+        return root
 
 
 def _raw(spark, sf, entity):
-    return spark.read.parquet(f"{load_inputs(spark, sf)}/{entity}")
+    return spark.read.parquet(f"{load_inputs(spark, sf, (entity,))}/{entity}")
 
 
 def _parsed(spark, sf):
-    return spark.read.parquet(f"{load_inputs(spark, sf)}/parsed_transactions")
+    return spark.read.parquet(f"{load_inputs(spark, sf, ('parsed_transactions',))}/parsed_transactions")
 
 
 def silver_customers(spark: SparkSession, sf: str) -> DataFrame:
