@@ -224,3 +224,21 @@ def test_options_of_the_divergences(spark, loaded):
     # H4 strict: a missing part makes the full name NULL
     cust = {r.source_customer_id: r for r in S.stg_customers(raw["customers"], Options(strict_full_name=True)).collect()}
     assert cust["CUST-A-0102"].full_name is None and cust["CUST-A-0101"].full_name == "Ana Lopez"
+
+
+def test_bounded_micro_batches_load_every_file_once(spark, tmp_root):
+    import shutil
+    from tidemark.config import CSV_SOURCES
+    from tidemark.sources.raw import Catalog
+    from tidemark.streaming.loader import load_csv_once
+    import os
+    land = tmp_root + "/land"
+    os.makedirs(land + "/client_c", exist_ok=True)
+    for i in range(3):
+        shutil.copy(f"{LANDING}/client_c/Payments.csv", f"{land}/client_c/Payments_{i}.csv")
+    spec = [s for s in CSV_SOURCES if s.entity == "payments"][0]
+    cat = Catalog(tmp_root + "/tables")
+    n = load_csv_once(spark, land, spec, cat, tmp_root + "/ck", RUN_TS, max_files_per_trigger=1)
+    raw = cat.read(spark, "raw", "payments")
+    assert n == 3 * 7 and raw.count() == 3 * 7 and raw.select("_batch").distinct().count() == 3
+    assert load_csv_once(spark, land, spec, cat, tmp_root + "/ck", RUN_TS, max_files_per_trigger=1) == 0
