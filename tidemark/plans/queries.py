@@ -10,9 +10,22 @@ import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from tidemark import config as _C
+from tidemark.config import Options
+from tidemark.functions import columns as X
+from tidemark.operators import checks as K
+from tidemark.operators import quarantine as QT
+from tidemark.operators.mask import DEFAULT_CUSTOMER_POLICY
+from tidemark.operators.mask import mask_pii as _mask
 from tidemark.plans import derive, gold, silver
+from tidemark.plans import incremental as I
 from tidemark.plans.parallel import run_stages
+from tidemark.plans.run import run_pipeline
+from tidemark.sources import files as FS
+from tidemark.sources.raw import Catalog
+from tidemark.streaming import loader as L
 from tidemark.session import work_dir
 
 RAW_ENTITIES = ("customers", "orders", "products", "payments")
@@ -30,7 +43,9 @@ def load_inputs(spark: SparkSession, sf: str, tables=INPUTS) -> str:
     tables asked for (and what they depend on) are derived."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf))
     with _LOCK:
-        root = _ROOTS.setdefault(key, work_dir(spark, "raw"))
+        if key not in _ROOTS:
+            _ROOTS[key] = work_dir(spark, "raw")
+        root = _ROOTS[key]
         done = _DONE.setdefault(key, set())
         want = set(tables) - done
         if "parsed_transactions" in want:
@@ -40,14 +55,16 @@ def load_inputs(spark: SparkSession, sf: str, tables=INPUTS) -> str:
             return root
 
         def raw_entity(e):
-            return lambda: derive.raw_table(spark, sf, e).write.partitionBy("client_id").parquet(f"{root}/{e}")
+            return lambda: (derive.raw_table(spark, sf, e).write.mode("overwrite")  # a retry rewrites
+                            .partitionBy("client_id").parquet(f"{root}/{e}"))
 
         def raw_tx():
-            derive.raw_transactions(spark, sf).write.partitionBy("client_id").parquet(f"{root}/transactions")
+            derive.raw_transactions(spark, sf).write.mode("overwrite").partitionBy("client_id").parquet(
+                f"{root}/transactions")
 
         def parse():
-            silver.parse(spark.read.parquet(f"{root}/transactions")).write.partitionBy("client_id").parquet(
-                f"{root}/parsed_transactions")
+            silver.parse(spark.read.parquet(f"{root}/transactions")).write.mode("overwrite").partitionBy(
+                "client_id").parquet(f"{root}/parsed_transactions")
         makers = {e: raw_entity(e) for e in RAW_ENTITIES}
         makers.update({"transactions": raw_tx, "parsed_transactions": parse})
         tasks = {t: makers[t] for t in want}
@@ -120,15 +137,7 @@ for _e in _SILVER:
 # ---------------------------------------------------------------------------
 # Quarantine, rejects, checks, freshness, masking, payload parsing, merges
 # ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from tidemark.config import Options  # noqa: E402
-from tidemark.functions import columns as X  # noqa: E402
-from tidemark.operators import checks as K  # noqa: E402
-from tidemark.operators import quarantine as QT  # noqa: E402
-from tidemark.operators.mask import DEFAULT_CUSTOMER_POLICY, mask_pii as _mask  # noqa: E402
-from tidemark.plans import incremental as I  # noqa: E402
-from tidemark.plans.run import run_pipeline  # noqa: E402
 
 _QCOLS = ["entity", "client_id", "quarantine_reason", "_source_file", "_loaded_at"]
 
@@ -306,10 +315,6 @@ QUERIES.update({
 # ---------------------------------------------------------------------------
 # Scans and load-once streams
 # ---------------------------------------------------------------------------
-from tidemark import config as _C  # noqa: E402
-from tidemark.sources import files as FS  # noqa: E402
-from tidemark.sources.raw import Catalog  # noqa: E402
-from tidemark.streaming import loader as L  # noqa: E402
 
 LOAD_TS = "2025-01-15 02:00:00"
 _PRODUCT_OUT = ["client_id", "sku", "product_name", "category", "unit_price", "currency", "is_active"]
