@@ -183,7 +183,10 @@ src AS (
   SELECT *, CASE WHEN client_id = 'client_a' THEN 'xml' ELSE 'json' END AS fmt,
     {fname} AS _source_file,
     CASE WHEN copy = 2 THEN TIMESTAMP '{D.LOAD_2}' ELSE TIMESTAMP '{D.LOAD_1}' END AS _loaded_at,
-    CAST(0 AS BIGINT) AS _split_start, CAST(2 * o_orderkey + copy AS BIGINT) AS _row_pos
+    CAST(0 AS BIGINT) AS _split_start,
+    -- XML: one record per chunk; JSON: one document per file, transactions in it
+    CASE WHEN client_id = 'client_a' THEN CAST(2 * o_orderkey + copy AS BIGINT) ELSE CAST(0 AS BIGINT) END AS _row_pos,
+    CASE WHEN client_id = 'client_a' THEN CAST(0 AS BIGINT) ELSE CAST(2 * o_orderkey + copy AS BIGINT) END AS _txn_pos
   FROM t1)"""
 
 
@@ -197,7 +200,7 @@ tx1 AS (
     {clean('email')} AS customer_email, {clean('payment_method')} AS payment_method,
     {to_dec('amount')} AS payment_amount, upper({clean('currency')}) AS payment_currency,
     CASE WHEN items_mode = 'lines' THEN COALESCE(n_lines, 0) > 0 ELSE false END AS has_line_items,
-    _source_file, _loaded_at, _split_start, _row_pos
+    _source_file, _loaded_at, _split_start, _row_pos, _txn_pos
   FROM src),
 stg_transactions AS (
   SELECT {sk('client_id', 'source_transaction_id')} AS transaction_sk, client_id, source_transaction_id,
@@ -205,7 +208,8 @@ stg_transactions AS (
     customer_first_name, customer_last_name, customer_email, {email_ok('customer_email')} AS customer_email_is_valid,
     payment_method, payment_amount, (payment_amount IS NOT NULL AND payment_amount > 0) AS payment_amount_is_valid,
     payment_currency, has_line_items,
-    {dup('client_id, source_transaction_id')} AS _is_duplicate, _source_file, _loaded_at, _split_start, _row_pos
+    {dup('client_id, source_transaction_id', ORDER + ', _txn_pos')} AS _is_duplicate,
+    _source_file, _loaded_at, _split_start, _row_pos
   FROM tx1
   WHERE source_transaction_id IS NOT NULL AND {clean_id('source_transaction_id', 'transaction_id')})"""
 
@@ -222,7 +226,7 @@ it1 AS (
   SELECT s.client_id, {clean('s.txn_id')} AS source_transaction_id, {clean('li.i_sku')} AS source_sku,
     {clean('li.i_description')} AS item_description, {to_int('li.i_qty')} AS quantity,
     {to_dec('li.i_price')} AS unit_price, upper({clean('li.i_currency')}) AS currency,
-    s._source_file, s._loaded_at, s._split_start, s._row_pos, li._item_pos
+    s._source_file, s._loaded_at, s._split_start, s._row_pos, s._txn_pos, li._item_pos
   FROM src s JOIN li ON li.l_orderkey = s.o_orderkey
   WHERE s.items_mode = 'lines'),
 stg_transaction_items AS (
@@ -230,7 +234,7 @@ stg_transaction_items AS (
     source_sku, item_description, quantity, (quantity IS NOT NULL AND quantity > 0) AS quantity_is_valid,
     unit_price, (unit_price IS NOT NULL AND unit_price > 0) AS unit_price_is_valid, currency,
     CASE WHEN quantity > 0 AND unit_price > 0 THEN CAST(quantity * unit_price AS DECIMAL(12,2)) END AS line_total,
-    {dup('client_id, source_transaction_id, source_sku', ORDER + ', _item_pos')} AS _is_duplicate,
+    {dup('client_id, source_transaction_id, source_sku', ORDER + ', _txn_pos, _item_pos')} AS _is_duplicate,
     _source_file, _loaded_at, _split_start, _row_pos
   FROM it1
   WHERE source_transaction_id IS NOT NULL AND {clean_id('source_transaction_id', 'transaction_id')}
@@ -246,7 +250,7 @@ pay_csv AS (
   SELECT client_id, {clean('payment_id')} AS source_payment_id, {clean('order_id')} AS source_order_id,
     {clean('payment_method')} AS payment_method, {clean('status')} AS status, {to_dec('amount')} AS amount,
     upper({clean('currency')}) AS currency, CAST(NULL AS DECIMAL(12,2)) AS processing_fee,
-    'payments_csv' AS source_type, _source_file, _loaded_at, _split_start, _row_pos
+    'payments_csv' AS source_type, _source_file, _loaded_at, _split_start, _row_pos, CAST(0 AS BIGINT) AS _txn_pos
   FROM raw_payments),
 pay_txn AS (
   SELECT client_id,
@@ -255,7 +259,7 @@ pay_txn AS (
     CAST(NULL AS VARCHAR) AS status, {to_dec('amount')} AS amount, upper({clean('currency')}) AS currency,
     CASE WHEN fmt = 'xml' THEN {to_dec('processing_fee')} END AS processing_fee,
     CASE WHEN fmt = 'xml' THEN 'transaction_xml' ELSE 'transaction_json' END AS source_type,
-    _source_file, _loaded_at, _split_start, _row_pos
+    _source_file, _loaded_at, _split_start, _row_pos, _txn_pos
   FROM src WHERE {clean('txn_id')} IS NOT NULL),
 pay_all AS (SELECT * FROM pay_csv UNION ALL SELECT * FROM pay_txn),
 stg_payments AS (
@@ -263,7 +267,8 @@ stg_payments AS (
     payment_method, status, amount, (amount IS NOT NULL AND amount > 0) AS amount_is_valid,
     (COALESCE(amount < 0, false) OR COALESCE(upper(status) = 'REFUNDED', false)) AS is_refund,
     currency, processing_fee, source_type,
-    {dup('client_id, source_payment_id')} AS _is_duplicate, _source_file, _loaded_at, _split_start, _row_pos
+    {dup('client_id, source_payment_id', ORDER + ', _txn_pos')} AS _is_duplicate,
+    _source_file, _loaded_at, _split_start, _row_pos
   FROM pay_all
   WHERE source_payment_id IS NOT NULL AND {clean_id('source_payment_id', 'payment_id')})"""
 

@@ -47,9 +47,13 @@ SILVER_COLUMNS = {
                  "processing_fee", "source_type", "_is_duplicate", "_source_file", "_loaded_at"],
 }
 POSITION_COLUMNS = {e: ["_split_start", "_row_pos"] for e in SILVER_COLUMNS}
-POSITION_COLUMNS["transaction_items"] = ["_split_start", "_row_pos", "_item_pos"]
+for _e in ("transactions", "payments"):
+    POSITION_COLUMNS[_e] = ["_split_start", "_row_pos", "_txn_pos"]
+POSITION_COLUMNS["transaction_items"] = ["_split_start", "_row_pos", "_txn_pos", "_item_pos"]
 
 _LINEAGE = ["_source_file", "_loaded_at", "_split_start", "_row_pos"]
+_TXN_LINEAGE = [*_LINEAGE, "_txn_pos"]             # rows parsed from payloads
+_TXN_ORDER = (*C.ORDER_COLUMNS, "_txn_pos")
 
 
 def public(df: DataFrame, entity: str) -> DataFrame:
@@ -195,13 +199,13 @@ def clean_transactions(parsed: DataFrame, opts: Options = Options()) -> DataFram
         X.is_positive(amount).alias("payment_amount_is_valid"),
         currency.alias("payment_currency"),
         F.coalesce(F.size("items") > 0, F.lit(False)).alias("has_line_items"),
-        *_LINEAGE,
+        *_TXN_LINEAGE,
     )
 
 
 def stg_transactions(parsed: DataFrame, opts: Options = Options()) -> DataFrame:
     cleaned = clean_transactions(parsed, opts).filter(F.col("source_transaction_id").isNotNull())
-    return _finish(cleaned, "transactions", opts=opts)
+    return _finish(cleaned, "transactions", order=_TXN_ORDER, opts=opts)
 
 
 def explode_items(parsed: DataFrame) -> DataFrame:
@@ -210,9 +214,9 @@ def explode_items(parsed: DataFrame) -> DataFrame:
     The transaction id is projected before the generator, so the scan of the
     parsed payloads reads only `txn.txn_id` and `items`, not the whole struct.
     """
-    return (parsed.select("client_id", *_LINEAGE,
+    return (parsed.select("client_id", *_TXN_LINEAGE,
                           X.clean_string(F.col("txn")["txn_id"]).alias("source_transaction_id"), "items")
-            .select("client_id", *_LINEAGE, "source_transaction_id",
+            .select("client_id", *_TXN_LINEAGE, "source_transaction_id",
                     F.posexplode("items").alias("_item_pos", "it")))
 
 
@@ -230,7 +234,7 @@ def clean_items(parsed: DataFrame, opts: Options = Options()) -> DataFrame:
         X.is_positive(price).alias("unit_price_is_valid"),
         F.upper(X.clean_string(it["currency"])).alias("currency"),
         X.line_total(qty, price).alias("line_total"),
-        *_LINEAGE, "_item_pos",
+        *_TXN_LINEAGE, "_item_pos",
     )
 
 
@@ -239,7 +243,7 @@ def stg_transaction_items(parsed: DataFrame, opts: Options = Options()) -> DataF
                .filter(F.col("source_transaction_id").isNotNull())
                .filter(X.is_clean_id("source_transaction_id", "transaction_id")))
     keys = ["client_id", "source_transaction_id", "source_sku"]
-    return _finish(cleaned, "transaction_items", keys=keys, order=(*C.ORDER_COLUMNS, "_item_pos"), opts=opts)
+    return _finish(cleaned, "transaction_items", keys=keys, order=(*_TXN_ORDER, "_item_pos"), opts=opts)
 
 
 def clean_payments_csv(raw_payments: DataFrame) -> DataFrame:
@@ -253,7 +257,7 @@ def clean_payments_csv(raw_payments: DataFrame) -> DataFrame:
         F.upper(X.clean_string("currency")).alias("currency"),
         F.lit(None).cast("decimal(12,2)").alias("processing_fee"),
         F.lit("payments_csv").alias("source_type"),
-        *_LINEAGE,
+        *_LINEAGE, F.lit(0).cast("bigint").alias("_txn_pos"),
     )
 
 
@@ -275,7 +279,7 @@ def clean_payments_embedded(parsed: DataFrame, opts: Options = Options()) -> Dat
         currency.alias("currency"),
         F.when(_is_xml(), X.to_decimal(t["processing_fee"])).alias("processing_fee"),
         F.when(_is_xml(), F.lit("transaction_xml")).otherwise(F.lit("transaction_json")).alias("source_type"),
-        *_LINEAGE,
+        *_TXN_LINEAGE,
     )
 
 
@@ -290,7 +294,7 @@ def stg_payments(raw_payments: DataFrame, parsed: DataFrame, opts: Options = Opt
     combined = (combined
                 .withColumn("amount_is_valid", X.is_positive("amount"))
                 .withColumn("is_refund", X.is_refund(F.col("amount"), F.col("status"))))
-    return _finish(combined, "payments", opts=opts)
+    return _finish(combined, "payments", order=_TXN_ORDER, opts=opts)
 
 
 def parse(raw_transactions: DataFrame) -> DataFrame:

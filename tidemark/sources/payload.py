@@ -145,7 +145,8 @@ _KEEP = ("client_id", "_source_file", "_loaded_at", "_split_start", "_row_pos")
 def parse_transactions(raw: DataFrame) -> DataFrame:
     """RAW transactions (text payloads) -> one row per transaction.
 
-    Output: client_id, lineage columns, `fmt`, `txn` (normalised struct) and
+    Output: client_id, lineage columns, `_txn_pos` (index inside a JSON
+    document, 0 for XML records), `fmt`, `txn` (normalised struct) and
     `items` (array of normalised item structs; NULL when absent/empty).
     The XML branch and the JSON branch each see only their own clients, so a
     RAW table partitioned by client_id is pruned per branch.
@@ -156,17 +157,15 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
 
     xml = (raw.filter(F.col("client_id").isin(*xml_clients))
            .select(*_KEEP, F.from_xml("raw_payload", XML_TRANSACTION_SCHEMA, XML_OPTIONS).alias("p"))
-           .select(*_KEEP, F.lit("xml").alias("fmt"), _xml_txn(F.col("p")).alias("txn"),
-                   _xml_items(F.col("p")).alias("items")))
+           .select(*_KEEP, F.lit(0).cast("bigint").alias("_txn_pos"), F.lit("xml").alias("fmt"),
+                   _xml_txn(F.col("p")).alias("txn"), _xml_items(F.col("p")).alias("items")))
 
     docs = (raw.filter(F.col("client_id").isin(*json_clients))
             .select(*_KEEP, F.from_json(clean_json_document(F.col("raw_payload")),
                                         JSON_DOCUMENT_SCHEMA, JSON_OPTIONS).alias("d")))
-    # One document -> one row per transaction; the document's own position
-    # becomes the split position and the array index the row position.
-    js = (docs.select("client_id", "_source_file", "_loaded_at",
-                      F.col("_row_pos").alias("_split_start"),
-                      F.posexplode("d.transactions").alias("_row_pos", "t"))
-          .select(*_KEEP, F.lit("json").alias("fmt"), _json_txn(F.col("t")).alias("txn"),
-                  _json_items(F.col("t")).alias("items")))
+    # One document -> one row per transaction; the document keeps its own
+    # position in the file and `_txn_pos` orders the transactions inside it.
+    js = (docs.select(*_KEEP, F.posexplode("d.transactions").alias("_txn_pos", "t"))
+          .select(*_KEEP, F.col("_txn_pos").cast("bigint"), F.lit("json").alias("fmt"),
+                  _json_txn(F.col("t")).alias("txn"), _json_items(F.col("t")).alias("items")))
     return xml.unionByName(js)
