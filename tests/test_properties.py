@@ -129,3 +129,15 @@ def test_freshness_thresholds(spark):
     assert status("2025-01-02 00:00:00") == "pass"     # 24 h
     assert status("2025-01-02 02:00:00") == "warn"     # 26 h > 25 h
     assert status("2025-01-03 02:00:00") == "error"    # 50 h > 49 h
+
+
+def test_empty_target_means_no_watermark_filter(spark, tmp_root):
+    """A target that exists but is empty has no watermark, so the next
+    run reads every RAW row instead of none."""
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], buckets=4)
+    t.merge(_batch(spark, []))
+    assert t.exists() and t.watermark() is None and t.read().count() == 0
+    raw = _batch(spark, [("a", 1, T1), ("b", 2, T2)])
+    assert newer_than(raw, t.watermark()).count() == 2
+    t.merge(newer_than(raw, t.watermark()))
+    assert t.read().count() == 2 and t.watermark() == str(T2)

@@ -242,3 +242,16 @@ def test_bounded_micro_batches_load_every_file_once(spark, tmp_root):
     raw = cat.read(spark, "raw", "payments")
     assert n == 3 * 7 and raw.count() == 3 * 7 and raw.select("_batch").distinct().count() == 3
     assert load_csv_once(spark, land, spec, cat, tmp_root + "/ck", RUN_TS, max_files_per_trigger=1) == 0
+
+
+def test_second_run_without_new_data_changes_nothing(spark, loaded):
+    """A daily re-run with no new RAW rows: every batch is empty, every table
+    stays as it was (merge twice = merge once at pipeline level)."""
+    out = loaded["out"]
+    def snap(tables):
+        return {k: sorted(tuple(map(str, r)) for r in v.collect())
+                for k, v in tables.items() if k.startswith(("stg_", "mart_"))}
+    before = snap(out)
+    root = loaded["out"]["mart_orders"].inputFiles()[0].split("/gold/")[0].replace("file:", "")
+    again = run_pipeline(spark, loaded["raw"], root, "2025-11-21 12:00:00")
+    assert snap(again) == before
