@@ -197,3 +197,17 @@ def test_first_line_in_file_wins_across_splits(spark, tmp_root):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     got = sorted((str(r.amount), r._is_duplicate) for r in rows)
     assert got == [("1.00", False), ("2.00", True)]
+
+
+def test_hot_key_goes_through_the_broadcast_and_salted_path(spark):
+    """A key holding a third of the rows: flagged through the hot-key path
+    (broadcast of its first row, salted join for the rest), same flags as
+    row_number, and the hot rows do not meet in one join partition."""
+    rows = [("hot", i % 3, "f", i) for i in range(20000)] + [(f"k{i}", 0, "f", i) for i in range(40000)]
+    df = spark.createDataFrame(rows, "key string, _loaded_at int, _source_file string, _row_pos int")
+    order = ("_loaded_at", "_source_file", "_row_pos")
+    got = flag_duplicates(df, ["key"], order, hot_rows=1000)
+    want = flag_duplicates(df, ["key"], order, strategy="window")
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "_salt" in plan
