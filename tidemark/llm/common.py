@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Arrow batches handed to Python hold at most so many rows.
 BATCH_ROWS = 2000
@@ -52,3 +54,12 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     """`mapInArrow` with batches that stay small when texts are long."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
+
+
+def with_place(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """`docs` with a stable row identity (f, r): file and row where it is a Parquet scan, else of a written copy."""
+    place = [F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")]
+    try:
+        return docs.select(*place, *columns)
+    except AnalysisException:
+        return written(docs).select(*place, *columns)
