@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash
+from tidemark.llm import (
+    decontamination, html_text, langid, licenses, multi_index, pieces, ppm, quality, simhash, suffix_dedup,
+)
 from tidemark.llm.common import table
 
 
@@ -14,8 +16,53 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, seed=42)
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.lm_scores(table(spark, sf_dir, "documents"), folds=7, held=2)
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_ids(table(spark, sf_dir, "documents"), folds=4, held=2)
+
+
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trips(table(spark, sf_dir, "documents"), pieces.model_file(), dropout=0.1, seed=42)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"), modulus=20, top=20)
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_ppm": op2_ppm,
+    "op3_licenses": op3_licenses,
+    "op4_quality": op4_quality,
+    "op5_language": op5_language,
+    "op6_pieces": op6_pieces,
+    "op7_decontamination": op7_decontamination,
+    "op8_html": op8_html,
+    "op9_multi_index": op9_multi_index,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
