@@ -1,8 +1,9 @@
 """Removes every byte covered by a 200-byte string that also starts elsewhere.
 
 Each 200-byte window is dealt by its smallest 32-byte gram hash, so equal
-windows meet under one hash, wherever they stand. Neighbouring windows with one
-hash make a region (about 85 windows). Regions that are the same bytes are
+windows meet under one hash, wherever they stand. Neighbouring windows whose
+smallest hash stands at one place make a region (about 85 windows; no two of
+them are equal). Regions that are the same bytes are
 counted, not compared. Where different regions meet under one hash, one of each
 is fetched, and the windows that two of them share are found in the suffix
 order of their text (tidemark.llm.suffix). A hash with more than `MAX_REGIONS`
@@ -28,8 +29,8 @@ LENGTH = 200
 GRAM = 32
 #: Bytes that are hashed at a time.
 CHUNK = 1 << 18
-#: Windows in a region at most (long runs of one byte have one hash throughout).
-MAX_REGION = 1024
+#: Low bits of a hash that give way to its place in the chunk.
+PLACE_BITS = np.uint64(18)
 #: Different regions of a hash that one suffix order takes.
 MAX_REGIONS = 500
 #: Bytes of text in one suffix order.
@@ -63,14 +64,15 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def window_hashes(data: np.ndarray) -> np.ndarray:
-    """The smallest gram hash of each window."""
-    low = gram_hashes(data)
+def anchors(hashes: np.ndarray) -> np.ndarray:
+    """For each window the place of its smallest gram hash, the leftmost of equal ones."""
+    low = (hashes >> PLACE_BITS << PLACE_BITS) | np.arange(len(hashes), dtype=np.uint64)
     span, width = LENGTH - GRAM + 1, 1
     while 2 * width <= span:
         low = np.minimum(low[:-width], low[width:])
         width *= 2
-    return np.minimum(low[:len(low) - (span - width)], low[span - width:]) if span > width else low
+    low = np.minimum(low[:len(low) - (span - width)], low[span - width:])
+    return (low & np.uint64((1 << 18) - 1)).view(np.int64)
 
 
 def regions(texts: list[bytes]):
@@ -91,28 +93,24 @@ def regions(texts: list[bytes]):
 
 def regions_of(group: list[tuple[int, int, bytes]]):
     joined = b"".join(g[2] for g in group)
-    lows = window_hashes(np.frombuffer(joined, np.uint8).astype(np.uint64))
+    hashes = gram_hashes(np.frombuffer(joined, np.uint8).astype(np.uint64))
+    places = anchors(hashes)
     lengths = np.array([len(g[2]) for g in group])
     begins = np.cumsum(lengths) - lengths
     counts = lengths - LENGTH + 1
     own = np.repeat(np.arange(len(group)), counts)
     at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    low = lows[begins[own] + at]
-    new = np.ones(len(low), bool)
-    new[1:] = (low[1:] != low[:-1]) | (own[1:] != own[:-1])
+    place = places[begins[own] + at]
+    new = np.ones(len(place), bool)
+    new[1:] = (place[1:] != place[:-1]) | (own[1:] != own[:-1])
     first = np.flatnonzero(new)
-    size = np.diff(np.append(first, len(low)))
-    if len(size) and size.max() > MAX_REGION:
-        parts = -(-size // MAX_REGION)
-        step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        first = np.repeat(first, parts) + step * MAX_REGION
-        size = np.diff(np.append(first, len(low)))
+    size = np.diff(np.append(first, len(place)))
     begin = begins[own[first]] + at[first]
     digest = xxhash.xxh3_64_intdigest
     digests = np.array([digest(joined[b:e]) for b, e in zip(begin.tolist(), (begin + size + LENGTH - 1).tolist(), strict=True)], np.uint64)
     text = np.array([g[0] for g in group])[own[first]]
     start = np.array([g[1] for g in group])[own[first]] + at[first]
-    return text, start, size, low[first].view(np.int64), digests.view(np.int64)
+    return text, start, size, hashes[place[first]].view(np.int64), digests.view(np.int64)
 
 
 # ------------------------------------------------------------- shared windows
