@@ -18,8 +18,9 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.llm.common import map_batches, written
 
@@ -65,10 +66,14 @@ def page_view(source: str | None, lang: str | None, n_chars: int | None) -> np.n
 COLUMNS = ["doc_id", "text", "source", "lang", "n_chars"]
 
 
+def plain_columns() -> list[Column]:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"),
+            F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
+            F.col("n_chars").cast("long").alias("n_chars")]
+
+
 def plain(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"),
-                       F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
-                       F.col("n_chars").cast("long").alias("n_chars"))
+    return docs.select(*plain_columns())
 
 
 def views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -157,6 +162,20 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, rounds: int = 5, sure:
     return w, platt, logistic(odds, truth, 1e-4)
 
 
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool: int = 6000):
+    return co_train(*gathered(plain(docs), labels, max_labelled, max_pool))
+
+
+def probabilities(model, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Calibrated probabilities of good quality: text view, page view, both."""
+    if model is None:
+        half = np.full(len(a), 0.5)
+        return half, half, half
+    w, platt, mix = model
+    odds = [apply(platt[v], apply(w[v], x)[:, None]) for v, x in enumerate((a, b))]
+    return sigmoid(odds[0]), sigmoid(odds[1]), sigmoid(apply(mix, np.stack(odds, axis=1)))
+
+
 def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_labelled: int = 6000, max_pool: int = 6000) -> DataFrame:
     """One row per row of `docs`: doc_id, text_score, page_score, score (all 0 to 1), keep.
 
@@ -165,21 +184,31 @@ def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_label
     1 are ignored, of several for a document the majority counts (a tie: good).
     Without labels of both classes nothing is known: scores 0.5, all kept.
     """
-    docs = plain(docs)
-    a, b, y = gathered(docs, labels, max_labelled, max_pool)
-    model = co_train(a, b, y)
+    model = fit(docs, labels, max_labelled, max_pool)
 
     def run(batches):
         for batch in batches:
-            if model is None:
-                one = two = both = np.full(batch.num_rows, 0.5)
-            else:
-                w, platt, mix = model
-                odds = [apply(platt[v], apply(w[v], x)[:, None]) for v, x in enumerate(views(batch))]
-                one, two = map(sigmoid, odds)
-                both = sigmoid(apply(mix, np.stack(odds, axis=1)))
+            one, two, both = probabilities(model, *views(batch))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(one), pa.array(two), pa.array(both), pa.array(both >= threshold)],
                 names=["doc_id", "text_score", "page_score", "score", "keep"])
 
-    return map_batches(docs.select(*COLUMNS), run, "doc_id long, text_score double, page_score double, score double, keep boolean")
+    return map_batches(plain(docs).select(*COLUMNS), run, "doc_id long, text_score double, page_score double, score double, keep boolean")
+
+
+def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_labelled: int = 6000, max_pool: int = 6000) -> DataFrame:
+    """The rows of `docs` that `scores` keeps, all columns as they are."""
+    model = fit(docs, labels, max_labelled, max_pool)
+    kinds = [StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
+    names = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    casts = [x.alias(f"v{i}") for i, x in enumerate(plain_columns())]
+
+    def run(batches):
+        for batch in batches:
+            n = len(kinds)
+            seen = pa.RecordBatch.from_arrays(batch.columns[n:], names=COLUMNS)
+            good = pa.array(probabilities(model, *views(seen))[2] >= threshold, pa.bool_())
+            yield pa.RecordBatch.from_arrays(batch.columns[:n], names=[k.name for k in kinds]).filter(good)
+
+    out = map_batches(docs.select(*names, *casts), run, StructType(kinds))
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
