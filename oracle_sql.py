@@ -375,8 +375,9 @@ def _check_sql(ck) -> str:
         pm, pc = ck.to
         q = (f"SELECT count(*) FROM {t} c WHERE c.{ck.column} IS NOT NULL AND NOT EXISTS "
              f"(SELECT 1 FROM {pm} p WHERE p.{pc} = c.{ck.column})")
-    else:  # type_number: numeric columns are DECIMAL in the models above
-        q = "SELECT 0"
+    else:  # type_number: by the type that the column has in DuckDB; an empty model has nothing to fail
+        q = (f"SELECT COALESCE(max(CASE WHEN typeof({ck.column}) LIKE 'DECIMAL%' OR typeof({ck.column}) IN "
+             f"('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', 'FLOAT', 'DOUBLE') THEN 0 ELSE 1 END), 0) FROM {t}")
     return (f"SELECT '{t}' AS model, '{ck.column}' AS column_name, '{ck.kind}' AS check, '{ck.severity}' AS severity, "
             f"CAST(({q}) AS BIGINT) AS failures")
 
@@ -444,6 +445,45 @@ def merge_sql(latest_batch_wins: bool) -> str:
     return head + "\nSELECT * FROM g1 UNION ALL SELECT * FROM g2 WHERE order_sk NOT IN (SELECT order_sk FROM g1)"
 
 
+def three_days_sql() -> str:
+    l1, l2, l3 = D.LOAD_1, D.LOAD_2, Q.LOAD_3
+    late = f"COALESCE({to_date(clean('order_date'))} >= DATE '{Q.SPLIT_DATE}', false)"
+    base = (f"SELECT * REPLACE (CASE WHEN {late} OR _loaded_at = TIMESTAMP '{l2}' THEN TIMESTAMP '{l2}' "
+            f"ELSE TIMESTAMP '{l1}' END AS _loaded_at) FROM ({D.raw_table_sql('orders')}) r0")
+    again = ("SELECT * REPLACE ('{status}' AS order_status, TIMESTAMP '{ts}' AS _loaded_at, 'again/' || _source_file AS _source_file) "
+             "FROM three_base WHERE {where}")
+    raw = ("SELECT * FROM three_base UNION ALL BY NAME "
+           + again.format(status="REDELIVERED", ts=l2, where=f"_loaded_at = TIMESTAMP '{l1}' AND _row_pos % 5 = 0")
+           + " UNION ALL BY NAME " + again.format(status="THIRD", ts=l3, where="_row_pos % 7 = 0"))
+    head = with_ctes(f"\nthree_base AS ({base})", cte_customers(), cte_orders(raw, batch_col="_loaded_at"), f"\ng AS ({gold_select('orders')})")
+    pick = ("SELECT *, CAST(1 AS BIGINT) AS n_counting, '{mode}' AS mode FROM g "
+            "QUALIFY row_number() OVER (PARTITION BY order_sk ORDER BY _loaded_at {way}) = 1")
+    return f"{head}\n{pick.format(mode='latest', way='DESC')}\nUNION ALL\n{pick.format(mode='first', way='ASC')}"
+
+
+def schema_change_sql() -> str:
+    head = with_ctes(cte_customers(), cte_orders(), f"\ng AS ({gold_select('orders')})")
+    late = f"COALESCE(order_date >= DATE '{Q.SPLIT_DATE}', false)"
+    second = f"{late} OR length(source_order_id) % 2 = 0"
+    return head + (f"\nSELECT *, TIMESTAMP '{Q.RUN_TS}' AS _updated_at FROM g WHERE {second}\nUNION ALL\n"
+                   f"SELECT * REPLACE (CAST(NULL AS VARCHAR) AS channel), CAST(NULL AS TIMESTAMP) AS _updated_at FROM g WHERE NOT ({second})")
+
+
+def payload_rejects_sql() -> str:
+    return with_ctes(cte_payload()) + """
+SELECT client_id, _source_file, reject_reason, CAST(count(*) AS BIGINT) AS n_rows FROM (
+  SELECT client_id, _source_file, CASE WHEN num % 47 = 0 THEN 'raw_payload is null'
+      WHEN num % 43 = 0 THEN 'raw_payload does not parse' END AS reject_reason
+  FROM (SELECT *, TRY_CAST(regexp_extract(txn_id, '([0-9]+)', 1) AS BIGINT) AS num FROM src WHERE fmt = 'xml') x
+  UNION ALL SELECT DISTINCT client_id, _source_file, 'raw_payload does not parse' FROM src WHERE fmt = 'json' AND file_group % 3 = 0) r
+WHERE reject_reason IS NOT NULL GROUP BY client_id, _source_file, reject_reason"""
+
+
+def parquet_landing_sql() -> str:
+    return (f"SELECT client_id, sku, product_name, category, unit_price, currency, is_active, client_id || '/products' AS folder, "
+            f"TIMESTAMP '{Q.LOAD_TS}' AS _loaded_at FROM ({D.raw_table_sql('products')}) r")
+
+
 def _product_rows(with_frame: bool) -> str:
     spec = D.RAW_SPECS["products"]
     v = spec.columns
@@ -483,6 +523,10 @@ def oracles() -> dict[str, str]:
         "mask_pii": mask_pii_sql(),
         "parse_json_transactions": parse_sql("json"),
         "parse_xml_transactions": parse_sql("xml"),
+        "incremental_three_days": three_days_sql(),
+        "incremental_schema_change": schema_change_sql(),
+        "payload_rejects": payload_rejects_sql(),
+        "scan_parquet_landing": parquet_landing_sql(),
         "incremental_merge": merge_sql(True),
         "incremental_keep_first": merge_sql(False),
         "scan_text_nulls": _product_rows(False),

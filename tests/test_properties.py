@@ -1,6 +1,8 @@
 """Properties of the merge, the duplicate flag and the scans."""
 from datetime import datetime
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ T1, T2 = datetime(2025, 1, 1, 2), datetime(2025, 1, 2, 2)
 
 
 def test_merge_upserts_and_is_idempotent(spark, tmp_root):
-    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], buckets=4)
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
     assert t.watermark() is None
     t.merge(_batch(spark, [("a", 1, T1), ("b", 2, T1)]))
     second = _batch(spark, [("b", 20, T2), ("c", 3, T2)])
@@ -31,14 +33,14 @@ def test_merge_upserts_and_is_idempotent(spark, tmp_root):
 
 
 def test_merge_keep_existing(spark, tmp_root):
-    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], buckets=4)
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
     t.merge(_batch(spark, [("a", 1, T1)]))
     t.merge(_batch(spark, [("a", 9, T2), ("z", 2, T2)]), keep_existing=True)
     assert sorted((r.k, r.v) for r in t.read().collect()) == [("a", 1), ("z", 2)]
 
 
 def test_merge_schema_sync(spark, tmp_root):
-    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], buckets=4)
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
     t.merge(_batch(spark, [("a", 1, T1), ("b", 2, T1)]))
     wider = spark.createDataFrame([("c", 3, T2, "x")], "k string, v int, _loaded_at timestamp_ntz, extra string")
     t.merge(wider)
@@ -49,13 +51,34 @@ def test_merge_schema_sync(spark, tmp_root):
     assert t.read().columns == ["k", "_loaded_at"] and t.read().count() == 4
 
 
-def test_uncommitted_version_is_invisible(spark, tmp_root):
-    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], buckets=4)
+def test_uncommitted_version_is_invisible_and_never_committed(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
+    t.merge(_batch(spark, [("a", 1, T1)]))
+    # a crashed merge: files for version 2 are written, but no manifest is committed
+    t._commit = lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+    with pytest.raises(RuntimeError):
+        t.merge(_batch(spark, [(f"x{i}", 99, T2) for i in range(15)]))
+    again = VersionedTable(spark, f"{tmp_root}/t", ["k"])
+    assert [(r.k, r.v) for r in again.read().collect()] == [("a", 1)]
+    again.merge(_batch(spark, [("b", 2, T2)]))       # the retry brings another batch
+    assert sorted((r.k, r.v) for r in again.read().collect()) == [("a", 1), ("b", 2)]
+
+
+def test_repeated_keys_in_a_batch(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
+    twice = _batch(spark, [("a", 2, T1), ("a", 3, T2)])
+    with pytest.raises(ValueError):
+        t.merge(twice)
+    assert not t.exists()
+    t.merge(twice, order=["_loaded_at"])
+    assert [(r.k, r.v) for r in t.read().collect()] == [("a", 3)]
+
+
+def test_changed_type_is_an_error(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
     t.merge(_batch(spark, [("a", 1, T1)]))
-    # a crashed merge: data written for version 2 but no manifest committed
-    _batch(spark, [("a", 99, T2)]).withColumn("_bucket", F.lit(0)).write.partitionBy("_bucket").parquet(
-        f"{tmp_root}/t/data/v=2")
-    assert [(r.k, r.v) for r in t.read().collect()] == [("a", 1)]
+    with pytest.raises(ValueError):
+        t.merge(_batch(spark, [("a", 1, T1)]).withColumn("v", F.col("v").cast("string")))
 
 
 def test_watermark_filter(spark):
@@ -90,27 +113,39 @@ def test_xml_records_take_the_last_opening_tag(spark):
 
 
 def test_insert_only_batch_appends_without_rewriting(spark, tmp_root):
-    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], buckets=4)
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
     t.merge(_batch(spark, [(f"a{i}", i, T1) for i in range(40)]))
-    before = t.parts()
+    before = t.files()
     t.merge(_batch(spark, [(f"b{i}", i, T2) for i in range(40)]))   # new keys only
-    after = t.parts()
-    assert all(p.startswith("data/a") for ps in after.values() for p in ps)          # nothing rewritten
-    assert all(after[b][:len(before[b])] == before[b] for b in before)                # old parts kept
-    assert t.read().count() == 80
-
-
-def test_matched_bucket_is_rewritten_and_parts_compact(spark, tmp_root):
-    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], buckets=2, max_parts=3)
-    t.merge(_batch(spark, [(f"a{i}", i, T1) for i in range(20)]))
-    t.merge(_batch(spark, [("a3", 300, T2)]))                        # an update
-    parts = t.parts()
-    assert any(p.startswith("data/r2/") for ps in parts.values() for p in ps)
-    assert {r.k: r.v for r in t.read().collect()}["a3"] == 300 and t.read().count() == 20
-    for i in range(6):                                               # many small inserts
-        t.merge(_batch(spark, [(f"n{i}", i, T2)]))
-    assert max(len(ps) for ps in t.parts().values()) <= 3
-    assert t.read().count() == 26
+    assert set(before) < set(t.files()) and t.read().count() == 80
+
+
+def test_updates_rewrite_few_files_and_a_new_column_none(spark, tmp_root):
+    """100 neighbouring keys of 20,000 rows lie in few of the ranged files."""
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
+    old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    t.merge(spark.range(20_000).select(F.format_string("%06d", "id").alias("k"), F.col("id").cast("int").alias("v"), F.lit(T1).alias("_loaded_at")))
+    for c, v in old.items():
+        spark.conf.set(c, v)
+    before = set(t.files())
+    t.merge(spark.range(5000, 5100).select(F.format_string("%06d", "id").alias("k"), F.lit(-1).alias("v"), F.lit(T2).alias("_loaded_at")))
+    assert len(before) >= 30 and 0 < len(before - set(t.files())) < 0.1 * len(before)
+    assert t.read().count() == 20_000 and t.read().filter("v = -1").count() == 100
+    now = set(t.files())
+    t.merge(spark.createDataFrame([("x", 1, T2, "new")], "k string, v int, _loaded_at timestamp, extra string").select(
+        "k", "v", F.col("_loaded_at").cast(t.read().schema["_loaded_at"].dataType), "extra"))
+    assert now < set(t.files()) and t.read().filter("extra IS NULL").count() == 20_000
+
+
+def test_no_job_runs_while_the_flag_is_planned(spark):
+    df = spark.range(1000).select((F.col("id") % 10).cast("string").alias("key"), "id")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "planning")
+    flag_duplicates(df, ["key"], ("id",))
+    assert tracker.getJobIdsForGroup("plan-only") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_window_strategy_gives_the_same_flags(spark):
@@ -134,7 +169,7 @@ def test_freshness_thresholds(spark):
 def test_empty_target_means_no_watermark_filter(spark, tmp_root):
     """A target that exists but is empty has no watermark, so the next
     run reads every RAW row instead of none."""
-    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], buckets=4)
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
     t.merge(_batch(spark, []))
     assert t.exists() and t.watermark() is None and t.read().count() == 0
     raw = _batch(spark, [("a", 1, T1), ("b", 2, T2)])
@@ -199,15 +234,72 @@ def test_first_line_in_file_wins_across_splits(spark, tmp_root):
     assert got == [("1.00", False), ("2.00", True)]
 
 
-def test_hot_key_goes_through_the_broadcast_and_salted_path(spark):
-    """A key holding a third of the rows: flagged through the hot-key path
-    (broadcast of its first row, salted join for the rest), same flags as
-    row_number, and the hot rows do not meet in one join partition."""
-    rows = [("hot", i % 3, "f", i) for i in range(20000)] + [(f"k{i}", 0, "f", i) for i in range(40000)]
+def test_hot_key_with_nine_tenths_of_the_rows(spark):
+    """Same flags as row_number, and only the repeated key crosses the join's other side."""
+    rows = [("hot", i % 3, "f", i) for i in range(36000)] + [(f"k{i}", 0, "f", i) for i in range(4000)]
     df = spark.createDataFrame(rows, "key string, _loaded_at int, _source_file string, _row_pos int")
     order = ("_loaded_at", "_source_file", "_row_pos")
-    got = flag_duplicates(df, ["key"], order, hot_rows=1000)
+    got = flag_duplicates(df, ["key"], order)
     want = flag_duplicates(df, ["key"], order, strategy="window")
-    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "_salt" in plan
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count() == 40000
+    assert got.filter(~F.col("_is_duplicate")).count() == 4001
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in final  # chosen by the measured size of the repeated keys
+
+
+def test_work_folder_needs_a_shared_one_on_a_cluster(tmp_path):
+    from types import SimpleNamespace
+
+    from tidemark.session import work_dir
+
+    def session(master, folder):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: folder, set=lambda k, v: None),
+                               sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None))
+    with pytest.raises(ValueError):
+        work_dir(session("spark://host:7077", None))
+    assert work_dir(session("spark://host:7077", "hdfs:///shared/")).startswith("hdfs:///shared/run-")
+    assert work_dir(session("local[2]", None), "x").rsplit("/", 1)[1].startswith("x-")
+
+
+def test_late_file_with_an_old_date_is_loaded(spark, tmp_root):
+    import os
+
+    from tidemark.config import CSV_SOURCES
+    from tidemark.sources.raw import Catalog
+    from tidemark.streaming.loader import load_csv_once
+
+    spec = next(s for s in CSV_SOURCES if s.entity == "products")
+    land = f"{tmp_root}/late"
+    os.makedirs(f"{land}/{spec.prefix}", exist_ok=True)
+    cat = Catalog(f"{tmp_root}/late_tables")
+
+    def put(name, text, days):
+        path = f"{land}/{spec.prefix}{name}"
+        with open(path, "w") as f:
+            f.write("banner\n" + text + "\n")
+        t = os.path.getmtime(path) - days * 86400
+        os.utime(path, (t, t))
+
+    put("Products.csv", 'S1,"Widget ""XL"", blue",cat,1.00,usd,true', 0)
+    assert load_csv_once(spark, land, spec, cat, f"{tmp_root}/late_ck", "2025-01-01 00:00:00") == 1
+    put("Products_2.csv", "S2,b,cat,2.00,usd,true", 0)
+    put("Products_3.csv", "S3,c,cat,3.00,usd,true", 30)
+    load_csv_once(spark, land, spec, cat, f"{tmp_root}/late_ck", "2025-01-02 00:00:00")
+    got = {r.sku: (r.product_name, r.unit_price) for r in cat.read(spark, "raw", "products").collect()}
+    assert got == {"S1": ('Widget "XL", blue', "1.00"), "S2": ("b", "2.00"), "S3": ("c", "3.00")}
+
+
+def test_payload_rejects(spark):
+    from tidemark.config import PAYLOAD_SOURCES
+    from tidemark.operators.quarantine import split_payload_rejects
+
+    x = next(s.client_id for s in PAYLOAD_SOURCES if s.fmt == "xml")
+    j = next(s.client_id for s in PAYLOAD_SOURCES if s.fmt != "xml")
+    rows = [(x, "<Transaction><TransactionID>T</TransactionID></Transaction>"), (x, "<Transaction><TransactionID>T</Tra"), (x, None),
+            (j, '{"client": "c", "transactions": [{"id": "1"}]}'), (j, '{"client": "c", "transactions": [{"id": '), (j, '{"client": "c"}'), (j, "")]
+    raw = spark.createDataFrame([(*r, "f", T1) for r in rows], "client_id string, raw_payload string, _source_file string, _loaded_at timestamp_ntz")
+    good, bad = split_payload_rejects(raw)
+    assert sorted(r.client_id for r in good.collect()) == sorted([x, j])
+    assert sorted((r.client_id, r.reject_reason) for r in bad.collect()) == sorted(
+        [(x, "raw_payload does not parse"), (x, "raw_payload is null")] + [(j, "raw_payload does not parse")] * 3)

@@ -286,5 +286,6 @@ def test_next_day_file_is_loaded_alone_and_merged(spark, tmp_root, latest_wins):
     assert g["CUST-A-0101"].email == ("ana.new@example.com" if latest_wins else "ana.lopez@example.com")
     assert g["CUST-A-0107"].canonical_customer_tier == "BRONZE" and len(g) == 11
     s = out["stg_customers"].filter(F.col("source_customer_id") == "CUST-A-0101").collect()
-    assert len(s) == 3                                                     # both deliveries kept in SILVER
+    # a later load takes the place of the row that counted, or is one more duplicate; one row counts either way
+    assert len(s) == (2 if latest_wins else 3) and sum(not r["_is_duplicate"] for r in s) == 1
     assert out["mart_orders"].count() == 8                                 # untouched entities unchanged

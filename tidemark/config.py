@@ -17,7 +17,7 @@ CLIENTS = ("client_a", "client_c")
 NULL_TOKENS = ("", "NULL", "null")
 
 # Anchored e-mail pattern used by the validity flags.
-EMAIL_PATTERN = r"^[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}$"
+EMAIL_PATTERN = r"^[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\z"
 
 # Surrogate keys: md5 over the text of the key columns joined by '-', with
 # NULL replaced by this token (public behaviour of the key macro package).
@@ -54,7 +54,7 @@ FRESHNESS_WARN_HOURS = 25
 FRESHNESS_ERROR_HOURS = 49
 
 # ISO calendar date text accepted by the date parser.
-ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}\z"
 
 # ---------------------------------------------------------------------------
 # RAW table layout: business columns (all text) with declared widths.

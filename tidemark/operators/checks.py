@@ -178,21 +178,27 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return parts[0]
 
 
+def freshness_by(df: DataFrame, source: str, loaded_at: str, run_ts: str,
+                 warn_hours: int = C.FRESHNESS_WARN_HOURS, error_hours: int = C.FRESHNESS_ERROR_HOURS) -> DataFrame:
+    """Age of the newest row of each `source` value against the run time (times as in the session's zone)."""
+    newest = df.groupBy(F.col(source).alias("source")).agg(F.max(loaded_at).alias("max_loaded_at"))
+    age = (F.unix_timestamp(F.lit(run_ts).cast("timestamp_ntz").cast("timestamp"))
+           - F.unix_timestamp(F.col("max_loaded_at").cast("timestamp")))
+    hours = age / F.lit(3600)
+    return newest.select(
+        "source", "max_loaded_at", age.cast("bigint").alias("age_seconds"), F.round(hours, 3).alias("age_hours"),
+        F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
+         .when(hours > error_hours, F.lit("error"))
+         .when(hours > warn_hours, F.lit("warn")).otherwise(F.lit("pass")).alias("status"))
+
+
 def freshness(raw: dict[str, DataFrame], run_ts: str,
               warn_hours: int = C.FRESHNESS_WARN_HOURS, error_hours: int = C.FRESHNESS_ERROR_HOURS,
               loaded_at: str = "_loaded_at") -> DataFrame:
-    """Age of the newest row of each source against the run time."""
+    """T8 for named tables; an empty table is an error."""
     parts = []
     for name, df in raw.items():
-        newest = df.agg(F.max(loaded_at).alias("max_loaded_at"))
-        age = (F.unix_timestamp(F.lit(run_ts).cast("timestamp_ntz").cast("timestamp"))
-               - F.unix_timestamp(F.col("max_loaded_at").cast("timestamp"))) / F.lit(3600.0)
-        parts.append(newest.select(
-            F.lit(name).alias("source"), "max_loaded_at", F.round(age, 3).alias("age_hours"),
-            F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
-             .when(age > error_hours, F.lit("error"))
-             .when(age > warn_hours, F.lit("warn")).otherwise(F.lit("pass")).alias("status")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        newest = df.agg(F.max(loaded_at).alias("_at")).withColumn("_name", F.lit(name))
+        parts.append(freshness_by(newest, "_name", "_at", run_ts, warn_hours, error_hours)
+                     .select("source", "max_loaded_at", "age_hours", "status"))
+    return union_all(parts)

@@ -2,13 +2,13 @@
 
 The reference numbers rows per key with a window and flags `row_number > 1`.
 A window sorts every row of a key inside one task, so a key holding a third
-of the data would become one giant task. Here the first row per key is found
-by an aggregate (`min` over the ordering tuple, combined map-side, so a hot
-key costs one row per map task in the shuffle) that also counts the rows per
-key. Keys with more than `hot_rows` rows are *hot*: their first rows are
-broadcast (only after checking how many there are) and joined map-side, and
-the hot rows are salted so they do not gather in one partition of the join
-with the other keys. The flag equals `row_number() > 1` under a total order.
+of the data would become one giant task. Here a partial aggregate finds the
+first row of every key (a hot key costs one row per map task in the shuffle);
+only keys with more than one row go on, and the rows look their key up in that
+small set. AQE broadcasts it when its measured size allows and splits the
+skewed partitions of the join when not; keys of one row find no partner and
+are not flagged. The flag equals
+`row_number() > 1` under a total order. Nothing runs before an action.
 """
 
 from __future__ import annotations
@@ -21,14 +21,8 @@ from pyspark.sql import functions as F
 from tidemark import config as C
 
 
-HOT_KEY_ROWS = 1_000_000      # rows per key above which a key is treated as hot
-MAX_HOT_KEYS = 100_000        # hot keys broadcast at most (one small row each)
-HOT_SALT = 64                 # partitions a hot key's rows are spread over
-
-
 def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str] = C.ORDER_COLUMNS,
-                    flag: str = "_is_duplicate", strategy: str = "aggregate",
-                    hot_rows: int = HOT_KEY_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                    flag: str = "_is_duplicate", strategy: str = "aggregate") -> DataFrame:
     """Add boolean `flag`: True for every row but the first per `keys` by `order`.
 
     `order` must identify a row within its key (lineage columns do). Rows with
@@ -44,25 +38,11 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str] = C
         raise ValueError(f"unknown strategy {strategy!r}")
     keys = list(keys)
     rank = F.struct(*[F.col(c) for c in order])
-    first = df.groupBy(*keys).agg(F.min(rank).alias("_first_row"), F.count(F.lit(1)).alias("_n"))
-    hot = first.filter(F.col("_n") > hot_rows).select(*keys, F.col("_first_row").alias("_hot_first"))
-    n_hot = hot.count() if hot_rows is not None else 0   # one aggregate pass over the key columns
-    if n_hot == 0 or n_hot > max_hot_keys:
-        # no hot key (or too many to broadcast): plain shuffle join on the key
-        return (df.join(first.drop("_n"), keys, "inner")
-                .withColumn(flag, rank != F.col("_first_row"))
-                .drop("_first_row"))
-    # hot keys: their first rows are few (<= max_hot_keys, checked), joined
-    # map-side; hot rows get a salt so the join with the cold keys spreads them
-    salt = F.when(F.col("_hot_first").isNull(), F.lit(0)).otherwise(
-        F.lit(1) + F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(HOT_SALT)))
-    cold = first.filter(F.col("_n") <= hot_rows).drop("_n").withColumn("_salt", F.lit(0).cast("bigint"))
-    out = (df.join(F.broadcast(hot), keys, "left")
-           .withColumn("_salt", salt.cast("bigint"))
-           .join(cold, [*keys, "_salt"], "left"))
-    first_row = F.coalesce(F.col("_hot_first"), F.col("_first_row"))
-    return (out.withColumn(flag, rank != first_row)
-            .drop("_hot_first", "_first_row", "_salt"))
+    first = (df.groupBy(*keys).agg(F.min(rank).alias("_first_row"), F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > 1).select(*keys, "_first_row"))
+    return (df.join(first, keys, "left")
+            .withColumn(flag, F.coalesce(rank > F.col("_first_row"), F.lit(False)))
+            .drop("_first_row"))
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] = C.ORDER_COLUMNS,

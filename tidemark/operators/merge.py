@@ -1,31 +1,31 @@
 """Incremental sinks (I1-I3, B5) on plain Parquet.
 
 Plain Parquet has no MERGE, and Spark will not overwrite a path it is reading.
-A target table is therefore a set of immutable *parts* plus a manifest:
-
-    <table>/data/a<n>/_bucket=<b>/part-*.parquet   rows appended by merge n
-    <table>/data/r<n>/_bucket=<b>/part-*.parquet   buckets rewritten by merge n
-    <table>/_manifest/v=<n>/part-*.parquet          live parts per bucket, schema, watermark
-
-Rows are spread over hash buckets of the merge key (the bucket count is
-fixed when the table is created and stored in the manifest). A merge
-
-1. writes the batch once, bucketed, as `a<n>` (this write *is* the new part);
-2. finds the buckets in which the batch matches live keys: a semi-join on
-   the key columns only (column pruning: the rest of the table is not read);
-3. rewrites only those buckets (plus buckets that have gathered too many
-   parts, and every bucket after a schema change) into `r<n>`: live rows
-   minus the batch's keys, plus the batch rows (keep-existing mode keeps the
-   live rows and drops the batch's colliding ones instead);
-4. commits manifest n: rewritten buckets point at their `r<n>` part,
-   other touched buckets get the `a<n>` part appended to their list.
-
-So an insert-only batch costs one write of the batch and a key-only scan of
-the buckets it touches; it never rewrites existing data. Readers follow the
-newest committed manifest (a `_SUCCESS` marker), so a crash before the
-commit leaves the previous version readable, and replaying a batch gives the
-same table. Only the manifest (bounded by buckets x parts) reaches the
-driver.
+A target table is therefore a set of immutable files plus a manifest:
+
+    <table>/data/<attempt>/new/part-*.parquet    rows of one merge
+    <table>/data/<attempt>/kept/part-*.parquet   rows that stay of files it rewrote
+    <table>/_manifest/v=<n>/part-*.parquet       live files with their key ranges, schema, watermark
+
+A merge
+
+1. writes the batch once, ranged by the key (this write *is* the new part);
+   every attempt has a folder of its own, so what a crashed one left behind is
+   never read;
+2. takes the live files whose key range meets the range of a new file, and
+   finds those that hold keys of the batch by a semi-join on the key columns
+   (column pruning: the rest of the table is not read);
+3. writes what stays of those files, and of no others, as one more part
+   (keep-existing mode rewrites nothing: it drops the batch's rows instead);
+4. commits manifest n. Readers follow the newest committed manifest (a
+   `_SUCCESS` marker), so a crash before the commit leaves the previous version
+   readable, and replaying a batch gives the same table.
+
+A batch has one row per key: with `order` the last one in that order is taken,
+without it a repeated key is an error before anything is committed. A column
+that the batch adds reads as NULL in older files, one that it lacks is no
+longer read; neither rewrites a file. A changed type is an error. Only the
+manifest (a row per file) reaches the driver.
 """
 
 from __future__ import annotations
@@ -35,27 +35,24 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_MANIFEST_SCHEMA = "bucket int, path string, schema string, watermark string, buckets int"
+_MANIFEST_SCHEMA = "path string, lo string, hi string, schema string, watermark string"
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16,
-                 watermark_column: str = "_loaded_at", max_parts: int = 8):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], watermark_column: str = "_loaded_at"):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.buckets = buckets          # used when the table is created
         self.watermark_column = watermark_column
-        self.max_parts = max_parts      # parts per bucket before it is compacted
         self._cached = None
 
     # -- manifest -----------------------------------------------------------
     def _manifest(self):
-        """Newest committed manifest: (version, {bucket: [part paths]}, schema, watermark, buckets)."""
+        """Newest committed manifest: (version, {file: (lowest key, highest key)}, schema, watermark)."""
         if self._cached is not None:
             return self._cached
         versions = [v for v in _child_values(self.spark, f"{self.path}/_manifest", "v")
@@ -64,33 +61,28 @@ class VersionedTable:
             return None
         latest = max(versions)
         rows = self.spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{self.path}/_manifest/v={latest}").collect()
-        head = [r for r in rows if r["bucket"] < 0][0]
-        parts: dict[int, list[str]] = {}
-        for r in sorted((r for r in rows if r["bucket"] >= 0), key=lambda r: r["path"]):
-            parts.setdefault(r["bucket"], []).append(r["path"])
-        self._cached = (latest, parts, T.StructType.fromJson(json.loads(head["schema"])),
-                        head["watermark"], head["buckets"])
+        head = next(r for r in rows if r["path"] is None)
+        files = {r["path"]: (r["lo"], r["hi"]) for r in sorted((r for r in rows if r["path"]), key=lambda r: r["path"])}
+        self._cached = (latest, files, T.StructType.fromJson(json.loads(head["schema"])), head["watermark"])
         return self._cached
 
     def exists(self) -> bool:
         return self._manifest() is not None
 
-    def _full(self, parts) -> list[str]:
-        return [f"{self.path}/{p}" for p in parts]
+    def _scan(self, files, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in files])
 
     def read(self) -> DataFrame:
         man = self._manifest()
         if man is None:
             raise FileNotFoundError(f"no committed version under {self.path}")
-        _, parts, schema, _, _ = man
-        paths = [p for b in sorted(parts) for p in parts[b]]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(*self._full(paths)).select(*schema.fieldNames())
+        _, files, schema, _ = man
+        return self._scan(files, schema) if files else self.spark.createDataFrame([], schema)
 
-    def parts(self) -> dict[int, list[str]]:
+    def files(self) -> list[str]:
+        """Paths of the live files, relative to the table."""
         man = self._manifest()
-        return {} if man is None else {b: list(p) for b, p in man[1].items()}
+        return [] if man is None else list(man[1])
 
     def watermark(self, column: str | None = None):
         """max(watermark column) of the target, or None when it is missing or
@@ -104,103 +96,79 @@ class VersionedTable:
         return man[3]
 
     # -- merge --------------------------------------------------------------
-    def _bucket(self, n: int) -> F.Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(n)).cast("int")
-
-    def merge(self, batch: DataFrame, keep_existing: bool = False) -> int:
+    def merge(self, batch: DataFrame, keep_existing: bool = False, order: Sequence[str] | None = None) -> int:
         """Upsert `batch` on the key: matched rows replaced, new rows inserted.
 
         keep_existing=True keeps the target's row for keys it already has
         (earliest load wins) and inserts only new keys.
         Returns the committed version number.
         """
-        cols = batch.columns
-        schema = json.dumps(batch.schema.jsonValue())
         man = self._manifest()
-        version = 1 if man is None else man[0] + 1
-        n = self.buckets if man is None else man[4]
-        parts = {} if man is None else {b: list(p) for b, p in man[1].items()}
-        old_wm = None if man is None else man[3]
-        wm_col = self.watermark_column if self.watermark_column in cols else None
-
-        append = f"data/a{version}"
-        new_wm = self._write(batch.withColumn("_bucket", self._bucket(n)), f"{self.path}/{append}", wm_col)
-        touched = set(_child_values(self.spark, f"{self.path}/{append}", "_bucket"))
-
-        rewrite: set[int] = set()
-        if man is not None:
-            if man[2].fieldNames() != cols:                       # I3: schema sync, rewrite all
-                rewrite = set(parts) | touched
-            else:
-                live = sorted(b for b in touched if parts.get(b))
-                if live:
-                    staged_keys = self._read(append, touched).select(*self.keys)
-                    live_keys = self._read_parts([p for b in live for p in parts[b]]).select(*self.keys)
-                    hit = (live_keys.join(staged_keys, self.keys, "left_semi")
-                           .select(self._bucket(n).alias("b")).distinct().collect())  # <= n rows
-                    rewrite = {r["b"] for r in hit}
-                rewrite |= {b for b in touched if len(parts.get(b, [])) >= self.max_parts}
-        if rewrite:
-            self._rewrite(version, n, sorted(rewrite), parts, append, touched, cols, keep_existing)
-            written = set(_child_values(self.spark, f"{self.path}/data/r{version}", "_bucket"))
-            for b in rewrite:
-                parts[b] = [f"data/r{version}/_bucket={b}"] if b in written else []
-        for b in touched - rewrite:
-            parts.setdefault(b, []).append(f"{append}/_bucket={b}")
-
+        version, files, old_schema, old_wm = (0, {}, None, None) if man is None else man
+        if old_schema is not None:
+            self._check_types(old_schema, batch.schema)
+        if order:
+            batch = self._last_rows(batch, order)
+        attempt = f"data/{version + 1}-{uuid.uuid4().hex}"
+        new, new_wm = self._write(batch, f"{attempt}/new")
+        if not order and self._scan(new, batch.schema).groupBy(*self.keys).count().where("count > 1").limit(1).count():
+            raise ValueError(f"the batch repeats keys of {self.path}; give the order that picks one row")
+        met = self._files_with_keys(files, new, batch.schema)
+        if met and keep_existing:
+            live = self._scan(met, batch.schema).select(*self.keys)
+            new, _ = self._write(self._scan(new, batch.schema).join(live, self.keys, "left_anti"), f"{attempt}/kept")
+            met = []
+        kept = {}
+        if met:
+            taken = self._scan(new, batch.schema).select(*self.keys)
+            kept, _ = self._write(self._scan(met, batch.schema).join(taken, self.keys, "left_anti"), f"{attempt}/kept")
+        live = {f: r for f, r in files.items() if f not in set(met)} | kept | new
         wms = [w for w in (old_wm, new_wm) if w is not None]
-        wm = str(max(wms)) if wms else None
-        rows = [(-1, None, schema, wm, n)] + [(b, p, None, None, None) for b in sorted(parts) for p in parts[b]]
-        manifest = self.spark.createDataFrame(rows, _MANIFEST_SCHEMA)
-        manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_manifest/v={version}")
+        self._commit(version + 1, live, batch.schema, max(wms) if wms else None)
+        return version + 1
+
+    def _commit(self, version: int, files: dict, schema: T.StructType, watermark: str | None) -> None:
+        rows = [(None, None, None, json.dumps(schema.jsonValue()), watermark)] + [(f, lo, hi, None, None) for f, (lo, hi) in files.items()]
+        (self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1).write.option("partitionOverwriteMode", "static")
+         .mode("overwrite").parquet(f"{self.path}/_manifest/v={version}"))
         self._cached = None
-        return version
-
-    def _rewrite(self, version, n, buckets, parts, append, touched, cols, keep_existing) -> None:
-        """Rewrite whole buckets: their live rows upserted with the batch rows."""
-        new_rows = self._read(append, [b for b in buckets if b in touched])
-        old_paths = [p for b in buckets for p in parts.get(b, [])]
-        if old_paths:
-            old = self._read_parts(old_paths).withColumn("_bucket", self._bucket(n))
-            if keep_existing:
-                new_rows = new_rows.join(old.select(*self.keys), self.keys, "left_anti")
-            else:
-                old = old.join(new_rows.select(*self.keys), self.keys, "left_anti")
-            out = old.unionByName(new_rows, allowMissingColumns=True)
-        else:
-            out = new_rows
-        self._write(out.select(*cols, "_bucket"), f"{self.path}/data/r{version}")
-
-    def _read(self, part_dir: str, buckets) -> DataFrame:
-        """Rows of some buckets of one written folder, with `_bucket`."""
-        buckets = sorted(buckets)
-        df = self.spark.read.parquet(f"{self.path}/{part_dir}")
-        return df.filter(F.col("_bucket").isin(*buckets)) if buckets else df.limit(0)
-
-    def _read_parts(self, parts: list[str]) -> DataFrame:
-        return self.spark.read.parquet(*self._full(parts))
-
-    def _write(self, df: DataFrame, path: str, watermark_column: str | None = None):
-        """Write a bucketed folder, clustered by bucket with a REBALANCE:
-        each bucket lands in one shuffle partition, AQE coalesces small ones
-        (so a small part holds about one file per bucket, not one per task
-        and bucket) and splits large or skewed ones over several tasks (so a
-        big bucket is not written by a single task).
-        The max watermark is observed during the write itself (no second
-        pass) and returned as text."""
-        obs = None
-        if watermark_column:
-            obs = Observation(f"wm-{uuid.uuid4().hex}")
-            df = df.observe(obs, F.max(watermark_column).alias("wm"))
-        (df.hint("rebalance", "_bucket")
-           .write.mode("overwrite").partitionBy("_bucket").parquet(path))
-        if obs is None:
-            return None
-        try:
-            v = obs.get.get("wm")
-        except Exception:  # noqa: BLE001 - an empty batch reports no metrics row
-            return None
-        return None if v is None else str(v)
+
+    def _check_types(self, old: T.StructType, new: T.StructType) -> None:
+        for f in new.fields:
+            if f.name in old.names and old[f.name].dataType != f.dataType:
+                raise ValueError(f"{self.path}: the type of {f.name} changed from {old[f.name].dataType.simpleString()} "
+                                 f"to {f.dataType.simpleString()}")
+
+    def _last_rows(self, batch: DataFrame, order: Sequence[str]) -> DataFrame:
+        """One row per key: the last by `order`, then by all columns; a partial aggregate, so a repeated key gathers nowhere."""
+        rest = [c for c in batch.columns if c not in self.keys]
+        plain = [c for c in rest if not isinstance(batch.schema[c].dataType, T.MapType)]
+        rank = F.struct(*order, *[c for c in plain if c not in order])
+        last = batch.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
+        return last.select(*[F.col(c) if c in self.keys else F.col(f"_row.{c}").alias(c) for c in batch.columns])
+
+    def _files_with_keys(self, files: dict, new: dict, schema: T.StructType) -> list[str]:
+        """Live files that hold a key of the new files; only those whose key range meets one of theirs are read."""
+        near = [f for f, (lo, hi) in files.items() if any(a <= hi and lo <= b for a, b in new.values())]
+        if not near:
+            return []
+        taken = self._scan(new, schema).select(*self.keys)
+        found = (self._scan(near, schema).select(*self.keys, F.col("_metadata.file_path").alias("_file"))
+                 .join(taken, self.keys, "left_semi").select("_file").distinct().collect())  # a row per file
+        return [self._relative(r["_file"]) for r in found]
+
+    def _relative(self, file: str) -> str:
+        return file[file.rindex("/data/") + 1:]
+
+    def _write(self, df: DataFrame, path: str) -> tuple[dict, str | None]:
+        """Writes `df` ranged by the key. Returns the files with their key ranges, and the highest watermark as text."""
+        df.repartitionByRange(*self.keys).write.mode("error").parquet(f"{self.path}/{path}")
+        key = F.col(self.keys[0]).cast("string")
+        mark = F.max(self.watermark_column).cast("string") if self.watermark_column in df.columns else F.lit(None).cast("string")
+        rows = (self.spark.read.schema(df.schema).parquet(f"{self.path}/{path}")
+                .groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"), mark.alias("wm")).collect())
+        marks = [r["wm"] for r in rows if r["wm"] is not None]
+        return {self._relative(r["f"]): (r["lo"] or "", r["hi"] or "") for r in rows}, max(marks) if marks else None
 
 
 def _fs(spark: SparkSession, path: str):

@@ -209,32 +209,14 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     return _pipeline(spark, sf)["checks"]
 
 
-def dq_types(spark: SparkSession, sf: str) -> DataFrame:
-    """T5: declared numeric columns, checked on the schema only."""
-    models = {"stg_products": silver_products(spark, sf), "mart_products": mart("products")(spark, sf)}
-    rows = []
-    for ck in K.declared_checks():
-        if ck.kind == "type_number" and ck.model in models:
-            dt = models[ck.model].schema[ck.column].dataType
-            rows.append((ck.model, ck.column, dt.simpleString(), dt.simpleString().startswith("decimal")))
-    return spark.createDataFrame(rows, "model string, column_name string, data_type string, is_number boolean")
-
-
 FRESHNESS_RUN_TS = "2024-02-01 00:30:00"
 
 
 def source_freshness(spark: SparkSession, sf: str) -> DataFrame:
     """T8 over the events table: one source per event type, `ts` as load time."""
     ev = spark.read.parquet(f"{sf}/events.parquet")
-    newest = ev.groupBy("event_type").agg(F.max("ts").alias("max_loaded_at"))
-    age = (F.unix_timestamp(F.lit(FRESHNESS_RUN_TS).cast("timestamp"))
-           - F.unix_timestamp(F.col("max_loaded_at").cast("timestamp")))
-    hours = F.col("age_seconds") / F.lit(3600)
-    from tidemark import config as C
-    return (newest.select(F.col("event_type").alias("source"), "max_loaded_at", age.cast("bigint").alias("age_seconds"))
-            .withColumn("status", F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
-                        .when(hours > C.FRESHNESS_ERROR_HOURS, F.lit("error"))
-                        .when(hours > C.FRESHNESS_WARN_HOURS, F.lit("warn")).otherwise(F.lit("pass"))))
+    return K.freshness_by(ev, "event_type", "ts", FRESHNESS_RUN_TS).select(
+        "source", "max_loaded_at", "age_seconds", "status")
 
 
 def mask_pii(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,12 +279,101 @@ def incremental_keep_first(spark: SparkSession, sf: str) -> DataFrame:
     return _merge_orders(spark, sf, False)
 
 
+LOAD_3 = "2025-01-17 02:00:00"
+
+
+def _orders_three_days(spark, sf):
+    """Day 1: orders before SPLIT_DATE; day 2: the others, and every fifth of
+    day 1 again; day 3: every seventh of all again. Re-deliveries differ in status."""
+    base = _orders_two_batches(spark, sf)
+    day1 = F.col("_loaded_at") == F.lit(derive.LOAD_1).cast("timestamp_ntz")
+
+    def again(df, status, ts):
+        return (df.withColumn("order_status", F.lit(status)).withColumn("_loaded_at", F.lit(ts).cast("timestamp_ntz"))
+                .withColumn("_source_file", F.concat(F.lit("again/"), F.col("_source_file"))))
+    second = again(base.filter(day1 & (F.col("_row_pos") % 5 == 0)), "REDELIVERED", derive.LOAD_2)
+    third = again(base.filter(F.col("_row_pos") % 7 == 0), "THIRD", LOAD_3)
+    return base.unionByName(second).unionByName(third)
+
+
+def incremental_three_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Three daily runs in both modes; GOLD misses day 2, and day 3 is run twice.
+
+    Per mode and key the published order, and how many SILVER rows of the key count (one).
+    """
+    raw = _orders_three_days(spark, sf)
+    customers = silver_customers(spark, sf)
+    out = None
+    for mode, latest in (("latest", True), ("first", False)):
+        opts = Options(latest_batch_wins=latest)
+        root = work_dir(spark, f"three_days_{mode}")
+        s, g = I.silver_table(spark, root, "orders"), I.gold_table(spark, root, "orders")
+
+        def build(r, opts=opts):
+            return silver.stg_orders(r, customers, opts)
+        for day, publish in ((derive.LOAD_1, True), (derive.LOAD_2, False), (LOAD_3, True), (LOAD_3, True)):
+            arrived = raw.filter(F.col("_loaded_at") <= F.lit(day).cast("timestamp_ntz"))
+            I.run_silver(s, arrived, build, "orders", opts)
+            if publish:
+                I.run_gold(g, s, "orders")
+        counting = (s.read().filter(~F.col("_is_duplicate")).groupBy("order_sk")
+                    .agg(F.count(F.lit(1)).alias("n_counting")))
+        rows = g.read().join(counting, "order_sk", "left").withColumn("mode", F.lit(mode))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def incremental_schema_change(spark: SparkSession, sf: str) -> DataFrame:
+    """A column (and the run timestamp, I4) that appears with the second batch reads NULL in the rows of the first."""
+    rows = mart("orders")(spark, sf)
+    late = F.coalesce(F.col("order_date") >= F.lit(SPLIT_DATE).cast("date"), F.lit(False))
+    table = I.VersionedTable(spark, work_dir(spark, "schema_change"), ["order_sk"])
+    table.merge(rows.filter(~late).drop("channel"))
+    changed = rows.filter(late | (F.pmod(F.length("source_order_id"), F.lit(2)) == 0))
+    table.merge(changed.withColumn("_updated_at", F.lit(RUN_TS).cast("timestamp_ntz")))
+    return table.read()
+
+
+def payload_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """NULL and broken payloads planted by transaction and file number, counted per file and reason."""
+    raw = _raw(spark, sf, "transactions")
+    xml = F.col("client_id") == F.lit("client_a")
+    number = F.regexp_extract("raw_payload", "<TransactionID>[^<0-9]*([0-9]+)", 1).try_cast("bigint")
+    group = F.regexp_extract("_source_file", "([0-9]+)[.]json$", 1).try_cast("bigint")
+    n = F.length("raw_payload")
+    planted = (F.when(xml & (number % 47 == 0), F.lit(None).cast("string"))
+               .when(xml & (number % 43 == 0), F.substring("raw_payload", F.lit(1), n - 15))
+               .when(~xml & (group % 3 == 0), F.substring("raw_payload", F.lit(1), (n / 2).cast("int")))
+               .otherwise(F.col("raw_payload")))
+    _, bad = QT.split_payload_rejects(raw.withColumn("raw_payload", planted))
+    return bad.groupBy("client_id", "_source_file", "reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def scan_parquet_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """RAW products written as Parquet landing files under other column names and types, and scanned."""
+    root = work_dir(spark, "parquet_landing")
+    rows = _raw(spark, sf, "products")
+    names = {"unit_price": "price", "sku": "code"}
+    out = None
+    for client in ("client_a", "client_c"):
+        part = rows.filter(F.col("client_id") == client).select(
+            F.col("sku").alias("code"), "product_name", "category", F.col("unit_price").alias("price"), "currency", "is_active")
+        part.write.parquet(f"{root}/{client}/products")
+        scanned = FS.read_parquet_source(spark, root, "products", client, f"{client}/", r"products/.*[.]parquet$", LOAD_TS, names)
+        scanned = scanned.select(*_PRODUCT_OUT, F.regexp_extract("_source_file", "^[^/]+/[^/]+", 0).alias("folder"), "_loaded_at")
+        out = scanned if out is None else out.unionByName(scanned)
+    return out
+
+
 QUERIES.update({
+    "incremental_three_days": incremental_three_days,
+    "incremental_schema_change": incremental_schema_change,
+    "payload_rejects": payload_rejects,
+    "scan_parquet_landing": scan_parquet_landing,
     "quarantine_all": quarantine_all,
     "raw_width_rejects": raw_width_rejects,
     "rejects_and_rows_balance": rejects_and_rows_balance,
     "dq_report": dq_report,
-    "dq_types": dq_types,
     "source_freshness": source_freshness,
     "mask_pii": mask_pii,
     "parse_json_transactions": parse_json_transactions,
@@ -329,7 +400,7 @@ def scan_text_nulls(spark: SparkSession, sf: str) -> DataFrame:
             continue
         ddl = ", ".join(f"_c{i} string" for i in range(len(spec.columns)))
         parsed = (lines.filter(F.col("client_id") == spec.client_id)
-                  .select(F.from_csv("line", ddl, {"mode": "PERMISSIVE"}).alias("r"),
+                  .select(F.from_csv("line", ddl, {"mode": "PERMISSIVE", "escape": '"'}).alias("r"),
                           F.concat(F.lit(spec.prefix), F.lit("products.csv")).alias("_source_file"),
                           F.lit(0).cast("bigint").alias("_split_start"), F.col("line_no").alias("_row_pos"))
                   .select("r.*", "_source_file", "_split_start", "_row_pos"))

@@ -128,13 +128,19 @@ def valid_customer_refs(silver_customers: DataFrame) -> DataFrame:
 
 
 def stg_orders(raw: DataFrame, silver_customers: DataFrame, opts: Options = Options()) -> DataFrame:
-    refs = valid_customer_refs(silver_customers).withColumn("_ref_hit", F.lit(True))
-    cleaned = clean_orders(raw, opts)
     # left join on the cleaned id; match presence becomes the flag. The join
     # strategy (broadcast when small, sort-merge otherwise) is left to AQE.
-    joined = (cleaned.join(refs, ["client_id", "source_customer_id"], "left")
+    # Rows without an id match nothing: a digest of their place, a number and
+    # never an id of a customer (`_none`), spreads them over all partitions.
+    refs = valid_customer_refs(silver_customers).select(
+        "client_id", F.col("source_customer_id").alias("_ref"), F.lit(False).alias("_none"), F.lit(True).alias("_ref_hit"))
+    cleaned = clean_orders(raw, opts)
+    none = F.col("source_customer_id").isNull()
+    keyed = (cleaned.withColumn("_none", none)
+             .withColumn("_ref", F.when(none, F.xxhash64(*_LINEAGE).cast("string")).otherwise(F.col("source_customer_id"))))
+    joined = (keyed.join(refs, ["client_id", "_ref", "_none"], "left")
               .withColumn("customer_ref_is_valid", F.col("_ref_hit").isNotNull())
-              .drop("_ref_hit"))
+              .select(*cleaned.columns, "customer_ref_is_valid"))
     return _finish(joined, "orders", opts=opts)
 
 

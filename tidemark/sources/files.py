@@ -42,7 +42,7 @@ def csv_schema(spec: CsvSource, strict: bool = False) -> T.StructType:
 
 
 def csv_options(strict: bool = False) -> dict:
-    opts = {"header": "true", "quote": '"', "mode": "PERMISSIVE",
+    opts = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",  # a quote inside is doubled
             "pathGlobFilter": "*.[cC][sS][vV]", "recursiveFileLookup": "true"}
     if strict:
         opts["columnNameOfCorruptRecord"] = CORRUPT
@@ -124,6 +124,8 @@ def read_payload_text(spark: SparkSession, src: PayloadSource, path: str, stream
     (`text()` sets its own wholetext/lineSep, so they are passed to it directly.)
     """
     r = (spark.readStream if stream else spark.read).option("recursiveFileLookup", "true")
+    if stream:
+        r = r.option("maxFileAge", "36500d")  # late files count, see streaming.loader
     if src.fmt == "xml":
         return r.text(path, lineSep=XML_RECORD_SEPARATOR)
     if src.fmt == "jsonl":

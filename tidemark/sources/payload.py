@@ -88,6 +88,19 @@ JSON_OPTIONS = {"allowComments": "true", "mode": "PERMISSIVE"}
 XML_OPTIONS = {"mode": "PERMISSIVE"}
 
 
+def is_xml_record(c) -> F.Column:
+    """Whether the text is one well-formed record: the parser's error column stays empty."""
+    schema = T.StructType([*XML_TRANSACTION_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
+    return F.from_xml(c, schema, {**XML_OPTIONS, "columnNameOfCorruptRecord": "_corrupt"})["_corrupt"].isNull()
+
+
+def is_json_document(c) -> F.Column:
+    """Whether the text is one JSON object with a list of transactions."""
+    schema = T.StructType([*JSON_DOCUMENT_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
+    d = F.from_json(clean_json_document(c), schema, {**JSON_OPTIONS, "columnNameOfCorruptRecord": "_corrupt"})
+    return d["_corrupt"].isNull() & d["transactions"].isNotNull()
+
+
 def _xml_txn(p) -> F.Column:
     cust = p["Order"]["Customer"]
     return F.struct(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import config as C
 from tidemark.config import CsvSource, Options, PayloadSource
-from tidemark.operators.quarantine import split_rejects
+from tidemark.operators.quarantine import split_payload_rejects, split_rejects
 from tidemark.plans.parallel import run_stages
 from tidemark.sources import files as FS
 from tidemark.sources.raw import Catalog, write_batch
@@ -31,8 +31,14 @@ def _run(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], No
     return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
 
 
+# A file is new if its path was not seen, however old it is: the source's own
+# limit (7 days behind the newest file) would drop late files for good.
+ANY_AGE = {"maxFileAge": "36500d"}
+
+
 def _bounded(reader, max_files: int | None):
     """Bound a micro-batch to `max_files` new files (availableNow still drains all)."""
+    reader = reader.options(**ANY_AGE)
     return reader.option("maxFilesPerTrigger", str(max_files)) if max_files else reader
 
 
@@ -69,8 +75,13 @@ def load_payload_once(spark: SparkSession, landing: str, src: PayloadSource, cat
     key = f"{src.client_id}_transactions"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        df = FS.map_payload_rows(FS.add_position(batch), src, run_ts)
-        write_batch(df, catalog.path("raw", "transactions"), f"{key}_{batch_id}")
+        df = FS.map_payload_rows(FS.add_position(batch), src, run_ts).persist()
+        try:
+            good, bad = split_payload_rejects(df)
+            write_batch(good, catalog.path("raw", "transactions"), f"{key}_{batch_id}")
+            write_batch(bad, catalog.path("rejects", "transactions"), f"{key}_{batch_id}")
+        finally:
+            df.unpersist()
 
     return _run(scanned, f"{checkpoint_root.rstrip('/')}/{key}", sink)
 
