@@ -1,13 +1,13 @@
 """Language-model scores by prediction by partial matching (PPM).
 
-The model is a trie of byte contexts up to four bytes, trained on the training
+The model is a trie of byte contexts of up to five bytes, trained on the training
 documents. A symbol that a context has seen gets n / (T + d) (T: count of the
 context, d: its distinct symbols); the escape gets d / (T + d) (method C). An
 escape goes on to the next shorter context, without the symbols of the longer
 one (symbol exclusion), down to a uniform share of the symbols never seen. The
 score of a text is the log10 probability of its bytes and of its end.
 
-The trie is kept as counts of five-symbol grams, the nearest context symbol
+The trie is kept as counts of six-symbol grams, the nearest context symbol
 first: in key order, all contexts with one ending are neighbours, and the
 counts of every shorter context are sums over a key range. A model of more than
 `MAX_GRAMS` grams is cut in key ranges; each range is broadcast on its own and
@@ -27,16 +27,18 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, written
 
-ORDER = 4
+ORDER = 5
 END = 256  # the end of a text, and what stands before its first byte
 SYMBOLS = 257
 BITS = 9
+#: Below the two nearest context symbols of a key.
+PAIR = (ORDER - 1) * BITS
 #: Grams in one broadcast: 12 bytes each.
-MAX_GRAMS = 8_000_000
+MAX_GRAMS = 6_000_000
 #: Words in the broadcast table of word counts; rarer words are joined.
 MAX_WORDS = 300_000
 #: Symbols that are turned into keys at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: A task's distinct grams or words before it hands its counts on.
 FLUSH = 3_000_000
 
@@ -44,7 +46,7 @@ FLUSH = 3_000_000
 # ------------------------------------------------------------------- symbols
 
 def gram_keys(texts: list[bytes]):
-    """Yields (owner, keys): five-symbol grams of the texts and the text each comes from, in chunks."""
+    """Yields (owner, keys): six-symbol grams of the texts and the text each comes from, in chunks."""
     pieces, size = [], 0
     for i, text in enumerate(texts):
         for at in range(0, max(1, len(text)), CHUNK):
@@ -176,6 +178,7 @@ class Model:
         top = self.levels[ORDER]
         at = find(top.nodes, top.keys >> BITS)
         self.top = HashTable(top.keys, np.log10(top.counts / (top.total[at] + top.distinct[at])))
+        top.keys = top.counts = np.zeros(0)  # the table has them
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of each gram's symbol after its context."""
@@ -229,7 +232,7 @@ def loaded(token: str, parts) -> Model:
 # -------------------------------------------------------------------- counts
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(key, n) of all five-symbol grams of `docs`; each task sums its own first."""
+    """(key, n) of all six-symbol grams of `docs`; each task sums its own first."""
 
     def emit(held):
         key, n = merge_counts(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
@@ -292,7 +295,7 @@ def arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def key_ranges(grams: DataFrame, most: int) -> list[tuple[int, int]]:
     """Ranges of the two nearest context symbols, at most `most` grams each (or one pair's, 257^3 at most)."""
-    pairs = (grams.groupBy(F.shiftright("key", 3 * BITS).alias("pair")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = (grams.groupBy(F.shiftright("key", PAIR).alias("pair")).agg(F.count(F.lit(1)).alias("n"))
              .orderBy("pair").toArrow())  # 257^2 rows at most
     ranges, size, start = [], 0, 0
     for pair, n in zip(pairs.column(0).to_pylist(), pairs.column(1).to_pylist(), strict=True):
@@ -314,7 +317,7 @@ def scored(docs: DataFrame, train: DataFrame, max_grams: int = MAX_GRAMS, max_wo
     spark = docs.sparkSession
     grams = written(gram_counts(train))
     shared = [arrays(grams.groupBy((F.col("key").bitwiseAND(511) if k == 0 else
-                                    F.shiftright("key", 4 * BITS) * 512 + F.col("key").bitwiseAND(511)).alias("k"))
+                                    F.shiftright("key", ORDER * BITS) * 512 + F.col("key").bitwiseAND(511)).alias("k"))
                      .agg(F.sum("n").alias("n")).orderBy("k")) for k in (0, 1)]  # 257 and 257^2 rows at most
     words = written(word_counts(train))
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -336,7 +339,7 @@ def scored(docs: DataFrame, train: DataFrame, max_grams: int = MAX_GRAMS, max_wo
     ranges = key_ranges(grams, max_grams)
     rows = docs.select("doc_id", "held_out", F.col("text").cast("binary").alias("text"), F.lit(0.0).alias("score"))
     for i, (lo, hi) in enumerate(ranges):
-        part = grams.where(F.shiftright("key", 3 * BITS).between(lo, hi - 1)).select("key", "n").orderBy("key")
+        part = grams.where(F.shiftright("key", PAIR).between(lo, hi - 1)).select("key", "n").orderBy("key")
         model = spark.sparkContext.broadcast((*arrays(part), shared))
         last = i == len(ranges) - 1
         rows = score_range(rows, model, None if len(ranges) == 1 else (lo, hi), frequent if last else None, ends, all_known)
@@ -367,7 +370,7 @@ def score_range(rows: DataFrame, model, limits: tuple[int, int] | None, frequent
             score = np.array(batch.column(3), np.float64)
             for owner, keys in gram_keys(texts):
                 if limits is not None:
-                    inside = (keys >> 3 * BITS >= limits[0]) & (keys >> 3 * BITS < limits[1])
+                    inside = (keys >> PAIR >= limits[0]) & (keys >> PAIR < limits[1])
                     owner, keys = owner[inside], keys[inside]
                 score += np.bincount(owner, weights=ppm.log10(keys), minlength=len(texts))
             if frequent is None:
