@@ -484,6 +484,20 @@ def parquet_landing_sql() -> str:
             f"TIMESTAMP '{Q.LOAD_TS}' AS _loaded_at FROM ({D.raw_table_sql('products')}) r")
 
 
+def all_sources_sql() -> str:
+    parts = []
+    for spec in C.CSV_SOURCES:
+        name = Q.NAMES.get(spec.entity, {}).get(spec.client_id)
+        text = []
+        for c, _ in C.RAW_COLUMNS[spec.entity]:
+            v = "NULL" if c not in spec.columns else Q.QUOTED_PLANT.format(c=c) if c == name else c
+            text.append(f"CASE WHEN {v} IS NULL OR {v} IN ('', 'NULL', 'null') THEN '~' ELSE {v} END" if c in spec.columns else "'~'")
+        parts.append(f"SELECT '{spec.entity}' AS entity, client_id, {" || '|' || ".join(text)} AS row_text "
+                     f"FROM ({D.raw_table_sql(spec.entity)}) r WHERE client_id = '{spec.client_id}'")
+    parts.append("SELECT 'transactions', client_id, COALESCE(txn_id, '') FROM src WHERE fmt = 'xml'")
+    return with_ctes(cte_payload()) + "\n" + "\nUNION ALL\n".join(parts)
+
+
 def _product_rows(with_frame: bool) -> str:
     spec = D.RAW_SPECS["products"]
     v = spec.columns
@@ -531,6 +545,7 @@ def oracles() -> dict[str, str]:
         "incremental_keep_first": merge_sql(False),
         "scan_text_nulls": _product_rows(False),
         "scan_file_once": _product_rows(True),
+        "scan_all_sources": all_sources_sql(),
         "stream_events_incremental": "SELECT event_id, ts, user_id, event_type, "
                                      "CASE WHEN event_id % 10 = 0 THEN value + 1.0 ELSE value END AS value, "
                                      "props FROM events",

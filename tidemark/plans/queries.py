@@ -419,6 +419,41 @@ def scan_file_once(spark: SparkSession, sf: str) -> DataFrame:
     return cat.read(spark, "raw", "products").select(*_PRODUCT_OUT)
 
 
+# A name with a doubled quote and a comma inside (same SQL in the oracle).
+QUOTED_PLANT = "CASE WHEN {c} IS NOT NULL AND _row_pos % 6 = 0 THEN {c} || ' \"XL\", blue' ELSE {c} END"
+NAMES = {"customers": {"client_a": "last_name", "client_c": "customer_name"}, "products": {"client_a": "product_name", "client_c": "product_name"}}
+
+
+def scan_all_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """All seven delimited sources and the XML and TXT payloads as client files, loaded once by two daily runs.
+
+    Per row: entity, client, the RAW columns joined with `|` (NULL as `~`); for payloads the transaction id.
+    """
+    root = work_dir(spark, "sources")
+    landing = f"{root}/landing"
+    for spec in _C.CSV_SOURCES:
+        rows = _raw(spark, sf, spec.entity).filter(F.col("client_id") == spec.client_id)
+        name = NAMES.get(spec.entity, {}).get(spec.client_id)
+        if name:
+            rows = rows.withColumn(name, F.expr(QUOTED_PLANT.format(c=name)))
+        (rows.select(*spec.columns).write.csv(
+            f"{landing}/{spec.prefix}{spec.entity}", header=True, quote='"', escape='"', nullValue="NULL", emptyValue="",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False))
+    payload = _C.PAYLOAD_SOURCES[0]
+    derive.transaction_files(spark, sf).filter(F.col("fmt") == "xml").select("text").write.text(f"{landing}/{payload.prefix}transactions")
+    cat = Catalog(f"{root}/tables")
+    for run_ts in (LOAD_TS, derive.LOAD_2):
+        L.load_all_once(spark, landing, cat, f"{root}/checkpoints", run_ts, entities=set(RAW_ENTITIES))
+        L.load_payload_once(spark, landing, payload, cat, f"{root}/checkpoints", run_ts)
+    parts = []
+    for entity in RAW_ENTITIES:
+        columns = [F.coalesce(F.col(c), F.lit("~")) for c, _ in _C.RAW_COLUMNS[entity]]
+        parts.append(cat.read(spark, "raw", entity).select(F.lit(entity).alias("entity"), "client_id", F.concat_ws("|", *columns).alias("row_text")))
+    parts.append(cat.read(spark, "raw", "transactions").select(
+        F.lit("transactions").alias("entity"), "client_id", F.regexp_extract("raw_payload", "<TransactionID>([^<]*)", 1).alias("row_text")))
+    return K.union_all(parts)
+
+
 def stream_events_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Event files arriving in slices, loaded once each by a file stream and
     merged on event_id (a later slice carries corrections)."""
@@ -447,5 +482,6 @@ def stream_events_incremental(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES.update({
     "scan_text_nulls": scan_text_nulls,
     "scan_file_once": scan_file_once,
+    "scan_all_sources": scan_all_sources,
     "stream_events_incremental": stream_events_incremental,
 })
