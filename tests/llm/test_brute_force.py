@@ -138,7 +138,7 @@ def test_ppm_equals_plain_trie(spark):
     docs = spark.createDataFrame(data, "doc_id long, text string")
     flagged = docs.selectExpr("doc_id", "text", "crc32(cast(cast(doc_id as string) as binary)) % 7 = 2 AS held_out")
     # one pass over the whole model and all words; key ranges and joined rare words
-    for found in (rows(ppm.lm_scores(docs)), rows(ppm.scored(flagged, flagged.where("NOT held_out"), max_grams=40, max_words=10))):
+    for found in (rows(ppm.lm_scores(docs)), rows(ppm.scored(flagged, flagged.where("NOT held_out"), max_grams=600, max_words=10))):
         assert len(found) == 60
         for i, t in data:
             tokens = [*t.encode().lower().split(), None]
@@ -156,7 +156,7 @@ def test_ppm_is_a_distribution():
     for context in (b"abra", b"zzzz", b"nana", b"zban"):
         head = 0
         for back, c in enumerate(reversed(context), start=1):
-            head |= c << (9 * (5 - back))
+            head |= c << (9 * (ppm.ORDER + 1 - back))
         assert abs((10 ** model.log10(head | np.arange(257))).sum() - 1) < 1e-4
 
 

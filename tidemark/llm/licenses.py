@@ -41,19 +41,24 @@ NOTICES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-SHARE = 0.7
+SHARE = 0.85
 DRIFT = 3
 
 
-def templates(spark: SparkSession) -> DataFrame:
-    """(pair, hash, template, place, label, base, pairs): every word pair of every template; as large as the lists above."""
+def template_rows() -> list[tuple]:
+    """(pair, template, place, label, base, pairs) of every word pair of every template."""
     rows = []
     for base, texts in ((True, PHRASES), (False, NOTICES)):
         for label, text in texts:
             words = text.split()
             pairs = [" ".join(words[i:i + 2]) for i in range(len(words) - 1)]
             rows += [(p, f"{label}:{text}", i, label, base, len(pairs)) for i, p in enumerate(pairs)]
-    df = spark.createDataFrame(rows, "pair string, template string, place int, label string, base boolean, pairs int")
+    return rows
+
+
+def templates(spark: SparkSession) -> DataFrame:
+    """The template rows with the hash of their pair; as large as the lists above."""
+    df = spark.createDataFrame(template_rows(), "pair string, template string, place int, label string, base boolean, pairs int")
     return df.withColumn("hash", F.xxhash64("pair"))
 
 
@@ -114,3 +119,31 @@ def scanned(docs: DataFrame) -> DataFrame:
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
         F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL for the rows of `scanned` over `documents`."""
+    rows = ", ".join(f"('{p}', '{t}', {i}, '{label}', {base}, {n})" for p, t, i, label, base, n in template_rows())
+    return f"""
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(COALESCE(text, '')), '{WORD}') AS words FROM documents),
+p AS (SELECT rid, k - 1 AS pos, words[k] || ' ' || words[k + 1] AS pair
+  FROM (SELECT rid, words, unnest(generate_series(1, len(words) - 1)) AS k FROM w WHERE len(words) > 1) x),
+t(pair, template, place, label, base, pairs) AS (VALUES {rows}),
+hits AS (SELECT rid, template, label, base, pairs, place, pos, pos - place AS diagonal FROM p JOIN t USING (pair)),
+phrases AS (SELECT rid, label, true AS base, diagonal AS start, CAST(1 AS DOUBLE) AS share FROM hits WHERE base
+  GROUP BY rid, label, template, diagonal, pairs HAVING count(*) = pairs),
+lines AS (SELECT rid, label, template, pairs, diagonal, list(DISTINCT place) AS places, min(pos) AS start FROM hits WHERE NOT base
+  GROUP BY rid, label, template, pairs, diagonal),
+marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal) > {DRIFT} THEN 1 ELSE 0 END AS new FROM lines),
+clusters AS (SELECT *, sum(new) OVER (PARTITION BY rid, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS cluster FROM marked),
+sums AS (SELECT rid, label, template, pairs, cluster, len(list_distinct(flatten(list(places)))) AS n, min(start) AS start FROM clusters
+  GROUP BY rid, label, template, pairs, cluster),
+spans AS (SELECT * FROM phrases UNION ALL
+  SELECT rid, label, false, start, CAST(n AS DOUBLE) / pairs FROM sums WHERE n >= {SHARE} * pairs),
+found AS (SELECT rid, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+    max(share) AS score FROM spans GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(COALESCE(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels,
+  COALESCE(score, 0) AS score
+FROM w LEFT JOIN found USING (rid)"""

@@ -66,4 +66,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_licenses": licenses.oracle_sql()}
