@@ -91,7 +91,7 @@ def sample(train: DataFrame, max_train: int) -> tuple[list[str], list[tuple[str,
 
     chosen = train.join(ids.distinct(), "doc_id", "left_semi").select("lang", "text", "doc_id")
     rows = map_batches(chosen, run, "lang string, at array<int>, n array<int>, doc_id long").orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "at").toArrow()
-    return langs, [(lang, np.array(a), np.array(n)) for lang, a, n in
+    return langs, [(lang, np.array(a, np.int64), np.array(n, float)) for lang, a, n in
                    zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), rows.column(2).to_pylist(), strict=True)]
 
 
