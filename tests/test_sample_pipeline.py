@@ -88,12 +88,12 @@ def test_transactions(loaded):
     assert s.count() == 5 + 3 and s.filter("_is_duplicate").count() == 2
     g = rows(loaded["out"]["mart_transactions"], "source_transaction_id")
     assert len(g) == 4 + 2
-    assert g["TXN-1001"]._loaded_at is not None and g["TXN-1001"].has_line_items is True
-    assert g["TXN-1002"].order_date_is_missing and g["TXN-1002"].customer_last_name == "Ortiz"
-    assert g["TXN-1002"].customer_email_is_valid is False and g["TXN-1002"].payment_amount_is_valid is False
+    assert g["TXN-6201"]._loaded_at is not None and g["TXN-6201"].has_line_items is True
+    assert g["TXN-6202"].order_date_is_missing and g["TXN-6202"].customer_last_name == "Ortiz"
+    assert g["TXN-6202"].customer_email_is_valid is False and g["TXN-6202"].payment_amount_is_valid is False
     assert g["TXN-1003"].has_line_items is False and g["TXN-1003"].payment_currency == "EUR"
-    assert g["C-TXN-3002"].source_order_id is None and g["C-TXN-3002"].customer_first_name == "Hana"
-    assert g["C-TXN-3002"].customer_last_name is None and g["C-TXN-3001"].payment_currency is None
+    assert g["C-TXN-7412"].source_order_id is None and g["C-TXN-7412"].customer_first_name == "Hana"
+    assert g["C-TXN-7412"].customer_last_name is None and g["C-TXN-7411"].payment_currency is None
 
 
 def test_items(loaded):
@@ -104,11 +104,11 @@ def test_items(loaded):
     g = loaded["out"]["mart_transaction_items"]
     assert g.count() == 5 + 3
     r = {(x.source_transaction_id, x.source_sku): x for x in g.collect()}
-    assert r[("TXN-1001", "SKU-A-001")].line_total == Decimal("51.98")
-    assert r[("TXN-1001", "SKU-A-002")].quantity_is_valid is False and r[("TXN-1001", "SKU-A-002")].line_total is None
-    assert r[("TXN-1002", "SKU-A-003")].quantity == 3 and r[("TXN-1002", "SKU-A-003")].line_total == Decimal("30.00")
-    assert ("TXN-1001", "SKU-A-004") in r            # new SKU in the re-sent copy
-    assert r[("C-TXN-3002", "C-SKU-001")].quantity is None
+    assert r[("TXN-6201", "SKU-A-001")].line_total == Decimal("51.98")
+    assert r[("TXN-6201", "SKU-A-002")].quantity_is_valid is False and r[("TXN-6201", "SKU-A-002")].line_total is None
+    assert r[("TXN-6202", "SKU-A-003")].quantity == 3 and r[("TXN-6202", "SKU-A-003")].line_total == Decimal("30.00")
+    assert ("TXN-6201", "SKU-A-004") in r            # new SKU in the re-sent copy
+    assert r[("C-TXN-7412", "C-SKU-001")].quantity is None
     assert g.select("item_sk").distinct().count() == g.count()
 
 
@@ -120,9 +120,9 @@ def test_payments(loaded):
     assert g["PAY-C-0002"].is_refund and not g["PAY-C-0002"].amount_is_valid
     assert g["PAY-C-0003"].is_refund and g["PAY-C-0003"].amount_is_valid
     assert g["PAY-C-0004"].source_order_id is None and not g["PAY-C-0004"].is_refund
-    assert g["PAY-XML-TXN-1001"].processing_fee == Decimal("1.50") and g["PAY-XML-TXN-1001"].source_type == "transaction_xml"
-    assert g["PAY-XML-TXN-1002"].is_refund and g["PAY-JSON-C-TXN-3001"].currency is None
-    assert g["PAY-JSON-C-TXN-3002"].is_refund and g["PAY-JSON-C-TXN-3002"].source_type == "transaction_json"
+    assert g["PAY-XML-TXN-6201"].processing_fee == Decimal("1.50") and g["PAY-XML-TXN-6201"].source_type == "transaction_xml"
+    assert g["PAY-XML-TXN-6202"].is_refund and g["PAY-JSON-C-TXN-7411"].currency is None
+    assert g["PAY-JSON-C-TXN-7412"].is_refund and g["PAY-JSON-C-TXN-7412"].source_type == "transaction_json"
 
 
 def test_checks_report(loaded):
@@ -202,7 +202,7 @@ def test_quarantine_tables(loaded):
     assert got["customers"] == ["missing customer id"]                      # the row without id
     assert got["transactions"] == ["missing transaction id"] * 2            # XML and JSON records without id
     assert got["transaction_items"] == ["missing sku"]                      # TXN-1004's item without SKU
-    assert got["payments"] == ["missing order id", "missing order id"]      # PAY-C-0004, C-TXN-3002
+    assert got["payments"] == ["missing order id", "missing order id"]      # PAY-C-0004, C-TXN-7412
 
 
 def test_options_of_the_divergences(spark, loaded):
@@ -212,10 +212,10 @@ def test_options_of_the_divergences(spark, loaded):
     # A CSV payment of the same order wins over the JSON one
     pay = S.stg_payments(raw["payments"], parsed, Options(payments_precedence="csv"))
     ids = {r.source_payment_id for r in pay.collect()}
-    assert "PAY-JSON-C-TXN-3001" not in ids and "PAY-JSON-C-TXN-3002" in ids
+    assert "PAY-JSON-C-TXN-7411" not in ids and "PAY-JSON-C-TXN-7412" in ids
     # JSON payments without a currency take the default
     pay = S.stg_payments(raw["payments"], parsed, Options(default_currency="USD"))
-    assert {r.source_payment_id: r.currency for r in pay.collect()}["PAY-JSON-C-TXN-3001"] == "USD"
+    assert {r.source_payment_id: r.currency for r in pay.collect()}["PAY-JSON-C-TXN-7411"] == "USD"
     # Product sentinels and upper-cased categories
     prod = {r.source_sku: r for r in S.stg_products(raw["products"], Options(product_sentinels=True,
                                                                             upper_status=True)).collect()}

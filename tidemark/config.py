@@ -57,7 +57,7 @@ FRESHNESS_ERROR_HOURS = 49
 ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}\z"
 
 # ---------------------------------------------------------------------------
-# RAW table layout: business columns (all text) with declared widths.
+# RAW table layout, business columns (all text) with declared widths.
 # ---------------------------------------------------------------------------
 RAW_COLUMNS = {
     "customers": [
@@ -108,7 +108,7 @@ class PayloadSource:
     fmt: str  # "xml", "json" (one document per file) or "jsonl" (one per line)
 
 
-# Positional column mappings of the client files into the shared RAW schema.
+# Positional column mappings of the client files into the shared RAW schema.
 CSV_SOURCES = (
     CsvSource("customers", "client_a", "client_a/", r"(?i).*customer.*\.csv$",
               ("customer_id", "first_name", "last_name", "email", "loyalty_tier",
@@ -132,7 +132,7 @@ PAYLOAD_SOURCES = (
     PayloadSource("client_c", "client_c/", r"(?i).*transaction.*\.json$", "json"),
 )
 
-# Source-id column and garbage-id header name per entity.
+# Source-id column and garbage-id header name per entity.
 ENTITY_KEYS = {
     "customers": ("customer_id", "source_customer_id", "customer_sk"),
     "orders": ("order_id", "source_order_id", "order_sk"),

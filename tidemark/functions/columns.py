@@ -115,9 +115,5 @@ def strip_inline_note(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), C.INLINE_NOTE_PATTERN, "")
 
 
-def all_of(conds) -> Column:
-    return reduce(lambda a, b: a & b, conds)
-
-
 def any_of(conds) -> Column:
     return reduce(lambda a, b: a | b, conds)

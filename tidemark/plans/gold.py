@@ -27,27 +27,3 @@ def gold(silver: DataFrame, entity: str) -> DataFrame:
     for c in REQUIRED[entity]:
         cond = cond & F.col(c).isNotNull()
     return silver.filter(cond).select(*GOLD_COLUMNS[entity])
-
-
-def mart_customers(silver: DataFrame) -> DataFrame:
-    return gold(silver, "customers")
-
-
-def mart_orders(silver: DataFrame) -> DataFrame:
-    return gold(silver, "orders")
-
-
-def mart_products(silver: DataFrame) -> DataFrame:
-    return gold(silver, "products")
-
-
-def mart_transactions(silver: DataFrame) -> DataFrame:
-    return gold(silver, "transactions")
-
-
-def mart_transaction_items(silver: DataFrame) -> DataFrame:
-    return gold(silver, "transaction_items")
-
-
-def mart_payments(silver: DataFrame) -> DataFrame:
-    return gold(silver, "payments")

@@ -21,6 +21,7 @@ from tidemark.functions import columns as X
 from tidemark.operators.dedup import flag_duplicates
 from tidemark.sources.payload import parse_transactions
 
+# Output columns of the SILVER models, in order.
 SILVER_COLUMNS = {
     "customers": ["customer_sk", "client_id", "source_customer_id", "first_name", "last_name",
                   "full_name", "email", "email_is_valid", "source_customer_tier",

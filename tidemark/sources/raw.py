@@ -36,7 +36,3 @@ def write_batch(df: DataFrame, path: str, batch: str) -> None:
     (df.withColumn("_batch", F.lit(batch))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("_batch", "client_id").parquet(path))
-
-
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").partitionBy("client_id").parquet(path)
