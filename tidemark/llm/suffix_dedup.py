@@ -8,7 +8,8 @@ counted, not compared. Where different regions meet under one hash, one of each
 is fetched, and the windows that two of them share are found in the suffix
 order of their text (tidemark.llm.suffix). A hash with more than `MAX_REGIONS`
 different regions (a line that stands in very many contexts) is never brought
-to one task: the digests of its windows are counted by Spark instead.
+to one task: its regions are dealt anew by ever longer strings that equal
+windows have in common (see `halved`).
 """
 
 from __future__ import annotations
@@ -224,22 +225,62 @@ def compared(found: DataFrame) -> DataFrame:
     return map_batches(rows, run, "h long, d long, lo long, hi long")
 
 
-def counted(found: DataFrame) -> DataFrame:
-    """The same for hashes with very many regions: window digests are grouped by Spark."""
+def halved(regions: DataFrame) -> DataFrame:
+    """The same for hashes with very many regions, by Spark's grouping alone.
 
-    def run(batches):
-        digest = xxhash.xxh3_128_digest
-        for batch in batches:
-            for h, d, copies, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                n = len(text) - LENGTH + 1
-                marks = [digest(text[i:i + LENGTH]) for i in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([h] * n, pa.int64()), pa.array([d] * n, pa.int64()), pa.array([copies] * n, pa.int64()),
-                     pa.array(range(n), pa.int64()), pa.array(marks, pa.binary())], names=["h", "d", "copies", "lo", "mark"])
+    Windows are told apart by how far their anchor lies from their start, in
+    classes of falling width. All windows of a class hold one core of bytes, so
+    equal windows have equal cores. In each round regions are cut into the
+    pieces of their classes; a piece whose core stands nowhere else goes,
+    pieces that are the same bytes are reported, and one of them goes on as a
+    partner of the others. A line in very many contexts goes in the first
+    round; along the edge of a repeated passage one piece a round is left.
+    """
+    keep = ["h", "d", "at", "copies", "report", "text", "l"]
 
-    windows = written(map_batches(found.select("h", "d", "copies", "text"), run, "h long, d long, copies long, lo long, mark binary"))
-    twice = windows.groupBy("mark").agg(F.sum("copies").alias("c")).where("c > 1").select("mark")
-    return windows.join(twice, "mark").select("h", "d", "lo", F.col("lo").alias("hi"))
+    def start(batches):
+        for batch in batches:
+            l0 = [int(anchors(gram_hashes(np.frombuffer(t, np.uint8).astype(np.uint64)))[0]) for t in batch.column(3).to_pylist()]
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([0] * n, pa.int64()), batch.column(2), pa.array([True] * n), batch.column(3), pa.array(l0, pa.int64())],
+                names=keep)
+
+    def cut(width):
+        def run(batches):
+            for batch in batches:
+                out = []
+                for h, d, at, copies, report, text, l in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    n, i = len(text) - LENGTH + 1, 0
+                    while i < n:  # window i has its anchor l - i bytes after its start
+                        group = (l - i) // width
+                        j = min(n, l - group * width + 1)
+                        core = text[l - group * width:l - (group + 1) * width + 1 + LENGTH]
+                        piece = text[i:j + LENGTH - 1]
+                        out.append((h, d, at + i, copies, report, piece, l - i, xxhash.xxh3_128_digest(core, group), xxhash.xxh3_128_digest(piece, l - i)))
+                        i = j
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[*keep, "core", "piece"])
+        return run
+
+    schema = "h long, d long, at long, copies long, report boolean, text binary, l long"
+    rows = map_batches(regions.select("h", "d", "copies", "text"), start, schema)
+    shared = []
+    for width in (43, 11, 3, 1):
+        pieces = written(map_batches(rows.select(keep), cut(width), schema + ", core binary, piece binary"))
+        same = pieces.groupBy("core", "piece").agg(F.sum("copies").alias("of_piece"), F.min(F.struct("h", "d", "at")).alias("one"))
+        cores = same.groupBy("core").agg(F.sum("of_piece").alias("of_core")).where("of_core > 1")
+        met = written(pieces.join(same.join(cores, "core"), ["core", "piece"]))
+        n = F.length("text") - LENGTH
+        shared.append(met.where("report AND of_piece > 1").select("h", "d", F.col("at").alias("lo"), (F.col("at") + n).alias("hi")))
+        rows = (met.where("of_core > of_piece").where((F.col("of_piece") == F.col("copies")) | (F.struct("h", "d", "at") == F.col("one")))
+                .withColumn("report", F.col("report") & (F.col("of_piece") == 1)).withColumn("copies", F.col("of_piece")))
+        if rows.isEmpty():
+            break
+    out = shared[0]
+    for part in shared[1:]:
+        out = out.union(part)
+    return out
 
 
 def repeated_spans(docs: DataFrame, max_regions: int = MAX_REGIONS) -> DataFrame:
@@ -255,7 +296,7 @@ def repeated_spans(docs: DataFrame, max_regions: int = MAX_REGIONS) -> DataFrame
     found = written(fetched(docs, needed))
     shared = compared(found.where("NOT hot"))
     if not found.where("hot").isEmpty():
-        shared = shared.union(counted(found.where("hot")))
+        shared = shared.union(halved(found.where("hot")))
     # where all regions of a hash have copies nothing was fetched
     plenty = kinds.join(many.where("least > 1").select("h"), "h").select("h", "d", F.lit(0).cast("long").alias("lo"), (F.col("n") - 1).alias("hi"))
     shared = written(shared.union(plenty))
