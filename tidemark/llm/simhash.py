@@ -9,8 +9,9 @@ one index, and for distance 1 or less the other's own index is among them.
 Pigeonhole for at most four differing bits over three segments:
 * some segment is equal, then one of the other two differs in at most 2 bits:
   key = the equal segment's bits + one index of the other (six families);
-* none is equal, then two of them differ in exactly one bit each:
-  key = one index of each (three families); one side sends only own indices.
+* none is equal, then two of them differ in exactly one bit and the third in at
+  most two: key = one index of each. One side sends all combinations, the other
+  only those with its own index in two segments.
 """
 
 from __future__ import annotations
@@ -20,16 +21,19 @@ from itertools import combinations, permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, written
+from tidemark.llm.common import at_least_partitions, map_batches, with_place, written
 from tidemark.llm.components import components
 
 GOLAY_POLYNOMIAL = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 SEGMENTS = ((42, 22), (21, 21), (0, 21))  # (shift, bits)
 MAX_BITS = 4
+#: A fingerprint has some 230 keys: their shuffles take this many partitions at least.
+KEY_PARTITIONS = 64
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -53,16 +57,15 @@ def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def with_fingerprint(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp long): one row per row of `docs`."""
+def with_fingerprint(rows: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
+    """(doc_id, f, r, fp long): one row per row of (doc_id, f, r, text binary)."""
 
     def run(batches):
         for batch in batches:
-            fps = np.fromiter((fingerprint(t, words, seed) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t, words, seed) for t in batch.column(3).to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps.view(np.int64))], names=["doc_id", "f", "r", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary"))
-    return map_batches(rows, run, "doc_id long, fp long")
+    return map_batches(rows.select("doc_id", "f", "r", "text"), run, "doc_id long, f long, r long, fp long")
 
 
 # ------------------------------------------------------------------ Golay keys
@@ -95,12 +98,13 @@ def codeword_index(words: np.ndarray) -> np.ndarray:
 
 
 def near_indices(words: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of each word and its one-bit neighbours, sorted in each row, and which are first."""
+    """Different indices of each word and its one-bit neighbours (six at most), and which entries hold one."""
     ball = np.concatenate(([0], 1 << np.arange(bits, dtype=np.int64)))
     found = np.sort(codeword_index(words[:, None] ^ ball[None, :]), axis=1)
     first = np.ones(found.shape, bool)
     first[:, 1:] = found[:, 1:] != found[:, :-1]
-    return found, first
+    order = np.argsort(~first, axis=1, kind="stable")[:, :6]
+    return np.take_along_axis(found, order, 1), np.take_along_axis(first, order, 1)
 
 
 def keys(fps: np.ndarray, side: str) -> tuple[np.ndarray, np.ndarray]:
@@ -114,34 +118,44 @@ def keys(fps: np.ndarray, side: str) -> tuple[np.ndarray, np.ndarray]:
         r, c = np.nonzero(near[j][1])
         rows.append(r)
         out.append((family << 40) | (raw[i][r] << 12) | near[j][0][r, c])
-    for family, (i, j) in enumerate(combinations(range(3), 2), start=6):
-        if side == "build":
-            rows.append(np.arange(len(fps)))
-            out.append((family << 40) | (own[i] << 12) | own[j])
-            continue
-        (a, fa), (b, fb) = near[i], near[j]
-        r, ca, cb = np.nonzero(fa[:, :, None] & fb[:, None, :])
+    (a, fa), (b, fb), (c, fc) = near
+    top = 6 << 40
+    if side == "probe":
+        r, x, y, z = np.nonzero(fa[:, :, None, None] & fb[:, None, :, None] & fc[:, None, None, :])
         rows.append(r)
-        out.append((family << 40) | (a[r, ca] << 12) | b[r, cb])
+        out.append(top | a[r, x] << 24 | b[r, y] << 12 | c[r, z])
+    else:
+        rows.append(np.arange(len(fps)))
+        out.append(top | own[0] << 24 | own[1] << 12 | own[2])
+        for free in range(3):
+            r, x = np.nonzero(near[free][1] & (near[free][0] != own[free][:, None]))
+            part = [o[r] for o in own]
+            part[free] = near[free][0][r, x]
+            rows.append(r)
+            out.append(top | part[0] << 24 | part[1] << 12 | part[2])
     return np.concatenate(rows), np.concatenate(out)
 
 
 def with_keys(fps: DataFrame, side: str, star: bool = False) -> DataFrame:
-    """(key, fp, comp): one row for each key of each fingerprint; star: only the equal-segment families."""
+    """(key, fp, comp): one row for each key of each fingerprint; star: only the equal-segment families.
+
+    comp is null where it is the fingerprint itself, which is most often so: the shuffled rows pack better.
+    """
 
     def run(batches):
         for batch in batches:
             fp = np.asarray(batch.column(0))
-            comp = np.asarray(batch.column(1))
+            comp = pc.if_else(pc.equal(batch.column(0), batch.column(1)), pa.scalar(None, pa.int64()), batch.column(1))
             row, key = keys(fp, "build" if star else side)
             if star:
                 row, key = row[key >> 40 < 6], key[key >> 40 < 6]
             for i in range(0, len(key), 1 << 18):
                 r = row[i:i + (1 << 18)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[i:i + (1 << 18)]), pa.array(fp[r]), pa.array(comp[r])], names=["key", "fp", "comp"])
+                    [pa.array(key[i:i + (1 << 18)]), pa.array(fp[r]), comp.take(pa.array(r))], names=["key", "fp", "comp"])
 
-    return map_batches(fps.select("fp", "comp"), run, "key long, fp long, comp long")
+    rows = fps.select("fp", "comp").repartition(KEY_PARTITIONS)  # a small table; its keys are not
+    return map_batches(rows, run, "key long, fp long, comp long")
 
 
 # ----------------------------------------------------------------------- links
@@ -161,22 +175,46 @@ def star_links(fps: DataFrame) -> DataFrame:
 def cross_links(fps: DataFrame) -> DataFrame:
     """Verified links between fingerprints of different components, all of them.
 
-    In each key's bucket, the largest component is only compared with the
-    others, so that a dense group which the stars have joined costs nothing.
+    Only keys under which different components meet go on, and there the
+    largest component is only compared with the others, so that a dense group
+    which the stars have joined costs nothing.
     """
-    probe = with_keys(fps, "probe")
+    own = F.coalesce("comp", "fp")
     build = with_keys(fps, "build")
-    main = (build.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.min("comp").alias("lo"), F.max("comp").alias("hi")))
-    wants = F.when(F.col("comp") == F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(True), F.lit(False)))
-    asks = (probe.join(main, "key").where("comp <> lo OR comp <> hi")
-            .select("key", F.col("fp").alias("a"), F.col("comp").alias("ca"), F.explode(wants).alias("is_main")))
-    offers = (build.join(main, "key")
+    span = build.groupBy("key").agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
+    asks = (with_keys(fps, "probe").join(span, "key").where((own != F.col("lo")) | (own != F.col("hi")))
+            .select("key", F.col("fp").alias("a"), own.alias("ca")))
+    asks = written(asks)
+    offers = written(build.join(asks.select("key").distinct(), "key", "left_semi").withColumn("comp", own))
+    main = (offers.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main")))
+    wants = F.when(F.col("ca") == F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(True), F.lit(False)))
+    asks = asks.join(main, "key").select("key", "a", "ca", F.explode(wants).alias("is_main"))
+    offers = (offers.join(main, "key")
               .select("key", F.col("fp").alias("b"), F.col("comp").alias("cb"), (F.col("comp") == F.col("main")).alias("is_main")))
     near = (asks["key"] == offers["key"]) & (asks["is_main"] == offers["is_main"]) & (F.col("ca") != F.col("cb")) & (differ("a", "b") <= MAX_BITS)
     return asks.join(offers, near).select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
 
 
+def grouped(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
+    """(doc_id, f, r, fp, component, component_id): every row of `docs` with its group; component is the group's key."""
+    rows = with_place(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
+    prints = written(with_fingerprint(rows, words, seed))
+    fps = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    with at_least_partitions(docs.sparkSession, KEY_PARTITIONS):
+        links = written(star_links(fps))
+    stars = components(links)
+    fps = written(fps.join(stars.select(F.col("id").alias("fp"), F.col("root").alias("r")), "fp", "left")
+                  .select("fp", "rep", F.coalesce("r", "fp").alias("comp")))
+    with at_least_partitions(docs.sparkSession, KEY_PARTITIONS):
+        links = written(cross_links(fps))
+    cross = components(links)
+    fps = (fps.join(cross.select(F.col("id").alias("comp"), F.col("root").alias("r")), "comp", "left")
+           .select("fp", "rep", F.coalesce("r", "comp").alias("component")))
+    least = fps.groupBy("component").agg(F.min("rep").alias("component_id"))
+    return prints.join(fps.join(least, "component").select("fp", "component", "component_id"), "fp")
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
     """One row per row of `docs`: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -185,15 +223,14 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFram
     null doc_id is never a component_id (a component of such rows only has
     null). No documents: no rows. Other columns of `docs` play no part.
     """
-    prints = written(with_fingerprint(docs, words, seed))
-    fps = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    stars = components(star_links(fps))
-    fps = written(fps.join(stars.select(F.col("id").alias("fp"), F.col("root").alias("r")), "fp", "left")
-                  .select("fp", "rep", F.coalesce("r", "fp").alias("comp")))
-    cross = components(cross_links(fps))
-    fps = (fps.join(cross.select(F.col("id").alias("comp"), F.col("root").alias("r")), "comp", "left")
-           .select("fp", "rep", F.coalesce("r", "comp").alias("comp")))
-    least = fps.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    ids = fps.join(least, "comp").select("fp", "component_id")
-    return (prints.join(ids, "fp")
-            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+    return grouped(docs, words, seed).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def deduplicated(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
+    """The row with the smallest doc_id of each group, all columns as they are; a row without doc_id only where all are."""
+    first = (grouped(docs, words, seed).groupBy("component")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "f", "r")).alias("x")).select("x.f", "x.r"))
+    names = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    return (with_place(docs, *names).join(first, ["f", "r"], "left_semi")
+            .select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns))))
