@@ -17,6 +17,7 @@ windows, or `LONG` windows of it.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,9 @@ PLAIN = 2
 #: Benchmark windows that are broadcast to sift the documents' windows (8 bytes each); beyond it Spark joins all of them.
 MAX_KNOWN = 4_000_000
 #: Words a Python worker remembers.
-MAX_WORDS = 300_000
+MAX_WORDS = 200_000
+#: Words that are looked up at a time.
+WORDS_AT_ONCE = 200_000
 
 # Units of measure.
 UNITS = frozenset("""
@@ -65,24 +68,30 @@ def canonical(word: str) -> tuple[str, int]:
     return low, named | ends
 
 
-class Words:
-    """Token hashes and flags of words, remembered."""
+class Words(dict):
+    """Numbers of words; their token hashes and flags. Forgets all when there are too many."""
 
     def __init__(self):
-        self.ids: dict[str, int] = {}
+        super().__init__()
         self.hashes = np.zeros(0, np.uint64)
         self.flags = np.zeros(0, np.uint8)
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
 
     def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.ids) > MAX_WORDS:
-            self.__init__()
-        known = self.ids
-        before = len(known)
-        at = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
-        if len(known) > before:
-            new = [canonical(w) for w in list(known)[before:]]
+        if len(self) > MAX_WORDS:
+            self.clear()
+            self.hashes, self.flags = self.hashes[:0], self.flags[:0]
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            new = [canonical(w) for w in self.new]
             self.hashes = np.concatenate((self.hashes, np.array([xxhash.xxh3_64_intdigest(t.encode()) for t, _ in new], np.uint64)))
             self.flags = np.concatenate((self.flags, np.array([f for _, f in new], np.uint8)))
+            self.new = []
         return self.hashes[at], self.flags[at]
 
 
@@ -90,19 +99,19 @@ _NAME_HASH = np.uint64(xxhash.xxh3_64_intdigest(b"<name>"))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def streams(words: list[str], memory: Words) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """(places of the words that are tokens, (token hashes, whether a slot) of the two streams)."""
+def streams(words: list[str], first: np.ndarray, memory: Words) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(places of the words that are tokens, (token hashes, whether a slot) of the two streams); first: words that begin a text."""
     hashes, flags = memory.look_up(words)
-    starts = np.ones(len(words), bool)  # of sentences
-    starts[1:] = (flags[:-1] & ENDS) > 0
+    starts = first.copy()  # of sentences
+    starts[1:] |= (flags[:-1] & ENDS) > 0
     kept = np.flatnonzero((flags & NOTHING) == 0)
     slot = (flags & (NUMBER | UNIT)) > 0
     name = ((flags & NAME) > 0) & ~starts
     return kept, [(np.where(name, _NAME_HASH, hashes)[kept], (slot | name)[kept]), (hashes[kept], slot[kept])]
 
 
-def windows(hashes: np.ndarray, slots: np.ndarray, stream: int, k: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(first token, hash) of the windows with enough plain words."""
+def windows(hashes: np.ndarray, slots: np.ndarray, owner: np.ndarray, stream: int, k: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """(first token, hash) of the windows inside one text with enough plain words."""
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -111,7 +120,7 @@ def windows(hashes: np.ndarray, slots: np.ndarray, stream: int, k: int = WINDOW)
         x = (x ^ hashes[j:j + n]) * _FACTOR
         x ^= x >> np.uint64(29)
     plain = np.concatenate(([0], np.cumsum(~slots)))
-    at = np.flatnonzero(plain[k:] - plain[:-k] >= PLAIN)
+    at = np.flatnonzero((plain[k:] - plain[:-k] >= PLAIN) & (owner[:n] == owner[k - 1:]))
     return at, x[at].view(np.int64)
 
 
@@ -121,36 +130,47 @@ def window_rows(texts: DataFrame, sieve=None) -> DataFrame:
     slots: the words in the window's slots, each with its place in the window.
     `sieve`: a broadcast sorted array of hashes; windows with others are left out.
     """
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()))
+
+    def of_texts(ids, found, memory):
+        """Rows for some texts' words, all looked up at once."""
+        count = np.array([len(w) for w in found], np.int64)
+        words = list(chain.from_iterable(found))
+        first = np.zeros(len(words), bool)
+        first[(np.cumsum(count) - count)[count > 0]] = True
+        owner = np.repeat(np.arange(len(found)), count)
+        kept, both = streams(words, first, memory)
+        own = owner[kept]
+        begin = np.searchsorted(own, np.arange(len(found)))  # a text's first token
+        out = []
+        for stream, (hashes, slots) in enumerate(both):
+            at, h = windows(hashes, slots, own, stream)
+            n = np.bincount(own[at], minlength=len(found))
+            if sieve is not None:
+                known = sieve.value
+                hit = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
+                at, h = at[hit], h[hit]
+            for i, x in zip(at.tolist(), h.tolist(), strict=True):
+                held = [f"{j}:{words[kept[i + j]].strip(_EDGES).lower()}" for j in np.flatnonzero(slots[i:i + WINDOW]).tolist()]
+                t = own[i]
+                out.append((ids[t], int(n[t]), stream, i - int(begin[t]), x, held))
+        return out
 
     def run(batches):
         memory = Words()
         for batch in batches:
-            out = []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = (text or "").split()
-                if len(words) < WINDOW:
-                    continue
-                kept, both = streams(words, memory)
-                for stream, (hashes, slots) in enumerate(both):
-                    at, h = windows(hashes, slots, stream)
-                    n = len(at)
-                    if sieve is not None and n:
-                        known = sieve.value
-                        hit = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else np.zeros(n, bool)
-                        at, h = at[hit], h[hit]
-                    for i, x in zip(at.tolist(), h.tolist(), strict=True):
-                        held = [f"{j}:{words[kept[i + j]].strip(_EDGES).lower()}" for j in np.flatnonzero(slots[i:i + WINDOW]).tolist()]
-                        out.append((row, n, stream, i, x, held))
-                if len(out) > 4096:
-                    yield pack(out)
-                    out = []
-            if out:
-                yield pack(out)
-
-    def pack(out):
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
-                                          names=["id", "n", "stream", "at", "hash", "slots"])
+            ids, found, size, out = [], [], 0, []
+            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            for i, (row, text) in enumerate(rows):
+                ids.append(row)
+                found.append((text or "").split())
+                size += len(found[-1])
+                if size >= WORDS_AT_ONCE or i == len(rows) - 1:
+                    out += of_texts(ids, found, memory)
+                    ids, found, size = [], [], 0
+            for i in range(0, len(out), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i:i + (1 << 16)], strict=True), kinds, strict=True)],
+                                                 names=["id", "n", "stream", "at", "hash", "slots"])
 
     return map_batches(texts.select("id", "text"), run, "id long, n long, stream int, at long, hash long, slots array<string>")
 
