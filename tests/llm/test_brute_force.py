@@ -240,6 +240,18 @@ def test_dropout_equals_agenda_and_decodes(text, dropout):
         assert ids == want
 
 
+def test_long_units_by_heap_equal_the_steps(monkeypatch, texts):
+    coder = pieces.encoder(pieces.model_file(), 0.2, 3, 1)
+    units = ["internationalisation" * 12, "xyxyyx" * 40, "né" * 70] + [u for _, t in texts[:20] for u in pieces._UNITS.findall(" " + t)]
+    heap = [pieces.merge_long(u, coder.vocab, 0.2, 9) for u in units]
+    monkeypatch.setattr(pieces, "LONG_UNIT", 10**9)
+    flat, count = pieces.merge_units(units, coder.vocab, 0.2, 9)
+    got = np.split(flat, np.cumsum(count)[:-1])
+    for h, g in zip(heap, got, strict=True):
+        plain = [b for x in h for b in ([x] if x < coder.vocab.size else [int(coder.vocab.byte[c]) for c in chr(x - coder.vocab.size).encode()])]
+        assert plain == g.tolist()
+
+
 def test_dropout_varies_with_the_seed():
     model = pieces.model_file()
     text = "segmentation of internationalisation varies"

@@ -18,6 +18,7 @@ differently in different texts.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 import tempfile
 from itertools import islice
@@ -34,6 +35,8 @@ from tidemark.llm.common import map_batches
 SPACE = "▁"
 #: Rank of no merge.
 NONE = 1 << 32
+#: Characters above which a unit is merged by a heap of its own.
+LONG_UNIT = 96
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 
 
@@ -84,6 +87,7 @@ class Vocabulary:
                     codes.append(a << 32 | b)
                     merged.append(i)
         order = np.argsort(codes)
+        self.pair = dict(zip(codes, merged, strict=True))
         self.codes, self.merged = np.array(codes, np.int64)[order], np.array(merged, np.int64)[order]
 
     def part(self, text: str) -> int | None:
@@ -117,6 +121,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def merge_units(units: list[str], vocab: Vocabulary, dropout: float, key: int) -> tuple[np.ndarray, np.ndarray]:
     """(token ids of all units one after the other, tokens of each). All units take one step of their agendas at a time."""
+    longer = [(n, u) for n, u in enumerate(units) if len(u) > LONG_UNIT]
+    units = ["" if len(u) > LONG_UNIT else u for u in units]
+    rows = np.flatnonzero([bool(u) for u in units])
+    units, total = [u for u in units if u], len(units)
     count = np.array([len(u) for u in units], np.int64)
     points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
     distinct, back = np.unique(points, return_inverse=True)
@@ -159,8 +167,12 @@ def merge_units(units: list[str], vocab: Vocabulary, dropout: float, key: int) -
         for changed in (at[at + 1 < len(symbol)], at[at > 0] - 1):
             changed = changed[unit[changed] == unit[changed + 1]]
             rank[changed] = candidates(changed)
+    done = [(rows[u], x) for u, x in done]
+    for n, u in longer:
+        found = np.array(merge_long(u, vocab, dropout, key), np.int64)
+        done.append((np.full(len(found), n), found))
     if not done:
-        return np.zeros(0, np.int64), np.zeros(len(units), np.int64)
+        return np.zeros(0, np.int64), np.zeros(total, np.int64)
     unit, symbol = (np.concatenate(x) for x in zip(*done, strict=True))
     order = np.argsort(unit, kind="stable")  # a unit ends at once, its symbols in order
     unit, symbol = unit[order], symbol[order]
@@ -171,13 +183,54 @@ def merge_units(units: list[str], vocab: Vocabulary, dropout: float, key: int) -
         width[bare] = [len(x) for x in data]
         unit, symbol = np.repeat(unit, width), np.repeat(symbol, width)
         symbol[symbol >= vocab.size] = vocab.byte[np.frombuffer(b"".join(data), np.uint8)]
-    return symbol, np.bincount(unit, minlength=len(units))
+    return symbol, np.bincount(unit, minlength=total)
+
+
+def merge_long(unit: str, vocab: Vocabulary, dropout: float, key: int) -> list[int]:
+    """Symbols of one long unit, by a heap of candidates: n log n steps where `merge_units` takes n of them."""
+    mask = (1 << 64) - 1
+    name = xxhash.xxh3_64_intdigest(unit.encode(), key)
+    limit = int(min(1.0, max(0.0, dropout)) * float(1 << 53))
+    symbol = [vocab.symbol(c) for c in unit]
+    size = [1] * len(symbol)
+    after = [*range(1, len(symbol)), -1]
+    before = list(range(-1, len(symbol) - 1))
+    agenda: list[tuple[int, int, int, int]] = []
+
+    def stir(x: int) -> int:  # as `mixed`
+        x ^= x >> 31
+        x = x * 0x9E3779B97F4A7C15 & mask
+        x ^= x >> 29
+        x = x * 0xBF58476D1CE4E5B9 & mask
+        return x ^ x >> 32
+
+    def propose(i: int) -> None:
+        j = after[i]
+        piece = vocab.pair.get(symbol[i] << 32 | symbol[j]) if j >= 0 else None
+        if piece is not None and (not limit or stir(name ^ stir(i << 24 ^ size[i] << 12 ^ size[j])) >> 11 >= limit):
+            heapq.heappush(agenda, (int(vocab.rank[piece]), i, size[i], size[j]))
+
+    for i in range(len(symbol)):
+        propose(i)
+    while agenda:
+        rank, i, n, m = heapq.heappop(agenda)
+        j = after[i]
+        if size[i] != n or j < 0 or size[j] != m:
+            continue  # one of the two has been merged since
+        symbol[i], size[i], size[j] = int(vocab.by_rank[rank]), n + m, 0
+        after[i] = after[j]
+        if after[j] >= 0:
+            before[after[j]] = i
+        propose(i)
+        if before[i] >= 0:
+            propose(before[i])
+    return [s for s, n in zip(symbol, size, strict=True) if n]
 
 
 class Encoder:
     """Encodes texts; keeps the units it has merged, at most about `most` of them."""
 
-    def __init__(self, vocab: Vocabulary, dropout: float = 0.0, seed: int = 0, variants: int = 1, most: int = 600_000):
+    def __init__(self, vocab: Vocabulary, dropout: float = 0.0, seed: int = 0, variants: int = 1, most: int = 300_000):
         self.vocab, self.dropout, self.seed = vocab, dropout, seed
         self.variants = variants if dropout > 0 else 1
         self.most = most // self.variants
@@ -213,18 +266,23 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
+_VOCABULARIES: dict[bytes, Vocabulary] = {}
 
 
-def encoder(model: bytes, *options) -> Encoder:
-    """The encoder of a model file's content, kept in a Python worker: executors need no path to the file."""
-    key = (hashlib.sha256(model).digest(), *options)
-    if key not in _ENCODERS:
+def vocabulary(model: bytes) -> Vocabulary:
+    """The vocabulary of a model file's content, kept in a Python worker: executors need no path to the file."""
+    key = hashlib.sha256(model).digest()
+    if key not in _VOCABULARIES:
         with tempfile.NamedTemporaryFile(suffix=".model") as f:
             f.write(model)
             f.flush()
-            _ENCODERS[key] = Encoder(Vocabulary(f.name), *options)
-    return _ENCODERS[key]
+            _VOCABULARIES[key] = Vocabulary(f.name)
+    return _VOCABULARIES[key]
+
+
+def encoder(model: bytes, dropout: float = 0.0, seed: int = 0, variants: int = 1) -> Encoder:
+    """An encoder with nothing remembered; a task has its own."""
+    return Encoder(vocabulary(model), dropout, seed, variants)
 
 
 def encoded(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 42, variants: int = 2, column: str = "ids") -> DataFrame:
@@ -260,16 +318,14 @@ def round_trips(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def run(batches):
-        vocab = encoder(broadcast.value, dropout, seed, variants).vocab
+        coder = encoder(broadcast.value, dropout, seed, variants)
         for batch in batches:
-            out = []
-            for text, ids in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                ids = ids.values.to_numpy()
+            texts, out = batch.column(1).to_pylist(), []
+            for text, ids in zip(texts, coder.encode(texts), strict=True):
                 data = text.encode()
-                out.append((len(data), len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), vocab.decode(ids.tolist()) == data))
+                out.append((len(data), len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), coder.vocab.decode(ids.tolist()) == data))
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in out], t) for i, t in enumerate(kinds))],
                                              names=["doc_id", "n_bytes", "n_tokens", "ids_sha256", "decoded_ok"])
 
-    return map_batches(encoded(rows, model, dropout, seed, variants), run,
-                       "doc_id long, n_bytes long, n_tokens long, ids_sha256 string, decoded_ok boolean")
+    return map_batches(rows, run, "doc_id long, n_bytes long, n_tokens long, ids_sha256 string, decoded_ok boolean")
