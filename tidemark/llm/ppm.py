@@ -38,9 +38,9 @@ MAX_GRAMS = 6_000_000
 #: Words in the broadcast table of word counts; rarer words are joined.
 MAX_WORDS = 300_000
 #: Symbols that are turned into keys at a time.
-CHUNK = 1_000_000
+CHUNK = 500_000
 #: A task's distinct grams or words before it hands its counts on.
-FLUSH = 3_000_000
+FLUSH = 1_200_000
 
 
 # ------------------------------------------------------------------- symbols
@@ -277,7 +277,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 held.update(tokens(text))
-                if len(held) > FLUSH // 10:
+                if len(held) > FLUSH // 6:
                     yield from emit(held)
                     held = Counter()
         yield from emit(held)
