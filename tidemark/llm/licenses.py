@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import with_place
+from tidemark.llm.common import with_place, written
 
 # The phrases whose places are counted, and wordings of license notices.
 PHRASES = [
@@ -109,7 +109,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     """
     rows = with_place(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.select("doc_id", "text", F.struct("f", "r").alias("row"))
-    found = spans(hits(rows)).groupBy("row").agg(
+    found = spans(written(hits(rows))).groupBy("row").agg(
         F.count_if("base").cast("long").alias("n_base"),
         F.min(F.when(F.col("base"), F.col("first"))).alias("first_word"), F.max(F.when(F.col("base"), F.col("first"))).alias("last_word"),
         F.concat_ws(",", F.array_sort(F.collect_set(F.when(F.col("base"), F.col("label"))))).alias("base_labels"),
