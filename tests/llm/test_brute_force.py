@@ -307,6 +307,17 @@ def test_surge_and_dive():
     assert np.flatnonzero(keep).tolist() == [5, 6, 7]
 
 
+def test_html_text_beside_article_tags_surges():
+    body = ["A paragraph of the text that the page is about, " * 3, "Another long paragraph of the text, " * 3]
+    teasers = "".join(f"<article><h3><a href=/{i}>Teaser {i}</a></h3></article>" for i in range(4))
+    page = f"<body><div>Tagline</div><div id=content><p>{body[0]}</p><p>{body[1]}</p></div>{teasers}<nav>Menu</nav></body>"
+    found = html_text.main_text(page).split("\n")
+    assert [x.strip() for x in body] == found[-2:] and not any("Teaser" in x for x in found)
+    links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(9))
+    assert html_text.main_text(f"<main><ul>{links}</ul><p>Short.</p></main><p>Beside.</p>") == "Short."
+    assert html_text.main_text("<main><p><a name=top>Short.</p><p>End.</p></main>") == "Short.\nEnd."
+
+
 # ------------------------------------------------------------------------- op9
 
 def test_index_recall(spark):

@@ -3,11 +3,12 @@
 The markup is stripped into lines, one for each block of the page. A line's
 weight is the length of its text outside links; lines of containers that are
 never article text (menus, headers, footers, sidebars, notices, adverts, forms,
-comments ...) weigh nothing, and where the page marks its article so do the
-lines beside it. Weights are summed over sliding windows of lines. A surge is
-where the sum rises over the threshold, a dive where it falls to nothing; the
-text between a surge and its dive is kept, without the lines of those
-containers.
+comments ...) weigh nothing. Weights are summed over sliding windows of lines. A
+surge is where the sum rises over the threshold, a dive where it falls to
+nothing; the text between a surge and its dive is kept, without the lines of
+those containers. Lines of <article> and <main> that have text outside links
+weigh the threshold more, so a short article surges too; the lines beside them
+are summed among themselves and need the threshold like those of any page.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ _NOTICES = frozenset(NOTICES.split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</\s*([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
 _RAW_END = {name: re.compile(rf"</\s*{name}\s*[^>]*>", re.I) for name in _RAW}
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HREF = re.compile(r"\bhref\s*=", re.I)  # an anchor without it is no link
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 _ABSENT = frozenset("has with no not without".split())  # "has-sidebar" names the container beside it
 _PART = re.compile(r"[^a-z0-9]+")
@@ -73,7 +75,7 @@ class Line:
 def lines(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters outside links, in boilerplate, in an article element) of each block that has text."""
     done: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, boilerplate so far, in an article so far
+    stack: list[tuple[str, bool, bool, bool]] = []  # element, boilerplate so far, in an article so far, a link
     parts: list[str] = []
     plain = 0
 
@@ -101,7 +103,7 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
         text = page[at:start if start >= 0 else n]
         if text:
             parts.append(text)
-            if not any(x[0] == "a" for x in stack):
+            if not any(x[3] for x in stack):
                 plain += len(text)
         if not m:
             at = start if start >= 0 else n
@@ -150,7 +152,7 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             if out != bool(stack and stack[-1][1]):
                 close()
             if not m.group(3).rstrip().endswith("/"):
-                stack.append((name, out, article))
+                stack.append((name, out, article, name == "a" and _HREF.search(m.group(3)) is not None))
         elif m.group(0).startswith("<!") or m.group(0).startswith("<?"):
             continue
     close()
@@ -185,21 +187,19 @@ def between_surges(weights: np.ndarray, width: int = 3, threshold: float = 1.0)
 def main_text(page: str | None, width: int = 3, threshold: float = 80.0) -> str:
     """The kept lines, joined by a line feed; empty if there are none.
 
-    A page that marks its article needs no threshold: any text there is a
-    surge. Elsewhere windows of `width` lines must reach `threshold`
-    characters; if none does, all lines that are not boilerplate are kept.
+    Windows of `width` lines must reach `threshold` characters outside links;
+    a line of an article that has any weighs `threshold` more. If no window
+    does, all lines that are not boilerplate are kept.
     """
     found = lines(page or "")
-    marked = any(article and not out for _, _, out, article in found)
-    usable = np.array([not out and (article or not marked) for _, _, out, article in found], bool)
-    if marked:
-        weights = np.array([float(len(text)) for text, *_ in found]) * usable
-        keep = between_surges(weights, width, 1.0)
-    else:
-        weights = np.array([float(plain) for _, plain, *_ in found]) * usable
-        keep = between_surges(weights, width, threshold)
-        if not keep.any():
-            keep = usable.copy()
+    usable = np.array([not out for _, _, out, _ in found], bool)
+    inside = np.array([article for *_, article in found], bool)
+    weights = np.array([float(plain) for _, plain, *_ in found]) * usable
+    keep = np.zeros(len(found), bool)
+    for part, added in ((inside, threshold), (~inside, 0.0)):
+        keep[part] = between_surges(weights[part] + added * (weights[part] > 0), width, threshold)
+    if not keep.any():
+        keep = usable.copy()
     return "\n".join(text for (text, *_), k, u in zip(found, keep, usable, strict=True) if k and u)
 
 
