@@ -318,6 +318,17 @@ def test_html_text_beside_article_tags_surges():
     assert html_text.main_text("<main><p><a name=top>Short.</p><p>End.</p></main>") == "Short.\nEnd."
 
 
+def test_html_closing_part_after_an_interruption():
+    long, short = "The article goes on for a while. " * 6, "It closes with one short line of sixty characters."
+    notices = "".join(f"<div class=ad><p>Buy {i}</p></div>" for i in range(4))
+    links = "".join(f"<li><a href=/{i}>Source {i}</a></li>" for i in range(4))
+    sources = "\n".join(f"Source {i}" for i in range(4))
+    for a, b in (("<div id=c>", "</div>"), ("", ""), ("<article>", "</article>")):
+        assert html_text.main_text(f"<body>{a}<p>{long}</p>{notices}<p>{short}</p>{b}</body>") == f"{long.strip()}\n{short}"
+        assert html_text.main_text(f"<body>{a}<p>{long}</p><ul>{links}</ul><p>{short}</p>{b}</body>") == f"{long.strip()}\n{sources}\n{short}"
+        assert html_text.main_text(f"<body>{a}<h1><a href=/>Title</a></h1><p>{long}</p><ul>{links}</ul>{b}</body>") == f"Title\n{long.strip()}"
+
+
 # ------------------------------------------------------------------------- op9
 
 def test_index_recall(spark):

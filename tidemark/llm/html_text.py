@@ -3,18 +3,24 @@
 The markup is stripped into lines, one for each block of the page. A line's
 weight is the length of its text outside links; lines of containers that are
 never article text (menus, headers, footers, sidebars, notices, adverts, forms,
-comments ...) weigh nothing. Weights are summed over sliding windows of lines. A
-surge is where the sum rises over the threshold, a dive where it falls to
-nothing; the text between a surge and its dive is kept, without the lines of
-those containers. Lines of <article> and <main> that have text outside links
-weigh the threshold more, so a short article surges too; the lines beside them
-are summed among themselves and need the threshold like those of any page.
+comments ...) are left out first, so they make no dive. Weights are summed over
+sliding windows of the other lines. A surge is where the sum rises over the
+threshold, a dive where it falls to nothing; the text between a surge and its
+dive is kept. Lines of <article> and <main> that have text outside links weigh
+the threshold more, so a short article surges too; the lines beside them are
+summed among themselves and need the threshold like those of any page.
+
+Lines of a container that holds kept text of the threshold or more are joined to
+it: all with text outside links, and links between its first and its last line.
+At either end, links that are no list items are joined unless there are as many
+in a row as a window has lines.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +36,9 @@ INLINE = ("a abbr acronym b bdi bdo big br cite code data del dfn em font i img
           "strong sub sup time tt u var wbr")
 BOILERPLATE = "nav header footer aside form button dialog menu head fieldset"
 ARTICLE = "article main"
+#: Blocks that structure the text of their container.
+TEXT = ("p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd blockquote pre figure figcaption section details summary center table caption "
+        "thead tbody tfoot tr td th")
 # Words of class, id and role attributes that name boilerplate containers.
 NOTICES = ("ad ads advert adverts advertisement advertising sponsored sponsor promo promotion banner cookie cookies consent gdpr notice "
            "notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar side aside "
@@ -42,6 +51,7 @@ _VOID = frozenset(VOID.split())
 _INLINE = frozenset(INLINE.split())
 _BOILER = frozenset(BOILERPLATE.split())
 _ARTICLE = frozenset(ARTICLE.split())
+_TEXT = frozenset(TEXT.split())
 _NOTICES = frozenset(NOTICES.split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</\s*([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
 _RAW_END = {name: re.compile(rf"</\s*{name}\s*[^>]*>", re.I) for name in _RAW}
@@ -64,18 +74,30 @@ def is_notice(attributes: str) -> bool:
     return _HIDDEN.search(attributes) is not None
 
 
-class Line:
-    __slots__ = ("parts", "linked", "out", "article")
+class Line(NamedTuple):
+    text: str
+    plain: int  # characters outside links
+    out: bool  # in boilerplate
+    article: bool  # in an article element
+    item: bool  # in a list item
+    inside: tuple[int, ...]  # the block itself unless it is one of TEXT, and its container
+
 
-    def __init__(self, out: bool, article: bool):
-        self.parts: list[tuple[str, bool]] = []
-        self.out, self.article = out, article
+class Element(NamedTuple):
+    name: str
+    out: bool  # boilerplate so far
+    article: bool  # in an article so far
+    link: bool
+    item: bool  # in a list item so far
+    number: int
+    container: int  # number of the innermost element around that is a block and not one of TEXT
 
 
-def lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters outside links, in boilerplate, in an article element) of each block that has text."""
-    done: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # element, boilerplate so far, in an article so far, a link
+def lines(page: str) -> list[Line]:
+    """One line for each block that has text."""
+    done: list[Line] = []
+    stack: list[Element] = []
+    number = 0  # of the last element; 0 is the page
     parts: list[str] = []
     plain = 0
 
@@ -83,14 +105,16 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
         nonlocal plain
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            done.append((text, min(plain, len(text)), out, article))
+            out, article, item = (stack[-1].out, stack[-1].article, stack[-1].item) if stack else (False, False, False)
+            block = next((x for x in reversed(stack) if x.name not in _INLINE), None)
+            inside = (0,) if block is None else (block.container,) if block.name in _TEXT else (block.number, block.container)
+            done.append(Line(text, min(plain, len(text)), out, article, item, inside))
         parts.clear()
         plain = 0
 
     def pop_to(depth: int) -> None:
         """Closes elements down to `depth`; a change of block or of role ends the line."""
-        if any(x[0] not in _INLINE for x in stack[depth:]) or (stack and stack[-1][1] != (depth > 0 and stack[depth - 1][1])):
+        if any(x.name not in _INLINE for x in stack[depth:]) or (stack and stack[-1].out != (depth > 0 and stack[depth - 1].out)):
             close()
         del stack[depth:]
 
@@ -103,7 +127,7 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
         text = page[at:start if start >= 0 else n]
         if text:
             parts.append(text)
-            if not any(x[3] for x in stack):
+            if not any(x.link for x in stack):
                 plain += len(text)
         if not m:
             at = start if start >= 0 else n
@@ -113,10 +137,10 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
         if ended:
             name = ended.lower()
             for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
+                if stack[depth].name == name:
                     pop_to(depth)
                     break
-                if name in _INLINE and stack[depth][0] not in _INLINE:
+                if name in _INLINE and stack[depth].name not in _INLINE:
                     break  # an inline end tag closes nothing outside its block
             if name not in _INLINE and parts:
                 close()
@@ -139,20 +163,24 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             if name not in _INLINE:
                 close()
                 for depth in range(len(stack) - 1, -1, -1):  # p and li end at the next of their kind
-                    if stack[depth][0] == "p" or stack[depth][0] == name == "li":
+                    if stack[depth].name == "p" or stack[depth].name == name == "li":
                         pop_to(depth)
                         break
-                    if stack[depth][0] not in _INLINE:
+                    if stack[depth].name not in _INLINE:
                         break
-                while stack and stack[-1][0] in _INLINE:  # inline elements do not reach over a block
+                while stack and stack[-1].name in _INLINE:  # inline elements do not reach over a block
                     stack.pop()
             notice = name not in ("html", "body", *_ARTICLE) and (name in _BOILER or is_notice(m.group(3)))
-            out = notice or bool(stack and stack[-1][1])
-            article = name in _ARTICLE or bool(stack and stack[-1][2])
-            if out != bool(stack and stack[-1][1]):
+            out = notice or bool(stack and stack[-1].out)
+            article = name in _ARTICLE or bool(stack and stack[-1].article)
+            if out != bool(stack and stack[-1].out):
                 close()
             if not m.group(3).rstrip().endswith("/"):
-                stack.append((name, out, article, name == "a" and _HREF.search(m.group(3)) is not None))
+                number += 1
+                around = stack[-1] if stack else None
+                container = 0 if around is None else around.container if around.name in _INLINE or around.name in _TEXT else around.number
+                link = name == "a" and _HREF.search(m.group(3)) is not None
+                stack.append(Element(name, out, article, link, name == "li" or bool(around and around.item), number, container))
         elif m.group(0).startswith("<!") or m.group(0).startswith("<?"):
             continue
     close()
@@ -184,6 +212,29 @@ def between_surges(weights: np.ndarray, width: int = 3, threshold: float = 1.0)
     return keep
 
 
+def rejoined(found: list[Line], keep: np.ndarray, width: int, threshold: float) -> np.ndarray:
+    """`keep` and the other lines of the containers that hold kept text of `threshold` characters, or of an article."""
+    held: dict[int, float] = {}
+    for line, k in zip(found, keep, strict=True):
+        for c in set(line.inside) if k else ():
+            held[c] = held.get(c, 0.0) + line.plain + threshold * line.article
+    heavy = {c for c, n in held.items() if n >= threshold}
+    members: dict[int, list[int]] = {}
+    for n, line in enumerate(found):
+        for c in heavy.intersection(line.inside):
+            members.setdefault(c, []).append(n)
+    keep = keep.copy()
+    for at in members.values():
+        plain = [i for i, n in enumerate(at) if keep[n] or found[n].plain > 0]
+        first, last = plain[0], plain[-1]
+        keep[at[first:last + 1]] = True
+        for end in (at[:first][::-1], at[last + 1:]):  # links at either end, from the text outwards
+            run = next((i for i, n in enumerate(end) if found[n].item), len(end))
+            if run < width:
+                keep[end[:run]] = True
+    return keep
+
+
 def main_text(page: str | None, width: int = 3, threshold: float = 80.0) -> str:
     """The kept lines, joined by a line feed; empty if there are none.
 
@@ -191,16 +242,14 @@ def main_text(page: str | None, width: int = 3, threshold: float = 80.0) -> str:
     a line of an article that has any weighs `threshold` more. If no window
     does, all lines that are not boilerplate are kept.
     """
-    found = lines(page or "")
-    usable = np.array([not out for _, _, out, _ in found], bool)
-    inside = np.array([article for *_, article in found], bool)
-    weights = np.array([float(plain) for _, plain, *_ in found]) * usable
+    found = [x for x in lines(page or "") if not x.out]
+    weights = np.array([float(x.plain) for x in found])
+    inside = np.array([x.article for x in found], bool)
     keep = np.zeros(len(found), bool)
     for part, added in ((inside, threshold), (~inside, 0.0)):
         keep[part] = between_surges(weights[part] + added * (weights[part] > 0), width, threshold)
-    if not keep.any():
-        keep = usable.copy()
-    return "\n".join(text for (text, *_), k, u in zip(found, keep, usable, strict=True) if k and u)
+    keep = rejoined(found, keep, width, threshold) if keep.any() else ~keep
+    return "\n".join(x.text for x, k in zip(found, keep, strict=True) if k)
 
 
 def extracted(pages: DataFrame) -> DataFrame:
