@@ -14,9 +14,10 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import components, decontamination, html_text, licenses, pieces, ppm, queries, simhash, suffix_dedup
+from tidemark.llm import components, decontamination, html_text, licenses, multi_index, pieces, ppm, queries, simhash, suffix_dedup
 from tidemark.llm.common import table
 from tidemark.llm.suffix import suffix_order
 
@@ -349,6 +350,30 @@ def test_index_recall(spark):
     assert hits / total >= 0.9
 
 
+def test_index_margin_and_recall_beyond_the_sample(spark, monkeypatch, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(multi_index, "FIT_ROWS", 400)
+    draw = np.random.default_rng(5)
+    x = np.repeat(draw.normal(size=(100, 32)), 200, axis=0) + 0.5 * draw.normal(size=(20_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)}), str(tmp_path / "e.parquet"))
+    vectors = spark.read.parquet(str(tmp_path / "e.parquet"))
+    found = collections.defaultdict(set)
+    for r in multi_index.search(vectors, modulus=200).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    score = x[::200] @ x.T
+    score[np.arange(100), np.arange(0, len(x), 200)] = -np.inf
+    want = np.argsort(-score, axis=1)[:, :20]
+    assert sum(len(found[200 * n] & set(w.tolist())) for n, w in enumerate(want)) >= 0.97 * want.size
+    books, _ = multi_index.fit(vectors.select("vec_id", F.col("embedding").alias("v")), 200, 20, 0.97)
+    i, j = books.cells(x)
+    s, t = books.sums(x[::200])
+    at = np.arange(100)[:, None]
+    assert books.margin == pytest.approx(np.quantile(score[at, want] - s[at, i[want]] - t[at, j[want]], 0.97))
+
+
 # ------------------------------------------------------------------------ op10
 
 @settings(max_examples=300, deadline=None)

@@ -7,7 +7,8 @@ takes the cells that hold `first` entries; the score of the k-th best entry
 found there is its bar. Then it goes on as long as a cell's sum is above the
 bar less a margin, and every entry there that reaches the bar is kept with its
 exact inner product. The margin is how far the true score of a near pair lies
-above its cell's sum; it is measured on the fitting sample (`quantile`).
+above its cell's sum; it is measured (`quantile`) on some queries and their true
+neighbours among all rows.
 
 Cells are dealt to tasks by their first centroid, in chunks of entries and
 blocks of queries, so that neither a full cell nor a popular one meets whole.
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, written
 
-#: Rows that the codebooks and the margin are fitted on, at most.
+#: Rows that the codebooks are fitted on, at most.
 FIT_ROWS = 10_000
+#: Queries that are scored against all rows for the margin, at most.
+MARGIN_QUERIES = 256
 CHUNK_ENTRIES = 8192
 BLOCK_QUERIES = 1024
 
@@ -73,10 +76,10 @@ def halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Codebooks:
-    def __init__(self, sample: np.ndarray, k: int, top: int, quantile: float):
+    def __init__(self, sample: np.ndarray, k: int):
         self.books = [k_means(h, k) for h in halves(sample)]
         self.k = len(self.books[0])
-        self.margin = self.fit_margin(sample, top, quantile)
+        self.margin = 0.0
 
     def cells(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         a, b = halves(x)
@@ -86,23 +89,47 @@ class Codebooks:
         a, b = halves(q)
         return a @ self.books[0].T, b @ self.books[1].T
 
-    def fit_margin(self, x: np.ndarray, top: int, quantile: float) -> float:
-        """Quantile of score less cell sum over the nearest pairs of the sample, for 256 of its rows."""
-        q = x[np.linspace(0, len(x) - 1, min(256, len(x))).astype(int)]
-        i, j = self.cells(x)
-        s, t = self.sums(q)
-        score = q @ x.T
-        near = np.argsort(-score, axis=1)[:, 1:top + 1]
-        rows = np.arange(len(q))[:, None]
-        gap = score[rows, near] - s[rows, i[near]] - t[rows, j[near]]
-        return float(np.quantile(gap, quantile)) if gap.size else 0.0
 
+def fit_margin(rows: DataFrame, books: Codebooks, modulus: int, top: int, quantile: float) -> float:
+    """Quantile of score less cell sum over the true nearest pairs of some queries, each scored against all rows."""
+    some = (rows.where(F.col("vec_id") % modulus == 0).orderBy(F.xxhash64("vec_id"), "vec_id").limit(MARGIN_QUERIES)).toArrow()
+    if not some.num_rows:
+        return 0.0
+    query, q = some.column(0).to_numpy(), matrix(some.column(1))
+    s, t = books.sums(q)
 
-def fit(rows: DataFrame, top: int, quantile: float) -> tuple[Codebooks, int]:
+    def run(batches):
+        best = np.full((len(q), top), -np.inf)  # of this task, with their gaps
+        gaps = np.full((len(q), top), np.nan)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = matrix(batch.column(1))
+            score = q @ x.T
+            score[query[:, None] == batch.column(0).to_numpy()[None, :]] = -np.inf
+            if not (score > best.min(axis=1)[:, None]).any():
+                continue
+            i, j = books.cells(x)
+            both = np.concatenate((best, score), axis=1)
+            gap = np.concatenate((gaps, score - s[:, i] - t[:, j]), axis=1)
+            at = np.argpartition(-both, top - 1, axis=1)[:, :top]
+            best, gaps = np.take_along_axis(both, at, 1), np.take_along_axis(gap, at, 1)
+        n, c = np.nonzero(best > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(query[n]), pa.array(best[n, c]), pa.array(gaps[n, c])], names=["query_id", "score", "gap"])
+
+    near = map_batches(rows.select("vec_id", "v"), run, "query_id long, score double, gap double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "gap")
+    found = near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= top).select("gap").toArrow().column(0).to_numpy()
+    return float(np.quantile(found, quantile)) if len(found) else 0.0
+
+
+def fit(rows: DataFrame, modulus: int, top: int, quantile: float) -> tuple[Codebooks, int]:
     n = rows.count()
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).toArrow()
     k = max(1, min(256, int(math.sqrt(n / 12)), max(1, sample.num_rows // 20)))
-    return Codebooks(matrix(sample.column(1)), k, top, quantile), n
+    books = Codebooks(matrix(sample.column(1)), k)
+    books.margin = fit_margin(rows, books, modulus, top, quantile)
+    return books, n
 
 
 # -------------------------------------------------------------------- traversal
@@ -204,7 +231,7 @@ def search(vectors: DataFrame, modulus: int = 20, top: int = 20, first: int = 10
     with the largest vector (compared as arrays) counts. No usable vectors: no rows.
     """
     rows = written(usable(vectors).groupBy("vec_id").agg(F.max("v").alias("v")))
-    books, n = fit(rows, top, quantile) if not rows.isEmpty() else (None, 0)
+    books, n = fit(rows, modulus, top, quantile) if not rows.isEmpty() else (None, 0)
     if books is None:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
 
