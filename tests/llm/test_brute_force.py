@@ -259,6 +259,35 @@ def test_dropout_varies_with_the_seed():
     assert len({tuple(pieces.encoder(model, 0.3, s, 1).encode([text])[0].tolist()) for s in range(5)}) > 1
 
 
+def test_dropout_draws_for_every_text_and_place(spark):
+    model = pieces.model_file()
+    docs = spark.createDataFrame([(i, f"{i} " + "the segmentation " * 20 + "é" * 200) for i in range(30)], "doc_id long, text string")
+    vocab = pieces.encoder(model).vocab
+    seen, within = set(), 0
+    for r in pieces.encoded(docs, model, 0.1, 42).collect():
+        assert vocab.decode(r["ids"]).decode() == r["text"]
+        cuts = " ".join(map(str, r["ids"])).split(f" {vocab.ids[' the']} ")
+        within = max(within, len(set(cuts)))
+        seen.update(cuts)
+    assert within > 2 and len(seen) > 10
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("theraniogs ▁\né"), max_size=40), max_size=4), st.sampled_from([0.1, 0.5, 1.0]))
+def test_trees_of_agendas_equal_the_agenda(texts, dropout):
+    coder = pieces.encoder(pieces.model_file(), dropout, 7, 0)
+    for text, ids in zip(texts * 2, coder.encode(texts) + coder.encode(texts), strict=True):
+        want = []
+        with pytest.MonkeyPatch.context() as patch:
+            for place, unit in enumerate(pieces._UNITS.findall(" " + text) if text else []):
+                key = np.array([xxhash.xxh3_64_intdigest(text.encode(), 7)], np.uint64) ^ pieces.mixed(np.array([place + 1], np.uint64))
+                patch.setattr(xxhash, "xxh3_64_intdigest", lambda *_, k=int(pieces.mixed(key)[0]): k)
+                for s in plain_dropout(unit, coder.vocab, dropout, 0):
+                    want += [s] if s < coder.vocab.size else [int(coder.vocab.byte[x]) for x in chr(s - coder.vocab.size).encode()]
+                patch.undo()
+        assert ids.tolist() == want
+
+
 # ------------------------------------------------------------------------- op7
 
 def test_leaks_equal_substring_search(spark, texts):

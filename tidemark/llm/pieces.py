@@ -3,16 +3,19 @@
 A text becomes a space and the text; its characters are merged to pieces of the
 vocabulary, always the candidate with the best score first (the leftmost of
 equal ones). A candidate is two neighbouring symbols; whether it is skipped is
-a keyed hash of (seed, variant, unit, place, lengths), so a skipped candidate
-stays skipped and every run gives the same result. Characters without a piece
+a keyed hash of (seed, text, place in the text, lengths), so every occurrence of
+a word draws anew, a skipped candidate stays skipped and every run gives the
+same result (equal texts get equal ids). Characters without a piece
 become their bytes' pieces, and so does a literal U+2581, which the vocabulary
 uses for the space: whatever is skipped, decoding gives the text back.
 
 No piece holds a space after another character or a line feed beside one, so a
-text is cut into units there. Units that repeat in a batch are merged once; all
-units of a batch are merged together, one merge of every unit's agenda a step.
-Texts are spread over `variants` by their hash: the same word is split
-differently in different texts.
+text is cut into units there. What does not depend on the draws is remembered:
+each unit has a tree of its agenda's states, with two branches for a candidate
+that is merged or skipped. All units of a batch walk their trees together, one
+candidate a step, and what is not known yet is added. With `variants` a text
+draws by one of so many keys and by unit, not by place; without dropout units
+are merged once.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import hashlib
 import heapq
 import re
 import tempfile
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,8 @@ SPACE = "▁"
 NONE = 1 << 32
 #: Characters above which a unit is merged by a heap of its own.
 LONG_UNIT = 96
+#: Characters of texts that are encoded together.
+AT_ONCE = 1 << 20
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 
 
@@ -227,12 +232,117 @@ def merge_long(unit: str, vocab: Vocabulary, dropout: float, key: int) -> list[i
     return [s for s, n in zip(symbol, size, strict=True) if n]
 
 
+class Column:
+    """An array that grows."""
+
+    def __init__(self, dtype, width: int = 0):
+        self.n, self.data = 0, np.zeros((1024, width) if width else 1024, dtype)
+
+    def add(self, x: np.ndarray) -> None:
+        end = self.n + len(x)
+        if end > len(self.data):
+            more = np.zeros((max(end, len(self.data) * 3 // 2), *self.data.shape[1:]), self.data.dtype)
+            more[:self.n] = self.data[:self.n]
+            self.data = more
+        self.data[self.n:end] = x
+        self.n = end
+
+
+def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All places of the stretches, one after the other."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+class Agendas:
+    """Trees of the states that units pass; a node tests its best candidate and has a child for merged (0) and skipped (1)."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
+        self.roots: dict[str, int] = {}
+        self.symbol, self.rank, self.size = Column(np.int32), Column(np.int64), Column(np.int16)  # of all states
+        self.begin, self.count, self.best, self.what = Column(np.int64), Column(np.int64), Column(np.int64), Column(np.uint64)
+        self.child = Column(np.int64, 2)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        piece = self.vocab.merge_of(left.astype(np.int64), right.astype(np.int64))
+        return np.where(piece >= 0, self.vocab.rank[np.maximum(piece, 0)], NONE)
+
+    def add(self, symbol: np.ndarray, rank: np.ndarray, size: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Nodes of new states, none of them empty; best is -1 where no candidate is left."""
+        n, first = len(symbol), np.cumsum(count) - count
+        best = np.minimum.reduceat(rank * n + np.arange(n), first)  # smallest rank, then leftmost
+        going = best < NONE * n
+        at = np.where(going, best % n, first)
+        before = np.cumsum(size, dtype=np.int64) - size
+        after = size[np.minimum(at + 1, n - 1)].astype(np.int64)
+        what = (before[at] - before[first]) << 24 ^ size[at].astype(np.int64) << 12 ^ after
+        nodes = self.begin.n + np.arange(len(count))
+        self.begin.add(self.symbol.n + first)
+        self.count.add(count)
+        self.best.add(np.where(going, at - first, -1))
+        self.what.add(mixed(what.astype(np.uint64)))
+        self.child.add(np.full((len(count), 2), -1))
+        self.symbol.add(symbol)
+        self.rank.add(rank)
+        self.size.add(size)
+        return nodes
+
+    def learn(self, units: list[str]) -> None:
+        """Roots of new units."""
+        count = np.array([len(u) for u in units], np.int64)
+        distinct, back = np.unique(np.frombuffer("".join(units).encode("utf-32-le"), np.uint32), return_inverse=True)
+        symbol = np.array([self.vocab.symbol(chr(c)) for c in distinct], np.int32)[back]
+        rank = np.full(len(symbol), NONE, np.int64)
+        rank[:-1] = self.ranks(symbol[:-1], symbol[1:])
+        rank[np.cumsum(count) - 1] = NONE
+        self.roots.update(zip(units, self.add(symbol, rank, np.ones(len(symbol), np.int16), count).tolist(), strict=True))
+
+    def grow(self, nodes: np.ndarray, skipped: np.ndarray) -> np.ndarray:
+        """The children of nodes that have none on that side."""
+        count = self.count.data[nodes]
+        at = spread(self.begin.data[nodes], count)
+        symbol, rank, size = self.symbol.data[at], self.rank.data[at], self.size.data[at]
+        best = np.cumsum(count) - count + self.best.data[nodes]
+        merged = best[~skipped]
+        symbol[merged] = self.vocab.by_rank[rank[merged]]
+        size[merged] += size[merged + 1]
+        rank[best] = NONE
+        left = np.ones(len(symbol), bool)
+        left[merged + 1] = False
+        at = (np.cumsum(left) - 1)[merged]
+        unit = np.repeat(np.arange(len(nodes)), count)[left]
+        symbol, rank, size = symbol[left], rank[left], size[left]
+        for changed in (at[at + 1 < len(symbol)], at[at > 0] - 1):
+            changed = changed[unit[changed] == unit[changed + 1]]
+            rank[changed] = self.ranks(symbol[changed], symbol[changed + 1])
+        new = self.add(symbol, rank, size, count - ~skipped)
+        self.child.data[nodes, skipped.astype(np.int64)] = new
+        return new
+
+    def walk(self, node: np.ndarray, name: np.ndarray, limit: np.uint64) -> np.ndarray:
+        """The last node of each occurrence; name: its key."""
+        node = node.copy()
+        going = np.flatnonzero(self.best.data[node] >= 0)
+        while len(going):
+            here = node[going]
+            skipped = mixed(name[going] ^ self.what.data[here]) >> np.uint64(11) < limit
+            there = self.child.data[here, skipped.astype(np.int64)]
+            new = np.flatnonzero(there < 0)
+            if len(new):
+                code, back = np.unique(here[new] * 2 + skipped[new], return_inverse=True)
+                there[new] = self.grow(code // 2, code % 2 == 1)[back]
+            node[going] = there
+            going = going[self.best.data[there] >= 0]
+        return node
+
+
 class Encoder:
-    """Encodes texts; keeps the units it has merged, at most about `most` of them."""
+    """Encodes texts; keeps the units it has merged, at most about `most` of them, or states of some `most` * 30 symbols."""
 
     def __init__(self, vocab: Vocabulary, dropout: float = 0.0, seed: int = 0, variants: int = 1, most: int = 300_000):
         self.vocab, self.dropout, self.seed = vocab, dropout, seed
-        self.variants = variants if dropout > 0 else 1
+        self.agendas = Agendas(vocab) if dropout > 0 and not variants else None
+        self.variants = variants if dropout > 0 and variants else 1
         self.most = most // self.variants
         self.known: list[dict[str, int]] = [{} for _ in range(self.variants)]
         self.flat = [np.zeros(0, np.int64)] * self.variants
@@ -243,6 +353,15 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text; an empty one has none."""
+        if self.agendas is not None:
+            out, some, size = [], [], 0
+            for n, text in enumerate(texts):
+                some.append(text)
+                size += len(text)
+                if size >= AT_ONCE or n == len(texts) - 1:
+                    out += self.drawn(some)
+                    some, size = [], 0
+            return out
         out = [np.zeros(0, np.int64)] * len(texts)
         groups: dict[int, list[int]] = {}
         for n, text in enumerate(texts):
@@ -266,6 +385,41 @@ class Encoder:
         return out
 
 
+    def drawn(self, texts: list[str]) -> list[np.ndarray]:
+        """Token ids of each text; every occurrence of a unit draws by the text and its place there."""
+        if self.agendas.symbol.n > self.most * 30:
+            self.agendas = Agendas(self.vocab)
+        trees = self.agendas
+        found = [_UNITS.findall(" " + t) if t else [] for t in texts]
+        count = np.array([len(x) for x in found], np.int64)
+        units = list(chain.from_iterable(found))
+        if not units:
+            return [np.zeros(0, np.int64) for _ in texts]
+        text = np.array([xxhash.xxh3_64_intdigest(t.encode(), self.seed) for t in texts], np.uint64)
+        name = mixed(np.repeat(text, count) ^ mixed(spread(np.ones(len(texts), np.int64), count).astype(np.uint64)))
+        new = [u for u in dict.fromkeys(units) if u not in trees.roots and len(u) <= LONG_UNIT]
+        if new:
+            trees.learn(new)
+        node = np.fromiter((trees.roots.get(u, -1) for u in units), np.int64, len(units))
+        short = np.flatnonzero(node >= 0)
+        limit = np.uint64(min(1.0, max(0.0, self.dropout)) * float(1 << 53))
+        node[short] = trees.walk(node[short], name[short], limit)
+        for n in np.flatnonzero(node < 0).tolist():
+            x = np.array(merge_long(units[n], self.vocab, self.dropout, int(name[n])), np.int32)
+            node[n] = trees.add(x, np.full(len(x), NONE), np.ones(len(x), np.int16), np.array([len(x)]))[0]
+        tokens = trees.count.data[node]
+        symbol = trees.symbol.data[spread(trees.begin.data[node], tokens)].astype(np.int64)
+        owner = np.repeat(np.repeat(np.arange(len(texts)), count), tokens)
+        bare = np.flatnonzero(symbol >= self.vocab.size)  # characters without a piece: their bytes
+        if len(bare):
+            data = [chr(c).encode() for c in (symbol[bare] - self.vocab.size).tolist()]
+            width = np.ones(len(symbol), np.int64)
+            width[bare] = [len(x) for x in data]
+            owner, symbol = np.repeat(owner, width), np.repeat(symbol, width)
+            symbol[symbol >= self.vocab.size] = self.vocab.byte[np.frombuffer(b"".join(data), np.uint8)]
+        return np.split(symbol, np.cumsum(np.bincount(owner, minlength=len(texts)))[:-1])
+
+
 _VOCABULARIES: dict[bytes, Vocabulary] = {}
 
 
@@ -285,11 +439,11 @@ def encoder(model: bytes, dropout: float = 0.0, seed: int = 0, variants: int = 1
     return Encoder(vocabulary(model), dropout, seed, variants)
 
 
-def encoded(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 42, variants: int = 2, column: str = "ids") -> DataFrame:
+def encoded(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 42, variants: int = 0, column: str = "ids") -> DataFrame:
     """`docs` with a column of token ids (array<int>): null for a null text, empty for an empty one.
 
     A column of `docs` with that name is replaced. `model`: the content of the
-    vocabulary's file.
+    vocabulary's file. `variants`: 0, or how many segmentations a word may have.
     """
     broadcast = docs.sparkSession.sparkContext.broadcast(model)  # one model file
     others = [c for c in docs.columns if c != column]
@@ -308,7 +462,7 @@ def encoded(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 42,
     return out.select(*(F.col(str(i)).alias(c) for i, c in enumerate(others)), F.col("ids").alias(column))
 
 
-def round_trips(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 42, variants: int = 2) -> DataFrame:
+def round_trips(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 42, variants: int = 0) -> DataFrame:
     """One row per row of `docs`: doc_id, n_bytes, n_tokens, ids_sha256, decoded_ok.
 
     The digest is over the ids as little-endian 32-bit integers; a null text
