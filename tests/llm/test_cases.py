@@ -107,6 +107,13 @@ def test_language(docs, empty):
     assert {r["lang_pred"] for r in langid.language_ids(untaught).collect()} == {"und"}
 
 
+def test_language_with_hundreds_of_languages(spark):
+    data = [(i, f"{chr(0x4e00 + 40 * (i % 200))}{chr(0x4e01 + 40 * (i % 200))} " * 4, f"l{i % 200:03}") for i in range(1200)]
+    found = langid.language_ids(spark.createDataFrame(data, "doc_id long, text string, lang string")).collect()
+    assert len(found) == 1200 and len({r["lang_pred"] for r in found}) >= 195  # some have few rows to learn from
+    assert sum(r["lang_pred"] == data[r["doc_id"]][2] for r in found) >= 0.97 * 1200
+
+
 def test_pieces(docs, empty):
     model = pieces.model_file()
     found = by_id(pieces.round_trips(docs, model), "n_bytes", "n_tokens", "ids_sha256", "decoded_ok")

@@ -1,8 +1,9 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 n-grams of one to three code points are hashed to `DIMS` features; document
-frequencies come from all training rows. The weights are learned on a bounded
-sample of training rows (`max_train`, shared evenly by the languages) with
+frequencies come from all training rows. All languages of the training rows are
+learned, on a bounded sample of rows of each (`max_train` shared evenly, 20 at
+least) with
 follow-the-regularised-leader (FTRL-proximal) under an elastic net, and a
 temperature is fitted on a fifth of the sample that training does not see.
 """
@@ -72,8 +73,8 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def sample(train: DataFrame, max_train: int) -> tuple[list[str], list[tuple[str, np.ndarray, np.ndarray]]]:
-    """Languages, and (lang, indices, counts) of at most `max_train` rows, the same number of each language."""
-    langs = sorted(r[0] for r in train.select("lang").distinct().limit(max_train // 20 + 1).collect())
+    """Languages, and (lang, indices, counts) of at most `max_train` rows or 20 of each language, the same number of each."""
+    langs = sorted(r[0] for r in train.select("lang").distinct().collect())  # the classes of the model
     if not langs:
         return [], []
     each = max(20, max_train // len(langs))
