@@ -307,6 +307,17 @@ def test_renamed_questions_need_consistent_slots(spark):
     assert joined == found
 
 
+def test_leaks_with_changed_numbers_and_few_words(spark):
+    item = "a farmer with 5 cows and 12 hens sells 5 eggs a day at 30 cents each and buys back the feed he needs every second week"
+    items = spark.createDataFrame([(1, item), (2, "12 + 30 = 42"), (3, "Quite short indeed"), (4, "1 2 3 4 5 6 7 8 9")], "item_id long, text string")
+    said = ["So " + item.replace("5 cows", "6 cows"), "So " + item.replace("12", "7").replace("30", "7"), "it says 12 + 30 = 42 there", "12 and 31 or 42",
+            "that was quite short indeed, I think", "0 1 2 3 4 5 6 7 8 9 10", "9 8 7 6 5 4 3 2 1"]
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    want = [(0, 1, False), (1, 1, False), (2, 2, True), (4, 3, True), (5, 4, True)]
+    for most in (decontamination.MAX_KNOWN, 0):
+        assert sorted((r["doc_id"], r["item_id"], r["exact"]) for r in decontamination.leaks(docs, items, most).collect()) == want
+
+
 # ------------------------------------------------------------------------- op8
 
 PAGE = """<html><head><title>t</title><style>p{}</style></head><body><header><a href=x>Home</a></header><nav><ul><li>Menu</ul></nav>
