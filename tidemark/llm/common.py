@@ -44,7 +44,8 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):  # nothing reads the job's shuffles again
+        df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
@@ -52,14 +53,21 @@ def written(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def at_least_partitions(spark: SparkSession, n: int) -> Iterator[None]:
-    """Jobs run in this block shuffle to `n` partitions or more: for tables that are many times their input."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(max(n, int(before))))
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Jobs run in this block have the setting; the session's own comes back after it."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+@contextmanager
+def at_least_partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Jobs run in this block shuffle to `n` partitions or more: for tables that are many times their input."""
+    with setting(spark, "spark.sql.shuffle.partitions", str(max(n, int(spark.conf.get("spark.sql.shuffle.partitions"))))):
+        yield
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -69,9 +77,15 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
 
 
 def with_place(docs: DataFrame, *columns: str | Column) -> DataFrame:
-    """`docs` with a stable row identity (f, r): file and row where it is a Parquet scan, else of a written copy."""
+    """The `columns` of `docs` with a stable row identity (f, r): file and row where it is a Parquet scan, else of a written copy.
+
+    A column of the table's own that is called `_metadata` hides the file's: such a table is written too.
+    """
     place = [F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")]
-    try:
-        return docs.select(*place, *columns)
-    except AnalysisException:
-        return written(docs).select(*place, *columns)
+    if "_metadata" not in (c.lower() for c in docs.columns):
+        try:
+            return docs.select(*place, *columns)
+        except AnalysisException:
+            pass
+    copy = written(docs.select(*columns))
+    return copy.select(*place, *copy.columns)

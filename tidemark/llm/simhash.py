@@ -196,17 +196,16 @@ def cross_links(fps: DataFrame) -> DataFrame:
     return asks.join(offers, near).select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
 
 
-def grouped(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, f, r, fp, component, component_id): every row of `docs` with its group; component is the group's key."""
-    rows = with_place(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
+def grouped(rows: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
+    """(doc_id, f, r, fp, component, component_id): every row (f, r, doc_id, text) with its group; component is the group's key."""
     prints = written(with_fingerprint(rows, words, seed))
     fps = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    with at_least_partitions(docs.sparkSession, KEY_PARTITIONS):
+    with at_least_partitions(rows.sparkSession, KEY_PARTITIONS):
         links = written(star_links(fps))
     stars = components(links)
     fps = written(fps.join(stars.select(F.col("id").alias("fp"), F.col("root").alias("r")), "fp", "left")
                   .select("fp", "rep", F.coalesce("r", "fp").alias("comp")))
-    with at_least_partitions(docs.sparkSession, KEY_PARTITIONS):
+    with at_least_partitions(rows.sparkSession, KEY_PARTITIONS):
         links = written(cross_links(fps))
     cross = components(links)
     fps = (fps.join(cross.select(F.col("id").alias("comp"), F.col("root").alias("r")), "comp", "left")
@@ -223,14 +222,16 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFram
     null doc_id is never a component_id (a component of such rows only has
     null). No documents: no rows. Other columns of `docs` play no part.
     """
-    return grouped(docs, words, seed).select(
+    rows = with_place(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
+    return grouped(rows, words, seed).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
     """The row with the smallest doc_id of each group, all columns as they are; a row without doc_id only where all are."""
-    first = (grouped(docs, words, seed).groupBy("component")
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    placed = with_place(docs, *(F.col(f"`{c}`").alias(k) for c, k in at.items()))
+    rows = placed.select("f", "r", F.col(at["doc_id"]).cast("long").alias("doc_id"), F.col(at["text"]).cast("string").cast("binary").alias("text"))
+    first = (grouped(rows, words, seed).groupBy("component")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "f", "r")).alias("x")).select("x.f", "x.r"))
-    names = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    return (with_place(docs, *names).join(first, ["f", "r"], "left_semi")
-            .select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns))))
+    return placed.join(first, ["f", "r"], "left_semi").select(*(F.col(k).alias(c) for c, k in at.items()))
