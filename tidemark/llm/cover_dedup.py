@@ -6,12 +6,14 @@ below 31 brings both onto the cover. Two equal windows therefore share an
 anchor that both documents hash, at the same place of the window, and 20 words
 from a shift of at most 30 lie inside the window's 50.
 
-Anchors that stand in two documents are found by one aggregate (the smallest
-and the largest id per hash, combined map-side, so a passage that stands in a
-third of the corpus costs a row per map task). Around those alone a document is
-extended: each window that holds a shared anchor is hashed once, by 128 bits
-over all its words, and goes if the smallest id of its hash is below its own.
-No pairs of documents are made; a window in n documents is n rows.
+Texts with the same words are found first, by a digest: all but the one with the
+smallest id go whole. Anchors that stand in two different texts are found by one
+aggregate (the smallest and the largest text per hash, combined map-side, so a
+passage that stands in a third of the corpus costs a row per map task). Around
+those alone a document is extended: each window that holds a shared anchor is
+hashed once, by 128 bits over all its words, and goes if the smallest id of its
+hash is below its own. No pairs of documents are made; a window in n documents
+is n rows.
 """
 
 from __future__ import annotations
@@ -88,24 +90,42 @@ def sent(columns: list[np.ndarray], kinds: tuple, names: list[str]):
         yield pa.RecordBatch.from_arrays([pa.array(c[i:i + ROWS_OUT], t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
 
+def whole_texts(rows: DataFrame, window: int) -> DataFrame:
+    """(f, r, doc, n, d1, d2): number of words and a digest of all of them, of every text that has a window."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for f, r, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = split(text)
+                if len(words) >= window:
+                    d = xxhash.xxh3_128_digest(b" ".join(words))
+                    out.append((f, r, doc, len(words), int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["f", "r", "doc", "n", "d1", "d2"])
+
+    return map_batches(rows.select("f", "r", "doc", "text").where("doc IS NOT NULL"), run, "f long, r long, doc long, n long, d1 long, d2 long")
+
+
 def anchor_table(rows: DataFrame, window: int) -> DataFrame:
-    """(h, doc, f, r, s): the anchors of every text that has a window."""
+    """(h, t, f, r, s): the anchors of every text that has a window; t tells whole texts apart."""
     size = window - PERIOD + 1
 
     def run(batches):
         for batch in batches:
             out = []
-            for f, r, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for f, r, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = split(text)
                 if len(words) < window:
                     continue
                 at = anchor_places(len(words), size)
                 h = rolling(word_hashes(words), size)[at].view(np.int64)
-                out.append((h, np.full(len(at), doc), np.full(len(at), f), np.full(len(at), r), at))
+                t = np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], np.uint64).view(np.int64)
+                out.append((h, np.full(len(at), t), np.full(len(at), f), np.full(len(at), r), at))
             if out:
-                yield from sent([np.concatenate(c) for c in zip(*out, strict=True)], (pa.int64(),) * 4 + (pa.int32(),), ["h", "doc", "f", "r", "s"])
+                yield from sent([np.concatenate(c) for c in zip(*out, strict=True)], (pa.int64(),) * 4 + (pa.int32(),), ["h", "t", "f", "r", "s"])
 
-    return map_batches(rows.select("f", "r", "doc", "text").where("doc IS NOT NULL"), run, "h long, doc long, f long, r long, s int")
+    return map_batches(rows.where("doc IS NOT NULL").select("f", "r", "text"), run, "h long, t long, f long, r long, s int")
 
 
 def window_table(rows: DataFrame, window: int) -> DataFrame:
@@ -127,13 +147,18 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """(f, r, starts array<int>) of the rows (f, r, doc, text) of which windows also start in a document with a smaller id."""
     if window < PERIOD + 1:
         raise ValueError(f"a window needs more than {PERIOD} words")
+    texts = written(whole_texts(rows, window))
+    least = texts.groupBy("d1", "d2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("d1", "d2", "low")
+    copies = written(texts.join(least, ["d1", "d2"]).where("doc > low").select("f", "r", "n"))
     anchors = anchor_table(rows, window)
-    shared = anchors.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("h")
-    around = written(anchors.select("h", "f", "r", "s").join(shared, "h").groupBy("f", "r").agg(F.collect_list("s").alias("anchors")))
+    shared = written(anchors.groupBy("h").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low < high").select("h"))
+    around = written(anchors.select("h", "f", "r", "s").join(shared, "h").groupBy("f", "r").agg(F.collect_list("s").alias("anchors"))
+                     .join(copies, ["f", "r"], "left_anti"))
     windows = written(window_table(rows.join(around, ["f", "r"]), window))
-    first = windows.groupBy("g1", "g2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("g1", "g2", "low")
+    first = written(windows.groupBy("g1", "g2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("g1", "g2", "low"))
     later = windows.join(first, ["g1", "g2"]).where("doc > low")
-    return written(later.groupBy("f", "r").agg(F.collect_list("s").alias("starts")))
+    parts = later.groupBy("f", "r").agg(F.collect_list("s").alias("starts"))
+    return written(parts.union(copies.select("f", "r", F.sequence(F.lit(0), (F.col("n") - window).cast("int")).alias("starts"))))
 
 
 def covered(starts: list[int] | None, n: int, window: int) -> np.ndarray:
