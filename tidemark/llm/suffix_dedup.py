@@ -172,15 +172,23 @@ def runs(at: np.ndarray) -> list[tuple[int, int]]:
 # ------------------------------------------------------------------ Spark jobs
 
 def region_table(docs: DataFrame) -> DataFrame:
+    """(f, r, s, n, h, d): the regions of each text; those that are the same bytes make one row, s lists their starts."""
     def run(batches):
         for batch in batches:
             f, r = np.array(batch.column(0)), np.array(batch.column(1))
             for text, start, size, h, d in regions([t or b"" for t in batch.column(2).to_pylist()]):
+                if not len(text):
+                    continue
+                order = np.lexsort((start, d, h, text))
+                text, start, size, h, d = (x[order] for x in (text, start, size, h, d))
+                new = np.append(True, (text[1:] != text[:-1]) | (h[1:] != h[:-1]) | (d[1:] != d[:-1]))
+                at = np.flatnonzero(new)
+                starts = pa.ListArray.from_arrays(pa.array(np.append(at, len(text)), pa.int32()), pa.array(start))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(f[text]), pa.array(r[text]), pa.array(start), pa.array(size), pa.array(h), pa.array(d)],
+                    [pa.array(f[text[at]]), pa.array(r[text[at]]), starts, pa.array(size[at]), pa.array(h[at]), pa.array(d[at])],
                     names=["f", "r", "s", "n", "h", "d"])
 
-    return map_batches(docs.select("f", "r", "text"), run, "f long, r long, s long, n long, h long, d long")
+    return map_batches(docs.select("f", "r", "text"), run, "f long, r long, s array<long>, n long, h long, d long")
 
 
 def fetched(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -286,10 +294,11 @@ def halved(regions: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, max_regions: int = MAX_REGIONS) -> DataFrame:
     """(f, r, spans array<struct<a, b>>) of the rows (f, r, text) of `docs` that have repeated bytes [a, b)."""
     table = written(region_table(docs))
-    twice = (table.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("d").alias("lo"), F.max("d").alias("hi")).where("c > 1")
-             .select("h", (F.col("lo") != F.col("hi")).alias("mixed")))
+    # written on its own: a join of two plain exchanges is what Spark can split at a very common hash
+    twice = written(table.groupBy("h").agg(F.sum(F.size("s")).alias("c"), F.min("d").alias("lo"), F.max("d").alias("hi")).where("c > 1")
+                    .select("h", (F.col("lo") != F.col("hi")).alias("mixed")))
     met = written(table.join(twice, "h"))
-    kinds = met.where("mixed").groupBy("h", "d").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("f", "r", "s", "n")).alias("one"))
+    kinds = met.where("mixed").groupBy("h", "d").agg(F.sum(F.size("s")).alias("copies"), F.min(F.struct("f", "r", F.col("s")[0].alias("s"), "n")).alias("one"))
     kinds = written(kinds.select("h", "d", "copies", "one.*"))
     many = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("copies").alias("least"))
     needed = (kinds.join(many.where("least = 1"), "h").select("h", "d", "copies", (F.col("kinds") > max_regions).alias("hot"), "f", "r", "s", "n"))
@@ -299,11 +308,20 @@ def repeated_spans(docs: DataFrame, max_regions: int = MAX_REGIONS) -> DataFrame
         shared = shared.union(halved(found.where("hot")))
     # where all regions of a hash have copies nothing was fetched
     plenty = kinds.join(many.where("least > 1").select("h"), "h").select("h", "d", F.lit(0).cast("long").alias("lo"), (F.col("n") - 1).alias("hi"))
-    shared = written(shared.union(plenty))
-    spans = (met.where("NOT mixed").select("f", "r", F.col("s").alias("a"), (F.col("s") + F.col("n") + LENGTH - 1).alias("b"))
-             .union(met.where("mixed").join(shared, ["h", "d"])
-                    .select("f", "r", (F.col("s") + F.col("lo")).alias("a"), (F.col("s") + F.col("hi") + LENGTH).alias("b"))))
-    return spans.groupBy("f", "r").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    # all runs of a region in one row, so that each of its copies meets one row
+    shared = written(shared.union(plenty).groupBy("h", "d").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
+    return written(spans_of(met, shared).groupBy("f", "r").agg(F.flatten(F.collect_list("own")).alias("spans")))
+
+
+def spans_of(met: DataFrame, shared: DataFrame) -> DataFrame:
+    """(f, r, own array<struct<a, b>>): at most one row per row of `met`, with its repeated bytes [a, b)."""
+    def span(s, lo, hi):
+        return F.struct((s + lo).alias("a"), (s + hi + LENGTH).alias("b"))
+
+    whole = met.where("NOT mixed").select("f", "r", F.transform("s", lambda s: span(s, F.lit(0), F.col("n") - 1)).alias("own"))
+    parts = met.where("mixed").join(shared, ["h", "d"]).select(
+        "f", "r", F.flatten(F.transform("s", lambda s: F.transform("runs", lambda x: span(s, x["lo"], x["hi"])))).alias("own"))
+    return whole.union(parts)
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
