@@ -1,9 +1,10 @@
 """Main text of web pages by line-block distribution.
 
 The markup is stripped into lines, one for each block of the page. A line's
-weight is the length of its text outside links; lines of containers that are
-never article text (menus, headers, footers, sidebars, notices, adverts, forms,
-comments ...) are left out first, so they make no dive. Weights are summed over
+weight is the length of its text outside links; lines of boilerplate containers
+(menus, headers, footers, sidebars, notices, adverts, forms, comments ...) are
+left out first, so they make no dive. A name alone makes no boilerplate: a
+container with most of the page's own text stays (see `boilerplate`). Weights are summed over
 sliding windows of the other lines. A surge is where the sum rises over the
 threshold, a dive where it falls to nothing; the text between a surge and its
 dive is kept. Lines of <article> and <main> that have text outside links weigh
@@ -45,6 +46,8 @@ NOTICES = ("ad ads advert adverts advertisement advertising sponsored sponsor pr
            "widget related recommended recommendations share sharing social newsletter subscribe subscription signup login search "
            "comment comments commentlist discussion replies reply respond disqus pagination pager toolbar skip copyright complementary "
            "contentinfo")
+# Those of them that name what readers write.
+COMMENTS = "comment comments commentlist discussion replies reply respond disqus"
 
 _RAW = frozenset(RAW.split())
 _VOID = frozenset(VOID.split())
@@ -53,6 +56,7 @@ _BOILER = frozenset(BOILERPLATE.split())
 _ARTICLE = frozenset(ARTICLE.split())
 _TEXT = frozenset(TEXT.split())
 _NOTICES = frozenset(NOTICES.split())
+_COMMENTS = frozenset(COMMENTS.split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</\s*([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
 _RAW_END = {name: re.compile(rf"</\s*{name}\s*[^>]*>", re.I) for name in _RAW}
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -62,22 +66,25 @@ _ABSENT = frozenset("has with no not without".split())  # "has-sidebar" names th
 _PART = re.compile(r"[^a-z0-9]+")
 
 
-def is_notice(attributes: str) -> bool:
-    """Whether class, id or role name a boilerplate container, or the element is hidden."""
-    if not attributes or attributes.isspace():
-        return False
+def doubt_of(name: str, attributes: str) -> str | None:
+    """Why an element is or may be boilerplate: `always` (hidden, or by its element), `comments` or `named` (a form, or by class, id or role); None if nothing says so."""
+    if name in _BOILER and name != "form" or _HIDDEN.search(attributes):
+        return "always"
+    found = "named" if name == "form" else None
     for _, a, b, c in _ATTRIBUTE.findall(attributes):
-        for name in (a or b or c).lower().split():
-            parts = _PART.split(name)
+        for word in (a or b or c).lower().split():
+            parts = _PART.split(word)
             if not _NOTICES.isdisjoint(parts) and _ABSENT.isdisjoint(parts):
-                return True
-    return _HIDDEN.search(attributes) is not None
+                if not _COMMENTS.isdisjoint(parts):
+                    return "comments"
+                found = "named"
+    return found
 
 
 class Line(NamedTuple):
     text: str
     plain: int  # characters outside links
-    out: bool  # in boilerplate
+    doubts: tuple[tuple[int, str], ...]  # elements around it that may be boilerplate, and why
     article: bool  # in an article element
     item: bool  # in a list item
     inside: tuple[int, ...]  # the block itself unless it is one of TEXT, and its container
@@ -85,7 +92,7 @@ class Line(NamedTuple):
 
 class Element(NamedTuple):
     name: str
-    out: bool  # boilerplate so far
+    doubts: tuple[tuple[int, str], ...]  # so far, the outermost first
     article: bool  # in an article so far
     link: bool
     item: bool  # in a list item so far
@@ -105,16 +112,16 @@ def lines(page: str) -> list[Line]:
         nonlocal plain
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out, article, item = (stack[-1].out, stack[-1].article, stack[-1].item) if stack else (False, False, False)
+            doubts, article, item = (stack[-1].doubts, stack[-1].article, stack[-1].item) if stack else ((), False, False)
             block = next((x for x in reversed(stack) if x.name not in _INLINE), None)
             inside = (0,) if block is None else (block.container,) if block.name in _TEXT else (block.number, block.container)
-            done.append(Line(text, min(plain, len(text)), out, article, item, inside))
+            done.append(Line(text, min(plain, len(text)), doubts, article, item, inside))
         parts.clear()
         plain = 0
 
     def pop_to(depth: int) -> None:
         """Closes elements down to `depth`; a change of block or of role ends the line."""
-        if any(x.name not in _INLINE for x in stack[depth:]) or (stack and stack[-1].out != (depth > 0 and stack[depth - 1].out)):
+        if any(x.name not in _INLINE for x in stack[depth:]) or (stack and stack[-1].doubts != (stack[depth - 1].doubts if depth > 0 else ())):
             close()
         del stack[depth:]
 
@@ -170,23 +177,50 @@ def lines(page: str) -> list[Line]:
                         break
                 while stack and stack[-1].name in _INLINE:  # inline elements do not reach over a block
                     stack.pop()
-            notice = name not in ("html", "body", *_ARTICLE) and (name in _BOILER or is_notice(m.group(3)))
-            out = notice or bool(stack and stack[-1].out)
+            before = stack[-1].doubts if stack else ()
+            why = None if name in ("html", "body", *_ARTICLE) else doubt_of(name, m.group(3))
             article = name in _ARTICLE or bool(stack and stack[-1].article)
-            if out != bool(stack and stack[-1].out):
+            if why:
                 close()
             if not m.group(3).rstrip().endswith("/"):
                 number += 1
+                doubts = (*before, (number, why)) if why else before
                 around = stack[-1] if stack else None
                 container = 0 if around is None else around.container if around.name in _INLINE or around.name in _TEXT else around.number
                 link = name == "a" and _HREF.search(m.group(3)) is not None
-                stack.append(Element(name, out, article, link, name == "li" or bool(around and around.item), number, container))
+                stack.append(Element(name, doubts, article, link, name == "li" or bool(around and around.item), number, container))
         elif m.group(0).startswith("<!") or m.group(0).startswith("<?"):
             continue
     close()
     return done
 
 
+def boilerplate(found: list[Line], width: int, threshold: float) -> list[bool]:
+    """Which lines lie in boilerplate: a name gives a container doubt, its share of the page's text decides.
+
+    A doubted container that holds most of the page's text outside links, the
+    threshold at least, is none if the lines beside all doubted containers do
+    not surge. If they do, only an article in it (that is no reader's comment)
+    can clear it, and only while none stands outside. Hidden elements and
+    those that are boilerplate by their element (nav, footer ...) always are.
+    """
+    total = sum(x.plain for x in found if all(why != "always" for _, why in x.doubts))
+    inside: dict[tuple[int, str], list[Line]] = {}
+    for x in found:
+        for d in x.doubts:
+            inside.setdefault(d, []).append(x)
+    beside = [x for x in found if not x.doubts]
+    surges = between_surges(np.array([float(x.plain) for x in beside]), width, threshold).any()
+    outside = any(x.article and x.plain for x in beside)
+    cleared = set()
+    for d, own in inside.items():
+        held = sum(x.plain for x in own if all(why != "always" for _, why in x.doubts))
+        if d[1] != "always" and held >= threshold and 2 * held > total:
+            if not surges and not outside or d[1] != "comments" and not outside and any(x.article and x.plain for x in own):
+                cleared.add(d)
+    return [any(d not in cleared for d in x.doubts) for x in found]
+
+
 def between_surges(weights: np.ndarray, width: int = 3, threshold: float = 1.0) -> np.ndarray:
     """Lines between a surge and its dive: windows of `width` lines that start there and sum up to `threshold` or more.
 
@@ -242,7 +276,8 @@ def main_text(page: str | None, width: int = 3, threshold: float = 80.0) -> str:
     a line of an article that has any weighs `threshold` more. If no window
     does, all lines that are not boilerplate are kept.
     """
-    found = [x for x in lines(page or "") if not x.out]
+    found = lines(page or "")
+    found = [x for x, out in zip(found, boilerplate(found, width, threshold), strict=True) if not out]
     weights = np.array([float(x.plain) for x in found])
     inside = np.array([x.article for x in found], bool)
     keep = np.zeros(len(found), bool)
