@@ -74,11 +74,44 @@ def test_repeated_keys_in_a_batch(spark, tmp_root):
     assert [(r.k, r.v) for r in t.read().collect()] == [("a", 3)]
 
 
-def test_changed_type_is_an_error(spark, tmp_root):
+def test_changed_type_becomes_the_common_one(spark, tmp_root):
     t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
-    t.merge(_batch(spark, [("a", 1, T1)]))
+    t.merge(_batch(spark, [(f"a{i}", i, T1) for i in range(50)]))
+    before = set(t.files())
+    t.merge(_batch(spark, [("b", 2, T2)]).withColumn("v", F.lit("2.50").cast("decimal(6,2)")))
+    assert t.read().schema["v"].dataType.simpleString() == "decimal(12,2)"
+    t.merge(_batch(spark, [("c", 3, T2), ("a7", 70, T2)]).withColumn("v", F.concat(F.lit("x"), F.col("v"))))
+    t.merge(_batch(spark, [("d", 4, T2)]))  # a narrower batch is widened
+    got = {r.k: r.v for r in t.read().collect()}
+    assert (got["a3"], got["a7"], got["b"], got["c"], got["d"]) == ("3.00", "x70", "2.50", "x3", "4") and len(got) == 53
+    assert before <= set(t.files())
     with pytest.raises(ValueError):
-        t.merge(_batch(spark, [("a", 1, T1)]).withColumn("v", F.col("v").cast("string")))
+        t.merge(_batch(spark, [("a", 1, T1)]).withColumn("v", F.array("v")))
+    t.merge(_batch(spark, [(f"z{i}", i, T2) for i in range(60)]))  # folds: no value changes
+    assert not before & set(t.files()) and {r.k: r.v for r in t.read().collect()}.items() >= got.items()
+    t.merge(_batch(spark, [("y", 1, T2)]).drop("v"))
+    t.merge(_batch(spark, [("y", 1, T2)]))  # a column that went and came back is new
+    assert t.read().filter("v IS NOT NULL").count() == 1
+
+
+def test_key_that_changes_its_type(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], "t")
+    t.merge(spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("old").alias("v")))
+    t.merge(spark.createDataFrame([("7", "new"), ("x", "new")], "k string, v string"))
+    got = {r.k: r.v for r in t.read().collect()}
+    assert len(got) == 101 and got["7"] == "new" and got["8"] == "old"
+
+
+@pytest.mark.parametrize("a, b, want", [
+    ("int", "bigint", "bigint"), ("int", "decimal(4,2)", "decimal(12,2)"), ("decimal(38,0)", "decimal(10,5)", "string"), ("bigint", "double", "double"),
+    ("date", "timestamp_ntz", "timestamp_ntz"), ("boolean", "string", "string"), ("date", "int", None), ("array<int>", "string", None)])
+def test_common_type(spark, a, b, want):
+    from pyspark.sql import types as T
+
+    from tidemark.functions.common_type import common_type
+    x, y = (T.StructType.fromDDL(f"c {t}")["c"].dataType for t in (a, b))
+    for got in (common_type(x, y), common_type(y, x)):
+        assert (got and got.simpleString()) == want
 
 
 def test_watermark_filter(spark):
@@ -120,23 +153,87 @@ def test_insert_only_batch_appends_without_rewriting(spark, tmp_root):
     assert set(before) < set(t.files()) and t.read().count() == 80
 
 
-def test_updates_rewrite_few_files_and_a_new_column_none(spark, tmp_root):
-    """100 neighbouring keys of 20,000 rows lie in few of the ranged files."""
-    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
+def _many_files(spark, table, rows, n):
     old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
-    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    t.merge(spark.range(20_000).select(F.format_string("%06d", "id").alias("k"), F.col("id").cast("int").alias("v"), F.lit(T1).alias("_loaded_at")))
+    table.merge(rows)
     for c, v in old.items():
         spark.conf.set(c, v)
+
+
+def _keyed(spark, ids, v, ts):
+    """Keys are digests, as in the models: every batch is scattered over the whole key range."""
+    return spark.createDataFrame([(i,) for i in ids], "i int").select(F.md5(F.col("i").cast("string")).alias("k"), F.lit(v).alias("v"), F.lit(ts).alias("_loaded_at"))
+
+
+def test_scattered_updates_rewrite_nothing(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
+    _many_files(spark, t, _keyed(spark, range(20_000), 0, T1), 50)
     before = set(t.files())
+    assert len(before) >= 40
+    t.merge(_keyed(spark, range(0, 20_000, 200), 1, T2))  # 0.5 % scattered re-deliveries
+    assert before < set(t.files())
+    assert t.read().count() == 20_000 and t.read().filter("v = 1").count() == 100
+    t.merge(_keyed(spark, range(0, 20_000, 400), 2, T2).withColumn("extra", F.lit("x")))
+    assert before < set(t.files()) and t.read().filter("v = 2 AND extra = 'x'").count() == 50
+    assert t.read().filter("v = 1").count() == 50 and t.read().filter("extra IS NULL").count() == 19_950
+    assert t.changes(1).count() == 100 and t.changes(2).count() == 50 and t.changes(3).count() == 0
+
+
+def test_files_stay_bounded_over_thirty_days(spark, tmp_root):
+    """New rows and re-deliveries every day: parts are folded by size, and each day reads as if all had been rewritten."""
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
+    want, most = {}, 0
+    for day in range(30):
+        ids = [*range(day * 100, day * 100 + 100), *range(day % 7, day * 100, 97)]
+        t.merge(_keyed(spark, ids, day, T1))
+        want.update({i: day for i in ids})
+        most = max(most, len(t._manifest().parts))
+    assert most <= 6 and len(t.files()) <= 20
+    got = sorted((r.v, r.n) for r in t.read().groupBy("v").agg(F.count("*").alias("n")).collect())
+    assert got == sorted((v, list(want.values()).count(v)) for v in set(want.values()))
+
+
+def test_disjoint_parts_stay_bounded_too(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
+    for day in range(16):
+        t.merge(spark.range(day * 10, day * 10 + 10).select(F.format_string("%06d", "id").alias("k"), F.lit(day).alias("v"), F.lit(T1).alias("_loaded_at")))
+    assert len(t._manifest().parts) <= 12 and t.read().count() == 160
+
+
+def test_neighbouring_updates_leave_other_files_out_of_the_join(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
+    rows = spark.range(20_000).select(F.format_string("%06d", "id").alias("k"), F.col("id").cast("int").alias("v"), F.lit(T1).alias("_loaded_at"))
+    _many_files(spark, t, rows, 40)
     t.merge(spark.range(5000, 5100).select(F.format_string("%06d", "id").alias("k"), F.lit(-1).alias("v"), F.lit(T2).alias("_loaded_at")))
-    assert len(before) >= 30 and 0 < len(before - set(t.files())) < 0.1 * len(before)
+    base, new = t._manifest().parts
+    spans = t._spans(new.files.values())
+    assert 0 < sum(t._meets(r, spans) for r in base.files.values()) <= 0.1 * len(base.files)
     assert t.read().count() == 20_000 and t.read().filter("v = -1").count() == 100
-    now = set(t.files())
-    t.merge(spark.createDataFrame([("x", 1, T2, "new")], "k string, v int, _loaded_at timestamp, extra string").select(
-        "k", "v", F.col("_loaded_at").cast(t.read().schema["_loaded_at"].dataType), "extra"))
-    assert now < set(t.files()) and t.read().filter("extra IS NULL").count() == 20_000
+
+
+def test_counters_describe_the_live_rows_or_nothing(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"], counters={"null v": F.count_if(F.col("v").isNull())})
+    t.merge(_batch(spark, [(f"k{i}", None if i < 3 else i, T1) for i in range(100)]))
+    assert t.counters() == {"null v": 3}
+    t.merge(_batch(spark, [("k1", 1, T2)]))
+    assert t.counters() is None  # two parts: a row of the first is replaced
+    t.merge(_batch(spark, [(f"n{i}", i, T2) for i in range(100)]))
+    assert t.counters() == {"null v": 2}  # folded into one
+
+
+def test_batch_log(spark, tmp_root):
+    from tidemark.plans.incremental import unread
+    t = VersionedTable(spark, f"{tmp_root}/t", ["k"])
+    raw = _batch(spark, [("a", 1, T1), ("b", 2, T1)]).withColumn("_batch", F.concat(F.lit("s_"), F.col("k")))
+    rows, ids = unread(raw.filter("k = 'a'"), t)
+    assert ids == ["s_a"]
+    t.merge(rows.drop("_batch"), processed=ids)
+    rows, ids = unread(raw, t)  # loaded under the same load time, after the models ran
+    assert ids == ["s_b"] and [r.k for r in rows.collect()] == ["b"]
+    t.merge(rows.drop("_batch"), processed=ids)
+    assert unread(raw, t)[1] == [] and unread(raw, t)[0].count() == 0 and t.read().count() == 2
 
 
 def test_no_job_runs_while_the_flag_is_planned(spark):

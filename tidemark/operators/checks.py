@@ -121,10 +121,34 @@ def _row_failure(ck: Check) -> F.Column:
     return cond
 
 
-def run_checks(spark: SparkSession, models: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
-    """Evaluate `checks` over the given model DataFrames -> one row per check."""
+def _counter(ck: Check) -> str:
+    return f"{ck.kind} {ck.column}"
+
+
+def row_counters(model: str) -> dict[str, F.Column]:
+    """The failures of a model's row checks as aggregates, to be observed while the model is written."""
+    return {_counter(c): F.count_if(_row_failure(c)) for c in declared_checks() if c.model == model and c.kind in ("not_null", "accepted_values")}
+
+
+def run_checks(spark: SparkSession, models: dict[str, DataFrame], checks: list[Check] | None = None,
+               observed: dict[str, dict] | None = None, kept_unique: dict[str, str] | None = None) -> DataFrame:
+    """Evaluate `checks` over the given model DataFrames -> one row per check.
+
+    observed: by model, what `row_counters` gave while its live rows were
+    written; these checks need no scan. kept_unique: by model the column that
+    the merge keeps unique (its key among the rows checked; a merge counts the
+    rows per key of each batch and reading drops older rows of a key), so
+    that check needs none either.
+    """
     checks = [c for c in (checks or declared_checks()) if c.model in models]
+    known = [(c.model, c.column, c.kind, c.severity, n) for c in checks
+             if (n := (observed or {}).get(c.model, {}).get(_counter(c)) if c.kind in ("not_null", "accepted_values")
+                 else 0 if c.kind == "unique" and (kept_unique or {}).get(c.model) == c.column else None) is not None]
+    done = {k[:3] for k in known}
+    checks = [c for c in checks if (c.model, c.column, c.kind) not in done]
     parts: list[DataFrame] = []
+    if known:
+        parts.append(spark.createDataFrame(known, "model string, column_name string, check string, severity string, failures bigint"))
     by_model: dict[str, list[Check]] = {}
     for ck in checks:
         by_model.setdefault(ck.model, []).append(ck)

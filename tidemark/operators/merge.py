@@ -1,31 +1,34 @@
-"""Incremental sinks (I1-I3, B5) on plain Parquet.
+"""Incremental sinks (I1-I3, B5) on plain Parquet: merge on read.
 
 Plain Parquet has no MERGE, and Spark will not overwrite a path it is reading.
-A target table is therefore a set of immutable files plus a manifest:
-
-    <table>/data/<attempt>/new/part-*.parquet    rows of one merge
-    <table>/data/<attempt>/kept/part-*.parquet   rows that stay of files it rewrote
-    <table>/_manifest/v=<n>/part-*.parquet       live files with their key ranges, schema, watermark
-
-A merge
-
-1. writes the batch once, ranged by the key (this write *is* the new part);
-   every attempt has a folder of its own, so what a crashed one left behind is
-   never read;
-2. takes the live files whose key range meets the range of a new file, and
-   finds those that hold keys of the batch by a semi-join on the key columns
-   (column pruning: the rest of the table is not read);
-3. writes what stays of those files, and of no others, as one more part
-   (keep-existing mode rewrites nothing: it drops the batch's rows instead);
-4. commits manifest n. Readers follow the newest committed manifest (a
-   `_SUCCESS` marker), so a crash before the commit leaves the previous version
-   readable, and replaying a batch gives the same table.
+A target table is a list of parts, oldest first, and a manifest:
+
+    <table>/data/<attempt>/<step>/part-*.parquet   files of one part
+    <table>/_manifest/v=<n>/part-*.parquet         live files: part, key range, rows; schemas, watermark, counters
+    <table>/_batches/v=<n>/part-*.parquet          source batches that version n took in
+
+A merge writes its batch once, ranged by the key, as a newer part, and rewrites
+nothing that is there: a row of an older part whose key stands in a newer one is
+dropped when the table is read, by an anti-join on the key columns. Files whose
+key range meets no newer file's are read without it.
+
+Parts are folded into one by size: when the parts after some part hold more than
+a quarter of its rows and meet its key ranges (or there are over `MAX_PARTS`
+parts), they become one part with it. So a table has few parts, each row is
+rewritten some log(N) times in its life, and reading costs joins with at most a
+quarter of the rows.
+
+Every attempt writes to a folder of its own and the manifest is committed last
+(a `_SUCCESS` marker), so a crash leaves the previous version readable, what it
+left behind is never read, and replaying a batch gives the same table.
 
 A batch has one row per key: with `order` the last one in that order is taken,
 without it a repeated key is an error before anything is committed. A column
-that the batch adds reads as NULL in older files, one that it lacks is no
-longer read; neither rewrites a file. A changed type is an error. Only the
-manifest (a row per file) reaches the driver.
+that the batch adds reads as NULL in older parts, one that it lacks is no longer
+read; a changed type becomes the common type (functions/common_type.py), to
+which each part is cast when it is read. None of them rewrites a file. Every row
+carries the version that brought it, so `changes(v)` are the rows newer than v.
+Only the manifest (a row per file) reaches the driver.
 """
 
 from __future__ import annotations
@@ -33,111 +36,264 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from bisect import bisect_right
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_MANIFEST_SCHEMA = "path string, lo string, hi string, schema string, watermark string"
+from tidemark.functions.common_type import common_type
+
+#: Column of the files (reserved): the version that brought the row.
+VERSION = "_merged_version"
+#: Parts are folded into an older one when they hold more than one row for so many of its rows.
+FOLD = 4
+#: More parts are folded by size even if no key range meets another's.
+MAX_PARTS = 12
+_MANIFEST_SCHEMA = "part int, path string, lo string, hi string, n bigint, since int, new_keys boolean, schema string, watermark string, counters string"
+
+
+@dataclass(frozen=True)
+class Part:
+    """Files of one part with their key ranges. since: the schema of the table's history that it was written under.
+    new_keys: none of its keys stands in an older part."""
+    files: dict
+    schema: T.StructType
+    rows: int
+    since: int = 0
+    new_keys: bool = False
+    counters: dict | None = None
+
+
+@dataclass(frozen=True)
+class Manifest:
+    version: int
+    parts: tuple
+    history: tuple  # every schema that the table has had; the last one counts
+    watermark: str | None
+
+    @property
+    def schema(self) -> T.StructType:
+        return self.history[-1]
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], watermark_column: str = "_loaded_at"):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], watermark_column: str = "_loaded_at",
+                 counters: dict[str, Column] | None = None):
+        """counters: aggregates that are observed while a part is written (see `counters`)."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.watermark_column = watermark_column
+        self.observed = counters or {}
         self._cached = None
 
     # -- manifest -----------------------------------------------------------
-    def _manifest(self):
-        """Newest committed manifest: (version, {file: (lowest key, highest key)}, schema, watermark)."""
+    def _manifest(self) -> Manifest:
+        """Newest committed manifest; version 0 without parts if there is none."""
         if self._cached is not None:
             return self._cached
         versions = [v for v in _child_values(self.spark, f"{self.path}/_manifest", "v")
                     if _exists(self.spark, f"{self.path}/_manifest/v={v}/_SUCCESS")]
         if not versions:
-            return None
-        latest = max(versions)
-        rows = self.spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{self.path}/_manifest/v={latest}").collect()
-        head = next(r for r in rows if r["path"] is None)
-        files = {r["path"]: (r["lo"], r["hi"]) for r in sorted((r for r in rows if r["path"]), key=lambda r: r["path"])}
-        self._cached = (latest, files, T.StructType.fromJson(json.loads(head["schema"])), head["watermark"])
+            return Manifest(0, (), (), None)
+        rows = self.spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{self.path}/_manifest/v={max(versions)}").collect()
+        head = next(r for r in rows if r["part"] is None)
+        parts = []
+        for p in sorted({r["part"] for r in rows if r["part"] is not None}):
+            own = next(r for r in rows if r["part"] == p and r["path"] is None)
+            files = {r["path"]: (r["lo"], r["hi"]) for r in sorted((r for r in rows if r["part"] == p and r["path"]), key=lambda r: r["path"])}
+            parts.append(Part(files, T.StructType.fromJson(json.loads(own["schema"])), own["n"], own["since"], own["new_keys"], json.loads(own["counters"])))
+        history = tuple(T.StructType.fromJson(x) for x in json.loads(head["schema"]))
+        self._cached = Manifest(max(versions), tuple(parts), history, head["watermark"])
         return self._cached
 
     def exists(self) -> bool:
-        return self._manifest() is not None
+        return self.version() > 0
 
-    def _scan(self, files, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in files])
-
-    def read(self) -> DataFrame:
-        man = self._manifest()
-        if man is None:
-            raise FileNotFoundError(f"no committed version under {self.path}")
-        _, files, schema, _ = man
-        return self._scan(files, schema) if files else self.spark.createDataFrame([], schema)
+    def version(self) -> int:
+        return self._manifest().version
 
     def files(self) -> list[str]:
         """Paths of the live files, relative to the table."""
-        man = self._manifest()
-        return [] if man is None else list(man[1])
+        return [f for p in self._manifest().parts for f in p.files]
 
     def watermark(self, column: str | None = None):
         """max(watermark column) of the target, or None when it is missing or
         empty (V14). Recorded in the manifest at commit, so reading it costs
         no scan of the table."""
-        man = self._manifest()
-        if man is None:
-            return None
         if column not in (None, self.watermark_column):
-            return self.read().agg(F.max(column)).first()[0]
-        return man[3]
+            return self.read().agg(F.max(column)).first()[0] if self.exists() else None
+        return self._manifest().watermark
+
+    def counters(self) -> dict | None:
+        """What was observed while the table was written, if that describes the live rows: it is one part. None otherwise."""
+        man = self._manifest()
+        return man.parts[0].counters if len(man.parts) == 1 else None
+
+    def processed(self) -> DataFrame:
+        """`_batch`: the source batches that the committed versions took in."""
+        done = [v for v in _child_values(self.spark, f"{self.path}/_batches", "v") if v <= self.version()]
+        if not done:
+            return self.spark.createDataFrame([], "_batch string")
+        return self.spark.read.schema("_batch string").parquet(*[f"{self.path}/_batches/v={v}" for v in done]).distinct()
+
+    # -- read ---------------------------------------------------------------
+    def read(self) -> DataFrame:
+        """The newest row of each key."""
+        return self._live(self._known().parts, self._known().history).drop(VERSION)
+
+    def changes(self, since: int) -> DataFrame:
+        """The live rows that a version after `since` brought (parts without one are not read)."""
+        return self._live(self._known().parts, self._known().history, F.col(VERSION) > since).drop(VERSION)
+
+    def _known(self) -> Manifest:
+        man = self._manifest()
+        if not man.version:
+            raise FileNotFoundError(f"no committed version under {self.path}")
+        return man
+
+    def _live(self, parts: Sequence[Part], history: Sequence[T.StructType], condition: Column | None = None) -> DataFrame:
+        """Rows of the parts (with the version) that no newer part replaces; `condition` goes to the scans."""
+        out, key_type = [], history[-1][self.keys[0]].dataType
+        for i, part in enumerate(parts):
+            newer = [p for p in parts[i + 1:] if not p.new_keys]
+            spans = self._spans([r for p in newer for r in self._ranges(p, key_type).values()])
+            ranges = self._ranges(part, key_type)
+            met = [f for f, r in ranges.items() if self._meets(r, spans)]
+            alone = sorted(set(part.files) - set(met))
+            if alone:
+                out.append(self._scan(part, history, alone, condition))
+            if met:
+                taken = self._keys_near(newer, [ranges[f] for f in met], history)
+                out.append(self._scan(part, history, met, condition).join(taken, self.keys, "left_anti"))
+        return self._union(out, T.StructType([*history[-1].fields, T.StructField(VERSION, T.LongType())]))
+
+    def _keys_near(self, parts: Sequence[Part], ranges: list, history: Sequence[T.StructType]) -> DataFrame:
+        """Keys of the files of the parts whose key range meets one of `ranges`."""
+        spans, out = self._spans(ranges), []
+        for p in parts:
+            own = [f for f, r in self._ranges(p, history[-1][self.keys[0]].dataType).items() if self._meets(r, spans)]
+            if own:
+                out.append(self._scan(p, history, own).select(*self.keys))
+        return self._union(out, T.StructType([history[-1][k] for k in self.keys]))
+
+    def _union(self, parts: list[DataFrame], schema: T.StructType) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        full = parts[0]
+        for df in parts[1:]:
+            full = full.unionByName(df)
+        return full
+
+    def _ranges(self, part: Part, key_type: T.DataType) -> dict:
+        """Key range by file, as text; a key that was stored as another type may stand anywhere."""
+        if part.schema[self.keys[0]].dataType == key_type:
+            return part.files
+        return {f: ("", chr(0x10FFFF)) for f in part.files}
+
+    @staticmethod
+    def _spans(ranges) -> list[tuple[str, str]]:
+        """The ranges in order, those that overlap as one."""
+        out: list[tuple[str, str]] = []
+        for lo, hi in sorted(ranges):
+            if out and lo <= out[-1][1]:
+                out[-1] = (out[-1][0], max(hi, out[-1][1]))
+            else:
+                out.append((lo, hi))
+        return out
+
+    @staticmethod
+    def _meets(r: tuple[str, str], spans: list[tuple[str, str]]) -> bool:
+        at = bisect_right(spans, r[1], key=lambda s: s[0]) - 1
+        return at >= 0 and spans[at][1] >= r[0]
+
+    def _scan(self, part: Part, history: Sequence[T.StructType], files=None, condition: Column | None = None) -> DataFrame:
+        """Files of one part (all if not told) with the columns of the newest schema.
+
+        The values pass through every schema that the table has had since the
+        part was written, as if each change had rewritten it: cast to the
+        types, NULL where a column is new. So folding changes no value.
+        """
+        df = (self.spark.read.schema(T.StructType([*part.schema.fields, T.StructField(VERSION, T.LongType())]))
+              .parquet(*[f"{self.path}/{f}" for f in files or part.files]))
+        if condition is not None:
+            df = df.where(condition)
+        values = {f.name: (F.col(f.name), f.dataType) for f in part.schema.fields}
+        for schema in history[part.since:]:
+            values = {f.name: values[f.name] if f.name in values and values[f.name][1] == f.dataType
+                      else (values.get(f.name, (F.lit(None), None))[0].cast(f.dataType), f.dataType) for f in schema.fields}
+        return df.select(*[c.alias(name) for name, (c, _) in values.items()], VERSION)
 
     # -- merge --------------------------------------------------------------
-    def merge(self, batch: DataFrame, keep_existing: bool = False, order: Sequence[str] | None = None) -> int:
+    def merge(self, batch: DataFrame, keep_existing: bool = False, order: Sequence[str] | None = None,
+              processed: Sequence[str] = ()) -> int:
         """Upsert `batch` on the key: matched rows replaced, new rows inserted.
 
         keep_existing=True keeps the target's row for keys it already has
-        (earliest load wins) and inserts only new keys.
-        Returns the committed version number.
+        (earliest load wins) and inserts only new keys. `processed` names the
+        source batches that this one takes in. Returns the committed version.
         """
         man = self._manifest()
-        version, files, old_schema, old_wm = (0, {}, None, None) if man is None else man
-        if old_schema is not None:
-            self._check_types(old_schema, batch.schema)
-        if order:
-            batch = self._last_rows(batch, order)
-        attempt = f"data/{version + 1}-{uuid.uuid4().hex}"
-        new, new_wm = self._write(batch, f"{attempt}/new")
-        if not order and self._scan(new, batch.schema).groupBy(*self.keys).count().where("count > 1").limit(1).count():
-            raise ValueError(f"the batch repeats keys of {self.path}; give the order that picks one row")
-        met = self._files_with_keys(files, new, batch.schema)
-        if met and keep_existing:
-            live = self._scan(met, batch.schema).select(*self.keys)
-            new, _ = self._write(self._scan(new, batch.schema).join(live, self.keys, "left_anti"), f"{attempt}/kept")
-            met = []
-        kept = {}
-        if met:
-            taken = self._scan(new, batch.schema).select(*self.keys)
-            kept, _ = self._write(self._scan(met, batch.schema).join(taken, self.keys, "left_anti"), f"{attempt}/kept")
-        live = {f: r for f, r in files.items() if f not in set(met)} | kept | new
-        wms = [w for w in (old_wm, new_wm) if w is not None]
-        self._commit(version + 1, live, batch.schema, max(wms) if wms else None)
-        return version + 1
-
-    def _commit(self, version: int, files: dict, schema: T.StructType, watermark: str | None) -> None:
-        rows = [(None, None, None, json.dumps(schema.jsonValue()), watermark)] + [(f, lo, hi, None, None) for f, (lo, hi) in files.items()]
+        version = man.version + 1
+        history = self._synced(man.history, batch.schema)
+        since = len(history) - 1
+        attempt = f"data/{version}-{uuid.uuid4().hex}"
+        part, mark, repeats = self._write(batch.withColumn(VERSION, F.lit(version).cast("bigint")), f"{attempt}/new", since)
+        if repeats:
+            if not order:
+                raise ValueError(f"the batch repeats keys of {self.path}; give the order that picks one row")
+            part, mark, _ = self._write(self._last_rows(self._scan(part, history), order), f"{attempt}/last", since)
+        if keep_existing and man.parts and part.files:
+            live = self._keys_near(man.parts, list(self._ranges(part, history[-1][self.keys[0]].dataType).values()), history)
+            part, mark, _ = self._write(self._scan(part, history).join(live, self.keys, "left_anti"), f"{attempt}/added", since)
+            part = replace(part, new_keys=True)
+        parts = [*man.parts, *([part] if part.rows else [])]
+        first = self._foldable(parts, history)
+        if first is not None:
+            folded, _, _ = self._write(self._live(parts[first:], history), f"{attempt}/folded", since)
+            parts = [*parts[:first], replace(folded, new_keys=all(p.new_keys for p in parts[first:]))]
+        marks = [w for w in (man.watermark, mark) if w is not None]
+        if processed:
+            (self.spark.createDataFrame([(b,) for b in processed], "_batch string").coalesce(1).write
+             .option("partitionOverwriteMode", "static").mode("overwrite").parquet(f"{self.path}/_batches/v={version}"))
+        self._commit(Manifest(version, tuple(parts), history, max(marks) if marks else None))
+        return version
+
+    def _foldable(self, parts: Sequence[Part], history: Sequence[T.StructType]) -> int | None:
+        """The first part that the ones after it have outgrown and must be joined with, or that makes too many parts."""
+        key_type = history[-1][self.keys[0]].dataType
+        for i, part in enumerate(parts[:-1]):
+            newer = parts[i + 1:]
+            if FOLD * sum(p.rows for p in newer) > part.rows:
+                spans = self._spans([r for p in newer if not p.new_keys for r in self._ranges(p, key_type).values()])
+                if len(parts) > MAX_PARTS or any(self._meets(r, spans) for r in self._ranges(part, key_type).values()):
+                    return i
+        return None
+
+    def _commit(self, man: Manifest) -> None:
+        rows = [(None, None, None, None, None, None, None, json.dumps([x.jsonValue() for x in man.history]), man.watermark, None)]
+        for i, p in enumerate(man.parts):
+            rows.append((i, None, None, None, p.rows, p.since, p.new_keys, p.schema.json(), None, json.dumps(p.counters)))
+            rows += [(i, f, lo, hi, None, None, None, None, None, None) for f, (lo, hi) in p.files.items()]
         (self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1).write.option("partitionOverwriteMode", "static")
-         .mode("overwrite").parquet(f"{self.path}/_manifest/v={version}"))
+         .mode("overwrite").parquet(f"{self.path}/_manifest/v={man.version}"))
         self._cached = None
 
-    def _check_types(self, old: T.StructType, new: T.StructType) -> None:
+    def _synced(self, history: tuple, new: T.StructType) -> tuple:
+        """The history with the columns of the batch, if they differ; a column whose type changed gets the common type."""
+        old = history[-1] if history else T.StructType()
+        fields = []
         for f in new.fields:
-            if f.name in old.names and old[f.name].dataType != f.dataType:
-                raise ValueError(f"{self.path}: the type of {f.name} changed from {old[f.name].dataType.simpleString()} "
-                                 f"to {f.dataType.simpleString()}")
+            kind = common_type(old[f.name].dataType, f.dataType) if f.name in old.names else f.dataType
+            if kind is None:
+                raise ValueError(f"{self.path}: {f.name} changed from {old[f.name].dataType.simpleString()} to {f.dataType.simpleString()}, "
+                                 "which have no common type")
+            fields.append(T.StructField(f.name, kind, True, f.metadata))
+        schema = T.StructType(fields)
+        return history if history and schema == old else (*history, schema)
 
     def _last_rows(self, batch: DataFrame, order: Sequence[str]) -> DataFrame:
         """One row per key: the last by `order`, then by all columns; a partial aggregate, so a repeated key gathers nowhere."""
@@ -147,28 +303,31 @@ class VersionedTable:
         last = batch.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
         return last.select(*[F.col(c) if c in self.keys else F.col(f"_row.{c}").alias(c) for c in batch.columns])
 
-    def _files_with_keys(self, files: dict, new: dict, schema: T.StructType) -> list[str]:
-        """Live files that hold a key of the new files; only those whose key range meets one of theirs are read."""
-        near = [f for f, (lo, hi) in files.items() if any(a <= hi and lo <= b for a, b in new.values())]
-        if not near:
-            return []
-        taken = self._scan(new, schema).select(*self.keys)
-        found = (self._scan(near, schema).select(*self.keys, F.col("_metadata.file_path").alias("_file"))
-                 .join(taken, self.keys, "left_semi").select("_file").distinct().collect())  # a row per file
-        return [self._relative(r["_file"]) for r in found]
-
     def _relative(self, file: str) -> str:
         return file[file.rindex("/data/") + 1:]
 
-    def _write(self, df: DataFrame, path: str) -> tuple[dict, str | None]:
-        """Writes `df` ranged by the key. Returns the files with their key ranges, and the highest watermark as text."""
-        df.repartitionByRange(*self.keys).write.mode("error").parquet(f"{self.path}/{path}")
+    def _write(self, df: DataFrame, path: str, since: int) -> tuple[Part, str | None, bool]:
+        """Writes `df` ranged by the key. Returns the part, the highest watermark as text, and whether a key repeats.
+
+        Counters are observed by the write itself. Equal keys lie in one file,
+        so one aggregate over the key columns gives ranges, rows and repeats.
+        """
+        stored = T.StructType([f for f in df.schema.fields if f.name != VERSION])
+        seen = Observation() if self.observed else None
+        ranged = df.repartitionByRange(*self.keys)
+        if seen is not None:
+            ranged = ranged.observe(seen, *[c.alias(name) for name, c in self.observed.items()])
+        ranged.write.mode("error").parquet(f"{self.path}/{path}")
         key = F.col(self.keys[0]).cast("string")
         mark = F.max(self.watermark_column).cast("string") if self.watermark_column in df.columns else F.lit(None).cast("string")
         rows = (self.spark.read.schema(df.schema).parquet(f"{self.path}/{path}")
-                .groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"), mark.alias("wm")).collect())
+                .groupBy(F.col("_metadata.file_path").alias("f"), *self.keys).agg(F.count(F.lit(1)).alias("n"), mark.alias("wm"))
+                .groupBy("f").agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.sum("n").alias("n"), F.max("n").alias("most"), F.max("wm").alias("wm")).collect())
         marks = [r["wm"] for r in rows if r["wm"] is not None]
-        return {self._relative(r["f"]): (r["lo"] or "", r["hi"] or "") for r in rows}, max(marks) if marks else None
+        files = {self._relative(r["f"]): (r["lo"] or "", r["hi"] or "") for r in rows}
+        counters = None if seen is None else {name: int(n or 0) for name, n in seen.get.items()}
+        return (Part(files, stored, sum(r["n"] for r in rows), since, counters=counters), max(marks) if marks else None,
+                any(r["most"] > 1 for r in rows))
 
 
 def _fs(spark: SparkSession, path: str):

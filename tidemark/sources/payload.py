@@ -164,21 +164,22 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
     The XML branch and the JSON branch each see only their own clients, so a
     RAW table partitioned by client_id is pruned per branch.
     """
+    keep = [c for c in (*_KEEP, "_batch") if c in raw.columns]
     fmt = {s.client_id: s.fmt for s in C.PAYLOAD_SOURCES}
     xml_clients = [c for c, f in fmt.items() if f == "xml"]
     json_clients = [c for c, f in fmt.items() if f in ("json", "jsonl")]
 
     xml = (raw.filter(F.col("client_id").isin(*xml_clients))
-           .select(*_KEEP, F.from_xml("raw_payload", XML_TRANSACTION_SCHEMA, XML_OPTIONS).alias("p"))
-           .select(*_KEEP, F.lit(0).cast("bigint").alias("_txn_pos"), F.lit("xml").alias("fmt"),
+           .select(*keep, F.from_xml("raw_payload", XML_TRANSACTION_SCHEMA, XML_OPTIONS).alias("p"))
+           .select(*keep, F.lit(0).cast("bigint").alias("_txn_pos"), F.lit("xml").alias("fmt"),
                    _xml_txn(F.col("p")).alias("txn"), _xml_items(F.col("p")).alias("items")))
 
     docs = (raw.filter(F.col("client_id").isin(*json_clients))
-            .select(*_KEEP, F.from_json(clean_json_document(F.col("raw_payload")),
+            .select(*keep, F.from_json(clean_json_document(F.col("raw_payload")),
                                         JSON_DOCUMENT_SCHEMA, JSON_OPTIONS).alias("d")))
     # One document -> one row per transaction; the document keeps its own
     # position in the file and `_txn_pos` orders the transactions inside it.
-    js = (docs.select(*_KEEP, F.posexplode("d.transactions").alias("_txn_pos", "t"))
-          .select(*_KEEP, F.col("_txn_pos").cast("bigint"), F.lit("json").alias("fmt"),
+    js = (docs.select(*keep, F.posexplode("d.transactions").alias("_txn_pos", "t"))
+          .select(*keep, F.col("_txn_pos").cast("bigint"), F.lit("json").alias("fmt"),
                   _json_txn(F.col("t")).alias("txn"), _json_items(F.col("t")).alias("items")))
     return xml.unionByName(js)
