@@ -469,6 +469,16 @@ def schema_change_sql() -> str:
                    f"SELECT * REPLACE (CAST(NULL AS VARCHAR) AS channel), CAST(NULL AS TIMESTAMP) AS _updated_at FROM g WHERE NOT ({second})")
 
 
+def type_sync_sql() -> str:
+    return ("SELECT CAST(p_partkey AS BIGINT) AS key, CASE WHEN p_partkey % 7 = 0 THEN 'x' || p_size "
+            "WHEN p_partkey % 5 = 0 THEN CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) "
+            "ELSE CAST(CAST(p_size AS DECIMAL(12,2)) AS VARCHAR) END AS v FROM part")
+
+
+def json_documents_sql() -> str:
+    return f"SELECT * REPLACE (regexp_extract(_source_file, '[^/]+$') AS _source_file) FROM ({parse_sql('json')}) p"
+
+
 def payload_rejects_sql() -> str:
     return with_ctes(cte_payload()) + """
 SELECT client_id, _source_file, reject_reason, CAST(count(*) AS BIGINT) AS n_rows FROM (
@@ -539,6 +549,10 @@ def oracles() -> dict[str, str]:
         "parse_xml_transactions": parse_sql("xml"),
         "incremental_three_days": three_days_sql(),
         "incremental_schema_change": schema_change_sql(),
+        "schema_type_sync": type_sync_sql(),
+        "late_customers": model_sql("orders", "gold"),
+        "reload_same_load_time": model_sql("orders", "gold"),
+        "scan_json_documents": json_documents_sql(),
         "payload_rejects": payload_rejects_sql(),
         "scan_parquet_landing": parquet_landing_sql(),
         "incremental_merge": merge_sql(True),

@@ -105,7 +105,7 @@ class PayloadSource:
     client_id: str
     prefix: str
     name_regex: str
-    fmt: str  # "xml", "json" (one document per file) or "jsonl" (one per line)
+    fmt: str  # "xml", "json" (one document per file), "jsonl" (one per line) or "jsonarray" (large documents, a row per record)
 
 
 # Positional column mappings of the client files into the shared RAW schema.

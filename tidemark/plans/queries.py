@@ -24,7 +24,7 @@ from tidemark.plans import incremental as I
 from tidemark.plans.parallel import run_stages
 from tidemark.plans.run import run_pipeline
 from tidemark.sources import files as FS
-from tidemark.sources.raw import Catalog
+from tidemark.sources.raw import Catalog, write_batch
 from tidemark.streaming import loader as L
 from tidemark.session import work_dir
 
@@ -325,15 +325,63 @@ def incremental_three_days(spark: SparkSession, sf: str) -> DataFrame:
 
 def incremental_schema_change(spark: SparkSession, sf: str) -> DataFrame:
     """A column (and the run timestamp, I4) that appears with the second batch reads NULL in the rows of the first."""
-    rows = mart("orders")(spark, sf)
+    rows = silver_orders(spark, sf)
     late = F.coalesce(F.col("order_date") >= F.lit(SPLIT_DATE).cast("date"), F.lit(False))
-    table = I.VersionedTable(spark, work_dir(spark, "schema_change"), ["order_sk"])
-    table.merge(rows.filter(~late).drop("channel"))
+    root = work_dir(spark, "schema_change")
+    s, g = I.silver_table(spark, root, "orders"), I.gold_table(spark, root, "orders")
+    I.merge_silver(s, rows.filter(~late).withColumn("channel", F.lit(None).cast("string")), "orders")
+    g.merge(gold.gold(s.changes(0), "orders").drop("channel"), processed=[f"silver:{s.version()}"])  # GOLD before the column came
     changed = rows.filter(late | (F.pmod(F.length("source_order_id"), F.lit(2)) == 0))
-    table.merge(changed.withColumn("_updated_at", F.lit(RUN_TS).cast("timestamp_ntz")))
+    I.merge_silver(s, changed, "orders")
+    I.run_gold(g, s, "orders", RUN_TS, Options(add_updated_at=True))
+    return g.read()
+
+
+def schema_type_sync(spark: SparkSession, sf: str) -> DataFrame:
+    """A column that arrives as a whole number, then as a decimal, then as text; older rows are cast when they are read."""
+    part = spark.read.parquet(f"{sf}/part.parquet").withColumn("key", F.col("p_partkey").cast("bigint"))
+    table = I.VersionedTable(spark, work_dir(spark, "type_sync"), ["key"])
+    table.merge(part.select("key", F.col("p_size").cast("int").alias("v")))
+    table.merge(part.filter("key % 5 = 0").select("key", F.col("p_retailprice").cast("decimal(12,2)").alias("v")))
+    table.merge(part.filter("key % 7 = 0").select("key", F.concat(F.lit("x"), F.col("p_size").cast("string")).alias("v")))
     return table.read()
 
 
+def late_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the customers arrives after the orders were published; only these and orders without a reference meet."""
+    root = work_dir(spark, "late_customers")
+    raw = _raw(spark, sf, "customers")
+    tables = {e: (I.silver_table(spark, root, e), I.gold_table(spark, root, e)) for e in ("customers", "orders")}
+    (s_customers, g_customers), (s_orders, g_orders) = tables["customers"], tables["orders"]
+    late = F.col("_row_pos") % 3 == 0
+
+    def load(rows, ts):
+        I.run_silver(s_customers, rows.withColumn("_loaded_at", F.lit(ts).cast("timestamp_ntz")), silver.stg_customers, "customers")
+        I.run_gold(g_customers, s_customers, "customers")
+    load(raw.filter(~late), derive.LOAD_1)
+    I.run_silver(s_orders, _raw(spark, sf, "orders"), lambda r: silver.stg_orders(r, s_customers.read()), "orders")
+    I.run_gold(g_orders, s_orders, "orders")
+    before = g_customers.version()
+    load(raw.filter(late), derive.LOAD_2)
+    I.repair_refs(g_orders, g_customers, before)
+    return g_orders.read()
+
+
+def reload_same_load_time(spark: SparkSession, sf: str) -> DataFrame:
+    """A source that is loaded under the load time of a run that is over is read by the next run, once."""
+    root = work_dir(spark, "reload")
+    cat = Catalog(f"{root}/tables")
+    customers = silver_customers(spark, sf)
+    s, g = I.silver_table(spark, root, "orders"), I.gold_table(spark, root, "orders")
+    for client in ("client_a", "client_c", None):
+        if client:
+            rows = _raw(spark, sf, "orders").filter(F.col("client_id") == client)
+            write_batch(rows, cat.path("raw", "orders"), f"{client}_orders_0")
+        I.run_silver(s, cat.read(spark, "raw", "orders"), lambda r: silver.stg_orders(r, customers), "orders")
+        I.run_gold(g, s, "orders")
+    return g.read()
+
+
 def payload_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """NULL and broken payloads planted by transaction and file number, counted per file and reason."""
     raw = _raw(spark, sf, "transactions")
@@ -368,6 +416,9 @@ def scan_parquet_landing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES.update({
     "incremental_three_days": incremental_three_days,
     "incremental_schema_change": incremental_schema_change,
+    "schema_type_sync": schema_type_sync,
+    "late_customers": late_customers,
+    "reload_same_load_time": reload_same_load_time,
     "payload_rejects": payload_rejects,
     "scan_parquet_landing": scan_parquet_landing,
     "quarantine_all": quarantine_all,
@@ -425,7 +476,8 @@ NAMES = {"customers": {"client_a": "last_name", "client_c": "customer_name"}, "p
 
 
 def scan_all_sources(spark: SparkSession, sf: str) -> DataFrame:
-    """All seven delimited sources and the XML and TXT payloads as client files, loaded once by two daily runs.
+    """All seven delimited sources and the XML and TXT payloads as client files, loaded once by two daily runs
+    (JSON files: `scan_json_documents`).
 
     Per row: entity, client, the RAW columns joined with `|` (NULL as `~`); for payloads the transaction id.
     """
@@ -454,6 +506,34 @@ def scan_all_sources(spark: SparkSession, sf: str) -> DataFrame:
     return K.union_all(parts)
 
 
+#: Bytes of a split while the documents of `scan_json_documents` are loaded: small, so that each document crosses borders.
+JSON_SPLIT_BYTES = 1 << 18
+# Put into every document: a field that the schema does not know, and a comment, both with brackets and quotes.
+JSON_PLANT = '"order":/* } ] " */{"note":"} ]{[ \\\\" /* \' //",'
+
+
+def scan_json_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON files, cut across splits, loaded once by two daily runs (the second brings re-deliveries)."""
+    root = work_dir(spark, "json_documents")
+    source = _C.PayloadSource("client_c", "client_c/", r"(?i).*transaction.*[.]json/.*", "jsonarray")
+    docs = derive.transaction_files(spark, sf).filter(F.col("fmt") == "json").select(
+        "_loaded_at", F.regexp_replace("text", r'"order":\{', JSON_PLANT).alias("text"), F.regexp_extract("_source_file", "[^/]+$", 0).alias("doc"))
+    docs.write.parquet(f"{root}/docs")
+    docs = spark.read.parquet(f"{root}/docs")
+    cat = Catalog(f"{root}/tables")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(JSON_SPLIT_BYTES))
+    try:
+        for day in (derive.LOAD_1, derive.LOAD_2):
+            (docs.filter(F.col("_loaded_at") == F.lit(day).cast("timestamp_ntz")).select("text", "doc").repartition("doc")
+             .write.mode("append").option("compression", "none").partitionBy("doc").text(f"{root}/landing/client_c"))
+            L.load_payload_once(spark, f"{root}/landing", source, cat, f"{root}/checkpoints", day)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    parsed = silver.parse(cat.read(spark, "raw", "transactions"))
+    return _parse_out(parsed).withColumn("_source_file", F.regexp_extract("_source_file", "doc=([^/]+)", 1))
+
+
 def stream_events_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Event files arriving in slices, loaded once each by a file stream and
     merged on event_id (a later slice carries corrections)."""
@@ -483,5 +563,6 @@ QUERIES.update({
     "scan_text_nulls": scan_text_nulls,
     "scan_file_once": scan_file_once,
     "scan_all_sources": scan_all_sources,
+    "scan_json_documents": scan_json_documents,
     "stream_events_incremental": stream_events_incremental,
 })

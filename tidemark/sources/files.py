@@ -11,7 +11,8 @@
   stamps: client id, source file, one load timestamp per run, position in
   the file (A10).
 * XML payload files are cut at `</Transaction>` by the line reader, so a
-  large file is split across tasks; JSON documents are read whole (A5, A6).
+  large file is split across tasks; JSON documents are read whole, or cut at
+  `}` across tasks and put together from their brackets (A5, A6, json_split.py).
 
 The same transformations serve batch reads and Structured Streaming reads
 (the streaming loader in `tidemark.streaming` calls them per micro-batch).
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 from tidemark import config as C
 from tidemark.config import CsvSource, Options, PayloadSource
 from tidemark.functions import columns as X
+from tidemark.sources.json_split import SEPARATOR, json_records
 from tidemark.sources.payload import XML_RECORD_SEPARATOR, xml_records
 
 CORRUPT = "_corrupt_record"
@@ -119,7 +121,8 @@ def field_count_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ---------------------------------------------------------------------------
 def read_payload_text(spark: SparkSession, src: PayloadSource, path: str, stream: bool = False) -> DataFrame:
     """XML: chunks cut at the record end tag (splittable); JSON: one row per
-    file; JSON lines ("jsonl"): one document per line (splittable).
+    file; JSON lines ("jsonl"): one document per line (splittable); "jsonarray":
+    chunks of documents cut at `}` (splittable).
 
     (`text()` sets its own wholetext/lineSep, so they are passed to it directly.)
     """
@@ -130,6 +133,8 @@ def read_payload_text(spark: SparkSession, src: PayloadSource, path: str, stream
         return r.text(path, lineSep=XML_RECORD_SEPARATOR)
     if src.fmt == "jsonl":
         return r.text(path)
+    if src.fmt == "jsonarray":
+        return r.text(path, lineSep=SEPARATOR)
     return r.text(path, wholetext=True)
 
 
@@ -137,6 +142,8 @@ def map_payload_rows(df: DataFrame, src: PayloadSource, run_ts: str) -> DataFram
     """Text chunks/documents + lineage -> RAW transaction rows."""
     if src.fmt == "xml":
         df = xml_records(df)
+    elif src.fmt == "jsonarray":
+        df = json_records(df)
     else:
         df = df.withColumnRenamed("value", "raw_payload")
         if src.fmt == "jsonl":  # blank lines and banner lines carry no document

@@ -167,7 +167,7 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
     keep = [c for c in (*_KEEP, "_batch") if c in raw.columns]
     fmt = {s.client_id: s.fmt for s in C.PAYLOAD_SOURCES}
     xml_clients = [c for c, f in fmt.items() if f == "xml"]
-    json_clients = [c for c, f in fmt.items() if f in ("json", "jsonl")]
+    json_clients = [c for c, f in fmt.items() if f in ("json", "jsonl", "jsonarray")]
 
     xml = (raw.filter(F.col("client_id").isin(*xml_clients))
            .select(*keep, F.from_xml("raw_payload", XML_TRANSACTION_SCHEMA, XML_OPTIONS).alias("p"))
