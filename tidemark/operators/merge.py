@@ -4,8 +4,8 @@ Plain Parquet has no MERGE, and Spark will not overwrite a path it is reading.
 A target table is a list of parts, oldest first, and a manifest:
 
     <table>/data/<attempt>/<step>/part-*.parquet   files of one part
-    <table>/_manifest/v=<n>/part-*.parquet         live files: part, key range, rows; schemas, watermark, counters
-    <table>/_batches/v=<n>/part-*.parquet          source batches that version n took in
+    <table>/_manifest/v=<n>/part-*.parquet         live files: part, key range, rows; schemas, watermark,
+                                                   counters, and the source batches taken in so far
 
 A merge writes its batch once, ranged by the key, as a newer part, and rewrites
 nothing that is there: a row of an older part whose key stands in a newer one is
@@ -53,6 +53,8 @@ FOLD = 4
 #: More parts are folded by size even if no key range meets another's.
 MAX_PARTS = 12
 _MANIFEST_SCHEMA = "part int, path string, lo string, hi string, n bigint, since int, new_keys boolean, schema string, watermark string, counters string"
+#: In place of a part's number: the row names a source batch.
+_LOG = -1
 
 
 @dataclass(frozen=True)
@@ -73,6 +75,7 @@ class Manifest:
     parts: tuple
     history: tuple  # every schema that the table has had; the last one counts
     watermark: str | None
+    batches: frozenset = frozenset()
 
     @property
     def schema(self) -> T.StructType:
@@ -102,12 +105,13 @@ class VersionedTable:
         rows = self.spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{self.path}/_manifest/v={max(versions)}").collect()
         head = next(r for r in rows if r["part"] is None)
         parts = []
-        for p in sorted({r["part"] for r in rows if r["part"] is not None}):
+        for p in sorted({r["part"] for r in rows if r["part"] is not None and r["part"] != _LOG}):
             own = next(r for r in rows if r["part"] == p and r["path"] is None)
             files = {r["path"]: (r["lo"], r["hi"]) for r in sorted((r for r in rows if r["part"] == p and r["path"]), key=lambda r: r["path"])}
             parts.append(Part(files, T.StructType.fromJson(json.loads(own["schema"])), own["n"], own["since"], own["new_keys"], json.loads(own["counters"])))
         history = tuple(T.StructType.fromJson(x) for x in json.loads(head["schema"]))
-        self._cached = Manifest(max(versions), tuple(parts), history, head["watermark"])
+        batches = frozenset(r["path"] for r in rows if r["part"] == _LOG)
+        self._cached = Manifest(max(versions), tuple(parts), history, head["watermark"], batches)
         return self._cached
 
     def exists(self) -> bool:
@@ -133,12 +137,9 @@ class VersionedTable:
         man = self._manifest()
         return man.parts[0].counters if len(man.parts) == 1 else None
 
-    def processed(self) -> DataFrame:
-        """`_batch`: the source batches that the committed versions took in."""
-        done = [v for v in _child_values(self.spark, f"{self.path}/_batches", "v") if v <= self.version()]
-        if not done:
-            return self.spark.createDataFrame([], "_batch string")
-        return self.spark.read.schema("_batch string").parquet(*[f"{self.path}/_batches/v={v}" for v in done]).distinct()
+    def processed(self) -> frozenset[str]:
+        """The source batches that the committed versions took in (an id per load)."""
+        return self._manifest().batches
 
     # -- read ---------------------------------------------------------------
     def read(self) -> DataFrame:
@@ -256,10 +257,7 @@ class VersionedTable:
             folded, _, _ = self._write(self._live(parts[first:], history), f"{attempt}/folded", since)
             parts = [*parts[:first], replace(folded, new_keys=all(p.new_keys for p in parts[first:]))]
         marks = [w for w in (man.watermark, mark) if w is not None]
-        if processed:
-            (self.spark.createDataFrame([(b,) for b in processed], "_batch string").coalesce(1).write
-             .option("partitionOverwriteMode", "static").mode("overwrite").parquet(f"{self.path}/_batches/v={version}"))
-        self._commit(Manifest(version, tuple(parts), history, max(marks) if marks else None))
+        self._commit(Manifest(version, tuple(parts), history, max(marks) if marks else None, man.batches | set(processed)))
         return version
 
     def _foldable(self, parts: Sequence[Part], history: Sequence[T.StructType]) -> int | None:
@@ -278,9 +276,10 @@ class VersionedTable:
         for i, p in enumerate(man.parts):
             rows.append((i, None, None, None, p.rows, p.since, p.new_keys, p.schema.json(), None, json.dumps(p.counters)))
             rows += [(i, f, lo, hi, None, None, None, None, None, None) for f, (lo, hi) in p.files.items()]
+        rows += [(_LOG, b, None, None, None, None, None, None, None, None) for b in sorted(man.batches)]
         (self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1).write.option("partitionOverwriteMode", "static")
          .mode("overwrite").parquet(f"{self.path}/_manifest/v={man.version}"))
-        self._cached = None
+        self._cached = man
 
     def _synced(self, history: tuple, new: T.StructType) -> tuple:
         """The history with the columns of the batch, if they differ; a column whose type changed gets the common type."""

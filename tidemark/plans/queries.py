@@ -254,11 +254,17 @@ def _orders_two_batches(spark, sf):
         F.lit(derive.LOAD_1)).cast("timestamp_ntz"))
 
 
+def _written_customers(spark, sf, root):
+    """The SILVER customers that every run looks its orders up in, as the table that a daily run finds."""
+    silver_customers(spark, sf).select("client_id", "source_customer_id", "_is_duplicate").write.parquet(f"{root}/customers")
+    return spark.read.parquet(f"{root}/customers")
+
+
 def _merge_orders(spark, sf, latest_batch_wins):
     opts = Options(latest_batch_wins=latest_batch_wins)
     raw = _orders_two_batches(spark, sf)
-    customers = silver_customers(spark, sf)
     root = work_dir(spark, "merge_orders")
+    customers = _written_customers(spark, sf, root)
     s, g = I.silver_table(spark, root, "orders"), I.gold_table(spark, root, "orders")
 
     def build(r):
@@ -302,7 +308,7 @@ def incremental_three_days(spark: SparkSession, sf: str) -> DataFrame:
     Per mode and key the published order, and how many SILVER rows of the key count (one).
     """
     raw = _orders_three_days(spark, sf)
-    customers = silver_customers(spark, sf)
+    customers = _written_customers(spark, sf, work_dir(spark, "three_days"))
     out = None
     for mode, latest in (("latest", True), ("first", False)):
         opts = Options(latest_batch_wins=latest)
@@ -371,7 +377,7 @@ def reload_same_load_time(spark: SparkSession, sf: str) -> DataFrame:
     """A source that is loaded under the load time of a run that is over is read by the next run, once."""
     root = work_dir(spark, "reload")
     cat = Catalog(f"{root}/tables")
-    customers = silver_customers(spark, sf)
+    customers = _written_customers(spark, sf, root)
     s, g = I.silver_table(spark, root, "orders"), I.gold_table(spark, root, "orders")
     for client in ("client_a", "client_c", None):
         if client:
