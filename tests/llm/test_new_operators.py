@@ -305,3 +305,39 @@ def test_whitening_sums_of_large_entries_are_exact():
                                      [-15 * 10**9 + 14 * 10**11, 25 + 49 * 10**22, 7 * 10**11 - 5], [3 * 10**9 + 2, 7 * 10**11 - 5, 2]]
     codes = [whitening.code_of(np.array(v, np.float64)) for v in ([0.5, -1.0], [1e3, 0.0], [1e9, 1.0])]
     assert [c[0] for c in codes] == [1, 4, 8] and whitening.entries(codes).tolist() == [[32, -64], [64000, 0], [64 * 10**9, 64]]
+
+
+# ------------------------------------------------- a column called _metadata
+
+def test_operators_on_a_table_with_a_metadata_column(spark, tmp_path_factory):
+    from tidemark.llm import simhash, suffix_dedup
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = docs_of(spark, tmp_path_factory, [(1, passage), (2, passage), (3, f"other text {passage} and more"), (4, None)])
+    assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}[2] == 1
+    kept = simhash.deduplicated(docs)
+    assert kept.schema == docs.schema and {r["doc_id"] for r in kept.collect()} >= {1, 4} and kept.filter("doc_id = 2").count() == 0
+    cleaned = suffix_dedup.cleaned(docs)
+    assert cleaned.schema == docs.schema and {r["doc_id"]: r["text"] for r in cleaned.collect()}[3] == "other text  and more"
+
+
+def test_repeated_regions_of_one_text_join_once(spark, tmp_path_factory):
+    """A line that stands often in many texts: at most one joined row per text and region."""
+    from tidemark.llm import suffix_dedup
+    line = "".join(f"common line {i} of every text; " for i in range(12))
+    rows = [(i, " ".join(f"{i} {k} {line}" for k in range(20))) for i in range(40)]
+    docs = docs_of(spark, tmp_path_factory, rows)
+    seen = {}
+    plain = suffix_dedup.spans_of
+
+    def spy(met, shared):
+        mixed = met.where("mixed")
+        seen["met"], seen["joined"] = mixed.count(), mixed.join(shared, ["h", "d"]).count()
+        seen["regions"] = mixed.selectExpr("sum(size(s)) AS n").first()["n"]
+        return plain(met, shared)
+
+    suffix_dedup.spans_of = spy
+    try:
+        suffix_dedup.digests(docs).count()
+    finally:
+        suffix_dedup.spans_of = plain
+    assert seen["joined"] <= seen["met"] <= seen["regions"]
