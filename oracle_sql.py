@@ -298,6 +298,7 @@ def model_sql(entity: str, layer: str) -> str:
 # Quarantine, rejects, checks, freshness, masking, parsing, merges
 # ---------------------------------------------------------------------------
 from tidemark.operators import checks as K  # noqa: E402
+from tidemark.sources import readable as R  # noqa: E402
 from tidemark.plans import queries as Q  # noqa: E402
 
 
@@ -416,6 +417,65 @@ def mask_pii_sql() -> str:
             f"WHERE NOT _is_duplicate AND source_customer_id IS NOT NULL")
 
 
+def mask_tagged_sql() -> str:
+    how = {"hash": lambda c: f"sha256({c})", "mask": _mask}
+    parts = []
+    for e, cols in COLS.items():
+        names = [c.strip() for c in cols.split(",")]
+        shown = [how[C.MASK_BY_TAG[C.PII_TAGS[c]]](c) if c in C.PII_TAGS else f"CAST({c} AS VARCHAR)" for c in names]
+        text = " || '|' || ".join(f"COALESCE({x}, '~')" for x in shown)
+        parts.append(f"SELECT '{e}' AS entity, {text} AS row_text FROM ({gold_select(e)}) g_{e}")
+    head = with_ctes(cte_customers(), cte_orders(), cte_products(), cte_payload(), cte_transactions(), cte_items(), cte_payments())
+    return head + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def payload_drift_sql() -> str:
+    """What the derivation puts into the JSON documents, counted from the tables."""
+    docs = "SELECT DISTINCT _source_file FROM src WHERE fmt = 'json'"
+    txn = "SELECT * FROM src WHERE fmt = 'json'"
+    item = f"SELECT li.* FROM ({txn}) s JOIN li ON li.l_orderkey = s.o_orderkey WHERE s.items_mode = 'lines'"
+    seen = [("client", docs, "TRUE"), ("batchTimestamp", docs, "TRUE"), ("transactions", docs, "TRUE"), ("transactions[]", txn, "TRUE")]
+    t = "transactions[]"
+    seen += [(f"{t}.{p}", txn, c) for p, c in {
+        "id": "txn_id IS NOT NULL", "order": "TRUE", "order.id": "order_id IS NOT NULL", "order.date": "order_date IS NOT NULL",
+        "order.customer": "TRUE", "order.customer.id": "customer_id IS NOT NULL", "order.customer.name": "customer_name IS NOT NULL",
+        "order.customer.email": "email IS NOT NULL", "items": "items_mode <> 'absent'", "payment": "TRUE",
+        "payment.method": "payment_method IS NOT NULL", "payment.total": "amount IS NOT NULL", "payment.currency": "currency IS NOT NULL",
+        "metadata": "drift", "metadata.channel": "drift"}.items()]
+    seen += [(f"{t}.items[]{p}", item, c) for p, c in {
+        "": "TRUE", ".sku": "i_sku IS NOT NULL", ".description": "i_description IS NOT NULL", ".qty": "i_qty IS NOT NULL",
+        ".price": "TRUE", ".price.amount": "i_price IS NOT NULL", ".price.currency": "i_currency IS NOT NULL"}.items()]
+    counts = "\nUNION ALL\n".join(f"SELECT 'client_c' AS client_id, '{p}' AS path, CAST(count(*) AS BIGINT) AS n, "
+                                   f"{'FALSE' if 'metadata' in p else 'TRUE'} AS known FROM ({rows}) r WHERE {c}" for p, rows, c in seen)
+    texts = ", ".join(f"{e} AS i_{n}" for n, e in D.ITEM_TEXT.items())
+    return with_ctes(cte_payload(), f"\nli AS (SELECT l_orderkey, {texts} FROM lineitem)") + f"\nSELECT * FROM ({counts}) c WHERE n > 0"
+
+
+def keep_first_stream_sql() -> str:
+    l1, l2 = D.LOAD_1, D.LOAD_2
+    late = f"COALESCE({to_date(clean('order_date'))} >= DATE '{Q.SPLIT_DATE}', false)"
+    base = (f"SELECT * REPLACE (CASE WHEN {late} OR _loaded_at = TIMESTAMP '{l2}' THEN TIMESTAMP '{l2}' "
+            f"ELSE TIMESTAMP '{l1}' END AS _loaded_at) FROM ({D.raw_table_sql('orders')}) r0")
+    raw = (f"SELECT * FROM base UNION ALL BY NAME SELECT * REPLACE ('REDELIVERED' AS order_status, TIMESTAMP '{l2}' AS _loaded_at) "
+           f"FROM base WHERE _loaded_at = TIMESTAMP '{l1}' AND _row_pos % 5 = 0 "
+           f"UNION ALL BY NAME SELECT * FROM base WHERE _loaded_at = TIMESTAMP '{l1}'")
+    return with_ctes(f"\nbase AS ({base})", cte_customers(), cte_orders(raw)) + "\n" + gold_select("orders")
+
+
+def bad_files_sql() -> str:
+    cols = [c for c, _ in C.RAW_COLUMNS["products"]]
+    null = {c: f"CASE WHEN {c} IS NULL OR {c} IN ('', 'NULL', 'null') THEN NULL ELSE {c} END AS {c}" for c in cols}
+    none = "CAST(NULL AS BIGINT) AS grp, CAST(NULL AS VARCHAR) AS reject_reason"
+    empty = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in cols)
+    parts = [
+        f"SELECT 'csv' AS fmt, client_id, {', '.join(null.values())}, {none} FROM r WHERE grp NOT IN ({Q.CUT_FILE}, {Q.LATIN_FILE})",
+        f"SELECT 'parquet', client_id, {', '.join(cols)}, {none} FROM r WHERE grp <> {Q.CUT_PARQUET}"]
+    for fmt, grp, reason in (("csv", Q.CUT_FILE, R.UNREADABLE), ("csv", Q.LATIN_FILE, R.NOT_UTF8), ("parquet", Q.CUT_PARQUET, R.UNREADABLE)):
+        parts.append(f"SELECT DISTINCT '{fmt}', client_id, {empty}, CAST({grp} AS BIGINT), '{reason}' FROM r WHERE grp = {grp}")
+    raw = f"SELECT * REPLACE ({Q.ACCENTED} AS product_name), {Q.FILE_NUMBER} AS grp FROM ({D.raw_table_sql('products')}) r0"
+    return f"WITH r AS ({raw})\n" + "\nUNION ALL\n".join(parts)
+
+
 def parse_sql(fmt: str) -> str:
     head = with_ctes(cte_payload())
     xml = fmt == "xml"
@@ -545,6 +605,10 @@ def oracles() -> dict[str, str]:
         "dq_report": dq_report_sql(),
         "source_freshness": source_freshness_sql(),
         "mask_pii": mask_pii_sql(),
+        "mask_tagged": mask_tagged_sql(),
+        "payload_drift": payload_drift_sql(),
+        "stream_orders_keep_first": keep_first_stream_sql(),
+        "bad_files": bad_files_sql(),
         "parse_json_transactions": parse_sql("json"),
         "parse_xml_transactions": parse_sql("xml"),
         "incremental_three_days": three_days_sql(),

@@ -53,6 +53,13 @@ BANNER_LINE_PATTERN = r"(?m)^\s*-{3,}.*$"
 FRESHNESS_WARN_HOURS = 25
 FRESHNESS_ERROR_HOURS = 49
 
+# What a column says about a person (PO1), and how each kind is masked when a table is published.
+PII_TAGS = {
+    "source_customer_id": "person_id", "first_name": "name", "last_name": "name", "full_name": "name", "email": "contact",
+    "customer_first_name": "name", "customer_last_name": "name", "customer_email": "contact",
+}
+MASK_BY_TAG = {"person_id": "hash", "name": "mask", "contact": "hash"}
+
 # ISO calendar date text accepted by the date parser.
 ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}\z"
 
@@ -150,6 +157,7 @@ class Options:
     strip_inline_notes: bool = True          # V17
     enforce_widths: bool = True              # A12
     strict_field_count: bool = False         # V24
+    check_files: bool = False                # A11: files that cannot be read are set aside, the others load
     latest_batch_wins: bool = True           # V7
     strict_full_name: bool = False           # H4: NULL when a part is NULL
     product_sentinels: bool = False          # V16: 'Unknown Product'/'UNKNOWN' -> NULL

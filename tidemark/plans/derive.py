@@ -478,3 +478,18 @@ def write_product_files(spark: SparkSession, sf_dir: str, landing: str, batch: s
          .write.mode("overwrite").option("sep", "\u0001").option("quote", "").option("escapeQuotes", "false")
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
          .partitionBy("file_group").csv(f"{landing.rstrip('/')}/{client}/products_{batch}"))
+
+
+def copy_cut(spark: SparkSession, source: str, target: str) -> None:
+    """The files of a folder (names without a leading dot or underscore) copied to another, each without its second half."""
+    hadoop = spark._jvm.org.apache.hadoop
+    conf = spark._jsc.hadoopConfiguration()
+    folder, to = hadoop.fs.Path(source), hadoop.fs.Path(target)
+    fs = folder.getFileSystem(conf)
+    for st in fs.listStatus(folder):
+        name = st.getPath().getName()
+        if not name.startswith((".", "_")):
+            whole, cut = fs.open(st.getPath()), fs.create(hadoop.fs.Path(to, name))
+            spark._jvm.org.apache.commons.io.IOUtils.copyLarge(whole, cut, 0, st.getLen() // 2)
+            cut.close()
+            whole.close()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import threading
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,14 @@ from tidemark.operators import checks as K
 from tidemark.operators import quarantine as QT
 from tidemark.operators.mask import DEFAULT_CUSTOMER_POLICY
 from tidemark.operators.mask import mask_pii as _mask
+from tidemark.operators.mask import mask_tagged as _mask_tagged
 from tidemark.plans import derive, gold, silver
 from tidemark.plans import incremental as I
 from tidemark.plans.parallel import run_stages
 from tidemark.plans.run import run_pipeline
+from tidemark.sources import drift as DR
 from tidemark.sources import files as FS
+from tidemark.sources import readable as R
 from tidemark.sources.raw import Catalog, write_batch
 from tidemark.streaming import loader as L
 from tidemark.session import work_dir
@@ -225,6 +229,22 @@ def mask_pii(spark: SparkSession, sf: str) -> DataFrame:
                  DEFAULT_CUSTOMER_POLICY)
 
 
+def mask_tagged(spark: SparkSession, sf: str) -> DataFrame:
+    """PO1: the six marts, each written and read again, every tagged column masked by its tag; columns joined with `|` (NULL as `~`)."""
+    root, parts = work_dir(spark, "mask_tagged"), []
+    for e in _SILVER:
+        mart(e)(spark, sf).write.parquet(f"{root}/{e}")
+        g = _mask_tagged(spark.read.parquet(f"{root}/{e}"))
+        text = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in g.columns if c != "_loaded_at"]
+        parts.append(g.select(F.lit(e).alias("entity"), F.concat_ws("|", *text).alias("row_text")))
+    return K.union_all(parts)
+
+
+def payload_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Every path of the JSON payloads, how often it occurs, and whether the typed schema has it."""
+    return DR.path_counts(_raw(spark, sf, "transactions"))
+
+
 def _parse_out(parsed):
     t = F.col("txn")
     return parsed.select(
@@ -433,6 +453,8 @@ QUERIES.update({
     "dq_report": dq_report,
     "source_freshness": source_freshness,
     "mask_pii": mask_pii,
+    "mask_tagged": mask_tagged,
+    "payload_drift": payload_drift,
     "parse_json_transactions": parse_json_transactions,
     "parse_xml_transactions": parse_xml_transactions,
     "incremental_merge": incremental_merge,
@@ -565,7 +587,85 @@ def stream_events_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return table.read()
 
 
+def _keep_first_slices(spark, sf):
+    """Slice 1: orders before SPLIT_DATE; 2: the others, and every fifth of slice 1 with another status; 3: slice 1 once more."""
+    base = _orders_two_batches(spark, sf)
+    first = base.filter(F.col("_loaded_at") == F.lit(derive.LOAD_1).cast("timestamp_ntz"))
+    again = (first.filter(F.col("_row_pos") % 5 == 0).withColumn("order_status", F.lit("REDELIVERED"))
+             .withColumn("_loaded_at", F.lit(derive.LOAD_2).cast("timestamp_ntz")))
+    later = base.filter(F.col("_loaded_at") == F.lit(derive.LOAD_2).cast("timestamp_ntz"))
+    return [first, later.unionByName(again), first]
+
+
+def stream_orders_keep_first(spark: SparkSession, sf: str) -> DataFrame:
+    """RAW orders streamed in three slices, the last one a replay, with a restart after each; state keeps the first row per key."""
+    root = work_dir(spark, "keep_first")
+    customers = _written_customers(spark, sf, root)
+    table = I.VersionedTable(spark, f"{root}/orders", ["order_sk"])
+    schema = _raw(spark, sf, "orders").schema
+
+    def merge_batch(df, batch_id):
+        table.merge(gold.gold(df.withColumn("_is_duplicate", F.lit(False)), "orders"))
+    for i, rows in enumerate(_keep_first_slices(spark, sf)):
+        rows.write.parquet(f"{root}/landing/slice={i}")
+        raw = spark.readStream.schema(schema).options(**L.ANY_AGE).option("recursiveFileLookup", "true").parquet(f"{root}/landing")
+        orders = silver.keyed(silver.referenced_orders(raw, customers), "orders")
+        L.keep_first_stream(orders, ["order_sk"], f"{root}/checkpoint", merge_batch)
+    return table.read()
+
+
+# Products by file: of eight files a client, one is cut, one is in another encoding (same SQL in the oracle).
+FILE_NUMBER = "CAST(FLOOR(_row_pos / 4) AS BIGINT) % 8"
+ACCENTED = "CASE WHEN product_name IS NOT NULL THEN product_name || ' é' END"
+CUT_FILE, LATIN_FILE, CUT_PARQUET = 3, 5, 2
+
+
+def bad_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Gzip files and Parquet files with cut ones and one encoding that is not UTF-8 among them, loaded by two daily runs.
+
+    The rows of the readable files, and a row with the reason for each other file.
+    """
+    root = work_dir(spark, "bad_files")
+    landing, cat = f"{root}/landing", Catalog(f"{root}/tables")
+    rows = _raw(spark, sf, "products").withColumn("product_name", F.expr(ACCENTED)).withColumn("grp", F.expr(FILE_NUMBER))
+    number = F.regexp_extract("file", "grp=([0-9]+)", 1).cast("bigint").alias("grp")
+    out = []
+    for spec in [s for s in _C.CSV_SOURCES if s.entity == "products"]:
+        spec = replace(spec, name_regex=r"(?i).*product.*[.]csv[.]gz$")
+        mine = rows.filter(F.col("client_id") == spec.client_id).select(*spec.columns, "grp").repartition("grp")
+
+        def write(which, path, mine=mine, **more):
+            mine.filter(which).write.mode("append").partitionBy("grp").csv(
+                path, header=True, quote='"', escape='"', nullValue="NULL", emptyValue="", compression="gzip",
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **more)
+        folder = f"{landing}/{spec.prefix}products"
+        write(~F.col("grp").isin(CUT_FILE, LATIN_FILE), folder)
+        write(F.col("grp") == LATIN_FILE, folder, encoding="ISO-8859-1")
+        write(F.col("grp") == CUT_FILE, f"{root}/whole/{spec.client_id}")
+        derive.copy_cut(spark, f"{root}/whole/{spec.client_id}/grp={CUT_FILE}", f"{folder}/grp={CUT_FILE}")
+        for run_ts in (LOAD_TS, derive.LOAD_2):
+            L.load_csv_once(spark, landing, spec, cat, f"{root}/checkpoints", run_ts, Options(check_files=True))
+
+        prefix, regex = f"parquet/{spec.client_id}/", r"products/.*[.]parquet$"
+        mine.filter(F.col("grp") != CUT_PARQUET).write.partitionBy("grp").parquet(f"{landing}/{prefix}products")
+        mine.filter(F.col("grp") == CUT_PARQUET).write.partitionBy("grp").parquet(f"{root}/whole_parquet/{spec.client_id}")
+        derive.copy_cut(spark, f"{root}/whole_parquet/{spec.client_id}/grp={CUT_PARQUET}", f"{landing}/{prefix}products/grp={CUT_PARQUET}")
+        good, bad = R.split_files(spark, landing, prefix, regex, "parquet")
+        out.append(FS.read_parquet_source(spark, landing, "products", spec.client_id, prefix, regex, LOAD_TS, files=good)
+                   .select(F.lit("parquet").alias("fmt"), *_PRODUCT_OUT, F.lit(None).cast("bigint").alias("grp"), F.lit(None).cast("string").alias("reject_reason")))
+        listed = spark.createDataFrame([(spec.client_id, f, r) for f, r in bad.items()], "client_id string, file string, reject_reason string")
+        out.append(listed.select(F.lit("parquet").alias("fmt"), "client_id", number, "reject_reason"))
+    out.append(cat.read(spark, "raw", "products").select(F.lit("csv").alias("fmt"), *_PRODUCT_OUT))
+    out.append(cat.read(spark, "rejects", "files").filter("reject_reason IS NOT NULL").select(F.lit("csv").alias("fmt"), "client_id", number, "reject_reason"))
+    found = out[0]
+    for part in out[1:]:
+        found = found.unionByName(part, allowMissingColumns=True)
+    return found
+
+
 QUERIES.update({
+    "stream_orders_keep_first": stream_orders_keep_first,
+    "bad_files": bad_files,
     "scan_text_nulls": scan_text_nulls,
     "scan_file_once": scan_file_once,
     "scan_all_sources": scan_all_sources,

@@ -19,6 +19,7 @@ from tidemark import config as C
 from tidemark.config import Options
 from tidemark.functions import columns as X
 from tidemark.operators.dedup import flag_duplicates
+from tidemark.operators.mask import tagged
 from tidemark.sources.payload import parse_transactions
 
 # Output columns of the SILVER models, in order.
@@ -61,15 +62,19 @@ def public(df: DataFrame, entity: str) -> DataFrame:
     return df.select(*SILVER_COLUMNS[entity])
 
 
-def _finish(cleaned: DataFrame, entity: str, keys=None, order=C.ORDER_COLUMNS,
-            opts: Options = Options()) -> DataFrame:
-    """Garbage-id filter, surrogate key, duplicate flag, projection."""
+def keyed(cleaned: DataFrame, entity: str, keys=None) -> DataFrame:
+    """Garbage-id filter and surrogate key."""
     header, source_col, sk = C.ENTITY_KEYS[entity]
     keys = keys or ["client_id", source_col]
-    kept = cleaned.filter(X.is_clean_id(source_col, header))
-    kept = kept.withColumn(sk, X.surrogate_key(*keys))
-    flagged = flag_duplicates(kept, keys, order, strategy=opts.dedup_strategy)
-    return flagged.select(*SILVER_COLUMNS[entity], *POSITION_COLUMNS[entity])
+    return cleaned.filter(X.is_clean_id(source_col, header)).withColumn(sk, X.surrogate_key(*keys))
+
+
+def _finish(cleaned: DataFrame, entity: str, keys=None, order=C.ORDER_COLUMNS,
+            opts: Options = Options()) -> DataFrame:
+    """Garbage-id filter, surrogate key, duplicate flag, projection with the tags of personal columns."""
+    keys = keys or ["client_id", C.ENTITY_KEYS[entity][1]]
+    flagged = flag_duplicates(keyed(cleaned, entity, keys), keys, order, strategy=opts.dedup_strategy)
+    return flagged.select(*[tagged(c) for c in SILVER_COLUMNS[entity]], *POSITION_COLUMNS[entity])
 
 
 # ---------------------------------------------------------------------------
@@ -128,7 +133,8 @@ def valid_customer_refs(silver_customers: DataFrame) -> DataFrame:
             .select("client_id", "source_customer_id").distinct())
 
 
-def stg_orders(raw: DataFrame, silver_customers: DataFrame, opts: Options = Options()) -> DataFrame:
+def referenced_orders(raw: DataFrame, silver_customers: DataFrame, opts: Options = Options()) -> DataFrame:
+    """Cleaned orders with `customer_ref_is_valid`; also for a stream of RAW rows."""
     # left join on the cleaned id; match presence becomes the flag. The join
     # strategy (broadcast when small, sort-merge otherwise) is left to AQE.
     # Rows without an id match nothing: a digest of their place, a number and
@@ -137,12 +143,15 @@ def stg_orders(raw: DataFrame, silver_customers: DataFrame, opts: Options = Opti
         "client_id", F.col("source_customer_id").alias("_ref"), F.lit(False).alias("_none"), F.lit(True).alias("_ref_hit"))
     cleaned = clean_orders(raw, opts)
     none = F.col("source_customer_id").isNull()
-    keyed = (cleaned.withColumn("_none", none)
-             .withColumn("_ref", F.when(none, F.xxhash64(*_LINEAGE).cast("string")).otherwise(F.col("source_customer_id"))))
-    joined = (keyed.join(refs, ["client_id", "_ref", "_none"], "left")
-              .withColumn("customer_ref_is_valid", F.col("_ref_hit").isNotNull())
-              .select(*cleaned.columns, "customer_ref_is_valid"))
-    return _finish(joined, "orders", opts=opts)
+    with_ref = (cleaned.withColumn("_none", none)
+                .withColumn("_ref", F.when(none, F.xxhash64(*_LINEAGE).cast("string")).otherwise(F.col("source_customer_id"))))
+    return (with_ref.join(refs, ["client_id", "_ref", "_none"], "left")
+            .withColumn("customer_ref_is_valid", F.col("_ref_hit").isNotNull())
+            .select(*cleaned.columns, "customer_ref_is_valid"))
+
+
+def stg_orders(raw: DataFrame, silver_customers: DataFrame, opts: Options = Options()) -> DataFrame:
+    return _finish(referenced_orders(raw, silver_customers, opts), "orders", opts=opts)
 
 
 # ---------------------------------------------------------------------------

@@ -45,7 +45,7 @@ def csv_schema(spec: CsvSource, strict: bool = False) -> T.StructType:
 
 def csv_options(strict: bool = False) -> dict:
     opts = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",  # a quote inside is doubled
-            "pathGlobFilter": "*.[cC][sS][vV]", "recursiveFileLookup": "true"}
+            "pathGlobFilter": "*.[cC][sS][vV]*", "recursiveFileLookup": "true"}
     if strict:
         opts["columnNameOfCorruptRecord"] = CORRUPT
     return opts
@@ -170,12 +170,14 @@ def read_landing(spark: SparkSession, landing: str, run_ts: str, opts: Options =
 
 
 def read_parquet_source(spark: SparkSession, landing: str, entity: str, client_id: str, prefix: str,
-                        name_regex: str, run_ts: str, columns: dict[str, str] | None = None) -> DataFrame:
+                        name_regex: str, run_ts: str, columns: dict[str, str] | None = None,
+                        files: list[str] | None = None) -> DataFrame:
     """Parquet landing files -> RAW rows. Columns are mapped by name
     (`columns`: RAW name -> file column, default the same name), cast to text
-    like every RAW business column; absent columns become NULL."""
+    like every RAW business column; absent columns become NULL. `files`: only these (e.g. `readable.split_files`)."""
     columns = columns or {}
-    df = spark.read.option("recursiveFileLookup", "true").parquet(f"{landing.rstrip('/')}/{prefix}")
+    df = (spark.read.parquet(*files) if files else
+          spark.read.option("recursiveFileLookup", "true").parquet(f"{landing.rstrip('/')}/{prefix}"))
     df = with_lineage(df, prefix, name_regex)
     have = set(df.columns)
     cols = [F.lit(client_id).alias("client_id")]

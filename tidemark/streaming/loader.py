@@ -12,15 +12,17 @@ idempotent per batch id, so a replayed batch does not load twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import config as C
 from tidemark.config import CsvSource, Options, PayloadSource
+from tidemark.operators.dedup import first_per_key
 from tidemark.operators.quarantine import split_payload_rejects, split_rejects
 from tidemark.plans.parallel import run_stages
 from tidemark.sources import files as FS
+from tidemark.sources import readable as R
 from tidemark.sources.raw import Catalog, write_batch
 
 
@@ -48,9 +50,11 @@ def load_csv_once(spark: SparkSession, landing: str, spec: CsvSource, catalog: C
     strict = opts.strict_field_count
     reader = _bounded(spark.readStream.schema(FS.csv_schema(spec, strict)).options(**FS.csv_options(strict)),
                       max_files_per_trigger)
+    key = f"{spec.client_id}_{spec.entity}"
     stream = reader.csv(f"{landing.rstrip('/')}/{spec.prefix}")
+    if opts.check_files:
+        stream = R.without(stream, R.set_aside(spark, landing, spec.prefix, spec.name_regex, catalog, key, spec.client_id, run_ts))
     scanned = FS.with_lineage(stream, spec.prefix, spec.name_regex, position=False)
-    key = f"{spec.client_id}_{spec.entity}"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # the micro-batch feeds two writes (accepted rows, rejects): keep it
@@ -69,10 +73,12 @@ def load_csv_once(spark: SparkSession, landing: str, spec: CsvSource, catalog: C
 
 
 def load_payload_once(spark: SparkSession, landing: str, src: PayloadSource, catalog: Catalog,
-                      checkpoint_root: str, run_ts: str) -> int:
+                      checkpoint_root: str, run_ts: str, opts: Options = Options()) -> int:
+    key = f"{src.client_id}_transactions"
     stream = FS.read_payload_text(spark, src, f"{landing.rstrip('/')}/{src.prefix}", stream=True)
+    if opts.check_files:
+        stream = R.without(stream, R.set_aside(spark, landing, src.prefix, src.name_regex, catalog, key, src.client_id, run_ts))
     scanned = FS.with_lineage(stream, src.prefix, src.name_regex, position=False)
-    key = f"{src.client_id}_transactions"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         df = FS.map_payload_rows(FS.add_position(batch), src, run_ts).persist()
@@ -104,7 +110,7 @@ def load_all_once(spark: SparkSession, landing: str, catalog: Catalog, checkpoin
         if entities is None or "transactions" in entities:
             per_entity.setdefault("transactions", []).append(
                 (f"{src.client_id}_transactions",
-                 lambda src=src: load_payload_once(spark, landing, src, catalog, checkpoint_root, run_ts)))
+                 lambda src=src: load_payload_once(spark, landing, src, catalog, checkpoint_root, run_ts, opts)))
 
     def entity_task(jobs):
         return lambda: {name: job() for name, job in jobs}
@@ -115,3 +121,33 @@ def load_all_once(spark: SparkSession, landing: str, catalog: Catalog, checkpoin
 def merge_stream(stream: DataFrame, checkpoint: str, merge_batch: Callable[[DataFrame, int], None]) -> int:
     """File stream -> foreachBatch merge (A14 + I2): e.g. a VersionedTable upsert."""
     return _run(stream, checkpoint, merge_batch)
+
+
+#: Keeps the state on local disk and its changes in the checkpoint, so it may outgrow the memory.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def keep_first_stream(stream: DataFrame, keys: Sequence[str], checkpoint: str, merge_batch: Callable[[DataFrame, int], None],
+                      order: Sequence[str] = C.ORDER_COLUMNS) -> int:
+    """E1, V7 on a stream: the first row per key by `order`, over all micro-batches and runs.
+
+    The state store holds the first row of every key seen (map-side partial
+    aggregates, so a hot key sends one row a task). Each micro-batch passes the
+    first rows of the keys that it touched to `merge_batch`, an upsert on the
+    keys: a replayed file or a re-delivery brings the row that is there already,
+    a late row that precedes it replaces it. So the result does not depend on the
+    order of arrival and equals `first_per_key` over all rows. The state grows
+    with the number of keys, as keys may come back at any time.
+    """
+    spark = stream.sparkSession
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:
+        q = (first_per_key(stream, keys, order).writeStream.outputMode("update").foreachBatch(merge_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
