@@ -36,13 +36,19 @@ def declared_paths(kind: T.DataType = P.JSON_DOCUMENT_SCHEMA, at: str = "") -> l
 
 
 def depth(documents: DataFrame) -> int:
-    """Levels of the deepest document, from the merged schema of all (one aggregate, one text to the driver)."""
-    schema = documents.agg(F.expr("schema_of_variant_agg(payload)").alias("s")).first()["s"] or ""
-    level = most = 0
-    for ch in schema:
-        level += (ch == "<") - (ch == ">")
-        most = max(most, level)
-    return most
+    """Levels of the deepest document (one aggregate, one number to the driver).
+
+    Counted on the brackets of the canonical text without its strings: the merged
+    schema would hide what lies below a place where types differ.
+    """
+    text = F.regexp_replace(F.to_json("payload"), r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
+    brackets = F.split(F.regexp_replace(text, r"[^\[\]{}]", ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(level, bracket):
+        now = level["now"] + F.when(bracket.isin("[", "{"), 1).when(bracket.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(level["most"], now).alias("most"))
+    return documents.agg(F.max(F.aggregate(brackets, start, step, lambda level: level["most"])).alias("d")).first()["d"] or 0
 
 
 def path_counts(raw: DataFrame) -> DataFrame:
@@ -50,7 +56,7 @@ def path_counts(raw: DataFrame) -> DataFrame:
 
     One row per value at first: each level keeps the values found so far and
     opens the newest ones, so a document is parsed once; counts are partial
-    aggregates. Names that contain `<` or `>` can only add empty levels.
+    aggregates.
     """
     documents = variant_documents(raw).select("client_id", "payload")
     spark = raw.sparkSession
