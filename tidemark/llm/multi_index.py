@@ -12,6 +12,9 @@ neighbours among all rows.
 
 Cells are dealt to tasks by their first centroid, in chunks of entries and
 blocks of queries, so that neither a full cell nor a popular one meets whole.
+The traversal comes first: only the queries that visit a centroid's cells count
+for its blocks, so its entries are copied once per `BLOCK_QUERIES` visitors, and
+not at all without one.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ FIT_ROWS = 10_000
 MARGIN_QUERIES = 256
 CHUNK_ENTRIES = 8192
 BLOCK_QUERIES = 1024
+#: Queries whose traversals one task does, about.
+TASK_QUERIES = 4096
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -149,8 +154,8 @@ def traverse(s: np.ndarray, t: np.ndarray):
             heapq.heappush(heap, (-(sa[x + 1] + tb[0]), x + 1, 0))
 
 
-def visits(queries: DataFrame, books: Codebooks, counts: np.ndarray, chunks: np.ndarray, blocks: int, first: int) -> DataFrame:
-    """(i, chunk, block, query_id, v, bar, mask): the cells of first centroid i that a query visits.
+def visits(queries: DataFrame, books: Codebooks, counts: np.ndarray, first: int) -> DataFrame:
+    """(i, query_id, mask): the cells of first centroid i that a query visits.
 
     Without a bar: the cells that hold `first` entries. With one: all cells
     whose sum is above it less the margin. Cells without entries are passed.
@@ -161,8 +166,7 @@ def visits(queries: DataFrame, books: Codebooks, counts: np.ndarray, chunks: np.
         for batch in batches:
             out = []
             ids, bars = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            lists = batch.column(1)
-            q = matrix(lists)
+            q = matrix(batch.column(1))
             s, t = books.sums(q)
             for n, (query, bar) in enumerate(zip(ids, bars, strict=True)):
                 seen = {}
@@ -176,17 +180,31 @@ def visits(queries: DataFrame, books: Codebooks, counts: np.ndarray, chunks: np.
                 for i, js in seen.items():
                     mask = np.zeros(k, bool)
                     mask[js] = True
-                    mask = np.packbits(mask).tobytes()
-                    out += [(i, c, query % blocks, n, mask) for c in range(int(chunks[i]))]
+                    out.append((i, query, np.packbits(mask).tobytes()))
             for at in range(0, len(out), 4096):
-                i, c, b, n, mask = zip(*out[at:at + 4096], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(i, pa.int64()), pa.array(c, pa.int64()), pa.array(b, pa.int64()), batch.column(0).take(pa.array(n)),
-                     lists.take(pa.array(n)), batch.column(2).take(pa.array(n)), pa.array(mask, pa.binary())],
-                    names=["i", "chunk", "block", "query_id", "v", "bar", "mask"])
+                i, query, mask = zip(*out[at:at + 4096], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(query, pa.int64()), pa.array(mask, pa.binary())],
+                                                 names=["i", "query_id", "mask"])
 
-    return map_batches(queries.select("query_id", "v", "bar"), run,
-                       "i long, chunk long, block long, query_id long, v array<double>, bar double, mask binary")
+    return map_batches(queries.select("query_id", "v", "bar"), run, "i long, query_id long, mask binary")
+
+
+def meetings(queries: DataFrame, index: DataFrame, books: Codebooks, counts: np.ndarray, first: int) -> tuple[DataFrame, DataFrame]:
+    """(visits with their queries, entries), both dealt by (i, chunk, block)."""
+    visited = written(visits(queries, books, counts, first))
+    chunks = -(-counts.sum(axis=1) // CHUNK_ENTRIES)
+    blocks = np.zeros(books.k, np.int64)
+    for i, n in visited.groupBy("i").count().collect():  # 256 rows at most
+        blocks[i] = -(-n // BLOCK_QUERIES)
+
+    def per(numbers):  # of the row's first centroid
+        return F.element_at(F.lit(numbers.tolist()), (F.col("i") + 1).cast("int"))
+
+    def each(numbers):  # 0 to the number less one
+        return F.explode(F.sequence(F.lit(0).cast("long"), per(numbers) - 1))
+    left = (visited.join(queries, "query_id").withColumn("block", F.pmod(F.xxhash64("query_id"), per(blocks))).withColumn("chunk", each(chunks)))
+    right = (index.where(per(blocks) > 0).withColumn("chunk", F.pmod(F.xxhash64("vec_id"), per(chunks))).withColumn("block", each(blocks)))
+    return left, right
 
 
 def found(visited: DataFrame, entries: DataFrame, k: int, top: int) -> DataFrame:
@@ -230,6 +248,7 @@ def search(vectors: DataFrame, modulus: int = 20, top: int = 20, first: int = 10
     non-finite components take no part. Of rows that repeat a vec_id, the one
     with the largest vector (compared as arrays) counts. No usable vectors: no rows.
     """
+    spark = vectors.sparkSession
     rows = written(usable(vectors).groupBy("vec_id").agg(F.max("v").alias("v")))
     books, n = fit(rows, modulus, top, quantile) if not rows.isEmpty() else (None, 0)
     if books is None:
@@ -244,16 +263,15 @@ def search(vectors: DataFrame, modulus: int = 20, top: int = 20, first: int = 10
     counts = np.zeros((books.k, books.k), np.int64)
     for i, j, c in index.groupBy("i", "j").count().collect():  # 256 * 256 rows at most
         counts[i, j] = c
-    chunks = -(-counts.sum(axis=1) // CHUNK_ENTRIES)
     queries = rows.where(F.col("vec_id") % modulus == 0).select(F.col("vec_id").alias("query_id"), "v", F.lit(None).cast("double").alias("bar"))
-    blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
-    per = F.element_at(F.lit(chunks.tolist()), (F.col("i") + 1).cast("int"))
-    entries = (index.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), per))
-               .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
-    start = written(best(found(visits(queries, books, counts, chunks, blocks, first), entries, books.k, top), top))
+    tasks = max(-(-queries.count() // TASK_QUERIES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    queries = written(queries.repartition(tasks, "query_id"))
+    start = written(best(found(*meetings(queries, index, books, counts, first), books.k, top), top))
     bars = start.groupBy("query_id").agg(F.min("score").alias("bar"), F.count(F.lit(1)).alias("n"))
     bars = bars.select("query_id", F.when(F.col("n") >= top, F.col("bar")).otherwise(F.lit(-1e300)).alias("bar"))
     queries = queries.drop("bar").join(bars, "query_id", "left").withColumn("bar", F.coalesce("bar", F.lit(-1e300)))
-    more = found(visits(queries, books, counts, chunks, blocks, first), entries, books.k, top)
-    return (best(start.drop("rank").union(more).distinct(), top)
+    queries = written(queries.repartition(tasks, "query_id"))  # a number of its own: AQE would put small vectors into one task
+    more = found(*meetings(queries, index, books, counts, first), books.k, top)
+    both = start.drop("rank").union(more).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return (best(both, top)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
