@@ -390,6 +390,32 @@ def test_index_recall(spark):
     assert hits / total >= 0.9
 
 
+def test_index_with_many_blocks_and_chunks(spark, monkeypatch, tmp_path):
+    """The same rows however queries and entries are cut; entries without visitors are not copied."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    draw = np.random.default_rng(9)
+    x = np.repeat(draw.normal(size=(40, 16)), 100, axis=0) + 0.1 * draw.normal(size=(4000, 16))
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)}), str(tmp_path / "e.parquet"))
+    vectors = spark.read.parquet(str(tmp_path / "e.parquet"))
+    want = sorted(tuple(r) for r in multi_index.search(vectors, top=5, first=50).collect())
+    copies = []
+    plain = multi_index.meetings
+
+    def counted(queries, index, books, *rest):
+        left, right = plain(queries, index, books, *rest)
+        copies.append((left.select("i", "query_id").distinct().count(), right.count(), books.k))
+        return left, right
+    monkeypatch.setattr(multi_index, "meetings", counted)
+    monkeypatch.setattr(multi_index, "BLOCK_QUERIES", 16)
+    monkeypatch.setattr(multi_index, "CHUNK_ENTRIES", 64)
+    got = sorted(tuple(r) for r in multi_index.search(vectors, top=5, first=50).collect())
+    assert [r[:3] for r in got] == [r[:3] for r in want] and np.allclose([r[3] for r in got], [r[3] for r in want])
+    per_centroid = len(x)  # an entry meets ceil(visitors / 16) blocks of its own centroid
+    assert all(n <= (visits / 16 + k) * per_centroid / k * 3 for visits, n, k in copies)
+
+
 def test_index_margin_and_recall_beyond_the_sample(spark, monkeypatch, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq

@@ -189,9 +189,10 @@ def visits(queries: DataFrame, books: Codebooks, counts: np.ndarray, first: int)
     return map_batches(queries.select("query_id", "v", "bar"), run, "i long, query_id long, mask binary")
 
 
-def meetings(queries: DataFrame, index: DataFrame, books: Codebooks, counts: np.ndarray, first: int) -> tuple[DataFrame, DataFrame]:
+def meetings(queries: DataFrame, index: DataFrame, books: Codebooks, counts: np.ndarray, first: int, tasks: int) -> tuple[DataFrame, DataFrame]:
     """(visits with their queries, entries), both dealt by (i, chunk, block)."""
-    visited = written(visits(queries, books, counts, first))
+    # a number of its own: a scan or AQE would put small vectors into one task, which then does all traversals
+    visited = written(visits(queries.repartition(tasks, "query_id"), books, counts, first))
     chunks = -(-counts.sum(axis=1) // CHUNK_ENTRIES)
     blocks = np.zeros(books.k, np.int64)
     for i, n in visited.groupBy("i").count().collect():  # 256 rows at most
@@ -265,13 +266,11 @@ def search(vectors: DataFrame, modulus: int = 20, top: int = 20, first: int = 10
         counts[i, j] = c
     queries = rows.where(F.col("vec_id") % modulus == 0).select(F.col("vec_id").alias("query_id"), "v", F.lit(None).cast("double").alias("bar"))
     tasks = max(-(-queries.count() // TASK_QUERIES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    queries = written(queries.repartition(tasks, "query_id"))
-    start = written(best(found(*meetings(queries, index, books, counts, first), books.k, top), top))
+    start = written(best(found(*meetings(queries, index, books, counts, first, tasks), books.k, top), top))
     bars = start.groupBy("query_id").agg(F.min("score").alias("bar"), F.count(F.lit(1)).alias("n"))
     bars = bars.select("query_id", F.when(F.col("n") >= top, F.col("bar")).otherwise(F.lit(-1e300)).alias("bar"))
     queries = queries.drop("bar").join(bars, "query_id", "left").withColumn("bar", F.coalesce("bar", F.lit(-1e300)))
-    queries = written(queries.repartition(tasks, "query_id"))  # a number of its own: AQE would put small vectors into one task
-    more = found(*meetings(queries, index, books, counts, first), books.k, top)
+    more = found(*meetings(written(queries), index, books, counts, first, tasks), books.k, top)
     both = start.drop("rank").union(more).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return (best(both, top)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
