@@ -163,6 +163,40 @@ def test_ppm_is_a_distribution():
 
 # ------------------------------------------------------------------------- op3
 
+def plain_notices(words: list[str]) -> dict[str, float]:
+    """Labels of notices with their best share, from all places of all pairs."""
+    out: dict[str, float] = {}
+    at = collections.defaultdict(list)
+    for k, pair in enumerate(zip(words, words[1:])):
+        at[pair].append(k)
+    for label, text in licenses.NOTICES:
+        pairs = list(zip(text.split(), text.split()[1:]))
+        hits = [(i, k) for i, pair in enumerate(pairs) for k in at.get(pair, ())]
+        for d in {k - i for i, k in hits}:
+            first: dict[int, int] = {}
+            for i, k in hits:
+                if d <= k - i <= d + licenses.DRIFT:
+                    first[i] = min(k, first.get(i, k))
+            ks = [first[i] for i in sorted(first)]
+            n = sum(j == 0 or k > ks[j - 1] for j, k in enumerate(ks))
+            if n >= licenses.SHARE * len(pairs):
+                out[label] = max(out.get(label, 0.0), n / len(pairs))
+    return out
+
+
+def test_scrambled_notices_have_no_label(spark):
+    data = []
+    for i, (label, text) in enumerate(licenses.NOTICES):
+        words = text.split()
+        pairs = [" ".join(words[k:k + 2]) for k in range(len(words) - 1)]
+        rng = random.Random(i)
+        mixed = rng.sample(pairs, len(pairs))
+        data += [(3 * i, " ".join(pairs[::-1])), (3 * i + 1, " filler ".join(mixed)), (3 * i + 2, f"some words {text} more words")]
+    found = rows(licenses.scanned(spark.createDataFrame(data, "doc_id long, text string")))
+    for i, text in data:
+        assert (found[i]["score"] == 1.0) if i % 3 == 2 else set(found[i]["labels"].split(",")) <= set(found[i]["base_labels"].split(",")), text
+
+
 def test_licenses_equal_brute_force(spark, texts):
     found = rows(queries.op3_licenses(spark, SF))
     for i, t in texts:
@@ -172,7 +206,10 @@ def test_licenses_equal_brute_force(spark, texts):
         r = found[i]
         assert (r["n_words"], r["n_base"]) == (len(words), len(places))
         assert r["first_word"] == min((k for k, _ in places), default=None) and r["last_word"] == max((k for k, _ in places), default=None)
-        assert r["base_labels"] == ",".join(sorted({x for _, x in places})) and set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
+        notices = plain_notices(words)
+        assert r["base_labels"] == ",".join(sorted({x for _, x in places}))
+        assert r["labels"] == ",".join(sorted({x for _, x in places} | set(notices)))
+        assert r["score"] == (1.0 if places else max(notices.values(), default=0.0))
 
 
 def test_license_notice_with_changed_words(spark):

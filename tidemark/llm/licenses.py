@@ -3,9 +3,11 @@
 Every pair of neighbouring words of a document is joined by hash, checked by
 its words, to the places of that pair in the templates. A hit votes for the
 diagonal document place less template place. A base phrase stands where its
-diagonal has all votes. For the longer license texts, diagonals of one template
-that are at most `DRIFT` words apart (words left out or put in) are merged, and
-the span is taken if its distinct pairs are `SHARE` of the template or more.
+diagonal has all votes. For the longer license texts, neighbouring diagonals of
+one template, from any diagonal to `DRIFT` words on (words put in or left out),
+are merged, so a span is at most `DRIFT` words longer than its template. The
+span is verified: pairs count whose first word in it comes after that of the
+template's pair before, and they must be `SHARE` of the template or more.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ NOTICES = [
 ]
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SHARE = 0.85
-DRIFT = 3
+DRIFT = 6
 
 
 def template_rows() -> list[tuple]:
@@ -83,19 +85,22 @@ def hits(rows: DataFrame) -> DataFrame:
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """(row, label, base, first, share): base phrases by full diagonals, notices by merged diagonals."""
+    """(row, label, base, first, share): base phrases by full diagonals, notices by verified spans of merged diagonals."""
     votes = found.withColumn("diagonal", F.col("at") - F.col("place"))
     phrases = (votes.where("base").groupBy("row", "label", "template", "diagonal", "pairs")
                .agg(F.count(F.lit(1)).alias("n")).where("n = pairs")
                .select("row", "label", F.lit(True).alias("base"), F.col("diagonal").alias("first"), F.lit(1.0).alias("share")))
-    lines = (votes.where("NOT base").groupBy("row", "label", "template", "pairs", "diagonal")
-             .agg(F.collect_set("place").alias("places"), F.min("at").alias("first")))
-    order = Window.partitionBy("row", "template").orderBy("diagonal")
-    breaks = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT).cast("int"), F.lit(0))
-    merged = (lines.withColumn("new", breaks).withColumn("cluster", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-              .groupBy("row", "label", "template", "pairs", "cluster")
-              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"), F.min("first").alias("first")))
-    notices = (merged.where(F.col("n") >= SHARE * F.col("pairs"))
+    group = ["row", "label", "template", "pairs"]
+    votes = votes.where("NOT base")
+    lines = votes.groupBy(*group, "diagonal").agg(F.count(F.lit(1)).alias("n"))  # a place votes once for a diagonal
+    near = Window.partitionBy("row", "template").orderBy("diagonal").rangeBetween(0, DRIFT)
+    begun = lines.withColumn("n", F.sum("n").over(near)).where(F.col("n") >= SHARE * F.col("pairs"))
+    merged = begun.select("row", "template", F.col("diagonal").alias("begin"),
+                          F.explode(F.sequence("diagonal", F.col("diagonal") + DRIFT)).alias("diagonal"))
+    places = votes.join(merged, ["row", "template", "diagonal"]).groupBy(*group, "begin", "place").agg(F.min("at").alias("at"))
+    before = F.lag("at").over(Window.partitionBy("row", "template", "begin").orderBy("place"))
+    notices = (places.withColumn("rises", F.coalesce(F.col("at") > before, F.lit(True)))
+               .groupBy(*group, "begin").agg(F.count_if("rises").alias("n"), F.min("at").alias("first")).where(F.col("n") >= SHARE * F.col("pairs"))
                .select("row", "label", F.lit(False).alias("base"), "first", (F.col("n") / F.col("pairs")).alias("share")))
     return phrases.union(notices)
 
@@ -132,14 +137,16 @@ t(pair, template, place, label, base, pairs) AS (VALUES {rows}),
 hits AS (SELECT rid, template, label, base, pairs, place, pos, pos - place AS diagonal FROM p JOIN t USING (pair)),
 phrases AS (SELECT rid, label, true AS base, diagonal AS start, CAST(1 AS DOUBLE) AS share FROM hits WHERE base
   GROUP BY rid, label, template, diagonal, pairs HAVING count(*) = pairs),
-lines AS (SELECT rid, label, template, pairs, diagonal, list(DISTINCT place) AS places, min(pos) AS start FROM hits WHERE NOT base
-  GROUP BY rid, label, template, pairs, diagonal),
-marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal) > {DRIFT} THEN 1 ELSE 0 END AS new FROM lines),
-clusters AS (SELECT *, sum(new) OVER (PARTITION BY rid, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS cluster FROM marked),
-sums AS (SELECT rid, label, template, pairs, cluster, len(list_distinct(flatten(list(places)))) AS n, min(start) AS start FROM clusters
-  GROUP BY rid, label, template, pairs, cluster),
+lines AS (SELECT rid, label, template, pairs, diagonal, count(*) AS n FROM hits WHERE NOT base GROUP BY rid, label, template, pairs, diagonal),
+near AS (SELECT *, sum(n) OVER (PARTITION BY rid, template ORDER BY diagonal RANGE BETWEEN CURRENT ROW AND {DRIFT} FOLLOWING) AS around FROM lines),
+begun AS (SELECT rid, template, diagonal AS begin_at FROM near WHERE around >= CAST({SHARE} AS DOUBLE) * pairs),
+places AS (SELECT rid, label, template, pairs, begin_at, place, min(pos) AS pos FROM hits JOIN begun USING (rid, template)
+  WHERE NOT base AND diagonal BETWEEN begin_at AND begin_at + {DRIFT} GROUP BY rid, label, template, pairs, begin_at, place),
+rising AS (SELECT *, COALESCE(pos > lag(pos) OVER (PARTITION BY rid, template, begin_at ORDER BY place), true) AS rises FROM places),
+sums AS (SELECT rid, label, template, pairs, begin_at, count(*) FILTER (rises) AS n, min(pos) AS start FROM rising
+  GROUP BY rid, label, template, pairs, begin_at),
 spans AS (SELECT * FROM phrases UNION ALL
-  SELECT rid, label, false, start, CAST(n AS DOUBLE) / pairs FROM sums WHERE n >= {SHARE} * pairs),
+  SELECT rid, label, false, start, CAST(n AS DOUBLE) / pairs FROM sums WHERE n >= CAST({SHARE} AS DOUBLE) * pairs),
 found AS (SELECT rid, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
     max(share) AS score FROM spans GROUP BY rid)
