@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, html_text, langid, licenses, multi_index, pieces, ppm, quality, simhash, suffix_dedup
+from tidemark.llm.common import with_place
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, row long, comp string, ids string"
 LABELS = "doc_id long, quality int, toxic int"
@@ -114,6 +115,13 @@ def test_language_with_hundreds_of_languages(spark):
     assert sum(r["lang_pred"] == data[r["doc_id"]][2] for r in found) >= 0.97 * 1200
 
 
+def test_language_sample_of_one_repeated_id(spark):
+    data = [(7, f"the words of row {i} are many and this is english", "en") for i in range(2000)] + [(8, "das ist ein kurzer deutscher satz", "de")] * 40
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    langs, rows_ = langid.sample(with_place(df, "doc_id", "text", "lang"), 100)
+    assert langs == ["de", "en"] and [sum(r[0] == x for r in rows_) for x in langs] == [40, 50]
+
+
 def test_pieces(docs, empty):
     model = pieces.model_file()
     found = by_id(pieces.round_trips(docs, model), "n_bytes", "n_tokens", "ids_sha256", "decoded_ok")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, written
+from tidemark.llm.common import map_batches, setting, with_place, written
 
 DIMS = 1 << 14
 CHUNK = 1 << 20
@@ -73,13 +73,18 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def sample(train: DataFrame, max_train: int) -> tuple[list[str], list[tuple[str, np.ndarray, np.ndarray]]]:
-    """Languages, and (lang, indices, counts) of at most `max_train` rows or 20 of each language, the same number of each."""
-    langs = sorted(r[0] for r in train.select("lang").distinct().collect())  # the classes of the model
+    """Languages, and (lang, indices, counts) of at most `max_train` rows or 20 of each language, the same number of each.
+
+    Rows are drawn, not ids, so an id of many rows brings no more than that.
+    The languages are the model's classes and reach the driver, one row each.
+    """
+    langs = sorted(r[0] for r in train.select("lang").distinct().collect())
     if not langs:
         return [], []
     each = max(20, max_train // len(langs))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = written(train.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= each).select("doc_id"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "f", "r")
+    with setting(train.sparkSession, "spark.sql.optimizer.windowGroupLimitThreshold", str(each)):  # tasks keep so many of a language before the shuffle
+        chosen = written(train.select("f", "r", "lang", "doc_id").withColumn("k", F.row_number().over(order)).where(F.col("k") <= each).select("f", "r"))
 
     def run(batches):
         for batch in batches:
@@ -90,8 +95,8 @@ def sample(train: DataFrame, max_train: int) -> tuple[list[str], list[tuple[str,
                  pa.array([c[a].astype(np.int32) for c, a in zip(found, at, strict=True)], pa.list_(pa.int32())), batch.column(2)],
                 names=["lang", "at", "n", "doc_id"])
 
-    chosen = train.join(ids.distinct(), "doc_id", "left_semi").select("lang", "text", "doc_id")
-    rows = map_batches(chosen, run, "lang string, at array<int>, n array<int>, doc_id long").orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "at").toArrow()
+    rows = train.join(chosen, ["f", "r"], "left_semi").select("lang", "text", "doc_id")
+    rows = map_batches(rows, run, "lang string, at array<int>, n array<int>, doc_id long").orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "at").toArrow()
     return langs, [(lang, np.array(a, np.int64), np.array(n, float)) for lang, a, n in
                    zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), rows.column(2).to_pylist(), strict=True)]
 
@@ -147,7 +152,7 @@ def fit(train: DataFrame, max_train: int = 3000, l1: float = 0.02, l2: float = 0
 
 
 def predict(docs: DataFrame, langs: list[str], idf: np.ndarray, weights: np.ndarray) -> DataFrame:
-    model = docs.sparkSession.sparkContext.broadcast((langs, idf, weights))  # DIMS x languages
+    model = docs.sparkSession.sparkContext.broadcast((langs, idf, weights))  # 128 kB a language
 
     def one(text):
         names, idf, w = model.value
@@ -176,8 +181,8 @@ def language_ids(docs: DataFrame, folds: int = 4, held: int = 2, max_train: int
     no letter, and for every text if there is nothing to learn from. A row
     without doc_id is never held out nor learned from.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = with_place(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
     rows = rows.withColumn("held_out", F.coalesce(fold == held, F.lit(False)))
-    train = rows.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL AND NOT held_out").select("doc_id", "text", "lang")
+    train = rows.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL AND NOT held_out")
     return predict(rows, *fit(train, max_train))
