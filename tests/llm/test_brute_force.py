@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import components, decontamination, html_text, licenses, multi_index, pieces, ppm, queries, simhash, suffix_dedup
+from tidemark.llm import components, decontamination, html_text, licenses, multi_index, pieces, ppm, quality, queries, simhash, suffix_dedup
 from tidemark.llm.common import table
 from tidemark.llm.suffix import suffix_order
 
@@ -231,6 +231,39 @@ def test_quality_and_language_accuracy(spark):
     assert pred.where("lang = lang_pred").count() >= 0.97 * pred.count() > 0
 
 
+def test_quality_equals_plain_co_training(spark):
+    """All rows without a label take part: same model as with every feature in memory, few rounds' rows at a time."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    label = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    rest = [(r["doc_id"], quality.text_view((r["text"] or "").encode()), quality.page_view(r["source"], r["lang"], r["n_chars"]))
+            for r in docs.collect() if r["doc_id"] not in label]
+    rows_ = quality.featured(quality.plain(docs), labels).cache()
+    assert rows_.where("y IS NULL").count() == len(rest) > 0 and rows_.where("y IS NOT NULL").count() + len(rest) == docs.count()
+    order = {r["doc_id"]: (r["h"], r["doc_id"]) for r in rows_.select("h", "doc_id").collect()}
+
+    def plain_surest(w, platt, sure, each, taken):
+        out = []
+        for v in (0, 1):
+            p = [float(quality.sigmoid(quality.odds_of(v, w, platt, x[1 + v][None, :]))[0]) for x in rest]
+            for c in (0, 1):
+                side = [round(q if c else 1 - q, 9) for q in p]
+                best = sorted((-s, order[x[0]], i) for i, (s, x) in enumerate(zip(side, rest, strict=True)) if s >= sure and x[0] not in taken)
+                out += [(v, c, rest[i][0], *rest[i][1:]) for *_, i in best[:each]]
+        return out
+
+    a, b, y = quality.labelled(rows_, 6000)
+    plain = quality.co_train(a, b, y, plain_surest, sure=0.8, each=3)
+    spread = quality.co_train(a, b, y, lambda *state: quality.surest(rows_, *state), sure=0.8, each=3)
+    for one, two in zip([*plain[0], *plain[1], plain[2]], [*spread[0], *spread[1], spread[2]], strict=True):
+        assert np.allclose(one, two, rtol=1e-6, atol=1e-8)
+
+
+def test_quality_sample_of_one_repeated_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i} of one id", "en", "s", 20) for i in range(500)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert len(quality.labelled(quality.featured(quality.plain(docs), labels), 40)[2]) == 20
+
+
 # ------------------------------------------------------------------------- op6
 
 def test_pieces_equal_the_library_without_dropout(texts):

@@ -2,14 +2,15 @@
 
 View "text": shares of characters, lines and repeated words in the whole text.
 View "page": what is known without reading it (source, language, given length).
-Each view has its own logistic regression. In every round each view labels the
-rows of an unlabelled pool that it is surest of (calibrated probability at or
-beyond `sure`), and the other view learns from them. At the end both views are
-calibrated on labelled rows that no round used, and a logistic regression on
-the two calibrated log-odds, fitted there too, gives the score of all rows.
-
-Fitting reads a bounded sample: at most `max_labelled` labelled rows (the same
-number of each class where there are enough) and `max_pool` others.
+Each view has its own logistic regression. In every round each view scores all
+rows without a label, labels the `each` of either class that it is surest of
+(calibrated probability at or beyond `sure`), and the other view learns from
+them. At the end both views are calibrated on labelled rows that no round used,
+and a logistic regression on the two calibrated log-odds, fitted there too,
+gives the score of all rows.
+
+Fitted on at most `max_labelled` labelled rows (the same number of each class
+where there are enough) and what the rounds label, 4 * `each` rows a round.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidemark.llm.common import map_batches, written
+from tidemark.llm.common import map_batches, with_place, written
 
 SOURCE_BINS, LANG_BINS = 64, 16
 PUNCTUATION = [i for i in range(33, 127) if not chr(i).isalnum()]
@@ -108,62 +109,113 @@ def apply(w: np.ndarray, x: np.ndarray) -> np.ndarray:
     return x @ w[:-1] + w[-1]
 
 
-def gathered(docs: DataFrame, labels: DataFrame, max_labelled: int, max_pool: int):
-    """Features of the bounded sample: (text view, page view, label or -1), in an order that the doc_ids fix."""
+FEATURES = ["a", "b"]
+ORDER = ["h", "doc_id", "f", "r"]
+
+
+def featured(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(f, r, h, doc_id, y, a, b) of all rows with a doc_id: both views, the label or null, a hash that fixes an order. A written table."""
     label = (labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.round(F.avg("quality")).cast("int").alias("y")))
-    order = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    labelled = (label.withColumn("k", F.row_number().over(order)).where(F.col("k") <= max_labelled // 2).select("doc_id", "y"))
-    pool = (docs.where("doc_id IS NOT NULL").select("doc_id").distinct().join(label, "doc_id", "left_anti")
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_pool).select("doc_id", F.lit(-1).alias("y")))
-    chosen = written(labelled.union(pool))
 
     def run(batches):
         for batch in batches:
-            a, b = views(batch)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(5), pa.array(list(a), pa.list_(pa.float64())), pa.array(list(b), pa.list_(pa.float64()))],
-                names=["doc_id", "y", "a", "b"])
+                [batch.column(0), *(pa.array(list(x), pa.list_(pa.float64())) for x in views(batch))], names=["doc_id", "a", "b"])
+
+    rows = map_batches(docs.where("doc_id IS NOT NULL").select(*COLUMNS), run, "doc_id long, a array<double>, b array<double>")
+    rows = written(rows.join(label, "doc_id", "left").withColumn("h", F.xxhash64("doc_id", "a")))
+    return with_place(rows, "h", "doc_id", "y", "a", "b")
+
+
+def matrices(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.array(found.column(c).to_pylist(), float).reshape(-1, n) for c, n in (("a", TEXT_DIMS), ("b", PAGE_DIMS)))
+
+
+def labelled(rows: DataFrame, max_labelled: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text view, page view, label) of at most half of `max_labelled` labelled rows a class, in the order of their hashes."""
+    half = max_labelled // 2
+    slot = F.shiftrightunsigned("h", 52)  # 4,096 slots of hashes: only rows of the first ones that hold enough are ordered
+    sizes = sorted(map(tuple, rows.where("y IS NOT NULL").groupBy("y", slot.alias("slot")).count().collect()))
+    parts = []
+    for y in (0, 1):
+        mine = [(s, n) for cls, s, n in sizes if cls == y]
+        enough = np.searchsorted(np.cumsum([n for _, n in mine]), half)
+        last = mine[min(int(enough), len(mine) - 1)][0] if mine else 0
+        parts.append(rows.where((F.col("y") == y) & (slot <= last)).orderBy(slot, *ORDER).limit(half))
+    found = parts[0].union(parts[1]).select("h", "doc_id", "y", *FEATURES).orderBy("h", "doc_id", *FEATURES).toArrow()
+    return *matrices(found), found.column("y").to_numpy()
 
-    rows = docs.join(chosen, "doc_id").select(*COLUMNS, "y")
-    found = (map_batches(rows, run, "doc_id long, y int, a array<double>, b array<double>")
-             .orderBy(F.xxhash64("doc_id"), "doc_id", "a", "b").limit(2 * (max_labelled + max_pool)).toArrow())
-    y = found.column(1).to_numpy()
-    return (np.array(found.column(2).to_pylist()).reshape(-1, TEXT_DIMS), np.array(found.column(3).to_pylist()).reshape(-1, PAGE_DIMS), y)
 
+def odds_of(view: int, w, platt, x: np.ndarray) -> np.ndarray:
+    """Calibrated log-odds of one view."""
+    return apply(platt[view], apply(w[view], x)[:, None])
 
-def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, rounds: int = 5, sure: float = 0.97, each: int = 200):
-    """(text weights, page weights, their calibrations, combination), or None if a class is missing."""
-    known = np.flatnonzero(y >= 0)
-    fitted, held = known[np.arange(len(known)) % 4 != 3], known[np.arange(len(known)) % 4 == 3]
-    if len(set(y[fitted])) < 2 or len(set(y[held])) < 2:
+
+def surest(rows: DataFrame, w, platt, sure: float, each: int, taken: set[tuple[int, int]]) -> list[tuple[int, int, tuple[int, int], np.ndarray, np.ndarray]]:
+    """(view, class, place, text view, page view) of the `each` rows without a label that a view is surest of, for both views and classes.
+
+    All rows without a label are scored; a task hands on its own best only.
+    """
+
+    def run(batches):
+        best: dict[tuple[int, int], list] = {(v, c): [] for v in (0, 1) for c in (0, 1)}
+        for batch in batches:
+            place = list(zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True))
+            tie = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True))
+            for v, x in enumerate(matrices(pa.table({"a": batch.column(4), "b": batch.column(5)}))):
+                p = sigmoid(odds_of(v, w, platt, x))
+                for c in (0, 1):
+                    side = np.round(p if c else 1 - p, 9)  # the last bits depend on the batch
+                    mine = best[v, c]
+                    mine += [(-side[i], *tie[i], *place[i]) for i in np.flatnonzero(side >= sure).tolist() if place[i] not in taken]
+                    if len(mine) > each:
+                        best[v, c] = sorted(mine)[:each]
+        out = [(v, c, *x) for (v, c), found in best.items() for x in found]
+        kinds = (pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(col, t) for col, t in zip(zip(*out, strict=True), kinds, strict=True)],
+                                             names=["v", "c", "unsure", *ORDER])
+
+    found = map_batches(rows.where("y IS NULL").select("f", "r", "h", "doc_id", *FEATURES), run,
+                        "v int, c int, unsure double, h long, doc_id long, f long, r long")
+    order = Window.partitionBy("v", "c").orderBy("unsure", *ORDER)
+    chosen = written(found.withColumn("k", F.row_number().over(order)).where(F.col("k") <= each))
+    out = chosen.join(rows.select("f", "r", *FEATURES), ["f", "r"]).orderBy("v", "c", "k").toArrow()  # 4 * each rows
+    place = list(zip(out.column("f").to_pylist(), out.column("r").to_pylist(), strict=True))
+    return list(zip(out.column("v").to_pylist(), out.column("c").to_pylist(), place, *matrices(out), strict=True))
+
+
+def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, pool, rounds: int = 5, sure: float = 0.97, each: int = 200):
+    """(text weights, page weights, their calibrations, combination), or None if a class is missing.
+
+    `pool(w, platt, sure, each, taken)` gives what `surest` gives.
+    """
+    fitted = np.arange(len(y)) % 4 != 3
+    if len(set(y[fitted])) < 2 or len(set(y[~fitted])) < 2:
         return None
-    x = (a, b)
-    idx = [fitted, fitted]  # rows that each view learns from, and the labels it was given
-    lab = [y[fitted].astype(float), y[fitted].astype(float)]
-    pool = np.flatnonzero(y < 0)
-    truth = y[held].astype(float)
-    for _ in range(rounds + 1):
-        w = [logistic(x[v][idx[v]], lab[v]) for v in (0, 1)]
-        platt = [logistic(apply(w[v], x[v][held])[:, None], truth, 1e-4) for v in (0, 1)]
-        if _ == rounds or not len(pool):
+    held = (a[~fitted], b[~fitted])
+    truth = y[~fitted].astype(float)
+    x = [[a[fitted]], [b[fitted]]]  # what each view learns from, and the labels it was given
+    lab = [[y[fitted].astype(float)], [y[fitted].astype(float)]]
+    taken: set[tuple[int, int]] = set()
+    for i in range(rounds + 1):
+        w = [logistic(np.concatenate(x[v]), np.concatenate(lab[v])) for v in (0, 1)]
+        platt = [logistic(apply(w[v], held[v])[:, None], truth, 1e-4) for v in (0, 1)]
+        found = pool(w, platt, sure, each, taken) if i < rounds else []
+        if not found:
             break
-        taken = []
-        for v in (0, 1):
-            p = sigmoid(apply(platt[v], apply(w[v], x[v][pool])[:, None]))
-            for cls in (0, 1):
-                best = np.argsort(-p if cls else p, kind="stable")[:each]
-                best = best[(p[best] >= sure) if cls else (p[best] <= 1 - sure)]
-                idx[1 - v] = np.append(idx[1 - v], pool[best])
-                lab[1 - v] = np.append(lab[1 - v], np.full(len(best), float(cls)))
-                taken.append(best)
-        pool = np.delete(pool, np.unique(np.concatenate(taken)))
-    odds = np.stack([apply(platt[v], apply(w[v], x[v][held])[:, None]) for v in (0, 1)], axis=1)
+        for v, cls, place, *both in found:
+            x[1 - v].append(both[1 - v][None, :])
+            lab[1 - v].append(np.array([float(cls)]))
+            taken.add(place)
+    odds = np.stack([odds_of(v, w, platt, held[v]) for v in (0, 1)], axis=1)
     return w, platt, logistic(odds, truth, 1e-4)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool: int = 6000):
-    return co_train(*gathered(plain(docs), labels, max_labelled, max_pool))
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000):
+    rows = featured(plain(docs), labels)
+    return co_train(*labelled(rows, max_labelled), lambda *state: surest(rows, *state))
 
 
 def probabilities(model, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,11 +224,11 @@ def probabilities(model, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.n
         half = np.full(len(a), 0.5)
         return half, half, half
     w, platt, mix = model
-    odds = [apply(platt[v], apply(w[v], x)[:, None]) for v, x in enumerate((a, b))]
+    odds = [odds_of(v, w, platt, x) for v, x in enumerate((a, b))]
     return sigmoid(odds[0]), sigmoid(odds[1]), sigmoid(apply(mix, np.stack(odds, axis=1)))
 
 
-def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_labelled: int = 6000, max_pool: int = 6000) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_labelled: int = 6000) -> DataFrame:
     """One row per row of `docs`: doc_id, text_score, page_score, score (all 0 to 1), keep.
 
     Null and blank texts are scored like others, by a feature of their own;
@@ -184,7 +236,7 @@ def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_label
     1 are ignored, of several for a document the majority counts (a tie: good).
     Without labels of both classes nothing is known: scores 0.5, all kept.
     """
-    model = fit(docs, labels, max_labelled, max_pool)
+    model = fit(docs, labels, max_labelled)
 
     def run(batches):
         for batch in batches:
@@ -196,9 +248,9 @@ def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_label
     return map_batches(plain(docs).select(*COLUMNS), run, "doc_id long, text_score double, page_score double, score double, keep boolean")
 
 
-def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_labelled: int = 6000, max_pool: int = 6000) -> DataFrame:
+def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_labelled: int = 6000) -> DataFrame:
     """The rows of `docs` that `scores` keeps, all columns as they are."""
-    model = fit(docs, labels, max_labelled, max_pool)
+    model = fit(docs, labels, max_labelled)
     kinds = [StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
     names = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
     casts = [x.alias(f"v{i}") for i, x in enumerate(plain_columns())]
