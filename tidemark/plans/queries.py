@@ -549,15 +549,19 @@ def scan_json_documents(spark: SparkSession, sf: str) -> DataFrame:
     docs.write.parquet(f"{root}/docs")
     docs = spark.read.parquet(f"{root}/docs")
     cat = Catalog(f"{root}/tables")
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(JSON_SPLIT_BYTES))
+    # opening a file counts nothing, so a task takes small documents up to the bytes of a split, not one each
+    scan = {"spark.sql.files.maxPartitionBytes": str(JSON_SPLIT_BYTES), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in scan}
+    for k, v in scan.items():
+        spark.conf.set(k, v)
     try:
         for day in (derive.LOAD_1, derive.LOAD_2):
             (docs.filter(F.col("_loaded_at") == F.lit(day).cast("timestamp_ntz")).select("text", "doc").repartition("doc")
              .write.mode("append").option("compression", "none").partitionBy("doc").text(f"{root}/landing/client_c"))
             L.load_payload_once(spark, f"{root}/landing", source, cat, f"{root}/checkpoints", day)
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     parsed = silver.parse(cat.read(spark, "raw", "transactions"))
     return _parse_out(parsed).withColumn("_source_file", F.regexp_extract("_source_file", "doc=([^/]+)", 1))
 
