@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import at_least_partitions, map_batches, with_place, written
+from tidemark.llm.common import at_least_partitions, joined_as_measured, map_batches, with_place, written
 from tidemark.llm.components import components
 
 GOLAY_POLYNOMIAL = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
@@ -200,12 +200,12 @@ def grouped(rows: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
     """(doc_id, f, r, fp, component, component_id): every row (f, r, doc_id, text) with its group; component is the group's key."""
     prints = written(with_fingerprint(rows, words, seed))
     fps = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    with at_least_partitions(rows.sparkSession, KEY_PARTITIONS):
+    with at_least_partitions(rows.sparkSession, KEY_PARTITIONS), joined_as_measured(rows.sparkSession):
         links = written(star_links(fps))
     stars = components(links)
     fps = written(fps.join(stars.select(F.col("id").alias("fp"), F.col("root").alias("r")), "fp", "left")
                   .select("fp", "rep", F.coalesce("r", "fp").alias("comp")))
-    with at_least_partitions(rows.sparkSession, KEY_PARTITIONS):
+    with at_least_partitions(rows.sparkSession, KEY_PARTITIONS), joined_as_measured(rows.sparkSession):
         links = written(cross_links(fps))
     cross = components(links)
     fps = (fps.join(cross.select(F.col("id").alias("comp"), F.col("root").alias("r")), "comp", "left")
