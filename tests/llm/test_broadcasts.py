@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import simhash
+from tidemark.llm import simhash, suffix_dedup
 from tidemark.llm.common import joined_as_measured, written
 
 NAMES = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -34,6 +34,13 @@ def test_fingerprint_keys_are_not_broadcast_by_estimate(spark, tmp_path, monkeyp
     assert [spark.conf.get(k, None) for k in NAMES] == before
 
 
+def test_spans_are_not_broadcast(spark, tmp_path):
+    docs = _docs(spark, f"{tmp_path}/docs.parquet")
+    for df in (suffix_dedup.cleaned(docs), suffix_dedup.digests(docs)):
+        assert "BroadcastExchange" not in _plan(df)
+        assert df.count() in (0, 60)
+
+
 def test_measured_threshold_is_the_sessions(spark):
     most = spark.conf.get(NAMES[0])
     with joined_as_measured(spark):

@@ -362,7 +362,8 @@ def digests(docs: DataFrame) -> DataFrame:
                 [batch.column(0), *(pa.array([x[i] for x in out], t) for i, t in enumerate(kinds))],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = rows.join(repeated_spans(rows.select("f", "r", "text")), ["f", "r"], "left").select("doc_id", "text", "spans")
+    found = repeated_spans(rows.select("f", "r", "text")).hint("merge")  # lists are far longer than their files, by which Spark would size them
+    joined = rows.join(found, ["f", "r"], "left").select("doc_id", "text", "spans")
     return map_batches(joined, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -386,7 +387,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
             out = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[2:]], names=["text", *(f"c{i}" for i in range(len(others)))])
             yield out.filter(keep)
 
-    found = repeated_spans(rows.select("f", "r", "text"))
+    found = repeated_spans(rows.select("f", "r", "text")).hint("merge")
     joined = rows.join(found, ["f", "r"], "left").select("text", "spans", *(f"c{i}" for i in range(len(others))))
     schema = StructType([StructField("text", StringType()), *(StructField(f"c{i}", t) for i, t in enumerate(fields))])
     out = map_batches(joined, run, schema)
