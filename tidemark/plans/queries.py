@@ -537,6 +537,8 @@ def scan_all_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 #: Bytes of a split while the documents of `scan_json_documents` are loaded: small, so that each document crosses borders.
 JSON_SPLIT_BYTES = 1 << 18
+#: Documents that one task of it writes as files.
+TASK_FILES = 200
 # Put into every document: a field that the schema does not know, and a comment, both with brackets and quotes.
 JSON_PLANT = '"order":/* } ] " */{"note":"} ]{[ \\\\" /* \' //",'
 
@@ -550,15 +552,18 @@ def scan_json_documents(spark: SparkSession, sf: str) -> DataFrame:
     docs.write.parquet(f"{root}/docs")
     docs = spark.read.parquet(f"{root}/docs")
     cat = Catalog(f"{root}/tables")
-    # opening a file counts nothing, so a task takes small documents up to the bytes of a split, not one each
-    scan = {"spark.sql.files.maxPartitionBytes": str(JSON_SPLIT_BYTES), "spark.sql.files.openCostInBytes": "0"}
+    # opening a file counts nothing, so a task takes small documents up to the bytes of a split, not one each; nor does a task list one folder only
+    scan = {"spark.sql.files.maxPartitionBytes": str(JSON_SPLIT_BYTES), "spark.sql.files.openCostInBytes": "0",
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)}
     before = {k: spark.conf.get(k) for k in scan}
     for k, v in scan.items():
         spark.conf.set(k, v)
     try:
         for day in (derive.LOAD_1, derive.LOAD_2):
-            (docs.filter(F.col("_loaded_at") == F.lit(day).cast("timestamp_ntz")).select("text", "doc").repartition("doc")
-             .write.mode("append").option("compression", "none").partitionBy("doc").text(f"{root}/landing/client_c"))
+            new = docs.filter(F.col("_loaded_at") == F.lit(day).cast("timestamp_ntz")).select("text", "doc")
+            # a file takes some 10 ms to make, however small: tasks are counted by files, not by bytes
+            tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), new.count() // TASK_FILES + 1)
+            (new.repartition(tasks, "doc").write.mode("append").option("compression", "none").partitionBy("doc").text(f"{root}/landing/client_c"))
             L.load_payload_once(spark, f"{root}/landing", source, cat, f"{root}/checkpoints", day)
     finally:
         for k, v in before.items():
