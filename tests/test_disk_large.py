@@ -42,6 +42,16 @@ def test_digests_cross_the_shuffle_of_a_merge_as_bytes(spark, tmp_path):
     assert plan.count("Exchange") == 1 and "unhex" in plan[plan.index("Exchange"):]
 
 
+def test_mask_tagged_leaves_no_shuffle_files(spark, tables):
+    for table in Q.INPUTS:
+        Q.load_inputs(spark, tables, (table,))
+    before = _shuffle_files(spark)
+    out = Q.mask_tagged(spark, tables)
+    assert not _left(spark, before), "shuffles of the marts stay on disk"
+    assert out.inputFiles() and all(f.endswith(".zstd.parquet") for f in out.inputFiles())
+    assert {r["entity"] for r in out.select("entity").distinct().collect()} == set(run.ENTITIES)
+
+
 def test_a_large_run_stages_each_entity_and_gives_the_same_tables(spark, tables, monkeypatch):
     def raw():
         root = Q.load_inputs(spark, tables)

@@ -24,7 +24,7 @@ from tidemark.operators.mask import mask_tagged as _mask_tagged
 from tidemark.plans import derive, gold, silver
 from tidemark.plans import incremental as I
 from tidemark.plans.parallel import run_stages
-from tidemark.plans.run import run_pipeline
+from tidemark.plans.run import LARGEST_FIRST, run_pipeline
 from tidemark.sources import drift as DR
 from tidemark.sources import files as FS
 from tidemark.sources import readable as R
@@ -233,8 +233,11 @@ def mask_pii(spark: SparkSession, sf: str) -> DataFrame:
 def mask_tagged(spark: SparkSession, sf: str) -> DataFrame:
     """PO1: the six marts, each written and read again, every tagged column masked by its tag; columns joined with `|` (NULL as `~`)."""
     root, parts = work_dir(spark, "mask_tagged"), []
+    for e in LARGEST_FIRST:  # while little else is written; no mart's shuffles stay when it is
+        rows = mart(e)(spark, sf)
+        with shuffles_freed(spark):
+            rows.write.option("compression", "zstd").parquet(f"{root}/{e}")
     for e in _SILVER:
-        mart(e)(spark, sf).write.parquet(f"{root}/{e}")
         g = _mask_tagged(spark.read.parquet(f"{root}/{e}"))
         text = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in g.columns if c != "_loaded_at"]
         parts.append(g.select(F.lit(e).alias("entity"), F.concat_ws("|", *text).alias("row_text")))
